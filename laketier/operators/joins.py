@@ -1,0 +1,25 @@
+"""Join helpers: broadcast only behind a size check, shuffle otherwise."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Upper bound on rows we are willing to ship to every executor. Keys of a
+# daily batch or a reference table fit; anything above falls back to a
+# shuffle join planned by Catalyst / AQE.
+DEFAULT_BROADCAST_ROWS = 2_000_000
+
+
+def fits_in_rows(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    A bounded probe (``limit(max_rows + 1)``): it stops as soon as the bound
+    is exceeded instead of counting the whole input.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when its row count is proven below ``max_rows``."""
+    return F.broadcast(df) if fits_in_rows(df, max_rows) else df
