@@ -14,14 +14,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from laketier.functions.match import FINISHED, match_result, standard_status
+from laketier.functions.parse import iso_calendar_date, iso_instant
 from laketier.operators.dedup import latest_per_key
 from laketier.schemas import RECORD_FIELDS, SILVER_COLUMNS, SILVER_KEYS
 
-# (silver column, nested source field, target type or None to keep as is)
-FLATTEN_SPEC: list[tuple[str, str, str | None]] = [
+# (silver column, nested source field, target type / parser / None to keep)
+FLATTEN_SPEC: list[tuple[str, str, object]] = [
     ("match_id", "fixture.id", "int"),
-    ("match_datetime", "fixture.date", "timestamp"),
-    ("match_date", "fixture.date", "date"),
+    ("match_datetime", "fixture.date", iso_instant),
+    ("match_date", "fixture.date", iso_calendar_date),
     ("match_status", "fixture.status.short", None),
     ("venue_name", "fixture.venue.name", None),
     ("venue_city", "fixture.venue.city", None),
@@ -55,7 +56,11 @@ def flatten(bronze: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     cols = []
     for name, path, typ in FLATTEN_SPEC:
         c = F.col(path)
-        cols.append((c.try_cast(typ) if typ else c).alias(name))
+        if callable(typ):
+            c = typ(c)
+        elif typ:
+            c = c.try_cast(typ)
+        cols.append(c.alias(name))
     passthrough = ["_ingest_timestamp", "_source_file", *[c for c in carry if c not in
                                                           ("_ingest_timestamp", "_source_file")]]
     return bronze.select(*cols, *passthrough)

@@ -128,3 +128,243 @@ def q_dim_date(spark, sf_dir):
     "FROM fact_v GROUP BY league_id, season ORDER BY league_id, season", O.FACT_V))
 def q_league_summary(spark, sf_dir):
     return gold.league_season_summary(fact_rows(spark, sf_dir))
+
+
+# --- star joins --------------------------------------------------------------
+
+# Dimensions "as of" an earlier run: built from matches before this date,
+# while the fact covers every match (late-arriving dimension rows).
+STALE_DIM_BEFORE = "1996-07-01"
+
+
+@register("star_join_date", O.with_views(
+    "SELECT d.day_name, count(*) AS matches, CAST(sum(f.total_goals) AS BIGINT) AS total_goals "
+    "FROM fact_v f LEFT JOIN dim_date_v d ON f.match_date = d.date GROUP BY d.day_name",
+    O.FACT_V, O.DIM_DATE_V))
+def q_star_join_date(spark, sf_dir):
+    from laketier.operators import star
+    s = silver_rows(spark, sf_dir)
+    return star.goals_by_weekday(gold.fact_match_stats(s), gold.dim_date(s))
+
+
+@register("star_join_teams", O.with_views(
+    "SELECT team_name, count(*) AS matches, CAST(sum(points) AS BIGINT) AS points, "
+    "CAST(sum(gf) AS BIGINT) AS goals_for, CAST(sum(ga) AS BIGINT) AS goals_against FROM ("
+    " SELECT h.team_name, f.home_team_points AS points, f.home_goals AS gf, f.away_goals AS ga"
+    " FROM fact_v f LEFT JOIN dim_team_v h ON f.home_team_id = h.team_id AND f.season = h.season"
+    " UNION ALL"
+    " SELECT a.team_name, f.away_team_points, f.away_goals, f.home_goals"
+    " FROM fact_v f LEFT JOIN dim_team_v a ON f.away_team_id = a.team_id AND f.season = a.season"
+    ") GROUP BY team_name", O.FACT_V, O.ROLES_V, O.DIM_TEAM_V))
+def q_star_join_teams(spark, sf_dir):
+    from laketier.operators import star
+    s = silver_rows(spark, sf_dir)
+    return star.team_table(gold.fact_match_stats(s), gold.dim_team(s))
+
+
+@register("star_orphans", O.with_views(
+    "SELECT f.match_id, 'home_team' AS missing FROM fact_v f WHERE NOT EXISTS ("
+    " SELECT 1 FROM old_team t WHERE t.team_id = f.home_team_id AND t.season = f.season)"
+    " UNION ALL SELECT f.match_id, 'away_team' FROM fact_v f WHERE NOT EXISTS ("
+    " SELECT 1 FROM old_team t WHERE t.team_id = f.away_team_id AND t.season = f.season)"
+    " UNION ALL SELECT f.match_id, 'date' FROM fact_v f WHERE NOT EXISTS ("
+    f" SELECT 1 FROM silver_v s WHERE s.match_date < DATE '{STALE_DIM_BEFORE}'"
+    "  AND s.match_date = f.match_date)",
+    O.FACT_V, O.ROLES_V,
+    "old_team AS (SELECT DISTINCT team_id, season FROM roles_v "
+    f"WHERE match_date < DATE '{STALE_DIM_BEFORE}')"))
+def q_star_orphans(spark, sf_dir):
+    from laketier.operators import star
+    s = silver_rows(spark, sf_dir)
+    old = s.where(F.col("match_date") < F.lit(STALE_DIM_BEFORE).cast("date"))
+    return star.orphans(gold.fact_match_stats(s), gold.dim_team(old), gold.dim_date(old))
+
+
+# --- upserts -----------------------------------------------------------------
+
+# Yesterday's silver holds every version ingested before this instant; the
+# incoming batch holds every later version (updates to known matches + new ones).
+SPLIT_AT = "1996-06-01 00:00:00"
+
+
+def _merge_sql(target_cte: str, source_cte: str, keys: list[str], cols: str) -> str:
+    on = " AND ".join(f"s.{k} = t.{k}" for k in keys)
+    return (f"SELECT {cols} FROM {target_cte} t WHERE NOT EXISTS "
+            f"(SELECT 1 FROM {source_cte} s WHERE {on}) "
+            f"UNION ALL SELECT {cols} FROM {source_cte}")
+
+
+@register("merge_upsert_matches", O.with_views(
+    _merge_sql("t_silver_v", "s_silver_v", ["match_id"], O.SILVER_OUT),
+    chain=[O.BRONZE_V,
+           *O.silver_ctes("t_", f"_ingest_timestamp < TIMESTAMP '{SPLIT_AT}'"),
+           *O.silver_ctes("s_", f"_ingest_timestamp >= TIMESTAMP '{SPLIT_AT}'")]))
+def q_merge_matches(spark, sf_dir):
+    from laketier.operators.upsert import upsert
+    b = bronze_records(spark, sf_dir)
+    ts = F.col("_ingest_timestamp")
+    split = F.lit(SPLIT_AT).cast("timestamp_ntz")
+
+    def batch(cond):
+        return silver.silver_matches(b.where(cond), tie_breakers=dt.TIE_BREAKERS,
+                                     processed_at=False)
+    merged = upsert(batch(ts < split), batch(ts >= split), ["match_id"])
+    return ntz(merged.select(*SILVER_OUT), "match_datetime")
+
+
+def _dim_team_sql(name: str, where: str, upper: bool) -> list[str]:
+    tn = "upper(team_name)" if upper else "team_name"
+    return [f"""{name}_roles AS (SELECT * FROM roles_v WHERE {where})""",
+            f"""{name} AS (SELECT team_id, {tn} AS team_name, league_id, league_name, season
+ FROM (SELECT *, row_number() OVER (PARTITION BY team_id, season
+   ORDER BY match_date DESC, match_id DESC, league_id DESC) AS rn FROM {name}_roles)
+ WHERE rn = 1)"""]
+
+
+@register("merge_upsert_composite_key", O.with_views(
+    _merge_sql("t_team", "s_team", ["team_id", "season"], "*"),
+    O.ROLES_V, *_dim_team_sql("t_team", "season <= 1998", False),
+    *_dim_team_sql("s_team", "season >= 1997", True)))
+def q_merge_composite(spark, sf_dir):
+    from laketier.operators.upsert import upsert
+    s = silver_rows(spark, sf_dir)
+    target = gold.dim_team(s.where(F.col("season") <= 1998))
+    source = gold.dim_team(s.where(F.col("season") >= 1997)) \
+        .withColumn("team_name", F.upper("team_name"))
+    return upsert(target, source, ["team_id", "season"])
+
+
+@register("merge_upsert_date_key", O.with_views(
+    _merge_sql("t_date", "s_date", ["date"], "*"), O.DIM_DATE_V,
+    "t_date AS (SELECT * FROM dim_date_v WHERE year <= 1998)",
+    "s_date AS (SELECT * REPLACE (upper(day_name) AS day_name) FROM dim_date_v "
+    "WHERE year >= 1997)"))
+def q_merge_date(spark, sf_dir):
+    from laketier.operators.upsert import upsert
+    d = gold.dim_date(silver_rows(spark, sf_dir))
+    source = d.where(F.col("year") >= 1997).withColumn("day_name", F.upper("day_name"))
+    return upsert(d.where(F.col("year") <= 1998), source, ["date"])
+
+
+# --- events --------------------------------------------------------------------
+
+@register("dedup_latest_event_per_user", O.with_views(
+    "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY user_id "
+    "ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1", chain=[]))
+def q_latest_event(spark, sf_dir):
+    from laketier.operators.dedup import latest_per_key
+    return latest_per_key(dt.table(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"])
+
+
+@register("json_props_extract", O.with_views(
+    "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
+    chain=[]))
+def q_json_props(spark, sf_dir):
+    from laketier.functions.parse import json_field
+    ev = dt.table(spark, sf_dir, "events")
+    return ev.select("event_id", json_field(F.col("props"), "k INT", "k").alias("k"))
+
+
+# --- projections -------------------------------------------------------------
+
+def _iso_strings(spark, sf_dir):
+    """Order dates written as ISO strings two hours west of UTC."""
+    o = dt.table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", F.concat(
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("-02:00")).alias("s"))
+
+
+@register("prj_cast_timestamp", O.with_views(
+    "SELECT o_orderkey, o_orderdate + INTERVAL 2 HOUR AS match_datetime FROM orders", chain=[]))
+def q_cast_timestamp(spark, sf_dir):
+    from laketier.functions.parse import iso_instant
+    return ntz(_iso_strings(spark, sf_dir).select(
+        "o_orderkey", iso_instant(F.col("s")).alias("match_datetime")), "match_datetime")
+
+
+@register("prj_to_date", O.with_views(
+    "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS match_date FROM orders", chain=[]))
+def q_to_date(spark, sf_dir):
+    from laketier.functions.parse import iso_calendar_date
+    return _iso_strings(spark, sf_dir).select(
+        "o_orderkey", iso_calendar_date(F.col("s")).alias("match_date"))
+
+
+@register("util_audit_columns", O.with_views(
+    "SELECT match_id, '1.0.0' AS _pipeline_version FROM fact_v", O.FACT_V))
+def q_util_audit(spark, sf_dir):
+    from laketier.functions.audit import audit_columns
+    out = audit_columns(fact_rows(spark, sf_dir), "gold")
+    return out.select("match_id", "_pipeline_version")
+
+
+BRONZE_DATE = "2024-11-01"
+
+
+@register("bronze_audit_columns", O.with_views(
+    f"SELECT match_id, '{BRONZE_DATE}' AS _ingest_date, 'football' AS _sport_type, "
+    "'lineitem.parquet' AS source_name FROM bronze_v", chain=[O.BRONZE_V]))
+def q_bronze_audit(spark, sf_dir):
+    from laketier.sources.landing import with_bronze_audit
+    rec = dt.fixture_records(spark, sf_dir)
+    out = with_bronze_audit(rec, BRONZE_DATE, "football")
+    return out.select(F.col("fixture.id").try_cast("int").alias("match_id"), "_ingest_date",
+                      "_sport_type",
+                      F.regexp_extract("_source_file", r"([^/]+)$", 1).alias("source_name"))
+
+
+# --- stage metrics -------------------------------------------------------------
+
+@register("stage_row_counts", O.with_views(
+    "SELECT 'bronze' AS stage, count(*) AS rows FROM bronze_v "
+    "UNION ALL SELECT 'deduplicated', count(*) FROM latest_v "
+    "UNION ALL SELECT 'silver', count(*) FROM silver_v"))
+def q_stage_counts(spark, sf_dir):
+    from laketier.operators.dedup import latest_per_key
+    from laketier.plans.metrics import stage_counts
+    b = bronze_records(spark, sf_dir)
+    latest = latest_per_key(silver.cleanse(silver.flatten(b, carry=dt.TIE_BREAKERS)),
+                            ["match_id"], ["_ingest_timestamp", *dt.TIE_BREAKERS])
+    return stage_counts({"bronze": b, "deduplicated": latest,
+                         "silver": silver.finished_only(latest)})
+
+
+# --- data quality -------------------------------------------------------------
+
+def _dq_query(name: str, rules, on: str):
+    """Register a rule-suite query on silver rows or on every cleansed version."""
+    from laketier.operators import quality as Q
+
+    cte = "silver_v" if on == "silver" else "clean_result_v"
+    cols = SILVER_OUT
+
+    def fn(spark, sf_dir):
+        if on == "silver":
+            df = silver_rows(spark, sf_dir).select(*SILVER_OUT)
+        else:
+            df = silver.cleanse(silver.flatten(bronze_records(spark, sf_dir))).select(*SILVER_OUT)
+        return Q.evaluate(df, rules)
+
+    CATALOG[name] = (fn, O.with_views(O.dq_sql(rules, cte, cols)))
+
+
+def _register_dq():
+    from laketier.operators import quality as Q
+    suite = Q.SILVER_SUITE
+    _dq_query("dq_suite_results", suite, "silver")
+    by_type = {t: [r for r in suite if r.expectation_type == t] for t in Q.RULE_TYPES}
+    _dq_query("dq_not_null", by_type[Q.NOT_NULL] + [
+        Q.Rule(16, Q.NOT_NULL, "ht_home_goals", Q.WARNING, mostly=0.9),
+        Q.Rule(17, Q.NOT_NULL, "ht_away_goals", Q.CRITICAL, mostly=1.0)], "versions")
+    _dq_query("dq_unique", by_type[Q.UNIQUE], "versions")
+    _dq_query("dq_between", by_type[Q.BETWEEN] + [
+        Q.Rule(16, Q.BETWEEN, "home_goals", Q.CRITICAL, mostly=0.5, min_value=1),
+        Q.Rule(17, Q.BETWEEN, "ht_home_goals", Q.WARNING, max_value=1)], "versions")
+    _dq_query("dq_in_set", by_type[Q.IN_SET], "versions")
+    _dq_query("dq_row_count", by_type[Q.ROW_COUNT] + [
+        Q.Rule(16, Q.ROW_COUNT, None, Q.WARNING, min_value=1, max_value=1000)], "versions")
+    _dq_query("dq_regex", by_type[Q.REGEX] + [
+        Q.Rule(16, Q.REGEX, "round", Q.WARNING, mostly=0.9, regex=r"- [1-9]$")], "versions")
+
+
+_register_dq()

@@ -36,7 +36,7 @@ BRONZE_V = """bronze_v AS (
  JOIN region r ON h.n_regionkey = r.r_regionkey
  JOIN nation a ON a.n_nationkey = (c.c_nationkey + 1 + o.o_orderkey % 24) % 25)"""
 
-CLEAN_V = """clean_v AS (
+_CLEAN_T = """{p}clean_v AS (
  SELECT match_id, match_datetime, match_date,
   CASE match_status WHEN 'FT' THEN 'FINISHED' WHEN 'NS' THEN 'NOT_STARTED'
        WHEN 'LIVE' THEN 'LIVE' ELSE match_status END AS match_status,
@@ -45,22 +45,31 @@ CLEAN_V = """clean_v AS (
   away_team_id, trim(away_team_name) AS away_team_name,
   coalesce(home_goals, 0) AS home_goals, coalesce(away_goals, 0) AS away_goals,
   ht_home_goals, ht_away_goals, _ingest_timestamp, _t1, _t2, _t3
- FROM bronze_v)"""
+ FROM {src})"""
 
-CLEAN_RESULT_V = """clean_result_v AS (
+_RESULT_T = """{p}clean_result_v AS (
  SELECT *, CASE WHEN home_goals > away_goals THEN 'HOME_WIN'
                 WHEN home_goals < away_goals THEN 'AWAY_WIN'
                 WHEN home_goals = away_goals THEN 'DRAW' ELSE 'UNKNOWN' END AS match_result,
         home_goals + away_goals AS total_goals
- FROM clean_v)"""
+ FROM {p}clean_v)"""
 
-LATEST_V = """latest_v AS (
+_LATEST_T = """{p}latest_v AS (
  SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY match_id
      ORDER BY _ingest_timestamp DESC, _t1 DESC, _t2 DESC, _t3 DESC) AS rn
-  FROM clean_result_v) WHERE rn = 1)"""
+  FROM {p}clean_result_v) WHERE rn = 1)"""
 
-SILVER_V = """silver_v AS (SELECT * FROM latest_v WHERE match_status = 'FINISHED')"""
+_SILVER_T = """{p}silver_v AS (SELECT * FROM {p}latest_v WHERE match_status = 'FINISHED')"""
+
+
+def silver_ctes(prefix: str = "", bronze_where: str | None = None) -> list[str]:
+    """CTEs ``<prefix>clean_v .. <prefix>silver_v`` over ``bronze_v [WHERE ...]``."""
+    src = "bronze_v" if not bronze_where else f"(SELECT * FROM bronze_v WHERE {bronze_where})"
+    return [t.format(p=prefix, src=src) for t in (_CLEAN_T, _RESULT_T, _LATEST_T, _SILVER_T)]
+
+
+CLEAN_V, CLEAN_RESULT_V, LATEST_V, SILVER_V = silver_ctes()
 
 FACT_V = """fact_v AS (
  SELECT match_id, match_date, match_datetime, league_id, season, round,
@@ -96,7 +105,7 @@ _SILVER_CHAIN = [BRONZE_V, CLEAN_V, CLEAN_RESULT_V, LATEST_V, SILVER_V]
 
 def with_views(body: str, *extra: str, chain: list[str] | None = None) -> str:
     views = list(chain if chain is not None else _SILVER_CHAIN) + list(extra)
-    return "WITH " + ",\n".join(views) + "\n" + body
+    return ("WITH " + ",\n".join(views) + "\n" + body) if views else body
 
 
 # Column list of the silver rows as the registered queries return them
@@ -109,3 +118,62 @@ SILVER_OUT = """match_id, match_datetime, match_date, match_status, venue_name,
 FACT_OUT = """match_id, match_date, match_datetime, league_id, season, round, home_team_id,
  away_team_id, home_goals, away_goals, ht_home_goals, ht_away_goals, total_goals, match_result,
  venue_name, venue_city, home_team_points, away_team_points, goal_difference"""
+
+
+def _sql_lit(v) -> str:
+    return "'" + str(v).replace("'", "''") + "'" if isinstance(v, str) else repr(v)
+
+
+def dq_sql(rules, table: str, columns: list[str]) -> str:
+    """One SELECT per rule over ``table`` (a CTE name), UNION ALL, by rule id."""
+    parts = []
+    for r in rules:
+        head = (f"SELECT CAST({r.rule_id} AS INTEGER) AS rule_id, "
+                f"'{r.expectation_type}' AS expectation_type, "
+                f"CAST({_sql_lit(r.column) if r.column else 'NULL'} AS VARCHAR) AS column, "
+                f"'{r.severity}' AS severity, ")
+        t = r.expectation_type
+        ok = f"(ev = 0 OR (ev - un) / ev >= {float(r.mostly)!r})"
+        if t == "expect_column_to_exist":
+            parts.append(head + "CAST(NULL AS BIGINT) AS evaluated, CAST(NULL AS BIGINT) AS "
+                         f"unexpected, {str(r.column in columns).upper()} AS success")
+            continue
+        if t == "expect_table_row_count_to_be_between":
+            conds = ["TRUE"]
+            if r.min_value is not None:
+                conds.append(f"ev >= {r.min_value}")
+            if r.max_value is not None:
+                conds.append(f"ev <= {r.max_value}")
+            parts.append(head + f"ev AS evaluated, CAST(NULL AS BIGINT) AS unexpected, "
+                         f"({' AND '.join(conds)}) AS success "
+                         f"FROM (SELECT count(*) AS ev FROM {table})")
+            continue
+        if r.column not in columns:
+            parts.append(head + "CAST(NULL AS BIGINT) AS evaluated, CAST(NULL AS BIGINT) AS "
+                         "unexpected, FALSE AS success")
+            continue
+        c = r.column
+        if t == "expect_column_values_to_be_unique":
+            inner = (f"SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS ev, "
+                     f"CAST(coalesce(sum(CASE WHEN n > 1 THEN n ELSE 0 END), 0) AS BIGINT) AS un "
+                     f"FROM (SELECT {c}, count(*) AS n FROM {table} WHERE {c} IS NOT NULL "
+                     f"GROUP BY {c})")
+        else:
+            if t == "expect_column_values_to_not_be_null":
+                ev, bad = "count(*)", f"{c} IS NULL"
+            elif t == "expect_column_values_to_be_between":
+                conds = []
+                if r.min_value is not None:
+                    conds.append(f"{c} < {r.min_value}")
+                if r.max_value is not None:
+                    conds.append(f"{c} > {r.max_value}")
+                ev, bad = f"count({c})", " OR ".join(conds) or "FALSE"
+            elif t == "expect_column_values_to_be_in_set":
+                ev, bad = f"count({c})", f"{c} NOT IN ({', '.join(map(_sql_lit, r.value_set))})"
+            elif t == "expect_column_values_to_match_regex":
+                ev, bad = f"count({c})", f"NOT regexp_matches(CAST({c} AS VARCHAR), {_sql_lit(r.regex)})"
+            else:
+                raise ValueError(t)
+            inner = (f"SELECT count(*) FILTER (WHERE {bad}) AS un, {ev} AS ev FROM {table}")
+        parts.append(head + f"ev AS evaluated, un AS unexpected, {ok} AS success FROM ({inner})")
+    return "\nUNION ALL\n".join(parts) + "\nORDER BY rule_id"

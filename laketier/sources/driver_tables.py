@@ -64,7 +64,8 @@ def fixture_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``_ingest_timestamp, _source_file`` and the tie-breakers ``_t1.._t3``."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_returnflag", "l_linestatus", "l_shipdate")
+        "l_returnflag", "l_linestatus", "l_shipdate",
+        F.col("_metadata.file_path").alias("_file"))
     rows = li.join(order_context(spark, sf_dir), li.l_orderkey == F.col("o_orderkey"))
 
     played = F.col("l_linenumber") != 7
@@ -102,7 +103,7 @@ def fixture_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                           score(F.floor(sup4 / 2.0)).alias("away")).alias("halftime"))
         .alias("score"),
         F.col("l_shipdate").alias("_ingest_timestamp"),
-        F.lit("lineitem.parquet").alias("_source_file"),
+        F.col("_file").alias("_source_file"),
         F.col("l_linenumber").alias("_t1"),
         F.col("l_partkey").alias("_t2"),
         F.col("l_suppkey").alias("_t3"),
