@@ -368,3 +368,216 @@ def _register_dq():
 
 
 _register_dq()
+
+
+# --- tables: written by Spark from the driver's tables, then read back --------
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the session's shared checkpoint folder."""
+    import uuid
+
+    from laketier.session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/laketier-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _silver_full(spark, sf_dir) -> DataFrame:
+    """Silver rows with every stored column (audit stamp included)."""
+    return silver.silver_matches(bronze_records(spark, sf_dir), tie_breakers=dt.TIE_BREAKERS)
+
+
+@register("src_table_scan", O.with_views(f"SELECT {O.FACT_OUT} FROM fact_v", O.FACT_V))
+def q_src_table_scan(spark, sf_dir):
+    from laketier.schemas import FACT_PARTITIONS
+    from laketier.sinks import tables
+    path = scratch(spark, "fact")
+    tables.write_version(fact_rows(spark, sf_dir), path, FACT_PARTITIONS)
+    return ntz(tables.read_table(spark, path), "match_datetime")
+
+
+@register("snk_overwrite_partitioned", O.with_views(f"SELECT {O.SILVER_OUT} FROM silver_v"))
+def q_snk_overwrite_partitioned(spark, sf_dir):
+    from laketier.schemas import SILVER_PARTITIONS
+    from laketier.sinks import tables
+    path = scratch(spark, "silver")
+    tables.write_version(_silver_full(spark, sf_dir), path, SILVER_PARTITIONS)
+    return ntz(tables.read_table(spark, path).select(*SILVER_OUT), "match_datetime")
+
+
+SCAN_PREDICATE = "season >= 1997 AND match_result = 'HOME_WIN'"
+
+
+@register("src_scan_with_predicate", O.with_views(
+    f"SELECT {O.SILVER_OUT} FROM silver_v WHERE {SCAN_PREDICATE}"))
+def q_src_scan_with_predicate(spark, sf_dir):
+    from laketier.schemas import SILVER_PARTITIONS
+    from laketier.sinks import tables
+    path = scratch(spark, "silver")
+    tables.write_version(_silver_full(spark, sf_dir), path, SILVER_PARTITIONS)
+    return ntz(tables.read_table(spark, path, where=SCAN_PREDICATE).select(*SILVER_OUT),
+               "match_datetime")
+
+
+INGEST_DAY = "1996-03-13"
+
+
+def _bronze_table(spark, sf_dir) -> str:
+    """Every adapter record appended to a bronze table partitioned by ingest day."""
+    from laketier.schemas import BRONZE_PARTITIONS
+    from laketier.sinks import tables
+    path = scratch(spark, "bronze")
+    rec = bronze_records(spark, sf_dir).withColumns({
+        "_ingest_date": F.date_format("_ingest_timestamp", "yyyy-MM-dd"),
+        "_sport_type": F.lit("football")})
+    # one task per ingest day writes that day's folder: a file per partition
+    tables.append(rec.repartition("_ingest_date"), path, BRONZE_PARTITIONS)
+    return path
+
+
+@register("src_incremental_partition", O.with_views(
+    f"SELECT {O.SILVER_OUT} FROM d_silver_v", chain=[O.BRONZE_V, *O.silver_ctes(
+        "d_", f"CAST(_ingest_timestamp AS DATE) = DATE '{INGEST_DAY}'")]))
+def q_src_incremental_partition(spark, sf_dir):
+    bronze = read_bronze_at(spark, _bronze_table(spark, sf_dir), INGEST_DAY)
+    out = silver.silver_matches(bronze, tie_breakers=dt.TIE_BREAKERS, processed_at=False)
+    return ntz(out.select(*SILVER_OUT), "match_datetime")
+
+
+def read_bronze_at(spark, path: str, day: str) -> DataFrame:
+    from laketier.sinks import tables
+    df = tables.read_appended(spark, path, string_partitions=["_ingest_date"])
+    return df.where(F.col("_ingest_date") == day)
+
+
+@register("merge_first_run", O.with_views(f"SELECT {O.SILVER_OUT} FROM silver_v"))
+def q_merge_first_run(spark, sf_dir):
+    from laketier.schemas import SILVER_KEYS, SILVER_PARTITIONS
+    from laketier.sinks import tables
+    path = scratch(spark, "silver")
+    tables.upsert_table(_silver_full(spark, sf_dir), path, SILVER_KEYS, SILVER_PARTITIONS)
+    return ntz(tables.read_table(spark, path).select(*SILVER_OUT), "match_datetime")
+
+
+@register("merge_upsert_table", O.with_views(
+    _merge_sql("t_silver_v", "s_silver_v", ["match_id"], O.SILVER_OUT),
+    chain=[O.BRONZE_V,
+           *O.silver_ctes("t_", f"_ingest_timestamp < TIMESTAMP '{SPLIT_AT}'"),
+           *O.silver_ctes("s_", f"_ingest_timestamp >= TIMESTAMP '{SPLIT_AT}'")]))
+def q_merge_upsert_table(spark, sf_dir):
+    """Two runs into one silver table: first run creates it, second merges."""
+    from laketier.schemas import SILVER_KEYS, SILVER_PARTITIONS
+    from laketier.sinks import tables
+    b = bronze_records(spark, sf_dir)
+    ts, split = F.col("_ingest_timestamp"), F.lit(SPLIT_AT).cast("timestamp_ntz")
+    path = scratch(spark, "silver")
+    for cond in (ts < split, ts >= split):
+        batch = silver.silver_matches(b.where(cond), tie_breakers=dt.TIE_BREAKERS)
+        tables.upsert_table(batch, path, SILVER_KEYS, SILVER_PARTITIONS)
+    return ntz(tables.read_table(spark, path).select(*SILVER_OUT), "match_datetime")
+
+
+@register("layout_rewrite", O.with_views(f"SELECT {O.SILVER_OUT} FROM silver_v"))
+def q_layout_rewrite(spark, sf_dir):
+    from laketier.schemas import SILVER_PARTITIONS
+    from laketier.sinks import tables
+    path = scratch(spark, "silver")
+    tables.write_version(_silver_full(spark, sf_dir), path, SILVER_PARTITIONS)
+    tables.rewrite_layout(spark, path, ["match_id"], target_file_bytes=1 << 20)
+    return ntz(tables.read_table(spark, path).select(*SILVER_OUT), "match_datetime")
+
+
+@register("snk_register_table", O.with_views(f"SELECT {O.SILVER_OUT} FROM silver_v"))
+def q_snk_register_table(spark, sf_dir):
+    from laketier.schemas import SILVER_PARTITIONS
+    from laketier.sinks import tables
+    path = scratch(spark, "silver")
+    tables.write_version(_silver_full(spark, sf_dir), path, SILVER_PARTITIONS)
+    name = tables.register_table(spark, "laketier_check", "matches_" + path[-12:], path)
+    return ntz(spark.table(name).select(*SILVER_OUT), "match_datetime")
+
+
+@register("snk_append_evolve", O.with_views(
+    "SELECT * EXCLUDE (_t1, _t2, _t3), CASE WHEN _ingest_timestamp >= "
+    f"TIMESTAMP '{SPLIT_AT}' THEN concat('ref-', CAST(home_team_id AS VARCHAR)) END AS referee "
+    "FROM bronze_v", chain=[O.BRONZE_V]))
+def q_snk_append_evolve(spark, sf_dir):
+    """Two appends, the second with a new column; read back with merged schemas."""
+    from laketier.sinks import tables
+    flat = silver.flatten(bronze_records(spark, sf_dir)).drop("_source_file")
+    ts, split = F.col("_ingest_timestamp"), F.lit(SPLIT_AT).cast("timestamp_ntz")
+    path = scratch(spark, "append")
+    tables.append(flat.where(ts < split), path)
+    tables.append(flat.where(ts >= split).withColumn(
+        "referee", F.concat(F.lit("ref-"), F.col("home_team_id").cast("string"))), path)
+    return ntz(tables.read_appended(spark, path), "match_datetime")
+
+
+# --- landed JSON derived from the driver's tables -------------------------------
+
+FLAT_RAW = [c for c in SILVER_OUT if c not in ("_ingest_timestamp", "match_result",
+                                              "total_goals")]
+FLAT_RAW_SQL = ", ".join(FLAT_RAW)
+
+
+def _land_records(spark, sf_dir) -> str:
+    """Adapter records landed as JSON Lines, one folder per ingest month and league."""
+    base = scratch(spark, "landing")
+    rec = bronze_records(spark, sf_dir).select(
+        "fixture", "league", "teams", "goals", "score",
+        F.date_format("_ingest_timestamp", "yyyy-MM").alias("ingest_month"),
+        F.col("league.id").alias("league_no"))
+    (rec.repartition("ingest_month", "league_no").write.partitionBy("ingest_month", "league_no")
+     .json(f"{base}/football/raw"))
+    return base
+
+
+@register("src_json_scan", O.with_views(f"SELECT {FLAT_RAW_SQL} FROM bronze_v",
+                                        chain=[O.BRONZE_V]))
+def q_src_json_scan(spark, sf_dir):
+    from laketier.sources import landing
+    base = _land_records(spark, sf_dir)
+    raw = landing.read_landed(spark, f"{base}/football/raw", landing.RECORDS_SHAPE)
+    rows = landing.fixture_rows(raw, landing.RECORDS_SHAPE).withColumn(
+        "_ingest_timestamp", F.lit(None).cast("timestamp"))
+    return ntz(silver.flatten(rows).select(*FLAT_RAW), "match_datetime")
+
+
+@register("src_file_lineage", O.with_views(
+    "SELECT strftime(_ingest_timestamp, '%Y-%m') AS ingest_month, league_id, "
+    "count(*) AS rows FROM bronze_v GROUP BY 1, 2", chain=[O.BRONZE_V]))
+def q_src_file_lineage(spark, sf_dir):
+    """Rows per landed file folder, read back from the file path of each row."""
+    from laketier.sources import landing
+    base = _land_records(spark, sf_dir)
+    raw = landing.read_landed(spark, f"{base}/football/raw", landing.RECORDS_SHAPE)
+    path = F.col(landing.SOURCE_FILE)
+    return (raw.select(F.regexp_extract(path, r"ingest_month=([^/]+)", 1).alias("ingest_month"),
+                       F.regexp_extract(path, r"league_no=(\d+)", 1).cast("int").alias("league_id"))
+            .groupBy("ingest_month", "league_id").agg(F.count(F.lit(1)).alias("rows")))
+
+
+# Records per envelope stay bounded at any scale: one page per league, ingest
+# day and block of match ids.
+PAGE_IDS = 1000
+
+
+@register("src_explode_envelope", O.with_views(f"SELECT {FLAT_RAW_SQL} FROM bronze_v",
+                                               chain=[O.BRONZE_V]))
+def q_src_explode_envelope(spark, sf_dir):
+    """API documents (paged envelopes) built from the records, then exploded."""
+    from laketier.schemas import CORRUPT_COLUMN
+    from laketier.sources import landing
+    rec = bronze_records(spark, sf_dir)
+    docs = rec.groupBy(
+        F.col("league.id").alias("league"),
+        F.date_format("_ingest_timestamp", "yyyy-MM-dd").alias("day"),
+        F.floor(F.col("fixture.id") / PAGE_IDS).alias("page"),
+    ).agg(F.collect_list(F.struct("fixture", "league", "teams", "goals", "score"))
+          .alias("response"))
+    raw = docs.select(
+        F.lit("fixtures").alias("get"), "response",
+        F.lit(None).cast("string").alias(CORRUPT_COLUMN),
+        F.concat_ws("/", F.lit("raw"), "day", F.concat(F.lit("league_"), "league"))
+        .alias(landing.SOURCE_FILE))
+    rows = landing.fixture_rows(raw, landing.ENVELOPE_SHAPE).withColumn(
+        "_ingest_timestamp", F.lit(None).cast("timestamp"))
+    return ntz(silver.flatten(rows).select(*FLAT_RAW), "match_datetime")
