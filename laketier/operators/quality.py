@@ -203,6 +203,14 @@ def evaluate(df: DataFrame, rules: Sequence[Rule] = SILVER_SUITE) -> DataFrame:
     return out.orderBy("rule_id")
 
 
+def gate_actions(results: DataFrame, fail_on: Sequence[str] = (CRITICAL,)) -> DataFrame:
+    """Result rows with the gate's decision: ``stop`` (failed, blocking),
+    ``warn`` (failed, logged) or ``pass``."""
+    return results.withColumn(
+        "action", F.when(F.col("success"), F.lit("pass"))
+        .when(F.col("severity").isin(list(fail_on)), F.lit("stop")).otherwise(F.lit("warn")))
+
+
 class QualityGateError(RuntimeError):
     def __init__(self, failed: list[dict]):
         self.failed = failed

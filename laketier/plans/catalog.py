@@ -581,3 +581,76 @@ def q_src_explode_envelope(spark, sf_dir):
     rows = landing.fixture_rows(raw, landing.ENVELOPE_SHAPE).withColumn(
         "_ingest_timestamp", F.lit(None).cast("timestamp"))
     return ntz(silver.flatten(rows).select(*FLAT_RAW), "match_datetime")
+
+
+# --- quality gate ----------------------------------------------------------------
+
+def _exists_rules():
+    from laketier.operators import quality as Q
+    return [Q.Rule(1, Q.EXISTS, "match_id", Q.CRITICAL),
+            Q.Rule(2, Q.EXISTS, "match_date", Q.CRITICAL),
+            Q.Rule(3, Q.EXISTS, "referee", Q.WARNING),
+            Q.Rule(4, Q.NOT_NULL, "referee", Q.WARNING),
+            Q.Rule(5, Q.IN_SET, "venue_name", Q.WARNING, value_set=("BUILDING", "MACHINERY"))]
+
+
+@register("dq_column_exists", O.with_views(O.dq_sql(_exists_rules(), "silver_v", SILVER_OUT)))
+def q_dq_column_exists(spark, sf_dir):
+    from laketier.operators import quality as Q
+    return Q.evaluate(silver_rows(spark, sf_dir).select(*SILVER_OUT), _exists_rules())
+
+
+@register("dq_gate", O.with_views(
+    "SELECT *, CASE WHEN success THEN 'pass' WHEN severity = 'CRITICAL' THEN 'stop' "
+    "ELSE 'warn' END AS action FROM (" + O.dq_sql(
+        __import__("laketier.operators.quality", fromlist=["x"]).SILVER_SUITE,
+        "clean_result_v", SILVER_OUT) + ")"))
+def q_dq_gate(spark, sf_dir):
+    """The gate's decision per rule on every cleansed version (before dedup:
+    the uniqueness rule fails CRITICAL there, so the run would stop)."""
+    from laketier.operators import quality as Q
+    df = silver.cleanse(silver.flatten(bronze_records(spark, sf_dir))).select(*SILVER_OUT)
+    return Q.gate_actions(Q.evaluate(df, Q.SILVER_SUITE))
+
+
+# --- daily runs over landed data --------------------------------------------------
+
+BATCH_DATES = ("1996-05-31", "1996-06-01")
+
+
+def _land_two_batches(spark, sf_dir) -> str:
+    """All adapter records landed as two ingest dates (split at SPLIT_AT),
+    JSON Lines, one sub-folder per league."""
+    base = scratch(spark, "landing")
+    rec = bronze_records(spark, sf_dir)
+    ts, split = F.col("_ingest_timestamp"), F.lit(SPLIT_AT).cast("timestamp_ntz")
+    for date, cond in zip(BATCH_DATES, (ts < split, ts >= split)):
+        (rec.where(cond).select("fixture", "league", "teams", "goals", "score",
+                                F.col("league.id").alias("league_no"))
+         .write.partitionBy("league_no").json(f"{base}/football/raw/{date}"))
+    return base
+
+
+@register("run_log_append", None)
+def q_run_log_append(spark, sf_dir):
+    """Two daily runs (bronze, silver merge, gate, gold) and their run log."""
+    from laketier.plans import jobs
+    from laketier.sources.landing import RECORDS_SHAPE
+    landing_base, lake_base = _land_two_batches(spark, sf_dir), scratch(spark, "lake")
+    for date in BATCH_DATES:
+        jobs.run_daily(spark, landing_base, lake_base, date, shape=RECORDS_SHAPE)
+    return (spark.read.parquet(jobs.Lake(lake_base).run_log)
+            .select("pipeline_name", "execution_date", "status", "stage", "rows"))
+
+
+@register("stream_upsert", None)
+def q_stream_upsert(spark, sf_dir):
+    """Structured Streaming: landed files -> per-batch silver merge."""
+    from laketier.streaming.silver_stream import start_silver_stream
+    from laketier.sinks import tables
+    landing_base = _land_two_batches(spark, sf_dir)
+    path = scratch(spark, "silver")
+    q = start_silver_stream(spark, f"{landing_base}/football/raw", path,
+                            name="silver_" + path[-12:], max_files_per_trigger=8)
+    q.awaitTermination()
+    return ntz(tables.read_table(spark, path).select(*SILVER_OUT), "match_datetime")
