@@ -174,10 +174,11 @@ def evaluate(df: DataFrame, rules: Sequence[Rule] = SILVER_SUITE) -> DataFrame:
             continue
         c = F.col(r.column)
         if r.expectation_type == UNIQUE:
-            counts = df.where(c.isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n"))
+            n = F.col("__copies")
+            counts = df.where(c.isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("__copies"))
             part = counts.agg(
-                F.coalesce(F.sum("n"), F.lit(0)).alias("ev"),
-                F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("un"))
+                F.coalesce(F.sum(n), F.lit(0)).alias("ev"),
+                F.coalesce(F.sum(F.when(n > 1, n)), F.lit(0)).alias("un"))
             unique_parts.append(part.select(
                 _row(r, F.col("ev"), F.col("un"), _passes(r, F.col("ev"), F.col("un")))
                 .alias("r")).select("r.*"))
