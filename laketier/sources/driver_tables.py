@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laketier.operators.joins import broadcast_if_small
+from laketier.operators.joins import fits_in_rows
 
 # Tie-breakers that make the dedup order total on this data: several line
 # items of one order share a ship date.
@@ -24,7 +24,18 @@ REFERENCE_TABLE_ROWS = 1_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table; spread over the cluster when it arrives as fewer
+    splits than there are task slots (a single-row-group file is one task)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over the default parallelism when it is read from
+    fewer files than there are task slots; a no-op for inputs already split
+    into many files (every table at cluster scale)."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if len(df.inputFiles()) < slots else df
 
 
 def _status(flag, status):
@@ -43,15 +54,22 @@ def order_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
                                               "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    nation = table(spark, sf_dir, "nation")
-    home = broadcast_if_small(nation.select(
+    nation = spark.read.parquet(f"{sf_dir.rstrip('/')}/nation.parquet")
+    region = spark.read.parquet(f"{sf_dir.rstrip('/')}/region.parquet")
+    small_nation = fits_in_rows(nation, REFERENCE_TABLE_ROWS)
+    small_region = fits_in_rows(region, REFERENCE_TABLE_ROWS)
+
+    def maybe_broadcast(df, small):
+        return F.broadcast(df) if small else df
+
+    home = maybe_broadcast(nation.select(
         F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("home_name"),
-        "n_regionkey"), REFERENCE_TABLE_ROWS)
-    region = broadcast_if_small(table(spark, sf_dir, "region").select(
-        F.col("r_regionkey").alias("n_regionkey"), "r_regionkey", "r_name"), REFERENCE_TABLE_ROWS)
-    away = broadcast_if_small(nation.select(
+        "n_regionkey"), small_nation)
+    region = maybe_broadcast(region.select(
+        F.col("r_regionkey").alias("n_regionkey"), "r_regionkey", "r_name"), small_region)
+    away = maybe_broadcast(nation.select(
         F.col("n_nationkey").cast("bigint").alias("away_key"), F.col("n_name").alias("away_name")),
-        REFERENCE_TABLE_ROWS)
+        small_nation)
     return (o.join(c, o.o_custkey == c.c_custkey)
             .join(home, "c_nationkey")
             .join(region, "n_regionkey")
