@@ -1,20 +1,23 @@
-"""Parquet tables with atomic replacement, keyed upserts and layout rewrites.
+"""Parquet tables with atomic commits, partition-scoped upserts and rewrites.
 
 Without a table format, a table that is read and rewritten in one job must
 never be overwritten in place (a static overwrite deletes the files it is
 reading; a dynamic partition overwrite leaves stale rows behind when a key
-moves partition). So every write of a snapshot table goes to a new folder:
-
-    <path>/v00000001/   <- league_id=.../season=.../part-*.parquet, _SUCCESS
-    <path>/v00000002/   <- the next full version
-
-The version a reader sees is the newest folder holding ``_SUCCESS``, which
-Spark's output committer writes only after every task has committed. A
-failed or interrupted write therefore leaves a folder readers ignore, and
-task retries after a lost executor are handled by the committer. The
-table's column order and partition columns are kept in ``_table.json``
-inside each version (hidden from Spark's file listing). One writer per table
-is assumed; old versions stay readable until removed with ``expire_versions``.
+moves partition). Here every write lands in folders of a new version and a
+manifest commits it:
+
+    <path>/league_id=1/season=1995/v=00000001/part-*.parquet
+    <path>/league_id=1/season=1995/v=00000004/part-*.parquet   <- rewritten by v4
+    <path>/league_id=2/season=1995/v=00000001/part-*.parquet   <- untouched since v1
+    <path>/_manifests/m00000004.json   {partition folder -> its current version}
+
+A reader takes the newest manifest and reads exactly the folders it lists,
+so an upsert rewrites only the partitions that hold a source row or a
+matched key, and every other partition is carried forward by reference, not
+copied. A partition emptied by the merge simply leaves the manifest. A write
+that fails before its manifest exists is invisible; task retries after a
+lost executor are handled by Spark's output committer. Old versions stay
+readable until ``expire_versions`` deletes them. One writer per table.
 
 Append-only tables (bronze, run log) are plain partitioned Parquet folders.
 """
@@ -26,17 +29,20 @@ import math
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from laketier.operators.joins import DEFAULT_BROADCAST_ROWS
+from laketier.operators.joins import DEFAULT_BROADCAST_ROWS, fits_in_rows
 from laketier.operators.upsert import check_columns, source_keys, upsert
 
-_VERSION = re.compile(r"^v(\d{8})$")
-META_FILE = "_table.json"
-COMMIT_MARKER = "_SUCCESS"
+MANIFESTS = "_manifests"
+_MANIFEST = re.compile(r"^m(\d{8})\.json$")
+VERSION_COL = "v"
 DEFAULT_FILE_BYTES = 256 * 1024 * 1024
+# Above this many touched partitions a merge rewrites the whole table (still
+# exact; the partition list is collected on the driver, so it stays bounded).
+MAX_SCOPED_PARTITIONS = 10_000
 
 
 # --- file-system access (Hadoop FS API: HDFS, object stores, local) ----------
@@ -51,9 +57,10 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
+def _create_text(spark: SparkSession, path: str, text: str) -> None:
+    """Create ``path`` with ``text``; fails if it exists (one commit per version)."""
     fs, p = _fs(spark, path)
-    out = fs.create(p, True)
+    out = fs.create(p, False)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
@@ -73,34 +80,46 @@ def _read_text(spark: SparkSession, path: str) -> str:
         reader.close()
 
 
-def _bytes_under(spark: SparkSession, path: str) -> int:
+def _glob_dirs(spark: SparkSession, pattern: str) -> list[str]:
+    fs, p = _fs(spark, pattern)
+    found = fs.globStatus(p)
+    return [st.getPath().toString() for st in (found or []) if st.isDirectory()]
+
+
+def _bytes_under(spark: SparkSession, paths: Sequence[str]) -> int:
+    total = 0
+    for path in paths:
+        fs, p = _fs(spark, path)
+        total += int(fs.getContentSummary(p).getLength())
+    return total
+
+
+def _root(spark: SparkSession, path: str) -> str:
+    """Fully qualified table root, the prefix of every folder the FS returns."""
     fs, p = _fs(spark, path)
-    return int(fs.getContentSummary(p).getLength())
+    return fs.makeQualified(p).toString().rstrip("/")
 
 
-# --- versions ------------------------------------------------------------------
+# --- manifests -----------------------------------------------------------------
 
-def version_path(path: str, version: int) -> str:
-    return f"{path.rstrip('/')}/v{version:08d}"
+def _manifest_path(path: str, version: int) -> str:
+    return f"{path.rstrip('/')}/{MANIFESTS}/m{version:08d}.json"
 
 
-def versions(spark: SparkSession, path: str) -> list[tuple[int, bool]]:
-    """``(version, committed)`` for every version folder, oldest first."""
-    if not _exists(spark, path):
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Committed versions, oldest first."""
+    folder = f"{path.rstrip('/')}/{MANIFESTS}"
+    if not _exists(spark, folder):
         return []
-    fs, p = _fs(spark, path)
-    out = []
-    for st in fs.listStatus(p):
-        m = _VERSION.match(st.getPath().getName())
-        if st.isDirectory() and m:
-            v = int(m.group(1))
-            out.append((v, _exists(spark, f"{version_path(path, v)}/{COMMIT_MARKER}")))
+    fs, p = _fs(spark, folder)
+    out = [int(m.group(1)) for st in fs.listStatus(p)
+           if (m := _MANIFEST.match(st.getPath().getName()))]
     return sorted(out)
 
 
 def current_version(spark: SparkSession, path: str) -> int | None:
-    done = [v for v, committed in versions(spark, path) if committed]
-    return done[-1] if done else None
+    vs = versions(spark, path)
+    return vs[-1] if vs else None
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -108,88 +127,183 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def table_meta(spark: SparkSession, path: str, version: int | None = None) -> dict:
+    """Manifest: ``schema``, ``partition_columns``, ``partitions`` (folder key ->
+    version; the key is ``""`` for an unpartitioned table)."""
     v = version if version is not None else current_version(spark, path)
     if v is None:
         raise FileNotFoundError(f"no committed version under {path}")
-    return json.loads(_read_text(spark, f"{version_path(path, v)}/{META_FILE}"))
+    return json.loads(_read_text(spark, _manifest_path(path, v)))
+
+
+def _folder(path: str, key: str, version: int) -> str:
+    base = path.rstrip("/")
+    return f"{base}/{key}/{VERSION_COL}={version:08d}" if key else \
+        f"{base}/{VERSION_COL}={version:08d}"
 
 
 # --- read ----------------------------------------------------------------------
 
-def read_table(spark: SparkSession, path: str, where: str | None = None,
+def _read_folders(spark: SparkSession, path: str, meta: dict) -> DataFrame:
+    schema = T.StructType.fromJson(meta["schema"])
+    cols = [f.name for f in schema.fields]
+    folders = [_folder(path, k, v) for k, v in sorted(meta["partitions"].items())]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    read_schema = T.StructType(schema.fields + [T.StructField(VERSION_COL, T.StringType())])
+    return (spark.read.schema(read_schema).option("basePath", path.rstrip("/"))
+            .parquet(*folders).select(*cols))
+
+
+def read_table(spark: SparkSession, path: str, where: str | Column | None = None,
                version: int | None = None) -> DataFrame:
-    """Current (or given) version of a snapshot table, optionally filtered.
+    """Current (or given) version of a table, optionally filtered.
 
-    The schema comes from the table's metadata, so there is no inference
-    pass and partition columns keep their types; a ``where`` on partition
+    Exactly the folders of that version are read, with the schema from the
+    manifest (no inference, stable partition types); a ``where`` on partition
     columns prunes folders (``PartitionFilters``), others reach the Parquet
     reader as ``PushedFilters``.
     """
-    v = version if version is not None else current_version(spark, path)
-    if v is None:
-        raise FileNotFoundError(f"no committed version under {path}")
-    meta = table_meta(spark, path, v)
-    schema = T.StructType.fromJson(meta["schema"])
-    folder = version_path(path, v)
-    df = (spark.read.schema(schema).option("basePath", folder).parquet(folder)
-          .select(*[f.name for f in schema.fields]))
-    return df.filter(where) if where else df
+    df = _read_folders(spark, path, table_meta(spark, path, version))
+    return df.filter(where) if where is not None else df
 
 
 # --- write ---------------------------------------------------------------------
 
-def write_version(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> int:
-    """Write ``df`` as the next version of the table at ``path``; return it.
+def _write_folders(df: DataFrame, path: str, partition_cols: Sequence[str], version: int,
+                   replace: dict | None, touched_keys: set[str]) -> int:
+    """Write ``df`` as version ``version`` of the partitions it holds and commit
+    a manifest: ``replace`` (old manifest partitions, or None for a full
+    replacement) minus ``touched_keys``, plus the new folders."""
+    spark = df.sparkSession
+    (df.withColumn(VERSION_COL, F.lit(f"{version:08d}"))
+     .write.mode("append").partitionBy(*partition_cols, VERSION_COL).parquet(path))
+    root = _root(spark, path)
+    pattern = "/".join([root, *["*"] * len(partition_cols), f"{VERSION_COL}={version:08d}"])
+    new_keys = []
+    for folder in _glob_dirs(spark, pattern):
+        rel = folder[len(root):].strip("/")
+        new_keys.append(rel.rsplit("/", 1)[0] if "/" in rel else "")
+    partitions = {} if replace is None else {
+        k: v for k, v in replace.items() if k not in touched_keys}
+    partitions.update({k: version for k in new_keys})
+    meta = {"version": version, "schema": json.loads(df.schema.json()),
+            "partition_columns": list(partition_cols), "partitions": partitions}
+    _create_text(spark, _manifest_path(path, version), json.dumps(meta))
+    return version
+
+
+def _next_version(spark: SparkSession, path: str) -> int:
+    # folders of a failed write may carry a number without a manifest: skip it
+    vs = versions(spark, path)
+    root = _root(spark, path) if _exists(spark, path) else None
+    orphan = 0
+    if root:
+        for d in _glob_dirs(spark, f"{root}/{VERSION_COL}=*") + \
+                _glob_dirs(spark, f"{root}/*/{VERSION_COL}=*"):
+            orphan = max(orphan, int(d.rsplit("=", 1)[1]))
+    return max([0, orphan, *vs]) + 1
 
-    Readers switch to it only once the write job has committed.
-    """
+
+def write_version(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> int:
+    """Replace the table's content with ``df`` (a new version); return it."""
     spark = df.sparkSession
-    existing = [v for v, _ in versions(spark, path)]
-    v = (existing[-1] if existing else 0) + 1
-    folder = version_path(path, v)
-    meta = {"schema": json.loads(df.schema.json()), "partition_columns": list(partition_cols)}
-    _write_text(spark, f"{folder}/{META_FILE}", json.dumps(meta))
-    df.write.mode("append").partitionBy(*partition_cols).parquet(folder)
-    return v
-
-
-def expire_versions(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
-    """Delete all but the newest ``keep`` committed versions (and any
-    uncommitted folder older than them)."""
+    return _write_folders(df, path, partition_cols, _next_version(spark, path), None, set())
+
+
+def expire_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
+    """Delete folders no longer listed by the newest ``keep`` manifests, and
+    the older manifests. Returns the deleted folders."""
     vs = versions(spark, path)
-    committed = [v for v, c in vs if c]
-    if len(committed) <= keep:
+    if len(vs) <= keep:
         return []
-    oldest_kept = committed[-keep]
-    gone = [v for v, _ in vs if v < oldest_kept]
-    for v in gone:
-        fs, p = _fs(spark, version_path(path, v))
-        fs.delete(p, True)
+    live = set()
+    for v in vs[-keep:]:
+        meta = table_meta(spark, path, v)
+        live |= {_folder(_root(spark, path), k, ver) for k, ver in meta["partitions"].items()}
+    parts = len(table_meta(spark, path)["partition_columns"])
+    root = _root(spark, path)
+    pattern = "/".join([root, *["*"] * parts, f"{VERSION_COL}=*"])
+    oldest_kept = vs[-keep]
+    gone = []
+    for folder in _glob_dirs(spark, pattern):
+        ver = int(folder.rsplit("=", 1)[1])
+        if folder not in live and ver < oldest_kept:
+            fs, p = _fs(spark, folder)
+            fs.delete(p, True)
+            gone.append(folder)
+    for v in vs[:-keep]:
+        fs, p = _fs(spark, _manifest_path(path, v))
+        fs.delete(p, False)
     return gone
 
 
 def _materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage: the source is read once, in the shared checkpoint folder,
-    so validation, the broadcast probe and the write do not recompute it and
-    a lost executor does not send the job back to the raw input."""
+    """Cut lineage: the source is computed once into the shared checkpoint
+    folder, so validation, the broadcast probe and the write do not recompute
+    it and a lost executor does not send the job back to the raw input."""
     return df.checkpoint(eager=True)
 
 
+def _partition_filter(partition_cols: Sequence[str], values: list) -> Column:
+    """OR of the given partition-value tuples (NULL-safe equality)."""
+    cond = F.lit(False)
+    for row in values:
+        term = F.lit(True)
+        for c, v in zip(partition_cols, row):
+            term = term & F.col(c).eqNullSafe(F.lit(v))
+        cond = cond | term
+    return cond
+
+
+def _distinct_bounded(df: DataFrame, cap: int) -> list | None:
+    rows = df.distinct().limit(cap + 1).collect()
+    return None if len(rows) > cap else [tuple(r) for r in rows]
+
+
 def upsert_table(source: DataFrame, path: str, keys: Sequence[str],
                  partition_cols: Sequence[str] = (), *, materialize: bool = True,
-                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> int:
+                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                 max_scoped_partitions: int = MAX_SCOPED_PARTITIONS) -> int:
     """Create the table from ``source`` on the first run, else merge the
     source into it by ``keys`` (update whole row / insert); return the new
-    version. A duplicated non-NULL source key fails the run either way."""
+    version. A duplicated non-NULL source key fails the run either way.
+
+    On a partitioned table only the affected partitions are rewritten: those
+    of the source rows and those holding a matched key (so a key that moves
+    partition leaves its old one). Finding the latter reads only the key and
+    partition columns of the target, filtered map-side by the broadcast
+    source keys.
+    """
     spark = source.sparkSession
     src = _materialize(source) if materialize else source
     if not table_exists(spark, path):
         source_keys(src, keys).count()  # raises on a duplicated key
         return write_version(src, path, partition_cols)
-    target = read_table(spark, path)
+    meta = table_meta(spark, path)
+    parts = meta["partition_columns"]
+    target = _read_folders(spark, path, meta)
     check_columns(target.columns, src)
-    merged = upsert(target, src, keys, max_broadcast_rows=max_broadcast_rows)
-    return write_version(merged, path, partition_cols)
+    version = _next_version(spark, path)
+    scope = None
+    if parts:
+        keyset = source_keys(src, keys)
+        if fits_in_rows(keyset, max_broadcast_rows):
+            keyset = F.broadcast(keyset)
+        holding = target.select(*keys, *parts).join(keyset, list(keys), "left_semi")
+        scope = _distinct_bounded(src.select(*parts).unionByName(holding.select(*parts)),
+                                  max_scoped_partitions)
+    if scope is None:  # unpartitioned, or too many partitions touched: full rewrite
+        merged = upsert(target, src, keys, max_broadcast_rows=max_broadcast_rows)
+        return _write_folders(merged, path, parts, version, None, set())
+    in_scope = _partition_filter(parts, scope)
+    affected = target.where(in_scope)
+    old_keys = {r[0] for r in affected.select(
+        F.regexp_extract(F.col("_metadata.file_path"), r"^(.*)/v=\d+/[^/]*$", 1)).distinct()
+        .collect()}
+    root = _root(spark, path)
+    touched = {k[len(root):].strip("/") if k.startswith(root) else k for k in old_keys}
+    merged = upsert(affected, src, keys, max_broadcast_rows=max_broadcast_rows)
+    return _write_folders(merged, path, parts, version, meta["partitions"], touched)
 
 
 def rewrite_layout(spark: SparkSession, path: str, sort_cols: Sequence[str],
@@ -198,39 +312,56 @@ def rewrite_layout(spark: SparkSession, path: str, sort_cols: Sequence[str],
     ``partition columns + sort_cols`` into files of about
     ``target_file_bytes``, so Parquet min/max statistics skip row groups on
     the sort columns. Rows are unchanged; returns the new version."""
-    v = current_version(spark, path)
-    if v is None:
-        raise FileNotFoundError(f"no committed version under {path}")
-    parts = table_meta(spark, path, v)["partition_columns"]
+    meta = table_meta(spark, path)
+    parts = meta["partition_columns"]
     order = [*parts, *[c for c in sort_cols if c not in parts]]
-    n = max(1, math.ceil(_bytes_under(spark, version_path(path, v)) / target_file_bytes))
-    df = read_table(spark, path, version=v)
-    laid_out = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    return write_version(laid_out, path, parts)
+    folders = [_folder(path, k, v) for k, v in meta["partitions"].items()]
+    n = max(1, math.ceil(_bytes_under(spark, folders) / target_file_bytes))
+    laid_out = _read_folders(spark, path, meta).repartitionByRange(n, *order) \
+        .sortWithinPartitions(*order)
+    return _write_folders(laid_out, path, parts, _next_version(spark, path), None, set())
 
 
 def register_table(spark: SparkSession, database: str, name: str, path: str) -> str:
     """Expose the current version as ``database.name`` (external Parquet
-    table). Re-run after each new version: the entry is re-pointed, the
-    files are untouched."""
-    v = current_version(spark, path)
-    if v is None:
-        raise FileNotFoundError(f"no committed version under {path}")
-    meta = table_meta(spark, path, v)
+    table listing exactly the current folders). Re-run after each new
+    version: the entry is re-pointed, the files are untouched."""
+    meta = table_meta(spark, path)
     schema = T.StructType.fromJson(meta["schema"])
     parts = meta["partition_columns"]
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     full = f"`{database}`.`{name}`"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     spark.sql(f"DROP TABLE IF EXISTS {full}")
-    part_sql = f" PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)})" if parts else ""
-    spark.sql(f"CREATE TABLE {full} ({cols}) USING parquet{part_sql} "
-              f"LOCATION '{version_path(path, v)}'")
-    if parts:
-        spark.sql(f"MSCK REPAIR TABLE {full}")
+    data_cols = [f for f in schema.fields if f.name not in parts]
+    part_fields = [schema[p] for p in parts]
+    if not parts:
+        (key, v), = meta["partitions"].items()
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        spark.sql(f"CREATE TABLE {full} ({cols}) USING parquet "
+                  f"LOCATION '{_folder(path, key, v)}'")
+        return f"{database}.{name}"
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
+                     for f in [*data_cols, *part_fields,
+                               T.StructField(VERSION_COL, T.StringType())])
+    pcols = ", ".join(f"`{p}`" for p in [*parts, VERSION_COL])
+    spark.sql(f"CREATE TABLE {full} ({cols}) USING parquet PARTITIONED BY ({pcols}) "
+              f"LOCATION '{path.rstrip('/')}'")
+    specs = []
+    for key, v in meta["partitions"].items():
+        pairs = [kv.split("=", 1) for kv in key.split("/")]
+        spec = ", ".join(f"`{c}` = '{_unescape(val)}'" for c, val in pairs)
+        specs.append(f"PARTITION ({spec}, `{VERSION_COL}` = '{v:08d}') "
+                     f"LOCATION '{_folder(path, key, v)}'")
+    for i in range(0, len(specs), 500):
+        spark.sql(f"ALTER TABLE {full} ADD IF NOT EXISTS " + " ".join(specs[i:i + 500]))
     return f"{database}.{name}"
 
 
+def _unescape(s: str) -> str:
+    from urllib.parse import unquote
+    return unquote(s).replace("'", "\\'")
+
+
 # --- append-only tables ----------------------------------------------------------
 
 def append(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> None:

@@ -98,14 +98,41 @@ def test_first_run_rejects_duplicates(spark, workdir):
 def test_uncommitted_version_is_ignored(spark, workdir):
     path = f"{workdir}/t"
     tables.write_version(df(spark, [(1, 10, 2024, 0)]), path)
-    # a crashed writer leaves a folder without the commit marker
+    # a crashed writer leaves version folders but no manifest
     import os
-    os.makedirs(tables.version_path(path, 2))
+    os.makedirs(f"{path}/v=00000002")
     assert tables.current_version(spark, path) == 1
     assert tables.write_version(df(spark, [(2, 10, 2024, 0)]), path) == 3
     assert as_set(tables.read_table(spark, path)) == [(2, 10, 2024, 0)]
 
 
+def test_merge_rewrites_only_affected_partitions(spark, workdir):
+    import json
+    import os
+    path = f"{workdir}/t"
+    rows = [(i, i % 4, 2024, 0) for i in range(40)]
+    tables.upsert_table(df(spark, rows), path, ["id"], ["league"])
+    # key 5 lives in league 1 and moves to league 2; key 100 is new in league 2
+    tables.upsert_table(df(spark, [(5, 2, 2024, 9), (100, 2, 2024, 1)]), path, ["id"],
+                        ["league"])
+    meta = tables.table_meta(spark, path)
+    assert meta["partitions"] == {"league=0": 1, "league=1": 2, "league=2": 2, "league=3": 1}
+    got = dict((r.id, (r.league, r.goals)) for r in tables.read_table(spark, path).collect())
+    assert len(got) == 41 and got[5] == (2, 9) and got[100] == (2, 1)
+    # league 3 was carried by reference: its only folder is still version 1
+    assert sorted(os.listdir(f"{path}/league=3")) == ["v=00000001"]
+    # an emptied partition leaves the manifest
+    tables.upsert_table(df(spark, [(i, 0, 2024, 0) for i in range(3, 40, 4)]), path, ["id"],
+                        ["league"])
+    assert "league=3" not in tables.table_meta(spark, path)["partitions"]
+    assert tables.read_table(spark, path).where("league = 3").count() == 0
+    assert tables.read_table(spark, path).count() == 41
+    assert json.loads(json.dumps(tables.table_meta(spark, path, 1)))["version"] == 1
+    # old versions expire once no kept manifest lists them
+    gone = tables.expire_versions(spark, path, keep=1)
+    assert gone and tables.read_table(spark, path).count() == 41
+
+
 def test_layout_rewrite_keeps_rows(spark, workdir):
     path = f"{workdir}/t"
     rows = [(i, i % 3, 2024, i % 5) for i in range(200)]
