@@ -651,6 +651,6 @@ def q_stream_upsert(spark, sf_dir):
     landing_base = _land_two_batches(spark, sf_dir)
     path = scratch(spark, "silver")
     q = start_silver_stream(spark, f"{landing_base}/football/raw", path,
-                            name="silver_" + path[-12:], max_files_per_trigger=8)
+                            name="silver_" + path[-12:], max_files_per_trigger=64)
     q.awaitTermination()
     return ntz(tables.read_table(spark, path).select(*SILVER_OUT), "match_datetime")
