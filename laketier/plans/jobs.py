@@ -96,19 +96,43 @@ def check_silver(spark: SparkSession, lake: Lake,
 
 
 def build_gold(spark: SparkSession, lake: Lake) -> dict:
-    """Silver -> dim_team, dim_date, fact_match_stats (upserted) -> summary."""
+    """Silver -> dim_team, dim_date (upserted), fact_match_stats (refreshed).
+
+    The dimensions need every match (latest row per team and season, distinct
+    dates) but only a few silver columns; they are small and upserted by key.
+    The fact is a row-wise projection of silver partitioned the same way, and
+    silver never loses a match, so the fact is kept equal to
+    ``fact(silver)`` by rebuilding exactly the fact partitions whose silver
+    partition changed since the fact was last built (recorded in the fact's
+    manifest): each day's work is proportional to the partitions it touched.
+    """
     s = tables.read_table(spark, lake.silver)
     out = {}
     out["dim_team_version"] = tables.upsert_table(
         _stamp(gold.dim_team(s), "gold"), lake.gold("dim_team"), S.DIM_TEAM_KEYS)
     out["dim_date_version"] = tables.upsert_table(
         _stamp(gold.dim_date(s), "gold"), lake.gold("dim_date"), S.DIM_DATE_KEYS)
-    out["fact_version"] = tables.upsert_table(
-        _stamp(gold.fact_match_stats(s), "gold"), lake.gold("fact_match_stats"),
-        S.FACT_KEYS, S.FACT_PARTITIONS)
+    out["fact_version"], out["fact_partitions_rebuilt"] = refresh_fact(spark, lake)
     return out
 
 
+def refresh_fact(spark: SparkSession, lake: Lake) -> tuple[int, int]:
+    fact_path = lake.gold("fact_match_stats")
+    built_from = None
+    if tables.table_exists(spark, fact_path):
+        built_from = tables.table_meta(spark, fact_path).get("props", {}).get("silver_version")
+    changed, removed, current = tables.changes_since(spark, lake.silver, built_from)
+    if built_from == current:
+        return tables.current_version(spark, fact_path), 0
+    rows = _stamp(gold.fact_match_stats(tables.read_partitions(spark, lake.silver, changed)),
+                  "gold")
+    replaced = {tables.partition_key(tables.partition_values(k), S.FACT_PARTITIONS)
+                for k in changed | removed}
+    version = tables.replace_partitions(rows, fact_path, S.FACT_PARTITIONS, replaced,
+                                        props={"silver_version": current})
+    return version, len(replaced)
+
+
 def league_summary(spark: SparkSession, lake: Lake) -> DataFrame:
     return gold.league_season_summary(tables.read_table(spark, lake.gold("fact_match_stats")))
 

@@ -170,7 +170,7 @@ def read_table(spark: SparkSession, path: str, where: str | Column | None = None
 # --- write ---------------------------------------------------------------------
 
 def _write_folders(df: DataFrame, path: str, partition_cols: Sequence[str], version: int,
-                   replace: dict | None, touched_keys: set[str]) -> int:
+                   replace: dict | None, touched_keys: set[str], props: dict | None = None) -> int:
     """Write ``df`` as version ``version`` of the partitions it holds and commit
     a manifest: ``replace`` (old manifest partitions, or None for a full
     replacement) minus ``touched_keys``, plus the new folders."""
@@ -187,7 +187,8 @@ def _write_folders(df: DataFrame, path: str, partition_cols: Sequence[str], vers
         k: v for k, v in replace.items() if k not in touched_keys}
     partitions.update({k: version for k in new_keys})
     meta = {"version": version, "schema": json.loads(df.schema.json()),
-            "partition_columns": list(partition_cols), "partitions": partitions}
+            "partition_columns": list(partition_cols), "partitions": partitions,
+            "props": props or {}}
     _create_text(spark, _manifest_path(path, version), json.dumps(meta))
     return version
 
@@ -204,10 +205,56 @@ def _next_version(spark: SparkSession, path: str) -> int:
     return max([0, orphan, *vs]) + 1
 
 
-def write_version(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> int:
+def write_version(df: DataFrame, path: str, partition_cols: Sequence[str] = (),
+                  props: dict | None = None) -> int:
     """Replace the table's content with ``df`` (a new version); return it."""
     spark = df.sparkSession
-    return _write_folders(df, path, partition_cols, _next_version(spark, path), None, set())
+    return _write_folders(df, path, partition_cols, _next_version(spark, path), None, set(),
+                          props)
+
+
+# --- partition-level change tracking ----------------------------------------------
+
+def partition_values(key: str) -> dict[str, str]:
+    """``"league_id=1/season=1995"`` -> ``{"league_id": "1", "season": "1995"}``."""
+    from urllib.parse import unquote
+    return {} if not key else {k: unquote(v) for k, v in
+                               (kv.split("=", 1) for kv in key.split("/"))}
+
+
+def partition_key(values: dict[str, str], partition_cols: Sequence[str]) -> str:
+    """Folder key of ``values`` in a table partitioned by ``partition_cols``."""
+    from urllib.parse import quote
+    return "/".join(f"{c}={quote(str(values[c]), safe='')}" for c in partition_cols)
+
+
+def changes_since(spark: SparkSession, path: str, version: int | None) -> tuple[set, set, int]:
+    """``(changed, removed, current)``: partition keys rewritten or added since
+    ``version`` (all of them when None), keys gone since, current version."""
+    cur = table_meta(spark, path)
+    old = {} if version is None else table_meta(spark, path, version)["partitions"]
+    changed = {k for k, v in cur["partitions"].items() if old.get(k) != v}
+    return changed, set(old) - set(cur["partitions"]), cur["version"]
+
+
+def read_partitions(spark: SparkSession, path: str, keys: set[str]) -> DataFrame:
+    """Only the given partitions of the current version."""
+    meta = table_meta(spark, path)
+    sub = dict(meta, partitions={k: v for k, v in meta["partitions"].items() if k in keys})
+    return _read_folders(spark, path, sub)
+
+
+def replace_partitions(df: DataFrame, path: str, partition_cols: Sequence[str],
+                       replaced: set[str], props: dict | None = None) -> int:
+    """New version in which the partitions ``replaced`` (folder keys) hold
+    exactly the rows of ``df`` for them (none: the partition leaves); every
+    other partition is carried forward by reference."""
+    spark = df.sparkSession
+    if not table_exists(spark, path):
+        return write_version(df, path, partition_cols, props)
+    meta = table_meta(spark, path)
+    return _write_folders(df, path, partition_cols, _next_version(spark, path),
+                          meta["partitions"], set(replaced), props)
 
 
 def expire_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
@@ -319,7 +366,8 @@ def rewrite_layout(spark: SparkSession, path: str, sort_cols: Sequence[str],
     n = max(1, math.ceil(_bytes_under(spark, folders) / target_file_bytes))
     laid_out = _read_folders(spark, path, meta).repartitionByRange(n, *order) \
         .sortWithinPartitions(*order)
-    return _write_folders(laid_out, path, parts, _next_version(spark, path), None, set())
+    return _write_folders(laid_out, path, parts, _next_version(spark, path), None, set(),
+                          meta.get("props"))
 
 
 def register_table(spark: SparkSession, database: str, name: str, path: str) -> str:

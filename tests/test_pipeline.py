@@ -75,3 +75,34 @@ def test_stream_merges_each_batch(spark, workdir):
     s = tables.read_table(spark, silver_path)
     assert s.count() == 6 and s.where("match_id = 3").first().home_goals == 9
     assert s.where(F.col("match_id") == 3).first().match_result == "HOME_WIN"
+
+
+def test_fact_refresh_rebuilds_only_changed_partitions(spark, workdir):
+    landing, lake_base = f"{workdir}/landing", f"{workdir}/lake"
+    day1 = [fx.fixture(i, "2024-11-01T20:00:00+00:00", "FT", (1, "A"), (2, "B"), (1, 0),
+                       league=(lg, f"L{lg}")) for i, lg in ((1, 39), (2, 39), (3, 61), (4, 78))]
+    fx.land(landing, "football", "2024-11-01", 39, fx.envelope(day1))
+    out = jobs.run_daily(spark, landing, lake_base, "2024-11-01")
+    assert out["fact_partitions_rebuilt"] == 3
+    # day 2 corrects match 3 (league 61) and moves match 2 from league 39 to 61
+    day2 = [fx.fixture(3, "2024-11-01T20:00:00+00:00", "FT", (1, "A"), (2, "B"), (4, 4),
+                       league=(61, "L61")),
+            fx.fixture(2, "2024-11-01T20:00:00+00:00", "FT", (1, "A"), (2, "B"), (0, 2),
+                       league=(61, "L61"))]
+    fx.land(landing, "football", "2024-11-02", 61, fx.envelope(day2, date="2024-11-02"))
+    out = jobs.run_daily(spark, landing, lake_base, "2024-11-02")
+    assert out["fact_partitions_rebuilt"] == 2  # leagues 39 and 61; 78 carried forward
+    lake = jobs.Lake(lake_base)
+    fact = {r.match_id: r for r in tables.read_table(
+        spark, lake.gold("fact_match_stats")).collect()}
+    assert sorted(fact) == [1, 2, 3, 4]
+    assert (fact[2].league_id, fact[2].match_result) == (61, "AWAY_WIN")
+    assert fact[3].total_goals == 8
+    # the fact equals the projection of the whole silver table
+    from laketier.operators import gold
+    want = gold.fact_match_stats(tables.read_table(spark, lake.silver))
+    got = tables.read_table(spark, lake.gold("fact_match_stats")).drop("_gold_processed_at")
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == \
+        sorted(map(tuple, want.collect()))
+    # nothing changed in silver: nothing is rebuilt
+    assert jobs.refresh_fact(spark, lake)[1] == 0
