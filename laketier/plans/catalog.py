@@ -444,8 +444,8 @@ def q_src_incremental_partition(spark, sf_dir):
 
 def read_bronze_at(spark, path: str, day: str) -> DataFrame:
     from laketier.sinks import tables
-    df = tables.read_appended(spark, path, string_partitions=["_ingest_date"])
-    return df.where(F.col("_ingest_date") == day)
+    return tables.read_appended(spark, path, string_partitions=["_ingest_date"],
+                                partition={"_ingest_date": day})
 
 
 @register("merge_first_run", O.with_views(f"SELECT {O.SILVER_OUT} FROM silver_v"))

@@ -75,9 +75,12 @@ def ingest_bronze(spark: SparkSession, landing_base: str, lake: Lake, ingest_dat
 
 
 def read_bronze(spark: SparkSession, lake: Lake, ingest_date: str | None = None) -> DataFrame:
-    """Bronze rows, pruned to one ingest-date partition when given."""
-    df = tables.read_appended(spark, lake.bronze, string_partitions=["_ingest_date"])
-    return df.where(F.col("_ingest_date") == ingest_date) if ingest_date else df
+    """Bronze rows; with a date, only that date's folder is listed and only
+    its file footers are merged into the schema (not the whole history)."""
+    if ingest_date is None:
+        return tables.read_appended(spark, lake.bronze, string_partitions=["_ingest_date"])
+    return tables.read_appended(spark, lake.bronze, string_partitions=["_ingest_date"],
+                                partition={"_ingest_date": ingest_date})
 
 
 def build_silver(spark: SparkSession, lake: Lake, ingest_date: str,

@@ -418,13 +418,22 @@ def append(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> None
 
 
 def read_appended(spark: SparkSession, path: str, string_partitions: Sequence[str] = (),
-                  where: str | None = None) -> DataFrame:
-    """Read an append-only table, merging the schemas of all its files.
+                  where: str | None = None, partition: dict | None = None) -> DataFrame:
+    """Read an append-only table, merging the schemas of its files.
 
-    Partition values of ``string_partitions`` are kept as written (a date
-    folder name must not turn into a DATE).
+    ``partition`` (leading partition columns -> value) restricts listing and
+    schema merging to that sub-folder. Partition values of
+    ``string_partitions`` are kept as written (a date folder name must not
+    turn into a DATE).
     """
-    df = spark.read.option("mergeSchema", True).parquet(path)
+    reader = spark.read.option("mergeSchema", True)
+    if partition:
+        folder = "/".join([path.rstrip("/"), *(f"{k}={v}" for k, v in partition.items())])
+        if not _exists(spark, folder):
+            return read_appended(spark, path, string_partitions, where).where(F.lit(False))
+        df = reader.option("basePath", path.rstrip("/")).parquet(folder)
+    else:
+        df = reader.parquet(path)
     df = df.withColumns({c: F.col(c).cast("string") for c in string_partitions
                          if c in df.columns})
     return df.filter(where) if where else df
