@@ -60,16 +60,36 @@ def team_table(fact: DataFrame, dim_team: DataFrame) -> DataFrame:
         *[F.sum(c).alias(c) for c in ("matches", "points", "goals_for", "goals_against")])
 
 
-def orphans(fact: DataFrame, dim_team: DataFrame, dim_date: DataFrame) -> DataFrame:
+def _missing(rows: DataFrame, dim_keys: DataFrame, keys: list[str], label: str,
+             max_broadcast_rows: int) -> DataFrame:
+    """Rows of ``rows`` whose ``keys`` are absent from ``dim_keys``.
+
+    The anti join runs on the distinct fact keys (a hot key is one row after
+    the partial aggregate); the fact is then filtered by the missing keys,
+    broadcast when proven small, so the fact itself is not shuffled. NULL keys
+    never match a dimension row and count as missing.
+    """
+    present = rows.select(*keys).distinct().join(dim_keys, keys, "left_anti")
+    not_null = F.lit(True)
+    for k in keys:
+        not_null = not_null & F.col(k).isNotNull()
+    missing = broadcast_if_small(present.where(not_null), max_broadcast_rows)
+    hit = rows.join(missing, keys, "left_semi")
+    return hit.unionByName(rows.where(~not_null)).select(
+        "match_id", F.lit(label).alias("missing"))
+
+
+def orphans(fact: DataFrame, dim_team: DataFrame, dim_date: DataFrame,
+            max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Fact rows whose dimension key is missing: ``(match_id, missing)`` with
     ``missing`` in home_team / away_team / date. Empty when the star is whole."""
     team_keys = dim_team.select("team_id", "season")
     parts = []
     for side in ("home", "away"):
         keyed = fact.select("match_id", F.col(f"{side}_team_id").alias("team_id"), "season")
-        parts.append(keyed.join(team_keys, ["team_id", "season"], "left_anti")
-                     .select("match_id", F.lit(f"{side}_team").alias("missing")))
+        parts.append(_missing(keyed, team_keys, ["team_id", "season"], f"{side}_team",
+                              max_broadcast_rows))
     dates = dim_date.select(F.col("date").alias("match_date"))
-    parts.append(fact.select("match_id", "match_date").join(dates, "match_date", "left_anti")
-                 .select("match_id", F.lit("date").alias("missing")))
+    parts.append(_missing(fact.select("match_id", "match_date"), dates, ["match_date"], "date",
+                          max_broadcast_rows))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])

@@ -428,8 +428,7 @@ def _bronze_table(spark, sf_dir) -> str:
     rec = bronze_records(spark, sf_dir).withColumns({
         "_ingest_date": F.date_format("_ingest_timestamp", "yyyy-MM-dd"),
         "_sport_type": F.lit("football")})
-    # one task per ingest day writes that day's folder: a file per partition
-    tables.append(rec.repartition("_ingest_date"), path, BRONZE_PARTITIONS)
+    tables.append(rec, path, BRONZE_PARTITIONS)
     return path
 
 
@@ -556,7 +555,7 @@ def q_src_file_lineage(spark, sf_dir):
 
 
 # Records per envelope stay bounded at any scale: one page per league, ingest
-# day and block of match ids.
+# day and block of at most PAGE_IDS records.
 PAGE_IDS = 1000
 
 
@@ -567,10 +566,13 @@ def q_src_explode_envelope(spark, sf_dir):
     from laketier.schemas import CORRUPT_COLUMN
     from laketier.sources import landing
     rec = bronze_records(spark, sf_dir)
+    # a page is a block of consecutive rows of one task (ids are increasing
+    # within a partition), so no page exceeds PAGE_IDS records even when one
+    # match or day holds a third of all rows
     docs = rec.groupBy(
         F.col("league.id").alias("league"),
         F.date_format("_ingest_timestamp", "yyyy-MM-dd").alias("day"),
-        F.floor(F.col("fixture.id") / PAGE_IDS).alias("page"),
+        F.floor(F.monotonically_increasing_id() / PAGE_IDS).alias("page"),
     ).agg(F.collect_list(F.struct("fixture", "league", "teams", "goals", "score"))
           .alias("response"))
     raw = docs.select(

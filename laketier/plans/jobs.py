@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from laketier import schemas as S
 from laketier.operators import gold, quality, silver
-from laketier.plans.metrics import observe_rows
+from laketier.plans.metrics import observe_rows, observed_rows
 from laketier.sinks import tables
 from laketier.sources import landing
 
@@ -71,7 +71,7 @@ def ingest_bronze(spark: SparkSession, landing_base: str, lake: Lake, ingest_dat
         {"_ingest_date": F.lit(ingest_date), "_ingest_timestamp": F.current_timestamp()})
     bad, bad_obs = observe_rows(bad, "quarantine")
     tables.append(bad, lake.quarantine, ["_ingest_date"])
-    return {"bronze": obs.get["rows"], "quarantined": bad_obs.get["rows"]}
+    return {"bronze": observed_rows(obs), "quarantined": observed_rows(bad_obs)}
 
 
 def read_bronze(spark: SparkSession, lake: Lake, ingest_date: str | None = None) -> DataFrame:
@@ -89,7 +89,7 @@ def build_silver(spark: SparkSession, lake: Lake, ingest_date: str,
     ready = silver.silver_matches(read_bronze(spark, lake, ingest_date), tie_breakers)
     ready, obs = observe_rows(ready, "silver_batch")
     version = tables.upsert_table(ready, lake.silver, S.SILVER_KEYS, S.SILVER_PARTITIONS)
-    return {"silver_batch": obs.get["rows"], "silver_version": version}
+    return {"silver_batch": observed_rows(obs), "silver_version": version}
 
 
 def check_silver(spark: SparkSession, lake: Lake,

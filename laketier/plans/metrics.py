@@ -17,6 +17,20 @@ def observe_rows(df: DataFrame, stage: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
+def observed_rows(obs: Observation) -> int:
+    """Row count of an observed write. When the input was empty, AQE may
+    prune the plan to an empty relation together with the metrics node; the
+    observation then has no row, and the count is 0."""
+    from py4j.protocol import Py4JJavaError
+
+    try:
+        return int(obs.get.get("rows", 0))
+    except Py4JJavaError as e:
+        if "AssertionError" in str(e.java_exception.getClass()):
+            return 0
+        raise
+
+
 def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
     """``(stage, rows)`` for each named DataFrame."""
     parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("stage"), "rows")

@@ -169,12 +169,23 @@ def read_table(spark: SparkSession, path: str, where: str | Column | None = None
 
 # --- write ---------------------------------------------------------------------
 
+def _balanced(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
+    """Rebalance rows by the table partition before writing: AQE splits a
+    hot partition over several writer tasks and packs small ones together,
+    so files come out near the advisory size instead of one per task and
+    partition."""
+    return df.hint("rebalance", *partition_cols) if partition_cols else df
+
+
 def _write_folders(df: DataFrame, path: str, partition_cols: Sequence[str], version: int,
-                   replace: dict | None, touched_keys: set[str], props: dict | None = None) -> int:
+                   replace: dict | None, touched_keys: set[str], props: dict | None = None,
+                   balance: bool = True) -> int:
     """Write ``df`` as version ``version`` of the partitions it holds and commit
     a manifest: ``replace`` (old manifest partitions, or None for a full
     replacement) minus ``touched_keys``, plus the new folders."""
     spark = df.sparkSession
+    if balance:
+        df = _balanced(df, partition_cols)
     (df.withColumn(VERSION_COL, F.lit(f"{version:08d}"))
      .write.mode("append").partitionBy(*partition_cols, VERSION_COL).parquet(path))
     root = _root(spark, path)
@@ -367,7 +378,7 @@ def rewrite_layout(spark: SparkSession, path: str, sort_cols: Sequence[str],
     laid_out = _read_folders(spark, path, meta).repartitionByRange(n, *order) \
         .sortWithinPartitions(*order)
     return _write_folders(laid_out, path, parts, _next_version(spark, path), None, set(),
-                          meta.get("props"))
+                          meta.get("props"), balance=False)
 
 
 def register_table(spark: SparkSession, database: str, name: str, path: str) -> str:
@@ -414,7 +425,7 @@ def _unescape(s: str) -> str:
 
 def append(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> None:
     """Append rows; new columns are accepted and merged when reading."""
-    df.write.mode("append").partitionBy(*partition_cols).parquet(path)
+    _balanced(df, partition_cols).write.mode("append").partitionBy(*partition_cols).parquet(path)
 
 
 def read_appended(spark: SparkSession, path: str, string_partitions: Sequence[str] = (),
