@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from laketier import schemas as S
 from laketier.operators import gold, quality, silver
 from laketier.plans.metrics import observe_rows, observed_rows
+from laketier.session import require_checkpoint_dir
 from laketier.sinks import tables
 from laketier.sources import landing
 
@@ -63,6 +64,7 @@ def ingest_bronze(spark: SparkSession, landing_base: str, lake: Lake, ingest_dat
     """Landed JSON of one ingest date -> appended bronze rows (+ quarantine)."""
     raw = landing.read_landed(spark, landing.landing_path(landing_base, lake.sport, ingest_date),
                               shape)
+    require_checkpoint_dir(spark)
     raw = raw.checkpoint(eager=True)  # one scan of the landing folder for both outputs
     rows = landing.with_bronze_audit(landing.fixture_rows(raw, shape), ingest_date, lake.sport)
     rows, obs = observe_rows(rows, "bronze")

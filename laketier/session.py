@@ -51,6 +51,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def require_checkpoint_dir(spark: SparkSession) -> str:
+    """Make ``DataFrame.checkpoint()`` use the shared folder the session names;
+    never invents one (library code runs on clusters)."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(checkpoint_dir(spark))
+    return sc.getCheckpointDir()
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``."""
     current = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()

@@ -35,6 +35,7 @@ from pyspark.sql import types as T
 
 from laketier.operators.joins import DEFAULT_BROADCAST_ROWS, fits_in_rows
 from laketier.operators.upsert import check_columns, source_keys, upsert
+from laketier.session import require_checkpoint_dir
 
 MANIFESTS = "_manifests"
 _MANIFEST = re.compile(r"^m(\d{8})\.json$")
