@@ -69,7 +69,7 @@ def ingest_bronze(spark: SparkSession, landing_base: str, lake: Lake, ingest_dat
     rows = landing.with_bronze_audit(landing.fixture_rows(raw, shape), ingest_date, lake.sport)
     rows, obs = observe_rows(rows, "bronze")
     tables.append(rows, lake.bronze, S.BRONZE_PARTITIONS)
-    bad = landing.corrupt_rows(raw).withColumns(
+    bad = landing.corrupt_rows(raw, shape).withColumns(
         {"_ingest_date": F.lit(ingest_date), "_ingest_timestamp": F.current_timestamp()})
     bad, bad_obs = observe_rows(bad, "quarantine")
     tables.append(bad, lake.quarantine, ["_ingest_date"])
