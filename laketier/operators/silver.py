@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from laketier.functions.match import FINISHED, match_result, standard_status
 from laketier.functions.parse import iso_calendar_date, iso_instant
 from laketier.operators.dedup import latest_per_key
-from laketier.schemas import RECORD_FIELDS, SILVER_COLUMNS, SILVER_KEYS
+from laketier.schemas import SILVER_COLUMNS, SILVER_KEYS
 
 # (silver column, nested source field, target type / parser / None to keep)
 FLATTEN_SPEC: list[tuple[str, str, object]] = [
@@ -85,10 +85,14 @@ def finished_only(df: DataFrame) -> DataFrame:
     return df.filter(F.col("match_status") == FINISHED)
 
 
-def with_record_hash(bronze: DataFrame) -> DataFrame:
-    """Content hash of the raw record: the last tie-breaker of the dedup."""
-    present = [c for c in RECORD_FIELDS if c in bronze.columns]
-    return bronze.withColumn(RECORD_HASH, F.xxhash64(*present))
+def with_record_hash(flat: DataFrame) -> DataFrame:
+    """Hash of the flattened values: the last tie-breaker of the dedup.
+
+    Two versions that agree on every flattened value give identical silver
+    rows, so hashing these (not the raw record) keeps the survivor's content
+    deterministic while the scan still reads only the nested fields used.
+    """
+    return flat.withColumn(RECORD_HASH, F.xxhash64(*[name for name, _, _ in FLATTEN_SPEC]))
 
 
 def silver_matches(bronze: DataFrame, tie_breakers: Sequence[str] = DEFAULT_TIE_BREAKERS,
@@ -98,9 +102,10 @@ def silver_matches(bronze: DataFrame, tie_breakers: Sequence[str] = DEFAULT_TIE_
     Order matters: dedup runs before the FINISHED filter, so a match whose
     newest version is not finished is left out of this batch.
     """
-    if RECORD_HASH in tie_breakers and RECORD_HASH not in bronze.columns:
-        bronze = with_record_hash(bronze)
-    flat = flatten(bronze, carry=tie_breakers)
+    hashed = RECORD_HASH in tie_breakers and RECORD_HASH not in bronze.columns
+    flat = flatten(bronze, carry=[t for t in tie_breakers if not (hashed and t == RECORD_HASH)])
+    if hashed:
+        flat = with_record_hash(flat)
     latest = latest_per_key(cleanse(flat), SILVER_KEYS, ["_ingest_timestamp", *tie_breakers])
     out = finished_only(latest)
     if processed_at:

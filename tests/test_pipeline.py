@@ -107,3 +107,22 @@ def test_fact_refresh_rebuilds_only_changed_partitions(spark, workdir):
         sorted(map(tuple, want.collect()))
     # nothing changed in silver: nothing is rebuilt
     assert jobs.refresh_fact(spark, lake)[1] == 0
+
+
+def test_silver_reads_only_used_nested_fields(spark, workdir):
+    landing, lake_base = f"{workdir}/landing", f"{workdir}/lake"
+    fx.land(landing, "football", "2024-11-01", 39, fx.envelope(fx.SAMPLE))
+    lake = jobs.Lake(lake_base)
+    jobs.ingest_bronze(spark, landing, lake, "2024-11-01")
+    from laketier.operators import silver
+    df = silver.silver_matches(jobs.read_bronze(spark, lake, "2024-11-01"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    try:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    read = [ln for ln in plan.splitlines() if "ReadSchema" in ln][0]
+    for used in ("venue:struct<name", "status:struct<short", "halftime:struct<home"):
+        assert used in read
+    for unused in ("referee", "logo", "extratime", "penalty", "periods"):
+        assert unused not in read
