@@ -52,6 +52,18 @@ def fact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.fact_match_stats(silver_rows(spark, sf_dir))
 
 
+def once(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into the shared checkpoint folder (a lineage cut),
+    for queries that read it from several branches, as the jobs read a table."""
+    from laketier.session import require_checkpoint_dir
+    require_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def silver_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return once(silver_rows(spark, sf_dir))
+
+
 # --- silver ----------------------------------------------------------------
 
 @register("silver_flatten", O.with_views(
@@ -143,7 +155,7 @@ STALE_DIM_BEFORE = "1996-07-01"
     O.FACT_V, O.DIM_DATE_V))
 def q_star_join_date(spark, sf_dir):
     from laketier.operators import star
-    s = silver_rows(spark, sf_dir)
+    s = silver_once(spark, sf_dir)
     return star.goals_by_weekday(gold.fact_match_stats(s), gold.dim_date(s))
 
 
@@ -158,7 +170,7 @@ def q_star_join_date(spark, sf_dir):
     ") GROUP BY team_name", O.FACT_V, O.ROLES_V, O.DIM_TEAM_V))
 def q_star_join_teams(spark, sf_dir):
     from laketier.operators import star
-    s = silver_rows(spark, sf_dir)
+    s = silver_once(spark, sf_dir)
     return star.team_table(gold.fact_match_stats(s), gold.dim_team(s))
 
 
@@ -175,7 +187,7 @@ def q_star_join_teams(spark, sf_dir):
     f"WHERE match_date < DATE '{STALE_DIM_BEFORE}')"))
 def q_star_orphans(spark, sf_dir):
     from laketier.operators import star
-    s = silver_rows(spark, sf_dir)
+    s = silver_once(spark, sf_dir)
     old = s.where(F.col("match_date") < F.lit(STALE_DIM_BEFORE).cast("date"))
     return star.orphans(gold.fact_match_stats(s), gold.dim_team(old), gold.dim_date(old))
 
@@ -201,7 +213,7 @@ def _merge_sql(target_cte: str, source_cte: str, keys: list[str], cols: str) ->
            *O.silver_ctes("s_", f"_ingest_timestamp >= TIMESTAMP '{SPLIT_AT}'")]))
 def q_merge_matches(spark, sf_dir):
     from laketier.operators.upsert import upsert
-    b = bronze_records(spark, sf_dir)
+    b = once(bronze_records(spark, sf_dir))
     ts = F.col("_ingest_timestamp")
     split = F.lit(SPLIT_AT).cast("timestamp_ntz")
 
@@ -227,7 +239,7 @@ def _dim_team_sql(name: str, where: str, upper: bool) -> list[str]:
     *_dim_team_sql("s_team", "season >= 1997", True)))
 def q_merge_composite(spark, sf_dir):
     from laketier.operators.upsert import upsert
-    s = silver_rows(spark, sf_dir)
+    s = silver_once(spark, sf_dir)
     target = gold.dim_team(s.where(F.col("season") <= 1998))
     source = gold.dim_team(s.where(F.col("season") >= 1997)) \
         .withColumn("team_name", F.upper("team_name"))
@@ -241,7 +253,7 @@ def q_merge_composite(spark, sf_dir):
     "WHERE year >= 1997)"))
 def q_merge_date(spark, sf_dir):
     from laketier.operators.upsert import upsert
-    d = gold.dim_date(silver_rows(spark, sf_dir))
+    d = once(gold.dim_date(silver_rows(spark, sf_dir)))
     source = d.where(F.col("year") >= 1997).withColumn("day_name", F.upper("day_name"))
     return upsert(d.where(F.col("year") <= 1998), source, ["date"])
 
@@ -343,6 +355,8 @@ def _dq_query(name: str, rules, on: str):
             df = silver_rows(spark, sf_dir).select(*SILVER_OUT)
         else:
             df = silver.cleanse(silver.flatten(bronze_records(spark, sf_dir))).select(*SILVER_OUT)
+        if any(r.expectation_type == Q.UNIQUE for r in rules):
+            df = once(df)  # the uniqueness group-by and the one-pass rules share it
         return Q.evaluate(df, rules)
 
     CATALOG[name] = (fn, O.with_views(O.dq_sql(rules, cte, cols)))
@@ -611,7 +625,7 @@ def q_dq_gate(spark, sf_dir):
     """The gate's decision per rule on every cleansed version (before dedup:
     the uniqueness rule fails CRITICAL there, so the run would stop)."""
     from laketier.operators import quality as Q
-    df = silver.cleanse(silver.flatten(bronze_records(spark, sf_dir))).select(*SILVER_OUT)
+    df = once(silver.cleanse(silver.flatten(bronze_records(spark, sf_dir))).select(*SILVER_OUT))
     return Q.gate_actions(Q.evaluate(df, Q.SILVER_SUITE))
 
 
@@ -620,16 +634,23 @@ def q_dq_gate(spark, sf_dir):
 BATCH_DATES = ("1996-05-31", "1996-06-01")
 
 
-def _land_two_batches(spark, sf_dir) -> str:
-    """All adapter records landed as two ingest dates (split at SPLIT_AT),
-    JSON Lines, one sub-folder per league."""
-    base = scratch(spark, "landing")
+def _land_batch(spark, sf_dir, base: str, i: int) -> None:
+    """Adapter records of ingest batch ``i`` (split at SPLIT_AT) landed as JSON
+    Lines under ``<base>/football/raw/<date>/league_no=<id>/``."""
     rec = bronze_records(spark, sf_dir)
     ts, split = F.col("_ingest_timestamp"), F.lit(SPLIT_AT).cast("timestamp_ntz")
-    for date, cond in zip(BATCH_DATES, (ts < split, ts >= split)):
-        (rec.where(cond).select("fixture", "league", "teams", "goals", "score",
-                                F.col("league.id").alias("league_no"))
-         .write.partitionBy("league_no").json(f"{base}/football/raw/{date}"))
+    cond = (ts < split, ts >= split)[i]
+    (rec.where(cond).select("fixture", "league", "teams", "goals", "score",
+                            F.col("league.id").alias("league_no"))
+     .write.partitionBy("league_no").json(f"{base}/football/raw/{BATCH_DATES[i]}"))
+
+
+def _land_two_batches(spark, sf_dir) -> str:
+    """All adapter records landed as two ingest dates, JSON Lines, one
+    sub-folder per league."""
+    base = scratch(spark, "landing")
+    for i in range(len(BATCH_DATES)):
+        _land_batch(spark, sf_dir, base, i)
     return base
 
 
@@ -647,12 +668,13 @@ def q_run_log_append(spark, sf_dir):
 
 @register("stream_upsert", None)
 def q_stream_upsert(spark, sf_dir):
-    """Structured Streaming: landed files -> per-batch silver merge."""
-    from laketier.streaming.silver_stream import start_silver_stream
+    """Structured Streaming: each landed batch drained into the silver table
+    (one micro-batch per landing, merged by key)."""
     from laketier.sinks import tables
-    landing_base = _land_two_batches(spark, sf_dir)
-    path = scratch(spark, "silver")
-    q = start_silver_stream(spark, f"{landing_base}/football/raw", path,
-                            name="silver_" + path[-12:], max_files_per_trigger=64)
-    q.awaitTermination()
+    from laketier.streaming.silver_stream import start_silver_stream
+    base, path = scratch(spark, "landing"), scratch(spark, "silver")
+    for i in range(len(BATCH_DATES)):
+        _land_batch(spark, sf_dir, base, i)
+        start_silver_stream(spark, f"{base}/football/raw", path,
+                            name="silver_" + path[-12:]).awaitTermination()
     return ntz(tables.read_table(spark, path).select(*SILVER_OUT), "match_datetime")
