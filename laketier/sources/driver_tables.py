@@ -24,30 +24,7 @@ REFERENCE_TABLE_ROWS = 1_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table; spread over the cluster when it arrives as fewer
-    splits than there are task slots (a single-row-group file is one task)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return spread(spark.read.parquet(path), path)
-
-
-# Inputs up to this size may be re-spread; a shuffle of them costs less than
-# running everything downstream of their scan in a handful of tasks.
-SPREAD_MAX_BYTES = 1 << 30
-
-
-def spread(df: DataFrame, path: str) -> DataFrame:
-    """Round-robin a *small* input over the default parallelism when it is
-    read from fewer files than there are task slots. Large inputs are left
-    alone: they already split into enough tasks, and re-shuffling them would
-    cost more than it saves."""
-    spark = df.sparkSession
-    slots = spark.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= slots:
-        return df
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    size = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(jpath) \
-        .getLength()
-    return df.repartition(slots) if size <= SPREAD_MAX_BYTES else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _status(flag, status):
@@ -96,7 +73,10 @@ def fixture_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_returnflag", "l_linestatus", "l_shipdate",
         F.col("_metadata.file_path").alias("_file"))
-    rows = li.join(order_context(spark, sf_dir), li.l_orderkey == F.col("o_orderkey"))
+    # Two fact-sized inputs: a sort-merge join on the order key at every
+    # scale (a broadcast of line items would grow with the data).
+    rows = li.hint("merge").join(order_context(spark, sf_dir),
+                                 li.l_orderkey == F.col("o_orderkey"))
 
     played = F.col("l_linenumber") != 7
     qty5 = F.col("l_quantity").cast("int") % 5
