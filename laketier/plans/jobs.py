@@ -160,6 +160,15 @@ def maintain_layout(spark: SparkSession, lake: Lake) -> dict:
     }
 
 
+def expire_old_versions(spark: SparkSession, lake: Lake, keep: int = 7) -> dict:
+    """Delete folders no longer listed by the newest ``keep`` versions of the
+    silver and gold tables (older versions stop being readable)."""
+    paths = {"silver": lake.silver, **{t: lake.gold(t) for t in
+                                        ("dim_team", "dim_date", "fact_match_stats")}}
+    return {name: len(tables.expire_versions(spark, p, keep)) for name, p in paths.items()
+            if tables.table_exists(spark, p)}
+
+
 RUN_LOG_SCHEMA = ("pipeline_name STRING, run_id STRING, execution_date STRING, status STRING, "
                   "stage STRING, rows BIGINT, logged_at TIMESTAMP")
 

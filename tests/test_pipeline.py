@@ -45,6 +45,8 @@ def test_daily_run_sample(spark, workdir):
     assert spark.table(names[-1]).count() == 2
     jobs.maintain_layout(spark, lake)
     assert tables.read_table(spark, lake.silver).count() == 2
+    assert jobs.expire_old_versions(spark, lake, keep=1)["silver"] > 0
+    assert tables.read_table(spark, lake.silver).count() == 2
 
 
 def test_critical_failure_stops_before_gold(spark, workdir):
