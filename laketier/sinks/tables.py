@@ -314,6 +314,19 @@ def _partition_filter(partition_cols: Sequence[str], values: list) -> Column:
     return cond
 
 
+def _key_range(src: DataFrame, keys: Sequence[str]) -> Column:
+    """``min <= key <= max`` per key column over the (materialised) source."""
+    bounds = src.agg(*[F.min(k).alias(f"lo{i}") for i, k in enumerate(keys)],
+                     *[F.max(k).alias(f"hi{i}") for i, k in enumerate(keys)]).first()
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        lo, hi = bounds[f"lo{i}"], bounds[f"hi{i}"]
+        if lo is None:  # no non-NULL key in the source: nothing can match
+            return F.lit(False)
+        cond = cond & F.col(k).between(F.lit(lo), F.lit(hi))
+    return cond
+
+
 def _distinct_bounded(df: DataFrame, cap: int) -> list | None:
     rows = df.distinct().limit(cap + 1).collect()
     return None if len(rows) > cap else [tuple(r) for r in rows]
@@ -348,7 +361,10 @@ def upsert_table(source: DataFrame, path: str, keys: Sequence[str],
         keyset = source_keys(src, keys)
         if fits_in_rows(keyset, max_broadcast_rows):
             keyset = F.broadcast(keyset)
-        holding = target.select(*keys, *parts).join(keyset, list(keys), "left_semi")
+        # the source keys' range, pushed into the Parquet scan, lets row groups
+        # outside it be skipped (a superset: the semi join stays exact)
+        holding = target.select(*keys, *parts).where(_key_range(src, keys)) \
+            .join(keyset, list(keys), "left_semi")
         scope = _distinct_bounded(src.select(*parts).unionByName(holding.select(*parts)),
                                   max_scoped_partitions)
     if scope is None:  # unpartitioned, or too many partitions touched: full rewrite

@@ -133,6 +133,20 @@ def test_merge_rewrites_only_affected_partitions(spark, workdir):
     assert gone and tables.read_table(spark, path).count() == 41
 
 
+def test_matched_key_search_pushes_key_range(spark, workdir):
+    path = f"{workdir}/t"
+    tables.upsert_table(df(spark, [(i, i % 4, 2024, 0) for i in range(100)]), path, ["id"],
+                        ["league"])
+    src = df(spark, [(40, 1, 2024, 5), (45, 1, 2024, 6)])
+    target = tables.read_table(spark, path)
+    plan = target.where(tables._key_range(src, ["id"]))._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "GreaterThanOrEqual(id,40)" in plan and "LessThanOrEqual(id,45)" in plan
+    tables.upsert_table(src, path, ["id"], ["league"])
+    got = {r.id: (r.league, r.goals) for r in tables.read_table(spark, path).collect()}
+    assert len(got) == 100 and got[40] == (1, 5) and got[45] == (1, 6) and got[41] == (1, 0)
+
+
 def test_layout_rewrite_keeps_rows(spark, workdir):
     path = f"{workdir}/t"
     rows = [(i, i % 3, 2024, i % 5) for i in range(200)]
