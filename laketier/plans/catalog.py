@@ -115,18 +115,18 @@ def q_gold_fact(spark, sf_dir):
 @register("gold_dim_team_union_all", O.with_views(
     "SELECT team_id, team_name, league_id, league_name, season FROM roles_v", O.ROLES_V))
 def q_dim_team_union_all(spark, sf_dir):
-    return gold.team_appearances(silver_rows(spark, sf_dir))
+    return gold.team_appearances(silver_once(spark, sf_dir))
 
 
 @register("gold_dim_team_distinct", O.with_views(
     "SELECT DISTINCT team_id, team_name, league_id, league_name, season FROM roles_v", O.ROLES_V))
 def q_dim_team_distinct(spark, sf_dir):
-    return gold.dim_team_distinct(silver_rows(spark, sf_dir))
+    return gold.dim_team_distinct(silver_once(spark, sf_dir))
 
 
 @register("gold_dim_team", O.with_views("SELECT * FROM dim_team_v", O.ROLES_V, O.DIM_TEAM_V))
 def q_dim_team(spark, sf_dir):
-    return gold.dim_team(silver_rows(spark, sf_dir))
+    return gold.dim_team(silver_once(spark, sf_dir))
 
 
 @register("gold_dim_date", O.with_views("SELECT * FROM dim_date_v", O.DIM_DATE_V))
