@@ -65,11 +65,16 @@ def test_idempotent(spark):
 def test_broadcast_behind_probe(spark):
     target = df(spark, [(i, 10, 2024, 0) for i in range(50)])
     source = df(spark, [(1, 10, 2024, 5)])
-    plan = upsert(target, source, ["id"])._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
-    plan = upsert(target, source, ["id"], max_broadcast_rows=0)._jdf.queryExecution() \
-        .sparkPlan().toString()
-    assert "BroadcastHashJoin" not in plan or "autoBroadcast" in plan
+    # keep Spark's own size-based broadcast out of the way: only our probe decides
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = upsert(target, source, ["id"])._jdf.queryExecution().executedPlan().toString()
+        big = upsert(target, source, ["id"], max_broadcast_rows=0)._jdf.queryExecution() \
+            .executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in small and "LeftAnti" in small
+    assert "BroadcastHashJoin" not in big and "SortMergeJoin" in big and "LeftAnti" in big
 
 
 def test_table_first_run_then_merge_with_partition_move(spark, workdir):
