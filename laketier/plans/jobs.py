@@ -101,33 +101,49 @@ def check_silver(spark: SparkSession, lake: Lake,
 
 
 def build_gold(spark: SparkSession, lake: Lake) -> dict:
-    """Silver -> dim_team, dim_date (upserted), fact_match_stats (refreshed).
+    """Silver -> dim_team, dim_date (upserted), fact_match_stats (refreshed),
+    each from the silver partitions changed since it was last built.
 
-    The dimensions need every match (latest row per team and season, distinct
-    dates) but only a few silver columns; they are small and upserted by key.
     The fact is a row-wise projection of silver partitioned the same way, and
-    silver never loses a match, so the fact is kept equal to
-    ``fact(silver)`` by rebuilding exactly the fact partitions whose silver
-    partition changed since the fact was last built (recorded in the fact's
-    manifest): each day's work is proportional to the partitions it touched.
+    silver never loses a match, so rebuilding exactly the fact partitions
+    whose silver partition changed keeps it equal to ``fact(silver)``.
+    ``dim_date`` needs the dates of the changed partitions; ``dim_team``
+    (latest match per team and season) needs every match of the seasons those
+    partitions cover, read with season pruning. Neither dimension ever drops a
+    key, so upserting the recomputed keys equals recomputing from all of
+    silver. Each day's gold work is proportional to what that day touched.
     """
-    s = tables.read_table(spark, lake.silver)
     out = {}
-    out["dim_team_version"] = tables.upsert_table(
-        _stamp(gold.dim_team(s), "gold"), lake.gold("dim_team"), S.DIM_TEAM_KEYS)
-    out["dim_date_version"] = tables.upsert_table(
-        _stamp(gold.dim_date(s), "gold"), lake.gold("dim_date"), S.DIM_DATE_KEYS)
+    changed, removed, current = _silver_changes(spark, lake, lake.gold("dim_date"))
+    if changed:
+        rows = gold.dim_date(tables.read_partitions(spark, lake.silver, changed))
+        out["dim_date_version"] = tables.upsert_table(
+            _stamp(rows, "gold"), lake.gold("dim_date"), S.DIM_DATE_KEYS,
+            props={"silver_version": current})
+    changed, removed, current = _silver_changes(spark, lake, lake.gold("dim_team"))
+    seasons = sorted({tables.partition_values(k)["season"] for k in changed | removed})
+    if seasons:
+        s = tables.read_table(spark, lake.silver,
+                              where=F.col("season").cast("string").isin(seasons))
+        out["dim_team_version"] = tables.upsert_table(
+            _stamp(gold.dim_team(s), "gold"), lake.gold("dim_team"), S.DIM_TEAM_KEYS,
+            props={"silver_version": current})
     out["fact_version"], out["fact_partitions_rebuilt"] = refresh_fact(spark, lake)
     return out
 
 
-def refresh_fact(spark: SparkSession, lake: Lake) -> tuple[int, int]:
-    fact_path = lake.gold("fact_match_stats")
+def _silver_changes(spark: SparkSession, lake: Lake, built_path: str) -> tuple[set, set, int]:
+    """Silver partitions changed since the silver version ``built_path`` was built from."""
     built_from = None
-    if tables.table_exists(spark, fact_path):
-        built_from = tables.table_meta(spark, fact_path).get("props", {}).get("silver_version")
-    changed, removed, current = tables.changes_since(spark, lake.silver, built_from)
-    if built_from == current:
+    if tables.table_exists(spark, built_path):
+        built_from = tables.table_meta(spark, built_path).get("props", {}).get("silver_version")
+    return tables.changes_since(spark, lake.silver, built_from)
+
+
+def refresh_fact(spark: SparkSession, lake: Lake) -> tuple[int | None, int]:
+    fact_path = lake.gold("fact_match_stats")
+    changed, removed, current = _silver_changes(spark, lake, fact_path)
+    if not changed and not removed:
         return tables.current_version(spark, fact_path), 0
     rows = _stamp(gold.fact_match_stats(tables.read_partitions(spark, lake.silver, changed)),
                   "gold")

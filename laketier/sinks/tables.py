@@ -335,7 +335,8 @@ def _distinct_bounded(df: DataFrame, cap: int) -> list | None:
 def upsert_table(source: DataFrame, path: str, keys: Sequence[str],
                  partition_cols: Sequence[str] = (), *, materialize: bool = True,
                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                 max_scoped_partitions: int = MAX_SCOPED_PARTITIONS) -> int:
+                 max_scoped_partitions: int = MAX_SCOPED_PARTITIONS,
+                 props: dict | None = None) -> int:
     """Create the table from ``source`` on the first run, else merge the
     source into it by ``keys`` (update whole row / insert); return the new
     version. A duplicated non-NULL source key fails the run either way.
@@ -350,7 +351,7 @@ def upsert_table(source: DataFrame, path: str, keys: Sequence[str],
     src = _materialize(source) if materialize else source
     if not table_exists(spark, path):
         source_keys(src, keys).count()  # raises on a duplicated key
-        return write_version(src, path, partition_cols)
+        return write_version(src, path, partition_cols, props)
     meta = table_meta(spark, path)
     parts = meta["partition_columns"]
     target = _read_folders(spark, path, meta)
@@ -369,7 +370,7 @@ def upsert_table(source: DataFrame, path: str, keys: Sequence[str],
                                   max_scoped_partitions)
     if scope is None:  # unpartitioned, or too many partitions touched: full rewrite
         merged = upsert(target, src, keys, max_broadcast_rows=max_broadcast_rows)
-        return _write_folders(merged, path, parts, version, None, set())
+        return _write_folders(merged, path, parts, version, None, set(), props)
     in_scope = _partition_filter(parts, scope)
     affected = target.where(in_scope)
     old_keys = {r[0] for r in affected.select(
@@ -378,7 +379,7 @@ def upsert_table(source: DataFrame, path: str, keys: Sequence[str],
     root = _root(spark, path)
     touched = {k[len(root):].strip("/") if k.startswith(root) else k for k in old_keys}
     merged = upsert(affected, src, keys, max_broadcast_rows=max_broadcast_rows)
-    return _write_folders(merged, path, parts, version, meta["partitions"], touched)
+    return _write_folders(merged, path, parts, version, meta["partitions"], touched, props)
 
 
 def rewrite_layout(spark: SparkSession, path: str, sort_cols: Sequence[str],
