@@ -7,7 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from laketier.llm.common import table
 from laketier.llm.decontamination import contaminated
 from laketier.llm.exact_dedup import exact_duplicates
+from laketier.llm.language import language_id
 from laketier.llm.packing import pack_documents
+from laketier.llm.repeats import remove_repeats
+from laketier.llm.simhash import near_duplicates
 from laketier.llm.token_counts import token_counts
 from laketier.llm.token_files import token_documents
 
@@ -24,16 +27,29 @@ def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op4_token_files, op5_pack, op7_exact_dedup,
-                                   op9_token_counts)}
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_decontaminate, op4_token_files, op5_pack, op6_repeated_strings, op7_exact_dedup,
+    op8_language_id, op9_token_counts, op10_simhash)}
 
 ORACLE_SQL = {
     "op7_exact_dedup": r"""
