@@ -8,17 +8,27 @@ from laketier.llm.common import table
 from laketier.llm.decontamination import contaminated
 from laketier.llm.exact_dedup import exact_duplicates
 from laketier.llm.language import language_id
+from laketier.llm.log_bilinear import language_model_scores
 from laketier.llm.packing import pack_documents
 from laketier.llm.repeats import remove_repeats
 from laketier.llm.simhash import near_duplicates
 from laketier.llm.token_counts import token_counts
 from laketier.llm.token_files import token_documents
+from laketier.llm.toxicity import toxicity
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model_scores(table(spark, sf_dir, "documents"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_documents(table(spark, sf_dir, "documents"))
 
@@ -48,8 +58,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_decontaminate, op4_token_files, op5_pack, op6_repeated_strings, op7_exact_dedup,
-    op8_language_id, op9_token_counts, op10_simhash)}
+    op1_decontaminate, op2_toxicity, op3_log_bilinear, op4_token_files, op5_pack,
+    op6_repeated_strings, op7_exact_dedup, op8_language_id, op9_token_counts, op10_simhash)}
 
 ORACLE_SQL = {
     "op7_exact_dedup": r"""
