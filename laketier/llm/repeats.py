@@ -14,8 +14,11 @@ over all documents, without ever sorting all suffixes in one place:
    suffix order (prefix doubling); windows equal in ``min_bytes`` bytes have, as
    previous or next smaller position in that order, an earlier copy: the longest
    previous factor, cut at ``min_bytes``.
-4. A seed with more than ``CROWD`` texts is not brought together: its windows are
-   counted one by one by a 128-bit hash, spread over all tasks.
+4. A seed with more than ``CROWD`` texts is not brought together. Its runs are cut by
+   the windows' offset from the minimizer into narrower runs (``WIDTHS``), whose seed is
+   the text common to all windows of such a cut; equal windows share it. These are
+   counted in turn, from step 2 on, down to single windows, which need no closer look.
+   Each cut narrows the search to where the texts differ, so it makes few rows.
 
 ``keep="none"`` removes every copy, ``keep="first"`` leaves the first one (smallest
 id, then place). Rows are identified by id and text hash: rows equal in both are
@@ -43,11 +46,12 @@ from laketier.llm.tokens import slices
 MIN_BYTES = 400
 SEED_BYTES = 32
 CROWD = 256
+WIDTHS = (48, 8, 1)
 #: Documents with repeats up to this number (24 bytes each) are told apart from the
 #: rest by broadcast before their texts move; beyond it, by a shuffle join.
 BROADCAST_KEYS = 500_000
 PIECE = 1 << 22  # bytes of a text looked at at once; places within fit in 24 bits
-RUNS = "s array<int>, e array<int>, k array<bigint>, r array<bigint>"
+RUNS = "s array<int>, e array<int>, p array<int>, k array<bigint>, r array<bigint>"
 KEY = ["id", "h"]
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -176,24 +180,26 @@ def document_runs(docs: DataFrame, min_bytes: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", 2 << 20):
-                size, sha, s, e, k, r = [], [], [], [], [], []
+                size, sha, s, e, p, k, r = [], [], [], [], [], [], []
                 for text in part.column("text"):
                     data = (text.as_py() or "").encode("utf-8", "replace")
-                    first, last, seed, _ = runs(data, min_bytes)
+                    first, last, seed, place = runs(data, min_bytes)
                     view = memoryview(data)
                     size.append(len(data))
                     sha.append(hashlib.sha256(data).hexdigest())
                     s.append(first)
                     e.append(last)
+                    p.append(place)
                     k.append(seed.view(np.int64))
                     r.append([_hash64(view[a:b + min_bytes])
                               for a, b in zip(first.tolist(), last.tolist())])
                 lists = [pa.array(x, pa.list_(t)) for x, t in
-                         ((s, pa.int32()), (e, pa.int32()), (k, pa.int64()), (r, pa.int64()))]
+                         ((s, pa.int32()), (e, pa.int32()), (p, pa.int32()), (k, pa.int64()),
+                          (r, pa.int64()))]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(c) for c in ("id", "h", "doc_id")] +
                     [pa.array(size, pa.int64()), pa.array(sha)] + lists,
-                    ["id", "h", "doc_id", "n_bytes", "sha", "s", "e", "k", "r"])
+                    ["id", "h", "doc_id", "n_bytes", "sha", "s", "e", "p", "k", "r"])
 
     return docs.mapInArrow(run, f"id bigint, h bigint, doc_id bigint, n_bytes bigint, sha string, {RUNS}")
 
@@ -201,8 +207,8 @@ def document_runs(docs: DataFrame, min_bytes: int) -> DataFrame:
 def run_texts(texts: DataFrame, min_bytes: int) -> DataFrame:
     """The bytes of the runs listed in ``wanted`` of each text, by seed."""
     schema = pa.schema([("k", pa.int64()), ("id", pa.int64()), ("h", pa.int64()),
-                        ("s", pa.int64()), ("e", pa.int64()), ("crowded", pa.bool_()),
-                        ("data", pa.binary())])
+                        ("s", pa.int64()), ("e", pa.int64()), ("p", pa.int64()),
+                        ("crowded", pa.bool_()), ("data", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,11 +217,11 @@ def run_texts(texts: DataFrame, min_bytes: int) -> DataFrame:
                 data = row["text"].encode("utf-8", "replace")
                 yield pa.RecordBatch.from_pylist(
                     [{"k": w["k"], "id": row["id"], "h": row["h"], "s": w["s"], "e": w["e"],
-                      "crowded": w["crowded"], "data": data[w["s"]:w["e"] + min_bytes]}
+                      "p": w["p"], "crowded": w["crowded"], "data": data[w["s"]:w["e"] + min_bytes]}
                      for w in row["wanted"]], schema)
 
     return texts.mapInArrow(run, "k bigint, id bigint, h bigint, s bigint, e bigint, "
-                                 "crowded boolean, data binary")
+                                 "p bigint, crowded boolean, data binary")
 
 
 def compared(contexts: DataFrame, min_bytes: int, keep_first: bool) -> DataFrame:
@@ -254,45 +260,42 @@ def compared(contexts: DataFrame, min_bytes: int, keep_first: bool) -> DataFrame
             .mapInArrow(run, "id bigint, h bigint, start bigint, stop bigint"))
 
 
-def counted(contexts: DataFrame, min_bytes: int, keep_first: bool) -> DataFrame:
-    """The same for crowded seeds, window by window."""
-    fields = [*SPAN_FIELDS[:2], ("s", pa.int64()), ("a", pa.int64()), ("b", pa.int64())]
+def cut_finer(contexts: DataFrame, min_bytes: int, width: int) -> DataFrame:
+    """The runs cut where the offset from the minimizer is a multiple of ``width``. The
+    seed of a cut is what all its windows would have in common were it whole, so it does
+    not depend on where the run ends."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc, h, s, e, data in zip(*(c.to_pylist() for c in batch.columns)):
+            out = []
+            for k, doc, h, s, e, p, data in zip(*(c.to_pylist() for c in batch.columns)):
                 view = memoryview(data)
-                made = np.frombuffer(b"".join(
-                    hashlib.blake2b(view[i:i + min_bytes], digest_size=16).digest()
-                    for i in range(e - s + 1)), np.int64).reshape(-1, 2)
-                n = len(made)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([doc] * n, pa.int64()), pa.array([h] * n, pa.int64()),
-                     pa.array(np.arange(s, e + 1)), pa.array(made[:, 0].copy()),
-                     pa.array(made[:, 1].copy())], [f for f, _ in fields])
-
-    windows = staged(contexts.select(*KEY, "s", "e", "data").mapInArrow(
-        run, "id bigint, h bigint, s bigint, a bigint, b bigint"), "windows")
-    place = F.struct("id", "h", "s")
-    groups = windows.groupBy("a", "b").agg(F.count("*").alias("n"), F.min(place).alias("least"))
-    again = staged(groups.where("n > 1"), "again")
-    found = windows.join(again, ["a", "b"])
-    if keep_first:
-        found = found.where(place != F.col("least"))
-    return found.select(*KEY, F.col("s").alias("start"), (F.col("s") + min_bytes).alias("stop"))
-
-
-def repeated_spans(docs: DataFrame, known: DataFrame, min_bytes: int, keep_first: bool) -> DataFrame:
-    """(id, h, start, stop) of repeated bytes; spans may overlap or repeat."""
-    runs_ = known.select(*KEY, F.explode(F.arrays_zip("s", "e", "k", "r")).alias("run")
-                         ).select(*KEY, "run.*")
+                for u in range((p - e) // width, (p - s) // width + 1):
+                    a, b = max(s, p - u * width - width + 1), min(e, p - u * width)
+                    core = p - u * width - s, p - u * width - width + 1 + min_bytes - s
+                    out.append((doc, h, a, b, p,
+                                _hash64(b"%d %d " % (k, u) + data[max(0, core[0]):core[1]]),
+                                _hash64(view[a - s:b + min_bytes - s])))
+            columns = list(zip(*out)) if out else [[]] * 7
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns],
+                                             ["id", "h", "s", "e", "p", "k", "r"])
+
+    return contexts.select("k", *KEY, "s", "e", "p", "data").mapInArrow(
+        run, "id bigint, h bigint, s bigint, e bigint, p bigint, k bigint, r bigint")
+
+
+def repeated_spans(docs: DataFrame, runs_: DataFrame, min_bytes: int, keep_first: bool,
+                   widths: tuple[int, ...] = WIDTHS) -> DataFrame:
+    """(id, h, start, stop) of bytes repeated in the windows of ``runs_`` (id, h, s, e, p,
+    k, r: first and last window, minimizer, seed, hash of the text); spans may overlap or
+    repeat."""
     texts = staged(runs_.groupBy("k", "r").agg(F.count("*").alias("n")), "texts")
     seeds = staged(texts.groupBy("k").agg(F.sum("n").alias("runs"), F.count("*").alias("texts"))
                    .where("runs > 1"), "seeds")
     status = staged(texts.join(seeds, "k").select("k", "r", "n", "texts"), "status")
     marked = staged(runs_.join(status, ["k", "r"]), "marked")
     example = staged(marked.where("n > 1").groupBy("k", "r")
-                     .agg(F.min(F.struct("id", "h", "s", "e")).alias("one"),
+                     .agg(F.min(F.struct("id", "h", "s", "e", "p")).alias("one"),
                           F.first("texts").alias("texts")), "examples")
     full = marked.where("n > 1")
     if keep_first:
@@ -300,17 +303,23 @@ def repeated_spans(docs: DataFrame, known: DataFrame, min_bytes: int, keep_first
             F.struct("id", "h", "s") != F.struct("one.id", "one.h", "one.s"))
     full = full.select(*KEY, F.col("s").cast("bigint").alias("start"),
                        (F.col("e") + F.lit(min_bytes)).cast("bigint").alias("stop"))
-    look = (marked.where("n = 1 and texts > 1").select(*KEY, "k", "s", "e", "texts")
+    place = ["s", "e", "p"]
+    look = (marked.where("n = 1 and texts > 1").select(*KEY, "k", *place, "texts")
             .unionByName(example.where("texts > 1").select("one.id", "one.h", "k", "one.s", "one.e",
-                                                           "texts")))
+                                                           "one.p", "texts")))
     wanted = staged(look.groupBy(*KEY).agg(F.collect_list(F.struct(
-        "k", "s", "e", (F.col("texts") > CROWD).alias("crowded"))).alias("wanted")), "wanted")
+        "k", *place, (F.col("texts") > CROWD).alias("crowded"))).alias("wanted")), "wanted")
     # rows equal in id and text have the same runs: one of them is enough
     contexts = staged(run_texts(
         with_texts(docs, wanted).dropDuplicates(KEY).select(*KEY, "text", "wanted"),
         min_bytes), "contexts")
-    return (full.unionByName(compared(contexts.where(~F.col("crowded")), min_bytes, keep_first))
-            .unionByName(counted(contexts.where("crowded"), min_bytes, keep_first)))
+    spans = full.unionByName(compared(contexts.where(~F.col("crowded")), min_bytes, keep_first))
+    crowded = contexts.where("crowded")
+    if widths and not crowded.isEmpty():
+        finer = staged(cut_finer(crowded, min_bytes, widths[0]), "finer")
+        spans = spans.unionByName(
+            repeated_spans(docs, finer, min_bytes, keep_first, widths[1:]))
+    return spans
 
 
 def with_texts(docs: DataFrame, listed: DataFrame) -> DataFrame:
@@ -327,7 +336,9 @@ def remove_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES, keep: str = "non
     docs = docs.select(F.coalesce(doc_id, F.lit(-(1 << 63))).alias("id"),
                        F.xxhash64("text").alias("h"), doc_id.alias("doc_id"), F.col("text"))
     known = staged(document_runs(docs, min_bytes), "runs")
-    spans = repeated_spans(docs, known, min_bytes, keep == "first")
+    runs_ = known.select(*KEY, F.explode(F.arrays_zip("s", "e", "p", "k", "r")).alias("run")
+                         ).select(*KEY, "run.*")
+    spans = repeated_spans(docs, runs_, min_bytes, keep == "first")
     listed = staged(spans.groupBy(*KEY).agg(F.collect_set(F.struct("start", "stop")).alias("spans")),
                     "spans")
 

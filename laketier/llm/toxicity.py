@@ -128,7 +128,7 @@ class Grammar:
         read = [self.read(strip(w)) for w in plain]
         kind = np.fromiter((c for c, _ in read), np.int64, len(read))
         weight = np.fromiter((w for _, w in read), float, len(read))
-        ends = np.fromiter((w[-1] in ".!?;:\"»“”…" for w in plain), bool, len(plain))
+        ends = np.fromiter((w != "" and w[-1] in ".!?;:\"»“”…" for w in plain), bool, len(plain))
         text = np.repeat(np.arange(len(texts)), np.diff(bounds))
         kinds = kind[codes]
         stop = ends[codes]

@@ -1,0 +1,66 @@
+"""The corpus pipeline on a small table, stage by stage and as a whole."""
+
+import shutil  # noqa: F401
+import tempfile
+
+import pytest
+
+import corpus_pipeline as pipeline
+
+NAMES = ["doc_id", "text", "lang", "source", "n_chars"]
+EN, DE = "the of and to in is that was for it", "der die und das von zu mit den ist nicht"
+
+
+@pytest.fixture(scope="module")
+def folder(spark):
+    import random
+    r = random.Random(6)
+    extra = {k: ["".join(r.choice("abcdefghijklmnop") for _ in range(6)) + k for _ in range(300)]
+             for k in ("en", "de")}
+
+    def text(lang, n):
+        closed = (EN if lang == "en" else DE).split()
+        return " ".join(r.choice(closed if r.random() < 0.4 else extra[lang]) for _ in range(n))
+
+    items = [(i, text("en", 25)) for i in range(4)]
+    rows = [(i, text(lang, r.randint(30, 400)), lang) for i, lang in enumerate(["en", "de"] * 40)]
+    near = rows[4][1].split()
+    near[0] = "Changed" if len(near) > 200 else near[0]
+    rows += [(200, rows[3][1].replace(" ", "  "), "de"), (201, rows[3][1], "de"),  # copies
+             (202, rows[6][1].upper(), "en"),  # the same words to SimHash
+             (203, None, "en"), (204, " ", "de"), (205, "1 2 3", None),  # no letters
+             (206, text("en", 30) + " " + items[1][1] + " " + text("en", 9), "en")]  # leak
+    path = tempfile.mkdtemp(prefix="laketier-pipeline-")
+    spark.createDataFrame([(*x, "s", len(x[1] or "")) for x in rows],
+                          "doc_id bigint, text string, lang string, source string, n_chars bigint"
+                          ).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(items, "item_id bigint, text string").write.parquet(
+        f"{path}/benchmark.parquet")
+    return path, rows
+
+
+def test_stages_in_order_take_effect(spark, folder):
+    path, rows = folder
+    assert [n for n, _ in pipeline.STAGES] == ["language_id", "exact_dedup", "simhash_near_dedup",
+                                               "decontamination", "packing"]
+    docs = pipeline.table(spark, path, "documents")
+    everything = {i for i, *_ in rows}
+    gone = [{203, 204, 205}, {200, 201}, {202}, {206}]
+    for (name, stage), out in zip(pipeline.STAGES, gone):
+        docs = pipeline.staged(stage(spark, docs, path), name)
+        everything -= out
+        assert docs.columns == NAMES
+        assert sorted(r.doc_id for r in docs.collect()) == sorted(everything), name
+    pieces = pipeline.STAGES[-1][1](spark, docs, path).collect()
+    assert {r.doc_id for r in pieces} == everything
+    whole = pipeline.run(spark, path).collect()
+    assert {r.doc_id for r in whole} == everything
+    lengths = {r.doc_id: r.doc_tokens for r in pieces}
+    assert sum(r.length for r in whole) == sum(lengths.values())
+
+
+def test_stages_on_an_empty_table(spark, folder):
+    path, _ = folder
+    docs = pipeline.table(spark, path, "documents").where("doc_id < 0")
+    for _, stage in pipeline.STAGES:
+        assert stage(spark, docs, path).collect() == []

@@ -50,7 +50,7 @@ def texts(words):
 
 
 @pytest.mark.parametrize("keep", ["none", "first"])
-@pytest.mark.parametrize("crowd", [256, 1])
+@pytest.mark.parametrize("crowd", [256, 2, 1])
 def test_equals_brute_force(documents, words, keep, crowd, monkeypatch):
     monkeypatch.setattr(repeats, "CROWD", crowd)
     rows = texts(words)
