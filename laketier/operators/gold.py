@@ -22,13 +22,13 @@ def fact_match_stats(silver: DataFrame) -> DataFrame:
 
 
 def _team_roles(silver: DataFrame, *extra: str) -> DataFrame:
-    """Home and away sides as (team_id, team_name, league_id, league_name, season)."""
-    def side(role: str) -> DataFrame:
-        return silver.select(
-            F.col(f"{role}_team_id").alias("team_id"),
-            F.col(f"{role}_team_name").alias("team_name"),
-            "league_id", "league_name", "season", *extra)
-    return side("home").unionByName(side("away"))
+    """Home and away sides as (team_id, team_name, league_id, league_name, season),
+    both made from one read of a match."""
+    def side(role: str):
+        return F.struct(F.col(f"{role}_team_id").alias("team_id"),
+                        F.col(f"{role}_team_name").alias("team_name"),
+                        *[F.col(c) for c in ("league_id", "league_name", "season", *extra)])
+    return silver.select(F.inline(F.array(side("home"), side("away"))))
 
 
 def team_appearances(silver: DataFrame) -> DataFrame:

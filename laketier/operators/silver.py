@@ -18,6 +18,7 @@ from laketier.functions.parse import iso_calendar_date, iso_instant
 from laketier.operators.dedup import latest_per_key
 from laketier.schemas import SILVER_COLUMNS, SILVER_KEYS
 
+# The silver columns and where the raw record holds them.
 # (silver column, nested source field, target type / parser / None to keep)
 FLATTEN_SPEC: list[tuple[str, str, object]] = [
     ("match_id", "fixture.id", "int"),
@@ -61,11 +62,17 @@ def flatten(bronze: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
         elif typ:
             c = c.try_cast(typ)
         cols.append(c.alias(name))
-    passthrough = ["_ingest_timestamp", "_source_file", *[c for c in carry if c not in
-                                                          ("_ingest_timestamp", "_source_file")]]
+    passthrough = ["_ingest_timestamp", "_source_file",
+                   *[F.col(c).alias(carried_name(c)) for c in carry
+                     if c not in ("_ingest_timestamp", "_source_file")]]
     return bronze.select(*cols, *passthrough)
 
 
+def carried_name(column: str) -> str:
+    """Flat name of a carried column (``fixture.timestamp`` -> ``fixture_timestamp``)."""
+    return column.replace(".", "_")
+
+
 def cleanse(flat: DataFrame) -> DataFrame:
     """Trim names, standardise status, default goals to 0, derive result and total."""
     trimmed = {c: F.trim(F.col(c)) for c in TRIMMED}
@@ -100,13 +107,15 @@ def silver_matches(bronze: DataFrame, tie_breakers: Sequence[str] = DEFAULT_TIE_
     """Bronze fixture records -> silver rows (one per finished match).
 
     Order matters: dedup runs before the FINISHED filter, so a match whose
-    newest version is not finished is left out of this batch.
+    newest version is not finished is left out of this batch. Tie-breakers may be
+    nested fields of the record.
     """
     hashed = RECORD_HASH in tie_breakers and RECORD_HASH not in bronze.columns
     flat = flatten(bronze, carry=[t for t in tie_breakers if not (hashed and t == RECORD_HASH)])
     if hashed:
         flat = with_record_hash(flat)
-    latest = latest_per_key(cleanse(flat), SILVER_KEYS, ["_ingest_timestamp", *tie_breakers])
+    latest = latest_per_key(cleanse(flat), SILVER_KEYS,
+                            ["_ingest_timestamp", *map(carried_name, tie_breakers)])
     out = finished_only(latest)
     if processed_at:
         out = out.withColumn("_silver_processed_at", F.current_timestamp())

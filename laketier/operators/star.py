@@ -2,10 +2,9 @@
 
 Reports aggregate the fact to the dimension's key *before* joining: the
 partial aggregate collapses a hot key map-side, and what meets the
-dimension is one row per key, so the join is small whatever the fact size
-(AQE broadcasts it at runtime when its measured size allows). Row-level
-joins (``with_dates``, ``with_team_names``) broadcast the dimension only
-behind a bounded row probe.
+dimension is one row per key, so the join is small whatever the fact size.
+Nothing is hinted: Spark broadcasts a dimension whose size it knows to be
+within its threshold, when planning (written tables) or at run time (AQE).
 """
 
 from __future__ import annotations
@@ -13,20 +12,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from laketier.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 
-
-def with_dates(fact: DataFrame, dim_date: DataFrame,
-               max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def with_dates(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """fact LEFT JOIN dim_date ON match_date = date (row level)."""
-    d = broadcast_if_small(dim_date, max_broadcast_rows)
-    return fact.join(d, fact["match_date"] == d["date"], "left").drop("date")
+    return fact.join(dim_date, fact["match_date"] == dim_date["date"], "left").drop("date")
 
 
-def with_team_names(fact: DataFrame, dim_team: DataFrame,
-                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def with_team_names(fact: DataFrame, dim_team: DataFrame) -> DataFrame:
     """Role-playing joins: the team dimension once as home, once as away."""
-    t = broadcast_if_small(dim_team.select("team_id", "season", "team_name"), max_broadcast_rows)
+    t = dim_team.select("team_id", "season", "team_name")
     home = t.select(F.col("team_id").alias("home_team_id"), "season",
                     F.col("team_name").alias("home_team_name"))
     away = t.select(F.col("team_id").alias("away_team_id"), "season",
@@ -46,50 +40,47 @@ def goals_by_weekday(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 def team_table(fact: DataFrame, dim_team: DataFrame) -> DataFrame:
     """League table by team name: matches, points, goals for and against,
-    counting home and away appearances (role-playing dimension)."""
-    def role(side: str, other: str) -> DataFrame:
-        per_key = fact.groupBy(F.col(f"{side}_team_id").alias("team_id"), "season").agg(
-            F.count(F.lit(1)).alias("matches"), F.sum(f"{side}_team_points").alias("points"),
-            F.sum(f"{side}_goals").alias("goals_for"),
-            F.sum(f"{other}_goals").alias("goals_against"))
-        return per_key.join(dim_team.select("team_id", "season", "team_name"),
-                            ["team_id", "season"], "left")
-
-    both = role("home", "away").unionByName(role("away", "home"))
-    return both.groupBy("team_name").agg(
-        *[F.sum(c).alias(c) for c in ("matches", "points", "goals_for", "goals_against")])
-
-
-def _missing(rows: DataFrame, dim_keys: DataFrame, keys: list[str], label: str,
-             max_broadcast_rows: int) -> DataFrame:
+    counting home and away appearances (role-playing dimension). One pass over
+    the fact, one aggregate, one join."""
+    def role(side: str, other: str):
+        return F.struct(F.col(f"{side}_team_id").alias("team_id"), F.col("season"),
+                        F.col(f"{side}_team_points").alias("points"),
+                        F.col(f"{side}_goals").alias("goals_for"),
+                        F.col(f"{other}_goals").alias("goals_against"))
+
+    sums = ("matches", "points", "goals_for", "goals_against")
+    both = fact.select(F.inline(F.array(role("home", "away"), role("away", "home"))))
+    per_key = both.groupBy("team_id", "season").agg(
+        F.count(F.lit(1)).alias("matches"), *[F.sum(c).alias(c) for c in sums[1:]])
+    named = per_key.join(dim_team.select("team_id", "season", "team_name"), ["team_id", "season"],
+                         "left")
+    return named.groupBy("team_name").agg(*[F.sum(c).alias(c) for c in sums])
+
+
+def _missing(rows: DataFrame, dim_keys: DataFrame, keys: list[str], label: str) -> DataFrame:
     """Rows of ``rows`` whose ``keys`` are absent from ``dim_keys``.
 
     The anti join runs on the distinct fact keys (a hot key is one row after
-    the partial aggregate); the fact is then filtered by the missing keys,
-    broadcast when proven small, so the fact itself is not shuffled. NULL keys
-    never match a dimension row and count as missing.
+    the partial aggregate); the fact is then filtered by the missing keys. NULL
+    keys never match a dimension row and count as missing.
     """
-    present = rows.select(*keys).distinct().join(dim_keys, keys, "left_anti")
     not_null = F.lit(True)
     for k in keys:
         not_null = not_null & F.col(k).isNotNull()
-    missing = broadcast_if_small(present.where(not_null), max_broadcast_rows)
+    missing = rows.select(*keys).where(not_null).distinct().join(dim_keys, keys, "left_anti")
     hit = rows.join(missing, keys, "left_semi")
     return hit.unionByName(rows.where(~not_null)).select(
         "match_id", F.lit(label).alias("missing"))
 
 
-def orphans(fact: DataFrame, dim_team: DataFrame, dim_date: DataFrame,
-            max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def orphans(fact: DataFrame, dim_team: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Fact rows whose dimension key is missing: ``(match_id, missing)`` with
     ``missing`` in home_team / away_team / date. Empty when the star is whole."""
     team_keys = dim_team.select("team_id", "season")
     parts = []
     for side in ("home", "away"):
         keyed = fact.select("match_id", F.col(f"{side}_team_id").alias("team_id"), "season")
-        parts.append(_missing(keyed, team_keys, ["team_id", "season"], f"{side}_team",
-                              max_broadcast_rows))
+        parts.append(_missing(keyed, team_keys, ["team_id", "season"], f"{side}_team"))
     dates = dim_date.select(F.col("date").alias("match_date"))
-    parts.append(_missing(fact.select("match_id", "match_date"), dates, ["match_date"], "date",
-                          max_broadcast_rows))
+    parts.append(_missing(fact.select("match_id", "match_date"), dates, ["match_date"], "date"))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])

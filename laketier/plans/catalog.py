@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from laketier.operators import gold, silver
 from laketier.plans import oracle as O
+from laketier.session import staged
 from laketier.sources import driver_tables as dt
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -52,18 +53,6 @@ def fact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.fact_match_stats(silver_rows(spark, sf_dir))
 
 
-def once(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared checkpoint folder (a lineage cut),
-    for queries that read it from several branches, as the jobs read a table."""
-    from laketier.session import require_checkpoint_dir
-    require_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def silver_once(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return once(silver_rows(spark, sf_dir))
-
-
 # --- silver ----------------------------------------------------------------
 
 @register("silver_flatten", O.with_views(
@@ -115,18 +104,18 @@ def q_gold_fact(spark, sf_dir):
 @register("gold_dim_team_union_all", O.with_views(
     "SELECT team_id, team_name, league_id, league_name, season FROM roles_v", O.ROLES_V))
 def q_dim_team_union_all(spark, sf_dir):
-    return gold.team_appearances(silver_once(spark, sf_dir))
+    return gold.team_appearances(silver_rows(spark, sf_dir))
 
 
 @register("gold_dim_team_distinct", O.with_views(
     "SELECT DISTINCT team_id, team_name, league_id, league_name, season FROM roles_v", O.ROLES_V))
 def q_dim_team_distinct(spark, sf_dir):
-    return gold.dim_team_distinct(silver_once(spark, sf_dir))
+    return gold.dim_team_distinct(silver_rows(spark, sf_dir))
 
 
 @register("gold_dim_team", O.with_views("SELECT * FROM dim_team_v", O.ROLES_V, O.DIM_TEAM_V))
 def q_dim_team(spark, sf_dir):
-    return gold.dim_team(silver_once(spark, sf_dir))
+    return gold.dim_team(silver_rows(spark, sf_dir))
 
 
 @register("gold_dim_date", O.with_views("SELECT * FROM dim_date_v", O.DIM_DATE_V))
@@ -155,7 +144,7 @@ STALE_DIM_BEFORE = "1996-07-01"
     O.FACT_V, O.DIM_DATE_V))
 def q_star_join_date(spark, sf_dir):
     from laketier.operators import star
-    s = silver_once(spark, sf_dir)
+    s = silver_rows(spark, sf_dir)
     return star.goals_by_weekday(gold.fact_match_stats(s), gold.dim_date(s))
 
 
@@ -170,7 +159,7 @@ def q_star_join_date(spark, sf_dir):
     ") GROUP BY team_name", O.FACT_V, O.ROLES_V, O.DIM_TEAM_V))
 def q_star_join_teams(spark, sf_dir):
     from laketier.operators import star
-    s = silver_once(spark, sf_dir)
+    s = silver_rows(spark, sf_dir)
     return star.team_table(gold.fact_match_stats(s), gold.dim_team(s))
 
 
@@ -187,7 +176,7 @@ def q_star_join_teams(spark, sf_dir):
     f"WHERE match_date < DATE '{STALE_DIM_BEFORE}')"))
 def q_star_orphans(spark, sf_dir):
     from laketier.operators import star
-    s = silver_once(spark, sf_dir)
+    s = silver_rows(spark, sf_dir)
     old = s.where(F.col("match_date") < F.lit(STALE_DIM_BEFORE).cast("date"))
     return star.orphans(gold.fact_match_stats(s), gold.dim_team(old), gold.dim_date(old))
 
@@ -213,14 +202,15 @@ def _merge_sql(target_cte: str, source_cte: str, keys: list[str], cols: str) ->
            *O.silver_ctes("s_", f"_ingest_timestamp >= TIMESTAMP '{SPLIT_AT}'")]))
 def q_merge_matches(spark, sf_dir):
     from laketier.operators.upsert import upsert
-    b = once(bronze_records(spark, sf_dir))
+    b = bronze_records(spark, sf_dir)
     ts = F.col("_ingest_timestamp")
     split = F.lit(SPLIT_AT).cast("timestamp_ntz")
 
     def batch(cond):
         return silver.silver_matches(b.where(cond), tie_breakers=dt.TIE_BREAKERS,
                                      processed_at=False)
-    merged = upsert(batch(ts < split), batch(ts >= split), ["match_id"])
+    incoming = staged(batch(ts >= split), "incoming")  # keys and rows from one narrow copy
+    merged = upsert(batch(ts < split), incoming, ["match_id"])
     return ntz(merged.select(*SILVER_OUT), "match_datetime")
 
 
@@ -239,11 +229,11 @@ def _dim_team_sql(name: str, where: str, upper: bool) -> list[str]:
     *_dim_team_sql("s_team", "season >= 1997", True)))
 def q_merge_composite(spark, sf_dir):
     from laketier.operators.upsert import upsert
-    s = silver_once(spark, sf_dir)
+    s = silver_rows(spark, sf_dir)
     target = gold.dim_team(s.where(F.col("season") <= 1998))
     source = gold.dim_team(s.where(F.col("season") >= 1997)) \
         .withColumn("team_name", F.upper("team_name"))
-    return upsert(target, source, ["team_id", "season"])
+    return upsert(target, staged(source, "incoming"), ["team_id", "season"])
 
 
 @register("merge_upsert_date_key", O.with_views(
@@ -253,9 +243,9 @@ def q_merge_composite(spark, sf_dir):
     "WHERE year >= 1997)"))
 def q_merge_date(spark, sf_dir):
     from laketier.operators.upsert import upsert
-    d = once(gold.dim_date(silver_rows(spark, sf_dir)))
+    d = gold.dim_date(silver_rows(spark, sf_dir))
     source = d.where(F.col("year") >= 1997).withColumn("day_name", F.upper("day_name"))
-    return upsert(d.where(F.col("year") <= 1998), source, ["date"])
+    return upsert(d.where(F.col("year") <= 1998), staged(source, "incoming"), ["date"])
 
 
 # --- events --------------------------------------------------------------------
@@ -328,17 +318,21 @@ def q_bronze_audit(spark, sf_dir):
 # --- stage metrics -------------------------------------------------------------
 
 @register("stage_row_counts", O.with_views(
-    "SELECT 'bronze' AS stage, count(*) AS rows FROM bronze_v "
-    "UNION ALL SELECT 'deduplicated', count(*) FROM latest_v "
-    "UNION ALL SELECT 'silver', count(*) FROM silver_v"))
+    "SELECT 'bronze' AS stage, count(*) AS rows, CAST(10 AS INTEGER) AS columns FROM bronze_v "
+    "UNION ALL SELECT 'deduplicated', count(*), 25 FROM latest_v "
+    "UNION ALL SELECT 'silver', count(*), 21 FROM silver_v"))
 def q_stage_counts(spark, sf_dir):
+    """Rows and columns of each stage, counted while silver is written once."""
     from laketier.operators.dedup import latest_per_key
-    from laketier.plans.metrics import stage_counts
-    b = bronze_records(spark, sf_dir)
-    latest = latest_per_key(silver.cleanse(silver.flatten(b, carry=dt.TIE_BREAKERS)),
-                            ["match_id"], ["_ingest_timestamp", *dt.TIE_BREAKERS])
-    return stage_counts({"bronze": b, "deduplicated": latest,
-                         "silver": silver.finished_only(latest)})
+    from laketier.plans.metrics import observe_rows, stage_report
+    b, bronze = observe_rows(bronze_records(spark, sf_dir), "bronze")
+    latest, deduplicated = observe_rows(latest_per_key(
+        silver.cleanse(silver.flatten(b, carry=dt.TIE_BREAKERS)),
+        ["match_id"], ["_ingest_timestamp", *dt.TIE_BREAKERS]), "deduplicated")
+    done, finished = observe_rows(silver.finished_only(latest).select(*SILVER_OUT), "silver")
+    staged(done, "silver")
+    return stage_report(spark, [("bronze", bronze, b), ("deduplicated", deduplicated, latest),
+                                ("silver", finished, done)])
 
 
 # --- data quality -------------------------------------------------------------
@@ -355,8 +349,6 @@ def _dq_query(name: str, rules, on: str):
             df = silver_rows(spark, sf_dir).select(*SILVER_OUT)
         else:
             df = silver.cleanse(silver.flatten(bronze_records(spark, sf_dir))).select(*SILVER_OUT)
-        if any(r.expectation_type == Q.UNIQUE for r in rules):
-            df = once(df)  # the uniqueness group-by and the one-pass rules share it
         return Q.evaluate(df, rules)
 
     CATALOG[name] = (fn, O.with_views(O.dq_sql(rules, cte, cols)))
@@ -538,8 +530,7 @@ def _land_records(spark, sf_dir) -> str:
         "fixture", "league", "teams", "goals", "score",
         F.date_format("_ingest_timestamp", "yyyy-MM").alias("ingest_month"),
         F.col("league.id").alias("league_no"))
-    (rec.repartition("ingest_month", "league_no").write.partitionBy("ingest_month", "league_no")
-     .json(f"{base}/football/raw"))
+    rec.write.partitionBy("ingest_month", "league_no").json(f"{base}/football/raw")
     return base
 
 
@@ -625,7 +616,7 @@ def q_dq_gate(spark, sf_dir):
     """The gate's decision per rule on every cleansed version (before dedup:
     the uniqueness rule fails CRITICAL there, so the run would stop)."""
     from laketier.operators import quality as Q
-    df = once(silver.cleanse(silver.flatten(bronze_records(spark, sf_dir))).select(*SILVER_OUT))
+    df = silver.cleanse(silver.flatten(bronze_records(spark, sf_dir))).select(*SILVER_OUT)
     return Q.gate_actions(Q.evaluate(df, Q.SILVER_SUITE))
 
 
@@ -637,7 +628,7 @@ BATCH_DATES = ("1996-05-31", "1996-06-01")
 def _land_batch(spark, sf_dir, base: str, i: int) -> None:
     """Adapter records of ingest batch ``i`` (split at SPLIT_AT) landed as JSON
     Lines under ``<base>/football/raw/<date>/league_no=<id>/``."""
-    rec = bronze_records(spark, sf_dir)
+    rec = _ranked(bronze_records(spark, sf_dir))
     ts, split = F.col("_ingest_timestamp"), F.lit(SPLIT_AT).cast("timestamp_ntz")
     cond = (ts < split, ts >= split)[i]
     (rec.where(cond).select("fixture", "league", "teams", "goals", "score",
@@ -654,19 +645,55 @@ def _land_two_batches(spark, sf_dir) -> str:
     return base
 
 
-@register("run_log_append", None)
+# The version of a record, in the record itself: later ingests are higher, line numbers
+# tell the versions of one instant apart.
+VERSION_RANK = "fixture.timestamp"
+
+
+def _ranked(rec: DataFrame) -> DataFrame:
+    rank = F.unix_timestamp(F.col("_ingest_timestamp").cast("timestamp")) * 10 + F.col("_t1")
+    return rec.withColumn("fixture", F.col("fixture").withField("timestamp", rank))
+
+
+_BATCHES = [O.BRONZE_V,
+            *O.silver_ctes("t_", f"_ingest_timestamp < TIMESTAMP '{SPLIT_AT}'"),
+            *O.silver_ctes("s_", f"_ingest_timestamp >= TIMESTAMP '{SPLIT_AT}'")]
+
+
+def _run_log_sql() -> str:
+    parts = []
+    for date, p, op in zip(BATCH_DATES, "ts", ("<", ">=")):
+        for stage, sql in (
+                ("bronze", f"(SELECT count(*) FROM bronze_v WHERE _ingest_timestamp {op} "
+                           f"TIMESTAMP '{SPLIT_AT}')"),
+                ("quarantined", "0"),
+                ("silver_batch", f"(SELECT count(*) FROM {p}_silver_v)"),
+                ("rules_checked", "15"),
+                ("fact_partitions_rebuilt", "(SELECT count(*) FROM (SELECT DISTINCT league_id, "
+                                            f"season FROM {p}_silver_v))")):
+            parts.append(f"SELECT 'medallion_daily' AS pipeline_name, '{date}' AS execution_date, "
+                         f"'SUCCESS' AS status, '{stage}' AS stage, CAST({sql} AS BIGINT) AS rows")
+    return " UNION ALL ".join(parts)
+
+
+@register("run_log_append", O.with_views(_run_log_sql(), chain=_BATCHES))
 def q_run_log_append(spark, sf_dir):
     """Two daily runs (bronze, silver merge, gate, gold) and their run log."""
     from laketier.plans import jobs
     from laketier.sources.landing import RECORDS_SHAPE
     landing_base, lake_base = _land_two_batches(spark, sf_dir), scratch(spark, "lake")
     for date in BATCH_DATES:
-        jobs.run_daily(spark, landing_base, lake_base, date, shape=RECORDS_SHAPE)
+        jobs.run_daily(spark, landing_base, lake_base, date, shape=RECORDS_SHAPE,
+                       tie_breakers=[VERSION_RANK])
     return (spark.read.parquet(jobs.Lake(lake_base).run_log)
             .select("pipeline_name", "execution_date", "status", "stage", "rows"))
 
 
-@register("stream_upsert", None)
+STREAM_OUT = [c for c in SILVER_OUT if c != "_ingest_timestamp"]
+
+
+@register("stream_upsert", O.with_views(
+    _merge_sql("t_silver_v", "s_silver_v", ["match_id"], ", ".join(STREAM_OUT)), chain=_BATCHES))
 def q_stream_upsert(spark, sf_dir):
     """Structured Streaming: each landed batch drained into the silver table
     (one micro-batch per landing, merged by key)."""
@@ -675,6 +702,177 @@ def q_stream_upsert(spark, sf_dir):
     base, path = scratch(spark, "landing"), scratch(spark, "silver")
     for i in range(len(BATCH_DATES)):
         _land_batch(spark, sf_dir, base, i)
-        start_silver_stream(spark, f"{base}/football/raw", path,
-                            name="silver_" + path[-12:]).awaitTermination()
-    return ntz(tables.read_table(spark, path).select(*SILVER_OUT), "match_datetime")
+        start_silver_stream(spark, f"{base}/football/raw", path, name="silver_" + path[-12:],
+                            quarantine_path=scratch(spark, "quarantine"),
+                            tie_breakers=[VERSION_RANK]).awaitTermination()
+    return ntz(tables.read_table(spark, path).select(*STREAM_OUT), "match_datetime")
+
+
+# --- gold tables refreshed from what changed in silver -------------------------------
+
+# The second run corrects matches and moves some: to another league, or to no season.
+_MOVED_V = """m_silver_v AS (
+ SELECT * REPLACE (
+  CASE WHEN match_id % 7 = 0 THEN (league_id + 1) % 5 ELSE league_id END AS league_id,
+  CASE WHEN match_id % 50 = 0 THEN NULL ELSE season END AS season,
+  upper(home_team_name) AS home_team_name) FROM s_silver_v)"""
+_MERGED_V = ("silver_v AS (SELECT * FROM m_silver_v UNION ALL SELECT * FROM t_silver_v t "
+             "WHERE NOT EXISTS (SELECT 1 FROM m_silver_v m WHERE m.match_id = t.match_id))")
+
+
+def _views_of(prefix: str, *views: str) -> list[str]:
+    """The same views over another silver."""
+    out = []
+    for v in views:
+        for name in ("silver_v", "roles_v", "dim_team_v", "dim_date_v"):
+            v = v.replace(name, prefix + name)
+        out.append(v)
+    return out
+
+
+_REFRESH = [*_BATCHES, _MOVED_V, _MERGED_V]
+
+
+def _gold_after_two_runs(spark, sf_dir, refresh, name):
+    """Silver merged and gold refreshed twice; silver's older versions expire between."""
+    from laketier.plans import jobs
+    from laketier.schemas import SILVER_KEYS, SILVER_PARTITIONS
+    from laketier.sinks import tables
+    lake = jobs.Lake(scratch(spark, "lake"))
+    b = bronze_records(spark, sf_dir)
+    ts, split = F.col("_ingest_timestamp"), F.lit(SPLIT_AT).cast("timestamp_ntz")
+    for cond, moved in ((ts < split, False), (ts >= split, True)):
+        batch = silver.silver_matches(b.where(cond), tie_breakers=dt.TIE_BREAKERS)
+        if moved:
+            batch = batch.withColumns({
+                "league_id": F.when(F.col("match_id") % 7 == 0, (F.col("league_id") + 1) % 5)
+                .otherwise(F.col("league_id")),
+                "season": F.when(F.col("match_id") % 50 != 0, F.col("season")),
+                "home_team_name": F.upper("home_team_name")})
+        tables.upsert_table(batch, lake.silver, SILVER_KEYS, SILVER_PARTITIONS)
+        tables.expire_versions(spark, lake.silver, keep=1)
+        refresh(spark, lake)
+    return tables.read_table(spark, lake.gold(name)).drop("_gold_processed_at")
+
+
+@register("gold_refresh_fact", O.with_views(f"SELECT {O.FACT_OUT} FROM fact_v", O.FACT_V,
+                                            chain=_REFRESH))
+def q_gold_refresh_fact(spark, sf_dir):
+    from laketier.plans import jobs
+    return ntz(_gold_after_two_runs(spark, sf_dir, jobs.refresh_fact, "fact_match_stats"),
+               "match_datetime")
+
+
+@register("gold_refresh_dim_team", O.with_views(
+    "SELECT * FROM dim_team_v UNION ALL SELECT * FROM t_dim_team_v t WHERE NOT EXISTS ("
+    "SELECT 1 FROM dim_team_v d WHERE d.team_id = t.team_id "
+    "AND d.season IS NOT DISTINCT FROM t.season)",
+    O.ROLES_V, O.DIM_TEAM_V, *_views_of("t_", O.ROLES_V, O.DIM_TEAM_V), chain=_REFRESH))
+def q_gold_refresh_dim_team(spark, sf_dir):
+    from laketier.plans import jobs
+    return _gold_after_two_runs(spark, sf_dir, jobs.refresh_dim_team, "dim_team")
+
+
+@register("gold_refresh_dim_date", O.with_views(
+    "SELECT * FROM dim_date_v UNION SELECT * FROM t_dim_date_v",
+    O.DIM_DATE_V, *_views_of("t_", O.DIM_DATE_V), chain=_REFRESH))
+def q_gold_refresh_dim_date(spark, sf_dir):
+    from laketier.plans import jobs
+    return _gold_after_two_runs(spark, sf_dir, jobs.refresh_dim_date, "dim_date")
+
+
+@register("merge_upsert_dimension", O.with_views(
+    _merge_sql("t_team", "s_team", ["team_id", "season"], "*"),
+    O.ROLES_V, *_dim_team_sql("t_team", "season <= 1998", False),
+    *_dim_team_sql("s_team", "season >= 1997", True)))
+def q_merge_dimension(spark, sf_dir):
+    """Two runs into an unpartitioned dimension table."""
+    from laketier.sinks import tables
+    s, path = silver_rows(spark, sf_dir), scratch(spark, "dim_team")
+    tables.upsert_table(gold.dim_team(s.where("season <= 1998")), path, ["team_id", "season"])
+    tables.upsert_table(gold.dim_team(s.where("season >= 1997"))
+                        .withColumn("team_name", F.upper("team_name")), path, ["team_id", "season"])
+    return tables.read_table(spark, path)
+
+
+# --- row-level star joins --------------------------------------------------------
+
+@register("star_rows_dates", O.with_views(
+    "SELECT f.match_id, d.* EXCLUDE (date) FROM fact_v f LEFT JOIN dim_date_v d "
+    "ON f.match_date = d.date", O.FACT_V, O.DIM_DATE_V))
+def q_star_rows_dates(spark, sf_dir):
+    from laketier.operators import star
+    s = silver_rows(spark, sf_dir)
+    fact = gold.fact_match_stats(s).select("match_id", "match_date")
+    return star.with_dates(fact, gold.dim_date(s)).drop("match_date")
+
+
+@register("star_rows_teams", O.with_views(
+    "SELECT f.match_id, h.team_name AS home_team_name, a.team_name AS away_team_name FROM fact_v f "
+    "LEFT JOIN dim_team_v h ON f.home_team_id = h.team_id AND f.season = h.season "
+    "LEFT JOIN dim_team_v a ON f.away_team_id = a.team_id AND f.season = a.season",
+    O.FACT_V, O.ROLES_V, O.DIM_TEAM_V))
+def q_star_rows_teams(spark, sf_dir):
+    from laketier.operators import star
+    s = silver_rows(spark, sf_dir)
+    return star.with_team_names(gold.fact_match_stats(s), gold.dim_team(s)).select(
+        "match_id", "home_team_name", "away_team_name")
+
+
+# --- API documents as files ----------------------------------------------------------
+
+ENVELOPE_DATE = "2024-11-01"
+
+
+def _land_envelopes(spark, sf_dir) -> str:
+    """API documents as multi-line JSON files, one page a file, below
+    ``<base>/football/raw/<date>/league_<id>/``; a truncated document and an error
+    document lie among them."""
+    from laketier.sinks import tables
+    base = scratch(spark, "landing")
+    rec = bronze_records(spark, sf_dir)
+    pages = rec.groupBy(
+        F.col("league.id").alias("league_no"),
+        F.floor(F.monotonically_increasing_id() / PAGE_IDS).alias("page"),
+    ).agg(F.collect_list(F.struct("fixture", "league", "teams", "goals", "score"))
+          .alias("response"))
+    docs = pages.select("league_no", F.to_json(
+        F.struct(F.lit("fixtures").alias("get"), F.size("response").alias("results"), "response"),
+        {"pretty": "true"}).alias("value"))
+    bad = spark.createDataFrame(
+        [(0, '{"get": "fixtures",\n "response": [{"fixture": {"id": 1, "da'),
+         (1, '{"get": "fixtures",\n "results": 0}')], "league_no bigint, value string")
+    folder = f"{base}/football/raw/{ENVELOPE_DATE}"
+    (docs.unionByName(bad).write.option("maxRecordsPerFile", 1).partitionBy("league_no")
+     .text(folder))
+    fs, p = tables._fs(spark, folder)
+    for st in fs.listStatus(p):  # one folder per league
+        name = st.getPath().getName()
+        if name.startswith("league_no="):
+            fs.rename(st.getPath(), tables._fs(
+                spark, f"{folder}/league_{name.split('=')[1]}")[1])
+    return base
+
+
+@register("src_envelope_files", O.with_views(
+    f"SELECT {FLAT_RAW_SQL} FROM bronze_v", chain=[O.BRONZE_V]))
+def q_src_envelope_files(spark, sf_dir):
+    """Multi-line documents from the landing layout; two of them are unreadable."""
+    from laketier.sources import landing
+    raw = landing.read_landed(spark, landing.landing_path(
+        _land_envelopes(spark, sf_dir), "football", ENVELOPE_DATE))
+    rows = landing.fixture_rows(raw).withColumn("_ingest_timestamp", F.lit(None).cast("timestamp"))
+    return ntz(silver.flatten(rows).select(*FLAT_RAW), "match_datetime")
+
+
+@register("src_envelope_quarantine", O.with_views(
+    "SELECT 'league_0' AS folder, CAST(1 AS BIGINT) AS documents WHERE EXISTS (SELECT 1 FROM bronze_v) "
+    "UNION ALL SELECT 'league_1', 1 WHERE EXISTS (SELECT 1 FROM bronze_v)", chain=[O.BRONZE_V]))
+def q_src_envelope_quarantine(spark, sf_dir):
+    """The documents that gave no rows, by landing folder."""
+    from laketier.sources import landing
+    raw = landing.read_landed(spark, landing.landing_path(
+        _land_envelopes(spark, sf_dir), "football", ENVELOPE_DATE))
+    folder = F.regexp_extract(landing.SOURCE_FILE, r"/(league_\d+)/", 1)
+    return (landing.corrupt_rows(raw).groupBy(folder.alias("folder"))
+            .agg(F.count("*").alias("documents")))

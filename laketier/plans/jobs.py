@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from laketier import schemas as S
 from laketier.operators import gold, quality, silver
 from laketier.plans.metrics import observe_rows, observed_rows
-from laketier.session import require_checkpoint_dir
 from laketier.sinks import tables
 from laketier.sources import landing
 
@@ -61,11 +60,13 @@ def _stamp(df: DataFrame, layer: str) -> DataFrame:
 
 def ingest_bronze(spark: SparkSession, landing_base: str, lake: Lake, ingest_date: str,
                   shape: str = landing.ENVELOPE_SHAPE) -> dict:
-    """Landed JSON of one ingest date -> appended bronze rows (+ quarantine)."""
+    """Landed JSON of one ingest date -> appended bronze rows (+ quarantine).
+
+    Each output reads the landing folder itself: the second read is cheaper than a
+    copy of all that has landed, and the quarantine keeps next to nothing of it.
+    """
     raw = landing.read_landed(spark, landing.landing_path(landing_base, lake.sport, ingest_date),
                               shape)
-    require_checkpoint_dir(spark)
-    raw = raw.checkpoint(eager=True)  # one scan of the landing folder for both outputs
     rows = landing.with_bronze_audit(landing.fixture_rows(raw, shape), ingest_date, lake.sport)
     rows, obs = observe_rows(rows, "bronze")
     tables.append(rows, lake.bronze, S.BRONZE_PARTITIONS)
@@ -109,49 +110,61 @@ def build_gold(spark: SparkSession, lake: Lake) -> dict:
     whose silver partition changed keeps it equal to ``fact(silver)``.
     ``dim_date`` needs the dates of the changed partitions; ``dim_team``
     (latest match per team and season) needs every match of the seasons those
-    partitions cover, read with season pruning. Neither dimension ever drops a
-    key, so upserting the recomputed keys equals recomputing from all of
+    partitions cover, NULL being a season like others. Neither dimension ever
+    drops a key, so upserting the recomputed keys equals recomputing from all of
     silver. Each day's gold work is proportional to what that day touched.
+
+    What a table was built from is kept in its own manifest, as the content id of
+    each silver partition: silver's old versions may expire at any time.
     """
-    out = {}
-    changed, removed, current = _silver_changes(spark, lake, lake.gold("dim_date"))
-    if changed:
-        rows = gold.dim_date(tables.read_partitions(spark, lake.silver, changed))
-        out["dim_date_version"] = tables.upsert_table(
-            _stamp(rows, "gold"), lake.gold("dim_date"), S.DIM_DATE_KEYS,
-            props={"silver_version": current})
-    changed, removed, current = _silver_changes(spark, lake, lake.gold("dim_team"))
-    seasons = sorted({tables.partition_values(k)["season"] for k in changed | removed})
-    if seasons:
-        s = tables.read_table(spark, lake.silver,
-                              where=F.col("season").cast("string").isin(seasons))
-        out["dim_team_version"] = tables.upsert_table(
-            _stamp(gold.dim_team(s), "gold"), lake.gold("dim_team"), S.DIM_TEAM_KEYS,
-            props={"silver_version": current})
-    out["fact_version"], out["fact_partitions_rebuilt"] = refresh_fact(spark, lake)
-    return out
-
-
-def _silver_changes(spark: SparkSession, lake: Lake, built_path: str) -> tuple[set, set, int]:
-    """Silver partitions changed since the silver version ``built_path`` was built from."""
-    built_from = None
-    if tables.table_exists(spark, built_path):
-        built_from = tables.table_meta(spark, built_path).get("props", {}).get("silver_version")
-    return tables.changes_since(spark, lake.silver, built_from)
+    return {**refresh_dim_date(spark, lake), **refresh_dim_team(spark, lake),
+            **refresh_fact(spark, lake)}
 
 
-def refresh_fact(spark: SparkSession, lake: Lake) -> tuple[int | None, int]:
-    fact_path = lake.gold("fact_match_stats")
-    changed, removed, current = _silver_changes(spark, lake, fact_path)
+def _silver_changes(spark: SparkSession, lake: Lake, built_path: str) -> tuple[set, set, dict]:
+    """Silver partitions changed and removed since ``built_path`` was built, and the
+    properties to keep with its next version."""
+    now, seen = tables.contents(spark, lake.silver), None
+    if tables.table_exists(spark, built_path):
+        seen = tables.table_meta(spark, built_path)["props"].get("silver_contents")
+    return *tables.changes(now, seen), {"silver_contents": now}
+
+
+def refresh_dim_date(spark: SparkSession, lake: Lake) -> dict:
+    path = lake.gold("dim_date")
+    changed, _removed, props = _silver_changes(spark, lake, path)
+    if not changed:
+        return {}
+    rows = gold.dim_date(tables.read_partitions(spark, lake.silver, changed))
+    return {"dim_date_version": tables.upsert_table(
+        _stamp(rows, "gold"), path, S.DIM_DATE_KEYS, props=props, null_safe=True)}
+
+
+def refresh_dim_team(spark: SparkSession, lake: Lake) -> dict:
+    path = lake.gold("dim_team")
+    changed, removed, props = _silver_changes(spark, lake, path)
+    at = S.SILVER_PARTITIONS.index("season")
+    seasons = {tables.partition_values(k)[at] for k in changed | removed}
+    if not seasons:
+        return {}
+    covered = {k for k in props["silver_contents"] if tables.partition_values(k)[at] in seasons}
+    rows = gold.dim_team(tables.read_partitions(spark, lake.silver, covered))
+    return {"dim_team_version": tables.upsert_table(
+        _stamp(rows, "gold"), path, S.DIM_TEAM_KEYS, props=props, null_safe=True)}
+
+
+def refresh_fact(spark: SparkSession, lake: Lake) -> dict:
+    path = lake.gold("fact_match_stats")
+    changed, removed, props = _silver_changes(spark, lake, path)
     if not changed and not removed:
-        return tables.current_version(spark, fact_path), 0
+        return {"fact_version": tables.current_version(spark, path), "fact_partitions_rebuilt": 0}
     rows = _stamp(gold.fact_match_stats(tables.read_partitions(spark, lake.silver, changed)),
                   "gold")
-    replaced = {tables.partition_key(tables.partition_values(k), S.FACT_PARTITIONS)
+    order = [S.SILVER_PARTITIONS.index(c) for c in S.FACT_PARTITIONS]
+    replaced = {tables.partition_key(tables.partition_values(k)[i] for i in order)
                 for k in changed | removed}
-    version = tables.replace_partitions(rows, fact_path, S.FACT_PARTITIONS, replaced,
-                                        props={"silver_version": current})
-    return version, len(replaced)
+    version = tables.replace_partitions(rows, path, S.FACT_PARTITIONS, replaced, props=props)
+    return {"fact_version": version, "fact_partitions_rebuilt": len(replaced)}
 
 
 def league_summary(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -159,8 +172,10 @@ def league_summary(spark: SparkSession, lake: Lake) -> DataFrame:
 
 
 def register_all(spark: SparkSession, lake: Lake, prefix: str = "analytics") -> list[str]:
-    """Catalog entries ``<prefix>_<layer>.<table>`` for silver and gold."""
-    names = [tables.register_table(spark, f"{prefix}_silver", f"{lake.sport}_matches",
+    """Catalog entries ``<prefix>_<layer>.<table>`` for bronze, silver and gold."""
+    names = [tables.register_appended(spark, f"{prefix}_bronze", f"{lake.sport}_raw",
+                                      lake.bronze, S.BRONZE_PARTITIONS),
+             tables.register_table(spark, f"{prefix}_silver", f"{lake.sport}_matches",
                                    lake.silver)]
     for t in ("dim_team", "dim_date", "fact_match_stats"):
         names.append(tables.register_table(spark, f"{prefix}_gold", t, lake.gold(t)))
@@ -191,24 +206,27 @@ RUN_LOG_SCHEMA = ("pipeline_name STRING, run_id STRING, execution_date STRING, s
 
 def log_run(spark: SparkSession, lake: Lake, pipeline_name: str, run_id: str,
             execution_date: str, status: str, stages: dict) -> None:
-    """Append one run-log row per stage metric (a handful of rows per run)."""
+    """Append one run-log row per stage count (a handful of rows per run; table
+    versions are no counts and stay out)."""
     now = datetime.now(timezone.utc).replace(tzinfo=None)
     rows = [(pipeline_name, run_id, execution_date, status, k, int(v), now)
-            for k, v in (stages or {"-": 0}).items() if isinstance(v, int)]
+            for k, v in (stages or {"-": 0}).items()
+            if isinstance(v, int) and not k.endswith("_version")]
     tables.append(spark.createDataFrame(rows, RUN_LOG_SCHEMA), lake.run_log)
 
 
 def run_daily(spark: SparkSession, landing_base: str, lake_base: str, execution_date: str,
               sport: str = "football", shape: str = landing.ENVELOPE_SHAPE,
               rules: Sequence[quality.Rule] = quality.SILVER_SUITE,
-              pipeline_name: str = "medallion_daily") -> dict:
+              pipeline_name: str = "medallion_daily",
+              tie_breakers: Sequence[str] = silver.DEFAULT_TIE_BREAKERS) -> dict:
     """bronze -> silver -> gate -> gold for one execution date, logged."""
     lake = Lake(lake_base, sport)
     run_id = uuid.uuid4().hex
     stages: dict = {}
     try:
         stages.update(ingest_bronze(spark, landing_base, lake, execution_date, shape))
-        stages.update(build_silver(spark, lake, execution_date))
+        stages.update(build_silver(spark, lake, execution_date, tie_breakers))
         stages["rules_checked"] = len(check_silver(spark, lake, rules))
         stages.update(build_gold(spark, lake))
     except Exception:

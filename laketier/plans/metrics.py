@@ -2,12 +2,12 @@
 
 ``observe`` attaches a count to a DataFrame that is computed by the action
 that writes it, so a run learns its stage sizes without extra jobs.
-``stage_counts`` is the query form (one aggregate per stage, unioned).
+``stage_report`` is the table of them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -31,11 +31,14 @@ def observed_rows(obs: Observation) -> int:
         raise
 
 
-def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
-    """``(stage, rows)`` for each named DataFrame."""
-    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("stage"), "rows")
-             for name, df in stages.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def stage_report(spark: SparkSession, stages: list[tuple[str, Observation, DataFrame]]
+                 ) -> DataFrame:
+    """``(stage, rows, columns)`` of observed stages, after the write that fills them."""
+    return spark.createDataFrame([(name, observed_rows(obs), len(df.columns))
+                                  for name, obs, df in stages],
+                                 "stage string, rows bigint, columns int")
+
+
+def schema_of(df: DataFrame) -> list[tuple[str, str]]:
+    """Columns of a stage with their types, as reported in the log."""
+    return df.dtypes

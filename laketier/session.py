@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -51,13 +52,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
-def require_checkpoint_dir(spark: SparkSession) -> str:
-    """Make ``DataFrame.checkpoint()`` use the shared folder the session names;
-    never invents one (library code runs on clusters)."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(checkpoint_dir(spark))
-    return sc.getCheckpointDir()
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back: computed once,
+    safe from lost executors, columnar, and of a size that Spark knows."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/laketier-stage/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

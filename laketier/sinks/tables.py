@@ -3,21 +3,24 @@
 Without a table format, a table that is read and rewritten in one job must
 never be overwritten in place (a static overwrite deletes the files it is
 reading; a dynamic partition overwrite leaves stale rows behind when a key
-moves partition). Here every write lands in folders of a new version and a
-manifest commits it:
-
-    <path>/league_id=1/season=1995/v=00000001/part-*.parquet
-    <path>/league_id=1/season=1995/v=00000004/part-*.parquet   <- rewritten by v4
-    <path>/league_id=2/season=1995/v=00000001/part-*.parquet   <- untouched since v1
-    <path>/_manifests/m00000004.json   {partition folder -> its current version}
-
-A reader takes the newest manifest and reads exactly the folders it lists,
-so an upsert rewrites only the partitions that hold a source row or a
-matched key, and every other partition is carried forward by reference, not
-copied. A partition emptied by the merge simply leaves the manifest. A write
-that fails before its manifest exists is invisible; task retries after a
-lost executor are handled by Spark's output committer. Old versions stay
-readable until ``expire_versions`` deletes them. One writer per table.
+moves partition). Here every write goes to a folder of its own, named by a
+random token, and a manifest commits it:
+
+    <path>/w=5f0c.../league_id=1/season=1995/part-*.parquet
+    <path>/w=91ab.../league_id=1/season=1995/part-*.parquet   <- rewritten later
+    <path>/_manifests/m00000002.json   {partition values -> token it is read from}
+
+No two writes ever share a folder, so what a failed write or the loser of two
+writers leaves behind is in no manifest and is never read; a second writer
+fails at the manifest, which is created once. A reader takes the newest
+manifest and reads exactly the folders it lists: an upsert rewrites only the
+partitions that hold a source row or a matched key, and carries every other
+one forward by reference. Partitions are known by their values, never by a
+parsed path, so values that a file system escapes, and NULL, are like others
+(an empty string is NULL, as Spark writes it).
+
+Each partition also carries a content id that a layout rewrite keeps: what was
+derived from a table can tell which partitions have changed since.
 
 Append-only tables (bronze, run log) are plain partitioned Parquet folders.
 """
@@ -27,23 +30,26 @@ from __future__ import annotations
 import json
 import math
 import re
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from laketier.operators.joins import DEFAULT_BROADCAST_ROWS, fits_in_rows
 from laketier.operators.upsert import check_columns, source_keys, upsert
-from laketier.session import require_checkpoint_dir
+from laketier.session import staged
 
 MANIFESTS = "_manifests"
 _MANIFEST = re.compile(r"^m(\d{8})\.json$")
-VERSION_COL = "v"
+TOKEN = "w"
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 DEFAULT_FILE_BYTES = 256 * 1024 * 1024
-# Above this many touched partitions a merge rewrites the whole table (still
-# exact; the partition list is collected on the driver, so it stays bounded).
-MAX_SCOPED_PARTITIONS = 10_000
+
+
+class CommitConflict(RuntimeError):
+    """Another writer committed the version this write was based on."""
 
 
 # --- file-system access (Hadoop FS API: HDFS, object stores, local) ----------
@@ -61,6 +67,8 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def _create_text(spark: SparkSession, path: str, text: str) -> None:
     """Create ``path`` with ``text``; fails if it exists (one commit per version)."""
     fs, p = _fs(spark, path)
+    if fs.exists(p):
+        raise CommitConflict(path)
     out = fs.create(p, False)
     try:
         out.write(bytearray(text.encode("utf-8")))
@@ -81,26 +89,6 @@ def _read_text(spark: SparkSession, path: str) -> str:
         reader.close()
 
 
-def _glob_dirs(spark: SparkSession, pattern: str) -> list[str]:
-    fs, p = _fs(spark, pattern)
-    found = fs.globStatus(p)
-    return [st.getPath().toString() for st in (found or []) if st.isDirectory()]
-
-
-def _bytes_under(spark: SparkSession, paths: Sequence[str]) -> int:
-    total = 0
-    for path in paths:
-        fs, p = _fs(spark, path)
-        total += int(fs.getContentSummary(p).getLength())
-    return total
-
-
-def _root(spark: SparkSession, path: str) -> str:
-    """Fully qualified table root, the prefix of every folder the FS returns."""
-    fs, p = _fs(spark, path)
-    return fs.makeQualified(p).toString().rstrip("/")
-
-
 # --- manifests -----------------------------------------------------------------
 
 def _manifest_path(path: str, version: int) -> str:
@@ -128,33 +116,78 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def table_meta(spark: SparkSession, path: str, version: int | None = None) -> dict:
-    """Manifest: ``schema``, ``partition_columns``, ``partitions`` (folder key ->
-    version; the key is ``""`` for an unpartitioned table)."""
+    """Manifest: ``schema``, ``partition_columns``, ``props`` and ``partitions``
+    (``partition_key`` of the values -> ``at``, the token of the folder it is read
+    from, ``content``, the id of its rows, ``bytes``)."""
     v = version if version is not None else current_version(spark, path)
     if v is None:
         raise FileNotFoundError(f"no committed version under {path}")
     return json.loads(_read_text(spark, _manifest_path(path, v)))
 
 
-def _folder(path: str, key: str, version: int) -> str:
-    base = path.rstrip("/")
-    return f"{base}/{key}/{VERSION_COL}={version:08d}" if key else \
-        f"{base}/{VERSION_COL}={version:08d}"
+def partition_key(values: Iterable) -> str:
+    """Key of a partition: its values as text in column order (None for NULL)."""
+    return json.dumps([None if v is None or v == "" else str(v) for v in values])
+
+
+def partition_values(key: str) -> list[str | None]:
+    return json.loads(key)
+
+
+def distinct_partitions(df: DataFrame, partition_cols: Sequence[str]) -> set[str]:
+    """Keys of the partitions that ``df`` has rows in (metadata: one per partition)."""
+    rows = df.select(*[F.col(c).cast("string") for c in partition_cols]).distinct().collect()
+    return {partition_key(r) for r in rows}
+
+
+def _written(spark: SparkSession, folder: str, partition_cols: Sequence[str]) -> dict[str, int]:
+    """Partitions below one write's own folder, with their bytes: one recursive
+    listing, of what was written and nothing else."""
+    fs, p = _fs(spark, folder)
+    root = fs.makeQualified(p).toString().rstrip("/")
+    out: dict[str, int] = {} if partition_cols else {partition_key([]): 0}
+    files = fs.listFiles(p, True)
+    while files.hasNext():
+        st = files.next()
+        parts = st.getPath().toString()[len(root):].strip("/").split("/")
+        if not parts[-1].startswith("part-") or len(parts) != len(partition_cols) + 1:
+            continue
+        values = [unquote(x.split("=", 1)[1]) for x in parts[:-1]]
+        key = partition_key(None if v == NULL_FOLDER else v for v in values)
+        out[key] = out.get(key, 0) + int(st.getLen())
+    return out
 
 
 # --- read ----------------------------------------------------------------------
 
+_UNSAFE = re.compile(r"[\x01-\x1f\x7f\"#%'*/:=?\\{\[\]^]")
+
+
+def _folder(path: str, key: str, token: str, partition_cols: Sequence[str]) -> str:
+    """Folder of a partition, its values escaped the way Spark names folders."""
+    def name(v):
+        return NULL_FOLDER if v is None else _UNSAFE.sub(lambda m: f"%{ord(m.group()):02X}", v)
+    return "/".join([path.rstrip("/"), f"{TOKEN}={token}",
+                     *(f"{c}={name(v)}" for c, v in zip(partition_cols, partition_values(key)))])
+
+
 def _read_folders(spark: SparkSession, path: str, meta: dict) -> DataFrame:
     schema = T.StructType.fromJson(meta["schema"])
     cols = [f.name for f in schema.fields]
-    folders = [_folder(path, k, v) for k, v in sorted(meta["partitions"].items())]
+    parts = meta["partition_columns"]
+    folders = [_glob_safe(_folder(path, k, p["at"], parts))
+               for k, p in sorted(meta["partitions"].items())]
     if not folders:
         return spark.createDataFrame([], schema)
-    read_schema = T.StructType(schema.fields + [T.StructField(VERSION_COL, T.StringType())])
+    read_schema = T.StructType(schema.fields + [T.StructField(TOKEN, T.StringType())])
     return (spark.read.schema(read_schema).option("basePath", path.rstrip("/"))
             .parquet(*folders).select(*cols))
 
 
+def _glob_safe(folder: str) -> str:
+    return re.sub(r"([{}\[\]*?\\,])", r"\\\1", folder)
+
+
 def read_table(spark: SparkSession, path: str, where: str | Column | None = None,
                version: int | None = None) -> DataFrame:
     """Current (or given) version of a table, optionally filtered.
@@ -168,6 +201,13 @@ def read_table(spark: SparkSession, path: str, where: str | Column | None = None
     return df.filter(where) if where is not None else df
 
 
+def read_partitions(spark: SparkSession, path: str, keys: Iterable[str]) -> DataFrame:
+    """Only the given partitions of the current version."""
+    meta, keys = table_meta(spark, path), set(keys)
+    return _read_folders(spark, path, dict(meta, partitions={
+        k: v for k, v in meta["partitions"].items() if k in keys}))
+
+
 # --- write ---------------------------------------------------------------------
 
 def _balanced(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
@@ -178,26 +218,26 @@ def _balanced(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partition_cols) if partition_cols else df
 
 
-def _write_folders(df: DataFrame, path: str, partition_cols: Sequence[str], version: int,
-                   replace: dict | None, touched_keys: set[str], props: dict | None = None,
-                   balance: bool = True) -> int:
-    """Write ``df`` as version ``version`` of the partitions it holds and commit
-    a manifest: ``replace`` (old manifest partitions, or None for a full
-    replacement) minus ``touched_keys``, plus the new folders."""
+def _commit(df: DataFrame, path: str, partition_cols: Sequence[str], base: dict | None,
+            replaced: set[str], props: dict | None = None, balance: bool = True,
+            contents: dict[str, str] | None = None) -> int:
+    """Write ``df`` to a folder of its own and commit the next version: the
+    partitions of ``base`` (a manifest, or None) less ``replaced``, and those
+    written. ``contents`` gives content ids that outlive the rewrite."""
     spark = df.sparkSession
+    if base is None and table_exists(spark, path):
+        base = dict(table_meta(spark, path), partitions={})
+    token = uuid.uuid4().hex
+    folder = f"{path.rstrip('/')}/{TOKEN}={token}"
     if balance:
         df = _balanced(df, partition_cols)
-    (df.withColumn(VERSION_COL, F.lit(f"{version:08d}"))
-     .write.mode("append").partitionBy(*partition_cols, VERSION_COL).parquet(path))
-    root = _root(spark, path)
-    pattern = "/".join([root, *["*"] * len(partition_cols), f"{VERSION_COL}={version:08d}"])
-    new_keys = []
-    for folder in _glob_dirs(spark, pattern):
-        rel = folder[len(root):].strip("/")
-        new_keys.append(rel.rsplit("/", 1)[0] if "/" in rel else "")
-    partitions = {} if replace is None else {
-        k: v for k, v in replace.items() if k not in touched_keys}
-    partitions.update({k: version for k in new_keys})
+    df.write.partitionBy(*partition_cols).parquet(folder)
+    partitions = {k: v for k, v in (base["partitions"] if base else {}).items()
+                  if k not in replaced}
+    for key, size in _written(spark, folder, partition_cols).items():
+        partitions[key] = {"at": token, "content": (contents or {}).get(key, token),
+                           "bytes": size}
+    version = (base["version"] if base else 0) + 1
     meta = {"version": version, "schema": json.loads(df.schema.json()),
             "partition_columns": list(partition_cols), "partitions": partitions,
             "props": props or {}}
@@ -205,113 +245,48 @@ def _write_folders(df: DataFrame, path: str, partition_cols: Sequence[str], vers
     return version
 
 
-def _next_version(spark: SparkSession, path: str) -> int:
-    # folders of a failed write may carry a number without a manifest: skip it
-    vs = versions(spark, path)
-    root = _root(spark, path) if _exists(spark, path) else None
-    orphan = 0
-    if root:
-        for d in _glob_dirs(spark, f"{root}/{VERSION_COL}=*") + \
-                _glob_dirs(spark, f"{root}/*/{VERSION_COL}=*"):
-            orphan = max(orphan, int(d.rsplit("=", 1)[1]))
-    return max([0, orphan, *vs]) + 1
-
-
 def write_version(df: DataFrame, path: str, partition_cols: Sequence[str] = (),
                   props: dict | None = None) -> int:
     """Replace the table's content with ``df`` (a new version); return it."""
-    spark = df.sparkSession
-    return _write_folders(df, path, partition_cols, _next_version(spark, path), None, set(),
-                          props)
-
-
-# --- partition-level change tracking ----------------------------------------------
-
-def partition_values(key: str) -> dict[str, str]:
-    """``"league_id=1/season=1995"`` -> ``{"league_id": "1", "season": "1995"}``."""
-    from urllib.parse import unquote
-    return {} if not key else {k: unquote(v) for k, v in
-                               (kv.split("=", 1) for kv in key.split("/"))}
-
-
-def partition_key(values: dict[str, str], partition_cols: Sequence[str]) -> str:
-    """Folder key of ``values`` in a table partitioned by ``partition_cols``."""
-    from urllib.parse import quote
-    return "/".join(f"{c}={quote(str(values[c]), safe='')}" for c in partition_cols)
-
-
-def changes_since(spark: SparkSession, path: str, version: int | None) -> tuple[set, set, int]:
-    """``(changed, removed, current)``: partition keys rewritten or added since
-    ``version`` (all of them when None), keys gone since, current version."""
-    cur = table_meta(spark, path)
-    old = {} if version is None else table_meta(spark, path, version)["partitions"]
-    changed = {k for k, v in cur["partitions"].items() if old.get(k) != v}
-    return changed, set(old) - set(cur["partitions"]), cur["version"]
-
-
-def read_partitions(spark: SparkSession, path: str, keys: set[str]) -> DataFrame:
-    """Only the given partitions of the current version."""
-    meta = table_meta(spark, path)
-    sub = dict(meta, partitions={k: v for k, v in meta["partitions"].items() if k in keys})
-    return _read_folders(spark, path, sub)
+    return _commit(df, path, partition_cols, None, set(), props)
 
 
 def replace_partitions(df: DataFrame, path: str, partition_cols: Sequence[str],
                        replaced: set[str], props: dict | None = None) -> int:
-    """New version in which the partitions ``replaced`` (folder keys) hold
-    exactly the rows of ``df`` for them (none: the partition leaves); every
-    other partition is carried forward by reference."""
+    """New version in which the partitions ``replaced`` (keys) hold exactly the
+    rows of ``df`` for them (none: the partition leaves); every other partition
+    is carried forward by reference."""
     spark = df.sparkSession
-    if not table_exists(spark, path):
-        return write_version(df, path, partition_cols, props)
-    meta = table_meta(spark, path)
-    return _write_folders(df, path, partition_cols, _next_version(spark, path),
-                          meta["partitions"], set(replaced), props)
+    base = table_meta(spark, path) if table_exists(spark, path) else None
+    return _commit(df, path, partition_cols, base, set(replaced), props)
 
 
-def expire_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
-    """Delete folders no longer listed by the newest ``keep`` manifests, and
-    the older manifests. Returns the deleted folders."""
-    vs = versions(spark, path)
-    if len(vs) <= keep:
-        return []
-    live = set()
-    for v in vs[-keep:]:
-        meta = table_meta(spark, path, v)
-        live |= {_folder(_root(spark, path), k, ver) for k, ver in meta["partitions"].items()}
-    parts = len(table_meta(spark, path)["partition_columns"])
-    root = _root(spark, path)
-    pattern = "/".join([root, *["*"] * parts, f"{VERSION_COL}=*"])
-    oldest_kept = vs[-keep]
-    gone = []
-    for folder in _glob_dirs(spark, pattern):
-        ver = int(folder.rsplit("=", 1)[1])
-        if folder not in live and ver < oldest_kept:
-            fs, p = _fs(spark, folder)
-            fs.delete(p, True)
-            gone.append(folder)
-    for v in vs[:-keep]:
-        fs, p = _fs(spark, _manifest_path(path, v))
-        fs.delete(p, False)
-    return gone
+def contents(spark: SparkSession, path: str) -> dict[str, str]:
+    """Partition key -> content id of the current version."""
+    return {k: p["content"] for k, p in table_meta(spark, path)["partitions"].items()}
 
 
-def _materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage: the source is computed once into the shared checkpoint
-    folder, so validation, the broadcast probe and the write do not recompute
-    it and a lost executor does not send the job back to the raw input."""
-    return df.checkpoint(eager=True)
+def changes(now: dict[str, str], seen: dict[str, str] | None) -> tuple[set[str], set[str]]:
+    """``(changed or new, removed)`` partition keys between two ``contents``."""
+    seen = seen or {}
+    return {k for k, c in now.items() if seen.get(k) != c}, set(seen) - set(now)
 
 
-def _partition_filter(partition_cols: Sequence[str], values: list) -> Column:
-    """OR of the given partition-value tuples (NULL-safe equality)."""
-    cond = F.lit(False)
-    for row in values:
-        term = F.lit(True)
-        for c, v in zip(partition_cols, row):
-            term = term & F.col(c).eqNullSafe(F.lit(v))
-        cond = cond | term
-    return cond
+def expire_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
+    """Delete the manifests before the newest ``keep``, and the partition folders
+    that only they list. Returns the deleted folders."""
+    vs = versions(spark, path)
+    old, kept = vs[:-keep], vs[-keep:]
+    parts = table_meta(spark, path)["partition_columns"] if vs else []
+
+    def listed(some):
+        return {_folder(path, k, p["at"], parts) for v in some
+                for k, p in table_meta(spark, path, v)["partitions"].items()}
+    gone = sorted(listed(old) - listed(kept))
+    for folder in [*gone, *(_manifest_path(path, v) for v in old)]:
+        fs, p = _fs(spark, folder)
+        fs.delete(p, True)
+    return gone
 
 
 def _key_range(src: DataFrame, keys: Sequence[str]) -> Column:
@@ -327,116 +302,118 @@ def _key_range(src: DataFrame, keys: Sequence[str]) -> Column:
     return cond
 
 
-def _distinct_bounded(df: DataFrame, cap: int) -> list | None:
-    rows = df.distinct().limit(cap + 1).collect()
-    return None if len(rows) > cap else [tuple(r) for r in rows]
-
-
 def upsert_table(source: DataFrame, path: str, keys: Sequence[str],
-                 partition_cols: Sequence[str] = (), *, materialize: bool = True,
-                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                 max_scoped_partitions: int = MAX_SCOPED_PARTITIONS,
-                 props: dict | None = None) -> int:
+                 partition_cols: Sequence[str] = (), *, props: dict | None = None,
+                 null_safe: bool = False) -> int:
     """Create the table from ``source`` on the first run, else merge the
     source into it by ``keys`` (update whole row / insert); return the new
     version. A duplicated non-NULL source key fails the run either way.
 
-    On a partitioned table only the affected partitions are rewritten: those
-    of the source rows and those holding a matched key (so a key that moves
-    partition leaves its old one). Finding the latter reads only the key and
-    partition columns of the target, filtered map-side by the broadcast
-    source keys.
+    The source is computed once, into the shared folder. On a partitioned table
+    only the affected partitions are rewritten: those of the source rows and
+    those holding a matched key (so a key that moves partition leaves its old
+    one). Finding the latter reads only the key and partition columns of the
+    target, semi-joined with the source's keys (whose range is pushed into the
+    scan); Spark broadcasts the keys if their measured size allows.
     """
     spark = source.sparkSession
-    src = _materialize(source) if materialize else source
+    src = staged(source, "merge-source")
     if not table_exists(spark, path):
-        source_keys(src, keys).count()  # raises on a duplicated key
+        source_keys(src, keys, null_safe).count()  # raises on a duplicated key
         return write_version(src, path, partition_cols, props)
     meta = table_meta(spark, path)
     parts = meta["partition_columns"]
     target = _read_folders(spark, path, meta)
     check_columns(target.columns, src)
-    version = _next_version(spark, path)
-    scope = None
-    if parts:
-        keyset = source_keys(src, keys)
-        if fits_in_rows(keyset, max_broadcast_rows):
-            keyset = F.broadcast(keyset)
-        # the source keys' range, pushed into the Parquet scan, lets row groups
-        # outside it be skipped (a superset: the semi join stays exact)
-        holding = target.select(*keys, *parts).where(_key_range(src, keys)) \
-            .join(keyset, list(keys), "left_semi")
-        scope = _distinct_bounded(src.select(*parts).unionByName(holding.select(*parts)),
-                                  max_scoped_partitions)
-    if scope is None:  # unpartitioned, or too many partitions touched: full rewrite
-        merged = upsert(target, src, keys, max_broadcast_rows=max_broadcast_rows)
-        return _write_folders(merged, path, parts, version, None, set(), props)
-    in_scope = _partition_filter(parts, scope)
-    affected = target.where(in_scope)
-    old_keys = {r[0] for r in affected.select(
-        F.regexp_extract(F.col("_metadata.file_path"), r"^(.*)/v=\d+/[^/]*$", 1)).distinct()
-        .collect()}
-    root = _root(spark, path)
-    touched = {k[len(root):].strip("/") if k.startswith(root) else k for k in old_keys}
-    merged = upsert(affected, src, keys, max_broadcast_rows=max_broadcast_rows)
-    return _write_folders(merged, path, parts, version, meta["partitions"], touched, props)
+    if not parts:
+        return _commit(upsert(target, src, keys, null_safe), path, parts, meta,
+                       set(meta["partitions"]), props)
+    if null_safe:
+        raise ValueError("NULL keys match on unpartitioned tables only")
+    holding = (target.select(*keys, *[c for c in parts if c not in keys])
+               .where(_key_range(src, keys))
+               .join(source_keys(src, keys), list(keys), "left_semi"))
+    touched = distinct_partitions(src.select(*parts).unionByName(holding.select(*parts)), parts)
+    affected = _read_folders(spark, path, dict(meta, partitions={
+        k: v for k, v in meta["partitions"].items() if k in touched}))
+    return _commit(upsert(affected, src, keys), path, parts, meta, touched, props)
 
 
 def rewrite_layout(spark: SparkSession, path: str, sort_cols: Sequence[str],
-                   target_file_bytes: int = DEFAULT_FILE_BYTES) -> int:
+                   target_file_bytes: int = DEFAULT_FILE_BYTES,
+                   only: Iterable[str] | None = None) -> int:
     """Compact and cluster: rows range-partitioned and sorted on
     ``partition columns + sort_cols`` into files of about
     ``target_file_bytes``, so Parquet min/max statistics skip row groups on
-    the sort columns. Rows are unchanged; returns the new version."""
+    the sort columns. Only the partitions written since their last rewrite are
+    touched (or those in ``only``); rows and content ids are unchanged. Returns
+    the version, the current one if nothing was to do."""
     meta = table_meta(spark, path)
     parts = meta["partition_columns"]
+    laid_out = {k: v["at"] for k, v in meta["partitions"].items() if v["at"] != v["content"]}
+    todo = set(only) if only is not None else set(meta["partitions"]) - set(laid_out)
+    if not todo:
+        return meta["version"]
     order = [*parts, *[c for c in sort_cols if c not in parts]]
-    folders = [_folder(path, k, v) for k, v in meta["partitions"].items()]
-    n = max(1, math.ceil(_bytes_under(spark, folders) / target_file_bytes))
-    laid_out = _read_folders(spark, path, meta).repartitionByRange(n, *order) \
-        .sortWithinPartitions(*order)
-    return _write_folders(laid_out, path, parts, _next_version(spark, path), None, set(),
-                          meta.get("props"), balance=False)
+    size = sum(p["bytes"] for k, p in meta["partitions"].items() if k in todo)
+    rows = (read_partitions(spark, path, todo)
+            .repartitionByRange(max(1, math.ceil(size / target_file_bytes)), *order)
+            .sortWithinPartitions(*order))
+    return _commit(rows, path, parts, meta, todo, meta.get("props"), balance=False,
+                   contents={k: p["content"] for k, p in meta["partitions"].items()})
 
 
 def register_table(spark: SparkSession, database: str, name: str, path: str) -> str:
-    """Expose the current version as ``database.name`` (external Parquet
-    table listing exactly the current folders). Re-run after each new
-    version: the entry is re-pointed, the files are untouched."""
+    """Expose the current version as ``database.name`` (external Parquet table
+    listing exactly the current folders). Re-run after each new version: the new
+    entry is built aside and takes the name's place, the files are untouched."""
     meta = table_meta(spark, path)
     schema = T.StructType.fromJson(meta["schema"])
     parts = meta["partition_columns"]
-    full = f"`{database}`.`{name}`"
+    full, aside = f"`{database}`.`{name}`", f"`{database}`.`{name}_{uuid.uuid4().hex[:8]}`"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-    spark.sql(f"DROP TABLE IF EXISTS {full}")
-    data_cols = [f for f in schema.fields if f.name not in parts]
-    part_fields = [schema[p] for p in parts]
+    fields = [*(f for f in schema.fields if f.name not in parts), *(schema[p] for p in parts)]
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
     if not parts:
-        (key, v), = meta["partitions"].items()
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        spark.sql(f"CREATE TABLE {full} ({cols}) USING parquet "
-                  f"LOCATION '{_folder(path, key, v)}'")
-        return f"{database}.{name}"
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
-                     for f in [*data_cols, *part_fields,
-                               T.StructField(VERSION_COL, T.StringType())])
-    pcols = ", ".join(f"`{p}`" for p in [*parts, VERSION_COL])
-    spark.sql(f"CREATE TABLE {full} ({cols}) USING parquet PARTITIONED BY ({pcols}) "
-              f"LOCATION '{path.rstrip('/')}'")
-    specs = []
-    for key, v in meta["partitions"].items():
-        pairs = [kv.split("=", 1) for kv in key.split("/")]
-        spec = ", ".join(f"`{c}` = '{_unescape(val)}'" for c, val in pairs)
-        specs.append(f"PARTITION ({spec}, `{VERSION_COL}` = '{v:08d}') "
-                     f"LOCATION '{_folder(path, key, v)}'")
-    for i in range(0, len(specs), 500):
-        spark.sql(f"ALTER TABLE {full} ADD IF NOT EXISTS " + " ".join(specs[i:i + 500]))
+        (key, p), = meta["partitions"].items()
+        spark.sql(f"CREATE TABLE {aside} ({cols}) USING parquet "
+                  f"LOCATION '{_quoted(_folder(path, key, p['at'], parts))}'")
+    else:
+        pcols = ", ".join(f"`{p}`" for p in parts)
+        spark.sql(f"CREATE TABLE {aside} ({cols}) USING parquet PARTITIONED BY ({pcols}) "
+                  f"LOCATION '{_quoted(path.rstrip('/'))}'")
+        specs = []
+        for key, p in meta["partitions"].items():
+            spec = ", ".join(f"`{c}` = " + ("NULL" if v is None else f"'{_quoted(v)}'")
+                             for c, v in zip(parts, partition_values(key)))
+            specs.append(f"PARTITION ({spec}) "
+                         f"LOCATION '{_quoted(_folder(path, key, p['at'], parts))}'")
+        for i in range(0, len(specs), 500):
+            spark.sql(f"ALTER TABLE {aside} ADD IF NOT EXISTS " + " ".join(specs[i:i + 500]))
+    spark.sql(f"DROP TABLE IF EXISTS {full}")
+    spark.sql(f"ALTER TABLE {aside} RENAME TO {full}")
+    return f"{database}.{name}"
+
+
+def register_appended(spark: SparkSession, database: str, name: str, path: str,
+                      partition_cols: Sequence[str]) -> str:
+    """Expose an append-only table as ``database.name``; its partitions are found
+    by the catalog (re-run to add new ones)."""
+    full = f"`{database}`.`{name}`"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    if not spark.catalog.tableExists(f"{database}.{name}"):
+        schema = read_appended(spark, path, partition_cols).schema
+        fields = [*(f for f in schema.fields if f.name not in partition_cols),
+                  *(schema[p] for p in partition_cols)]
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        spark.sql(f"CREATE TABLE {full} ({cols}) USING parquet PARTITIONED BY "
+                  f"({', '.join(partition_cols)}) LOCATION '{_quoted(path.rstrip('/'))}'")
+    spark.sql(f"MSCK REPAIR TABLE {full}")
     return f"{database}.{name}"
 
 
-def _unescape(s: str) -> str:
-    from urllib.parse import unquote
-    return unquote(s).replace("'", "\\'")
+def _quoted(s: str) -> str:
+    return s.replace("\\", "\\\\").replace("'", "\\'")
 
 
 # --- append-only tables ----------------------------------------------------------
@@ -451,16 +428,18 @@ def read_appended(spark: SparkSession, path: str, string_partitions: Sequence[st
     """Read an append-only table, merging the schemas of its files.
 
     ``partition`` (leading partition columns -> value) restricts listing and
-    schema merging to that sub-folder. Partition values of
+    schema merging to that sub-folder; where it does not exist, the rows are
+    none and the schema is that of one file. Partition values of
     ``string_partitions`` are kept as written (a date folder name must not
     turn into a DATE).
     """
     reader = spark.read.option("mergeSchema", True)
     if partition:
         folder = "/".join([path.rstrip("/"), *(f"{k}={v}" for k, v in partition.items())])
-        if not _exists(spark, folder):
-            return read_appended(spark, path, string_partitions, where).where(F.lit(False))
-        df = reader.option("basePath", path.rstrip("/")).parquet(folder)
+        if _exists(spark, folder):
+            df = reader.option("basePath", path.rstrip("/")).parquet(folder)
+        else:
+            df = spark.read.parquet(path).where(F.lit(False))
     else:
         df = reader.parquet(path)
     df = df.withColumns({c: F.col(c).cast("string") for c in string_partitions

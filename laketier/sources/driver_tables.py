@@ -13,15 +13,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laketier.operators.joins import fits_in_rows
-
 # Tie-breakers that make the dedup order total on this data: several line
 # items of one order share a ship date.
 TIE_BREAKERS = ("_t1", "_t2", "_t3")
 
-# Fixed sizes of the reference tables: 25 nations, 5 regions.
-REFERENCE_TABLE_ROWS = 1_000
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -38,27 +33,21 @@ def order_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders ⋈ customer ⋈ nation ⋈ region ⋈ nation, one row per order.
 
     Joined before ``lineitem`` so that the largest table is shuffled once
-    (on the order key) and nation/region ride along as broadcasts.
+    (on the order key); nation and region are files of a few kilobytes, which
+    Spark broadcasts by their size.
     """
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
                                               "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     nation = spark.read.parquet(f"{sf_dir.rstrip('/')}/nation.parquet")
     region = spark.read.parquet(f"{sf_dir.rstrip('/')}/region.parquet")
-    small_nation = fits_in_rows(nation, REFERENCE_TABLE_ROWS)
-    small_region = fits_in_rows(region, REFERENCE_TABLE_ROWS)
-
-    def maybe_broadcast(df, small):
-        return F.broadcast(df) if small else df
-
-    home = maybe_broadcast(nation.select(
+    home = nation.select(
         F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("home_name"),
-        "n_regionkey"), small_nation)
-    region = maybe_broadcast(region.select(
-        F.col("r_regionkey").alias("n_regionkey"), "r_regionkey", "r_name"), small_region)
-    away = maybe_broadcast(nation.select(
-        F.col("n_nationkey").cast("bigint").alias("away_key"), F.col("n_name").alias("away_name")),
-        small_nation)
+        "n_regionkey")
+    region = region.select(
+        F.col("r_regionkey").alias("n_regionkey"), "r_regionkey", "r_name")
+    away = nation.select(
+        F.col("n_nationkey").cast("bigint").alias("away_key"), F.col("n_name").alias("away_name"))
     return (o.join(c, o.o_custkey == c.c_custkey)
             .join(home, "c_nationkey")
             .join(region, "n_regionkey")

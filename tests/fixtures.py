@@ -1,4 +1,4 @@
-"""Hand-written landed documents for the tests (our own data)."""
+"""Hand-written landed documents for the tests: the API's layout, invented values."""
 
 from __future__ import annotations
 
@@ -6,8 +6,8 @@ import json
 import os
 
 
-def fixture(fid, date, status, home, away, goals, ht=(None, None), league=(39, "Premier League"),
-            season=2024, venue=("Anfield", "Liverpool"), rnd="Regular Season - 10"):
+def fixture(fid, date, status, home, away, goals, ht=(None, None), league=(39, "First Division"),
+            season=2024, venue=("Quay Park", "Northgate"), rnd="Regular Season - 4"):
     """One fixture object in the API's nested layout."""
     return {
         "fixture": {"id": fid, "referee": "R. Eferee", "timezone": "UTC", "date": date,
@@ -26,12 +26,12 @@ def fixture(fid, date, status, home, away, goals, ht=(None, None), league=(39, "
     }
 
 
-# The two matches of the published sample response (2024-11-01, league 39).
+# Two invented matches: a home win and a draw, three and two goals.
 SAMPLE = [
-    fixture(1035065, "2024-11-01T20:00:00+00:00", "FT", (40, "Liverpool"), (42, "Arsenal"),
-            (2, 1), (1, 0)),
-    fixture(1035066, "2024-11-01T17:30:00+00:00", "FT", (49, "Chelsea"),
-            (50, "Manchester City"), (1, 1), (0, 1), venue=("Stamford Bridge", "London")),
+    fixture(700001, "2024-11-01T19:15:00+00:00", "FT", (501, "Northgate"), (502, "Harbour Town"),
+            (3, 0), (2, 0)),
+    fixture(700002, "2024-11-01T16:00:00+00:00", "FT", (503, "Vale Rovers"), (504, "Eastmoor"),
+            (1, 1), (1, 0), venue=("Mill Lane", "Eastmoor")),
 ]
 
 

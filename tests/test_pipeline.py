@@ -21,19 +21,19 @@ def test_daily_run_sample(spark, workdir):
     assert log.where("status = 'SUCCESS'").select("run_id").distinct().count() == 1
 
     # a score correction lands the next day: silver and the fact are updated
-    fixed = [fx.fixture(1035066, "2024-11-01T17:30:00+00:00", "FT", (49, "Chelsea"),
-                        (50, "Manchester City"), (2, 1), (0, 1))]
+    fixed = [fx.fixture(700002, "2024-11-01T17:30:00+00:00", "FT", (503, "Vale Rovers"),
+                        (504, "Eastmoor"), (2, 1), (0, 1))]
     fx.land(landing, "football", "2024-11-02", 39, fx.envelope(fixed, date="2024-11-02"))
     jobs.run_daily(spark, landing, lake_base, "2024-11-02")
     fact = {r.match_id: r for r in tables.read_table(spark, lake.gold("fact_match_stats")).collect()}
-    assert len(fact) == 2 and fact[1035066].match_result == "HOME_WIN"
+    assert len(fact) == 2 and fact[700002].match_result == "HOME_WIN"
     assert tables.read_table(spark, lake.silver).count() == 2
 
     # re-running a date appends bronze again, yet silver stays one row per match
     jobs.run_daily(spark, landing, lake_base, "2024-11-02")
     assert jobs.read_bronze(spark, lake, "2024-11-02").count() == 2
     s = tables.read_table(spark, lake.silver)
-    assert s.count() == 2 and s.where("match_id = 1035066").first().home_goals == 2
+    assert s.count() == 2 and s.where("match_id = 700002").first().home_goals == 2
 
     # only the requested ingest date's folder is listed and read
     day = jobs.read_bronze(spark, lake, "2024-11-01")
@@ -43,12 +43,30 @@ def test_daily_run_sample(spark, workdir):
 
     names = jobs.register_all(spark, lake, prefix="pipeline_test")
     assert spark.table(names[-1]).count() == 2
+    assert spark.table(names[0]).count() == 4  # bronze: every landed version
     jobs.maintain_layout(spark, lake)
+    assert jobs.refresh_fact(spark, lake)["fact_partitions_rebuilt"] == 0
     assert tables.read_table(spark, lake.silver).count() == 2
     assert jobs.expire_old_versions(spark, lake, keep=1)["silver"] > 0
     assert tables.read_table(spark, lake.silver).count() == 2
 
 
+def test_gold_with_no_season_and_expired_versions(spark, workdir):
+    landing, lake_base = f"{workdir}/landing", f"{workdir}/lake"
+    lake = jobs.Lake(lake_base)
+    for day, goals in (("2024-11-01", (1, 0)), ("2024-11-02", (2, 2)), ("2024-11-03", (0, 3))):
+        recs = [fx.fixture(1, "2024-11-01T20:00:00+00:00", "FT", (1, "A"), (2, "B"), goals),
+                fx.fixture(2, "2024-11-01T20:00:00+00:00", "FT", (3, "C"), (4, "D"), goals,
+                           season=None)]
+        fx.land(landing, "football", day, 39, fx.envelope(recs, date=day))
+        jobs.run_daily(spark, landing, lake_base, day)
+        tables.expire_versions(spark, lake.silver, keep=1)
+    teams = tables.read_table(spark, lake.gold("dim_team")).collect()
+    assert sorted((r.team_id, r.season or 0) for r in teams) == [(1, 2024), (2, 2024), (3, 0), (4, 0)]
+    fact = tables.read_table(spark, lake.gold("fact_match_stats")).collect()
+    assert sorted((r.match_id, r.total_goals) for r in fact) == [(1, 3), (2, 3)]
+
+
 def test_critical_failure_stops_before_gold(spark, workdir):
     landing, lake_base = f"{workdir}/landing", f"{workdir}/lake"
     no_team = fx.fixture(5, "2024-11-01T20:00:00+00:00", "FT", (None, "Ghost"), (2, "B"), (1, 0))
@@ -66,18 +84,23 @@ def test_stream_merges_each_batch(spark, workdir):
             for i in range(1, 6)]
     fx.land_records(f"{workdir}/landing", "football", "2024-11-01", 39, recs)
     silver_path = f"{workdir}/silver"
-    q = start_silver_stream(spark, root, silver_path, name="t_stream_a")
+    q = start_silver_stream(spark, root, silver_path, name="t_stream_a",
+                            quarantine_path=f"{workdir}/bad")
     q.awaitTermination()
     assert tables.read_table(spark, silver_path).count() == 5
     # a later file updates one match and adds one
     more = [fx.fixture(3, "2024-11-01T20:00:00+00:00", "FT", (1, "A"), (2, "B"), (9, 0)),
             fx.fixture(6, "2024-11-01T20:00:00+00:00", "FT", (1, "A"), (2, "B"), (0, 0))]
     fx.land_records(f"{workdir}/landing", "football", "2024-11-02", 39, more)
-    q = start_silver_stream(spark, root, silver_path, name="t_stream_a")
+    fx.land(f"{workdir}/landing", "football", "2024-11-02", 40, text='{"fixture": {"id": 7, "da\n')
+    q = start_silver_stream(spark, root, silver_path, name="t_stream_a",
+                            quarantine_path=f"{workdir}/bad")
     q.awaitTermination()
     s = tables.read_table(spark, silver_path)
     assert s.count() == 6 and s.where("match_id = 3").first().home_goals == 9
     assert s.where(F.col("match_id") == 3).first().match_result == "HOME_WIN"
+    bad = spark.read.parquet(f"{workdir}/bad").collect()  # the truncated line is kept aside
+    assert len(bad) == 1 and "league_40" in bad[0]["_source_file"]
 
 
 def test_fact_refresh_rebuilds_only_changed_partitions(spark, workdir):
@@ -108,7 +131,7 @@ def test_fact_refresh_rebuilds_only_changed_partitions(spark, workdir):
     assert sorted(map(tuple, got.select(*want.columns).collect())) == \
         sorted(map(tuple, want.collect()))
     # nothing changed in silver: nothing is rebuilt
-    assert jobs.refresh_fact(spark, lake)[1] == 0
+    assert jobs.refresh_fact(spark, lake)["fact_partitions_rebuilt"] == 0
     # the incrementally kept dimensions equal a rebuild from all of silver
     s_all = tables.read_table(spark, lake.silver)
     for name, build in (("dim_team", gold.dim_team), ("dim_date", gold.dim_date)):

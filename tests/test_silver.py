@@ -22,16 +22,16 @@ def bronze(spark, records, ingest="2024-11-02 06:00:00", files=None):
 
 def test_sample_matches(spark):
     out = {r.match_id: r for r in silver.silver_matches(bronze(spark, fx.SAMPLE)).collect()}
-    a, b = out[1035065], out[1035066]
-    assert (a.home_team_id, a.away_team_id, a.home_goals, a.away_goals) == (40, 42, 2, 1)
-    assert (a.ht_home_goals, a.ht_away_goals, a.match_result, a.total_goals) == (1, 0, "HOME_WIN", 3)
-    assert (b.match_result, b.total_goals, b.ht_home_goals, b.ht_away_goals) == ("DRAW", 2, 0, 1)
+    a, b = out[700001], out[700002]
+    assert (a.home_team_id, a.away_team_id, a.home_goals, a.away_goals) == (501, 502, 3, 0)
+    assert (a.ht_home_goals, a.ht_away_goals, a.match_result, a.total_goals) == (2, 0, "HOME_WIN", 3)
+    assert (b.match_result, b.total_goals, b.ht_home_goals, b.ht_away_goals) == ("DRAW", 2, 1, 0)
     assert str(a.match_date) == "2024-11-01"
     fact = {r.match_id: r for r in gold.fact_match_stats(
         silver.silver_matches(bronze(spark, fx.SAMPLE))).collect()}
-    assert (fact[1035065].home_team_points, fact[1035065].away_team_points) == (3, 0)
-    assert (fact[1035066].home_team_points, fact[1035066].away_team_points) == (1, 1)
-    assert fact[1035065].goal_difference == 1
+    assert (fact[700001].home_team_points, fact[700001].away_team_points) == (3, 0)
+    assert (fact[700002].home_team_points, fact[700002].away_team_points) == (1, 1)
+    assert fact[700001].goal_difference == 3
 
 
 def test_silver_schema(spark):
@@ -90,11 +90,11 @@ def test_ties_are_broken_deterministically(spark):
 
 def test_trims_names_but_not_city_or_round(spark):
     rec = fx.fixture(3, "2024-11-01T20:00:00+00:00", "FT", (1, "  Home FC "), (2, " Away "),
-                     (1, 1), league=(39, " Premier League "), venue=(" Ground ", " City "),
+                     (1, 1), league=(39, "  First Division "), venue=(" Ground ", " City "),
                      rnd=" Round 1 ")
     r = silver.silver_matches(bronze(spark, [rec])).collect()[0]
     assert (r.home_team_name, r.away_team_name, r.league_name, r.venue_name) == \
-        ("Home FC", "Away", "Premier League", "Ground")
+        ("Home FC", "Away", "First Division", "Ground")
     assert (r.venue_city, r.round) == (" City ", " Round 1 ")
 
 

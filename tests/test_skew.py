@@ -33,7 +33,7 @@ def test_upsert_shuffle_path_with_many_null_keys(spark):
         F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id")).cast("long").alias("k"),
         F.lit(0).alias("v"))
     source = spark.range(0, N, 2).select(F.col("id").alias("k"), F.lit(1).alias("v"))
-    out = upsert(target, source, ["k"], broadcast_keys=False)
+    out = upsert(target, source, ["k"])
     assert out.where(F.col("k").isNull()).count() == N // 3
     got = out.where(F.col("k").isNotNull()).groupBy("v").count().collect()
     updated_or_new = N // 2

@@ -21,10 +21,13 @@ def as_set(d):
 def test_update_insert_keep(spark):
     target = df(spark, [(1, 10, 2024, 0), (2, 10, 2024, 1), (3, 20, 2024, 2)])
     source = df(spark, [(2, 10, 2024, 5), (4, 20, 2024, 1)])
-    for bc in (True, False):
-        out = upsert(target, source, ["id"], broadcast_keys=bc)
-        assert as_set(out) == [(1, 10, 2024, 0), (2, 10, 2024, 5), (3, 20, 2024, 2),
-                               (4, 20, 2024, 1)]
+    for limit in ("10485760", "-1"):  # by broadcast and by shuffle
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            out = as_set(upsert(target, source, ["id"]))
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert out == [(1, 10, 2024, 0), (2, 10, 2024, 5), (3, 20, 2024, 2), (4, 20, 2024, 1)]
 
 
 def test_null_keys_never_match(spark):
@@ -40,7 +43,7 @@ def test_duplicate_source_key_fails(spark):
     target = df(spark, [(1, 10, 2024, 0)])
     source = df(spark, [(1, 10, 2024, 1), (1, 10, 2024, 2)])
     with pytest.raises(PySparkException, match="duplicate key"):
-        upsert(target, source, ["id"], broadcast_keys=False).collect()
+        upsert(target, source, ["id"]).collect()
 
 
 def test_missing_column_fails(spark):
@@ -62,19 +65,29 @@ def test_idempotent(spark):
     assert as_set(upsert(once, source, ["id"])) == as_set(once)
 
 
-def test_broadcast_behind_probe(spark):
+def test_null_safe_keys_match_each_other(spark):
+    target = df(spark, [(None, 10, 2024, 0), (1, 10, None, 0)])
+    source = df(spark, [(None, 11, 2024, 9), (2, 10, None, 1)])
+    assert as_set(upsert(target, source, ["id", "season"], null_safe=True).fillna(-1)) == [
+        (-1, 11, 2024, 9), (1, 10, -1, 0), (2, 10, -1, 1)]
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_spark_picks_the_join_by_the_size_of_the_written_source(spark):
+    from laketier.session import staged
     target = df(spark, [(i, 10, 2024, 0) for i in range(50)])
-    source = df(spark, [(1, 10, 2024, 5)])
-    # keep Spark's own size-based broadcast out of the way: only our probe decides
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    source = staged(df(spark, [(1, 10, 2024, 5)]), "test")
+    assert "BroadcastHashJoin" in plan_of(upsert(target, source, ["id"]))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
     try:
-        small = upsert(target, source, ["id"])._jdf.queryExecution().executedPlan().toString()
-        big = upsert(target, source, ["id"], max_broadcast_rows=0)._jdf.queryExecution() \
-            .executedPlan().toString()
+        plan = plan_of(upsert(target, source, ["id"]))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "BroadcastHashJoin" in small and "LeftAnti" in small
-    assert "BroadcastHashJoin" not in big and "SortMergeJoin" in big and "LeftAnti" in big
+    assert "BroadcastHashJoin" not in plan and "LeftAnti" in plan
+    assert "SinglePartition" not in plan and "Limit" not in plan
 
 
 def test_table_first_run_then_merge_with_partition_move(spark, workdir):
@@ -100,39 +113,89 @@ def test_first_run_rejects_duplicates(spark, workdir):
     assert not tables.table_exists(spark, f"{workdir}/t")
 
 
-def test_uncommitted_version_is_ignored(spark, workdir):
-    path = f"{workdir}/t"
-    tables.write_version(df(spark, [(1, 10, 2024, 0)]), path)
-    # a crashed writer leaves version folders but no manifest
-    import os
-    os.makedirs(f"{path}/v=00000002")
+def fail_commit(monkeypatch):
+    def broken(*args):
+        raise OSError("lost before the manifest")
+    monkeypatch.setattr(tables, "_create_text", broken)
+
+
+def test_failed_write_leaves_nothing_behind(spark, workdir, monkeypatch):
+    path, parts = f"{workdir}/t", ["league", "season"]
+    tables.upsert_table(df(spark, [(1, 10, 2024, 0), (2, 10, 2024, 0)]), path, ["id"], parts)
+    with monkeypatch.context() as m:
+        fail_commit(m)
+        with pytest.raises(OSError):
+            tables.upsert_table(df(spark, [(1, 10, 2024, 7), (3, 10, 2024, 7)]), path, ["id"], parts)
     assert tables.current_version(spark, path) == 1
-    assert tables.write_version(df(spark, [(2, 10, 2024, 0)]), path) == 3
-    assert as_set(tables.read_table(spark, path)) == [(2, 10, 2024, 0)]
+    assert tables.upsert_table(df(spark, [(1, 10, 2024, 9)]), path, ["id"], parts) == 2
+    assert as_set(tables.read_table(spark, path)) == [(1, 10, 2024, 9), (2, 10, 2024, 0)]
+
+
+def test_second_of_two_writers_fails_and_leaves_no_rows(spark, workdir, monkeypatch):
+    path, parts = f"{workdir}/t", ["league", "season"]
+    tables.upsert_table(df(spark, [(1, 10, 2024, 0)]), path, ["id"], parts)
+    written, first = tables._written, []
+
+    def overtaken(*args):  # another writer commits between this one's write and its manifest
+        if not first:
+            first.append(1)
+            tables.upsert_table(df(spark, [(1, 10, 2024, 5)]), path, ["id"], parts)
+        return written(*args)
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_written", overtaken)
+        with pytest.raises(tables.CommitConflict):
+            tables.upsert_table(df(spark, [(1, 10, 2024, 6), (2, 10, 2024, 6)]), path, ["id"], parts)
+    assert as_set(tables.read_table(spark, path)) == [(1, 10, 2024, 5)]
+
+
+def test_keys_move_between_partitions_with_odd_values(spark, workdir):
+    path = f"{workdir}/t"
+    values = ["a b", "x:y", "a%b", "50%25", "é/ü", "q?*", "[x]{y}^", "1=2", "it's", None, "plain"]
+
+    def frame(rows):
+        return spark.createDataFrame(rows, "id int, p string, n int")
+    tables.upsert_table(frame([(i, v, 0) for i, v in enumerate(values)]), path, ["id"], ["p"])
+    # every row moves to the next value's partition, every value is left once
+    moved = values[1:] + values[:1]
+    tables.upsert_table(frame([(i, v, 1) for i, v in enumerate(moved)]), path, ["id"], ["p"])
+    got = {r.id: (r.p, r.n) for r in tables.read_table(spark, path).collect()}
+    assert tables.read_table(spark, path).count() == len(values)
+    assert got == {i: (v, 1) for i, v in enumerate(moved)}
+    tables.upsert_table(frame([(i, "plain", 2) for i in range(len(values))]), path, ["id"], ["p"])
+    assert set(tables.table_meta(spark, path)["partitions"]) == {'["plain"]'}
+    assert tables.read_table(spark, path).where("p = 'plain' AND n = 2").count() == len(values)
+
+
+def test_merge_touching_thousands_of_partitions(spark, workdir):
+    path, n = f"{workdir}/t", 1500
+    rows = spark.range(n).select(F.col("id").cast("int").alias("id"),
+                                 F.col("id").cast("int").alias("p"), F.lit(0).alias("v"))
+    tables.upsert_table(rows.coalesce(4), path, ["id"], ["p"])
+    tables.upsert_table(rows.withColumn("v", F.lit(1)).coalesce(4), path, ["id"], ["p"])
+    got = tables.read_table(spark, path)
+    assert got.count() == n and got.where("v = 1").count() == n
 
 
 def test_merge_rewrites_only_affected_partitions(spark, workdir):
-    import json
-    import os
     path = f"{workdir}/t"
     rows = [(i, i % 4, 2024, 0) for i in range(40)]
     tables.upsert_table(df(spark, rows), path, ["id"], ["league"])
+    before = tables.table_meta(spark, path)["partitions"]
     # key 5 lives in league 1 and moves to league 2; key 100 is new in league 2
     tables.upsert_table(df(spark, [(5, 2, 2024, 9), (100, 2, 2024, 1)]), path, ["id"],
                         ["league"])
-    meta = tables.table_meta(spark, path)
-    assert meta["partitions"] == {"league=0": 1, "league=1": 2, "league=2": 2, "league=3": 1}
+    after = tables.table_meta(spark, path)["partitions"]
+    assert {k for k in after if after[k] != before[k]} == {'["1"]', '["2"]'}
+    assert tables.changes(tables.contents(spark, path), {k: v["content"] for k, v in before.items()}
+                          ) == ({'["1"]', '["2"]'}, set())
     got = dict((r.id, (r.league, r.goals)) for r in tables.read_table(spark, path).collect())
     assert len(got) == 41 and got[5] == (2, 9) and got[100] == (2, 1)
-    # league 3 was carried by reference: its only folder is still version 1
-    assert sorted(os.listdir(f"{path}/league=3")) == ["v=00000001"]
     # an emptied partition leaves the manifest
     tables.upsert_table(df(spark, [(i, 0, 2024, 0) for i in range(3, 40, 4)]), path, ["id"],
                         ["league"])
-    assert "league=3" not in tables.table_meta(spark, path)["partitions"]
+    assert '["3"]' not in tables.table_meta(spark, path)["partitions"]
     assert tables.read_table(spark, path).where("league = 3").count() == 0
     assert tables.read_table(spark, path).count() == 41
-    assert json.loads(json.dumps(tables.table_meta(spark, path, 1)))["version"] == 1
     # old versions expire once no kept manifest lists them
     gone = tables.expire_versions(spark, path, keep=1)
     assert gone and tables.read_table(spark, path).count() == 41
@@ -156,8 +219,15 @@ def test_layout_rewrite_keeps_rows(spark, workdir):
     path = f"{workdir}/t"
     rows = [(i, i % 3, 2024, i % 5) for i in range(200)]
     tables.write_version(df(spark, rows).repartition(7), path, ["league"])
+    contents = tables.contents(spark, path)
     v = tables.rewrite_layout(spark, path, ["id"], target_file_bytes=1024)
     assert v == 2 and as_set(tables.read_table(spark, path)) == sorted(rows)
+    # rows did not change, and what is laid out is not laid out again
+    assert tables.changes(tables.contents(spark, path), contents) == (set(), set())
+    assert tables.rewrite_layout(spark, path, ["id"]) == 2
+    tables.upsert_table(df(spark, [(0, 0, 2024, 99)]), path, ["id"], ["league"])
+    assert tables.rewrite_layout(spark, path, ["id"]) == 4
+    assert tables.changes(tables.contents(spark, path), contents)[0] == {'["0"]'}
 
 
 def test_partition_filter_is_pruned(spark, workdir):
@@ -178,3 +248,14 @@ def test_register_table(spark, workdir):
     tables.upsert_table(df(spark, [(3, 30, 2024, 1)]), path, ["id"], ["league"])
     tables.register_table(spark, "laketier_test", "t1", path)
     assert spark.table(name).count() == 3
+
+
+def test_register_empty_and_null_partitions(spark, workdir):
+    tables.write_version(df(spark, []), f"{workdir}/empty")
+    name = tables.register_table(spark, "laketier_test", "t2", f"{workdir}/empty")
+    assert spark.table(name).count() == 0
+    tables.write_version(df(spark, [(1, None, 2024, 0), (2, 20, 2024, 1)]), f"{workdir}/nulls",
+                         ["league"])
+    name = tables.register_table(spark, "laketier_test", "t3", f"{workdir}/nulls")
+    assert as_set(spark.table(name).select("id").where("league IS NULL")) == [(1,)]
+    assert spark.table(name).count() == 2
