@@ -22,7 +22,7 @@ import logging
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 log = logging.getLogger(__name__)
@@ -82,10 +82,10 @@ SILVER_SUITE: list[Rule] = [
 ]
 
 
-def load_suite(path: str) -> list[Rule]:
-    """Read a suite file: ``{"expectations": [{expectation_type, kwargs, meta}]}``."""
-    with open(path) as fh:
-        doc = json.load(fh)
+def load_suite(spark: SparkSession, path: str) -> list[Rule]:
+    """Read a suite file, wherever Spark reads from: ``{"expectations":
+    [{expectation_type, kwargs, meta}]}``."""
+    doc = json.loads(spark.read.text(path, wholetext=True).first()[0])
     rules = []
     for i, exp in enumerate(doc["expectations"], start=1):
         kw = exp.get("kwargs", {})
@@ -204,6 +204,42 @@ def evaluate(df: DataFrame, rules: Sequence[Rule] = SILVER_SUITE) -> DataFrame:
     return out.orderBy("rule_id")
 
 
+ADDITIVE = (NOT_NULL, BETWEEN, IN_SET, REGEX, ROW_COUNT)
+
+
+def counts_by(df: DataFrame, rules: Sequence[Rule], by: Sequence[Column]) -> DataFrame:
+    """Evaluated (``e<id>``) and unexpected (``u<id>``) rows of every additive rule on
+    a present column, per group: counts of parts add up to those of the whole."""
+    aggs = []
+    for r in rules:
+        if r.expectation_type not in ADDITIVE or (r.column and r.column not in df.columns):
+            continue
+        c = F.col(r.column) if r.column else None
+        if r.expectation_type == ROW_COUNT:
+            pair = F.count(F.lit(1)), F.lit(0)
+        elif r.expectation_type == NOT_NULL:
+            pair = F.count(F.lit(1)), F.count_if(c.isNull())
+        else:
+            pair = F.count(c), F.count_if(_unexpected(r, c))
+        aggs += [x.cast("bigint").alias(f"{n}{r.rule_id}") for n, x in zip("eu", pair)]
+    return df.groupBy(*by).agg(*aggs)
+
+
+def result(rule: Rule, columns: Sequence[str], evaluated: int | None, unexpected: int | None
+           ) -> dict:
+    """The result row of one rule from its counts."""
+    out = {"rule_id": rule.rule_id, "expectation_type": rule.expectation_type,
+           "column": rule.column, "severity": rule.severity, "evaluated": None, "unexpected": None}
+    if rule.expectation_type == EXISTS or (rule.column and rule.column not in columns):
+        return {**out, "success": rule.expectation_type == EXISTS and rule.column in columns}
+    if rule.expectation_type == ROW_COUNT:
+        ok = ((rule.min_value is None or evaluated >= rule.min_value)
+              and (rule.max_value is None or evaluated <= rule.max_value))
+        return {**out, "evaluated": evaluated, "success": ok}
+    ok = evaluated == 0 or (evaluated - unexpected) / evaluated >= rule.mostly
+    return {**out, "evaluated": evaluated, "unexpected": unexpected, "success": ok}
+
+
 def gate_actions(results: DataFrame, fail_on: Sequence[str] = (CRITICAL,)) -> DataFrame:
     """Result rows with the gate's decision: ``stop`` (failed, blocking),
     ``warn`` (failed, logged) or ``pass``."""

@@ -13,11 +13,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from laketier import schemas as S
 from laketier.operators import gold, quality, silver
+from laketier.plans.gate import evaluate_changed
 from laketier.plans.metrics import observe_rows, observed_rows
 from laketier.sinks import tables
 from laketier.sources import landing
@@ -49,6 +50,10 @@ class Lake:
     def gold(self, table: str) -> str:
         return self._p("gold", table)
 
+    @property
+    def gate(self) -> str:
+        return self._p("_gate", self.sport)
+
     @property
     def run_log(self) -> str:
         return self._p("_run_log")
@@ -67,10 +72,11 @@ def ingest_bronze(spark: SparkSession, landing_base: str, lake: Lake, ingest_dat
     """
     raw = landing.read_landed(spark, landing.landing_path(landing_base, lake.sport, ingest_date),
                               shape)
-    rows = landing.with_bronze_audit(landing.fixture_rows(raw, shape), ingest_date, lake.sport)
+    found = landing.fixture_rows(raw, shape)
+    rows = landing.with_bronze_audit(found.where(landing.identified()), ingest_date, lake.sport)
     rows, obs = observe_rows(rows, "bronze")
     tables.append(rows, lake.bronze, S.BRONZE_PARTITIONS)
-    bad = landing.corrupt_rows(raw, shape).withColumns(
+    bad = landing.corrupt_rows(raw, shape).unionByName(landing.unidentified_rows(found)).withColumns(
         {"_ingest_date": F.lit(ingest_date), "_ingest_timestamp": F.current_timestamp()})
     bad, bad_obs = observe_rows(bad, "quarantine")
     tables.append(bad, lake.quarantine, ["_ingest_date"])
@@ -97,8 +103,10 @@ def build_silver(spark: SparkSession, lake: Lake, ingest_date: str,
 
 def check_silver(spark: SparkSession, lake: Lake,
                  rules: Sequence[quality.Rule] = quality.SILVER_SUITE) -> list[dict]:
-    """Quality gate on the merged silver table; raises on a failed CRITICAL rule."""
-    return quality.gate(quality.evaluate(tables.read_table(spark, lake.silver), rules))
+    """Quality gate on the merged silver table; raises on a failed CRITICAL rule. Only
+    the partitions changed since the last gate are evaluated."""
+    results = evaluate_changed(spark, lake.silver, lake.gate, rules)
+    return quality.gate([Row(**r) for r in results])
 
 
 def build_gold(spark: SparkSession, lake: Lake) -> dict:

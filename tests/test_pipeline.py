@@ -156,3 +156,14 @@ def test_silver_reads_only_used_nested_fields(spark, workdir):
         assert used in read
     for unused in ("referee", "logo", "extratime", "penalty", "periods"):
         assert unused not in read
+
+
+def test_ids_that_are_no_int_are_quarantined(spark, workdir):
+    landing, lake = f"{workdir}/landing", jobs.Lake(f"{workdir}/lake")
+    recs = [fx.fixture(i, "2024-11-01T20:00:00+00:00", "FT", (1, "A"), (2, "B"), (1, 0))
+            for i in (1, 2, 2**31, 2**40, None)]
+    fx.land(landing, "football", "2024-11-01", 39, fx.envelope(recs))
+    out = jobs.run_daily(spark, landing, lake.base, "2024-11-01")
+    assert (out["bronze"], out["quarantined"], out["silver_batch"]) == (2, 3, 2)
+    kept = [r["_corrupt_record"] for r in spark.read.parquet(lake.quarantine).collect()]
+    assert sum(str(2**40) in k for k in kept) == 1

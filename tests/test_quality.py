@@ -48,7 +48,7 @@ def test_gate_warning_continues_critical_stops(spark):
     assert e.value.failed[0]["rule_id"] == 2
 
 
-def test_suite_file_loads(tmp_path):
+def test_suite_file_loads(spark, tmp_path):
     import json
     doc = {"expectations": [
         {"expectation_type": Q.NOT_NULL, "kwargs": {"column": "a", "mostly": 0.5},
@@ -56,7 +56,7 @@ def test_suite_file_loads(tmp_path):
         {"expectation_type": Q.ROW_COUNT, "kwargs": {"min_value": 1, "max_value": 9}}]}
     p = tmp_path / "suite.json"
     p.write_text(json.dumps(doc))
-    rules = Q.load_suite(str(p))
+    rules = Q.load_suite(spark, str(p))
     assert rules[0].mostly == 0.5 and rules[0].severity == "CRITICAL"
     assert rules[1].severity == "WARNING" and rules[1].max_value == 9
 
@@ -67,3 +67,33 @@ def test_single_pass_for_value_rules(spark):
              Q.Rule(3, Q.IN_SET, "m", value_set=(1, 2))]
     plan = Q.evaluate(df, rules)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Range (0, 100") == 1  # one scan feeds every rule
+
+
+def test_changed_partitions_give_the_full_evaluation(spark, workdir):
+    from laketier.plans.gate import evaluate_changed
+    from laketier.sinks import tables
+    rules = [Q.Rule(1, Q.NOT_NULL, "v", Q.WARNING, mostly=0.5), Q.Rule(2, Q.UNIQUE, "id", Q.CRITICAL),
+             Q.Rule(3, Q.BETWEEN, "v", Q.WARNING, min_value=0, max_value=5),
+             Q.Rule(4, Q.ROW_COUNT, None, Q.WARNING, min_value=1, max_value=9),
+             Q.Rule(5, Q.EXISTS, "p", Q.WARNING), Q.Rule(6, Q.NOT_NULL, "absent", Q.WARNING)]
+    path, state = f"{workdir}/t", f"{workdir}/gate"
+
+    def frame(rows):
+        return spark.createDataFrame(rows, "id int, p string, v int")
+
+    def same():
+        full = [r.asDict() for r in Q.evaluate(tables.read_table(spark, path), rules).collect()]
+        assert evaluate_changed(spark, path, state, rules) == full
+
+    tables.write_version(frame([(i, "a b" if i % 2 else None, i) for i in range(8)]), path, ["p"])
+    same()
+    tables.upsert_table(frame([(3, "c", None), (9, "c", -1)]), path, ["id"], ["p"])
+    same()
+    # a copy of a key of an untouched partition is found, and stays found when left alone
+    tables.replace_partitions(frame([(0, "c", 1), (9, "c", 1)]), path, ["p"], {'["c"]'})
+    same()
+    tables.replace_partitions(frame([(50, "d", 1)]), path, ["p"], {'["d"]'})
+    same()
+    tables.replace_partitions(frame([(9, "c", 1)]), path, ["p"], {'["c"]'})
+    same()
+    same()
