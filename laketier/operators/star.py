@@ -57,30 +57,30 @@ def team_table(fact: DataFrame, dim_team: DataFrame) -> DataFrame:
     return named.groupBy("team_name").agg(*[F.sum(c).alias(c) for c in sums])
 
 
-def _missing(rows: DataFrame, dim_keys: DataFrame, keys: list[str], label: str) -> DataFrame:
-    """Rows of ``rows`` whose ``keys`` are absent from ``dim_keys``.
-
-    The anti join runs on the distinct fact keys (a hot key is one row after
-    the partial aggregate); the fact is then filtered by the missing keys. NULL
-    keys never match a dimension row and count as missing.
-    """
-    not_null = F.lit(True)
-    for k in keys:
-        not_null = not_null & F.col(k).isNotNull()
-    missing = rows.select(*keys).where(not_null).distinct().join(dim_keys, keys, "left_anti")
-    hit = rows.join(missing, keys, "left_semi")
-    return hit.unionByName(rows.where(~not_null)).select(
-        "match_id", F.lit(label).alias("missing"))
-
-
 def orphans(fact: DataFrame, dim_team: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Fact rows whose dimension key is missing: ``(match_id, missing)`` with
-    ``missing`` in home_team / away_team / date. Empty when the star is whole."""
-    team_keys = dim_team.select("team_id", "season")
-    parts = []
-    for side in ("home", "away"):
-        keyed = fact.select("match_id", F.col(f"{side}_team_id").alias("team_id"), "season")
-        parts.append(_missing(keyed, team_keys, ["team_id", "season"], f"{side}_team"))
-    dates = dim_date.select(F.col("date").alias("match_date"))
-    parts.append(_missing(fact.select("match_id", "match_date"), dates, ["match_date"], "date"))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    ``missing`` in home_team / away_team / date. Empty when the star is whole.
+
+    What is missing is found among the *distinct* keys of the fact (a hot key is
+    one row after the partial aggregate, both team roles are read in one pass) and
+    joined back to the fact: few rows, none in a whole star. NULL keys never match
+    a dimension row and count as missing.
+    """
+    def role(side: str):
+        return F.struct(F.col(f"{side}_team_id").alias("team_id"), F.col("season"))
+
+    teams = (fact.select(F.inline(F.array(role("home"), role("away")))).distinct()
+             .join(dim_team.select("team_id", "season"), ["team_id", "season"], "left_anti"))
+    dates = (fact.select("match_date").distinct()
+             .join(dim_date.select(F.col("date").alias("match_date")), "match_date", "left_anti"))
+    out, flags = fact, []
+    for label, missing, keys in (("home_team", teams, ("home_team_id", "season")),
+                                 ("away_team", teams, ("away_team_id", "season")),
+                                 ("date", dates, ("match_date",))):
+        own = [f"_{label}_{i}" for i in range(len(keys))]
+        gone = missing.select(*[F.col(c).alias(o) for c, o in zip(missing.columns, own)],
+                              F.lit(label).alias(f"_{label}"))
+        same = [F.col(k).eqNullSafe(F.col(o)) for k, o in zip(keys, own)]
+        out = out.join(gone, same, "left")
+        flags.append(F.col(f"_{label}"))
+    return out.select("match_id", F.explode(F.array_compact(F.array(*flags))).alias("missing"))

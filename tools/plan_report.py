@@ -18,7 +18,8 @@ QUERIES = [
     "silver_finished_only", "silver_dedup_latest", "gold_dim_team", "gold_dim_date",
     "agg_league_season_summary", "star_join_date", "star_join_teams", "star_orphans",
     "merge_upsert_matches", "dq_suite_results", "dedup_latest_event_per_user",
-    "src_scan_with_predicate", "src_incremental_partition",
+    "src_scan_with_predicate", "src_incremental_partition", "star_rows_teams",
+    "merge_upsert_composite_key", "dq_unique",
 ]
 
 PATTERNS = {
@@ -44,6 +45,7 @@ def main() -> None:
     from laketier.session import local_session
 
     spark = local_session()
+    spark.conf.set("spark.sql.maxMetadataStringLength", "4000")
     lines = ["# Final physical plans (post-AQE)", "",
              f"Generated by `tools/plan_report.py {sf_dir}` on local mode; counts are plan "
              "nodes in the executed adaptive plan.", "",
@@ -61,7 +63,7 @@ def main() -> None:
             text = m.group(0)
             pf = re.search(r"PartitionFilters: \[[^\]]*\]", text)
             pushed = re.search(r"PushedFilters: \[[^\]]*\]", text)
-            loc = re.search(r"Location: \w+ \[([^\]]*)\]", text)
+            loc = re.search(r"Location: \w+\s*(?:\(\d+ paths?\))?\s*\[([^\]]*)\]", text)
             where = os.path.basename(loc.group(1).split(",")[0]) if loc else "?"
             scans.append(f"| `{name}` | {where} | {pf.group(0) if pf else ''} | "
                          f"{pushed.group(0) if pushed else ''} |")
