@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 import zipfile
 import zlib
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,5 +73,22 @@ def ascii_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "replace").lower().split() if text else []
 
 
+def task(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """A function for ``mapInArrow`` that gives memory back when its task ends: Spark
+    keeps the worker for later tasks, and what allocators hold on to would add up over
+    the operators it has served."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # not glibc
+                pass
+    return wrapped
+
+
 def crc32(data: bytes) -> int:
     return zlib.crc32(data) & 0xFFFFFFFF

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from laketier.llm.common import remainder, ship_package
+from laketier.llm.common import remainder, ship_package, task
 from laketier.llm.tokens import slices, split_blanks
 
 SAMPLE = 3000
@@ -145,7 +145,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, buckets: int = BUCKETS) -> Model:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams_of, scripts_of = {}, {}
         for batch in batches:
-            for part in slices(batch, "text", 4 << 20):
+            for part in slices(batch, "text", 2 << 20):
                 words, codes, bounds = lowered(part.column("text"))
                 grams = Grams(words)
                 lang = np.array([index[x] for x in part.column("lang").to_pylist()])
@@ -164,7 +164,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, buckets: int = BUCKETS) -> Model:
                  pa.array(value[at])], ["lang", "at", "n"])
 
     # at most (buckets + scripts) rows per language reach the driver
-    rows = (chosen.select("text", "lang").mapInArrow(count, "lang int, at int, n double")
+    rows = (chosen.select("text", "lang").mapInArrow(task(count), "lang int, at int, n double")
             .groupBy("lang", "at").agg(F.sum("n").alias("n")).toArrow())
     value = np.zeros((len(languages), buckets + N_SCRIPTS))
     value[rows["lang"].to_numpy(), rows["at"].to_numpy()] = rows["n"].to_numpy()
@@ -280,11 +280,11 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 4 << 20):
+            for part in slices(batch, "text", 2 << 20):
                 yield label(part)
 
     return (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text")).mapInArrow(
-        run, "doc_id bigint, lang_pred string, score double, "
+        task(run), "doc_id bigint, lang_pred string, score double, "
              "spans array<struct<first_word:int,words:int,lang:string>>"))
 
 

@@ -44,7 +44,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from laketier.llm.common import remainder, ship_package, staged
+from laketier.llm.common import remainder, ship_package, staged, task
 from laketier.llm.tokens import slices, split_blanks
 
 FREQUENT = 500
@@ -137,7 +137,7 @@ def coded_texts(docs: DataFrame) -> DataFrame:
         if block.bytes:
             yield from dictionary(block)
 
-    return docs.mapInArrow(run, CODED)
+    return docs.mapInArrow(task(run), CODED)
 
 
 # --- counts and classes ---------------------------------------------------------------------
@@ -240,7 +240,7 @@ def scored_texts(coded: DataFrame, replies: DataFrame, counts: Counts) -> DataFr
     both = rows.unionByName(coded.where("kind = 1").select(
         "kind", "block", empty.cast("int").alias("place"), empty.cast("bigint").alias("n"),
         empty.cast("int").alias("c"), "doc_id", "held_out", "codes"))
-    return both.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(run, SCORED)
+    return both.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(task(run), SCORED)
 
 
 def within(n: np.ndarray, kind: np.ndarray, counts: Counts) -> np.ndarray:
@@ -390,10 +390,10 @@ def fit(texts: DataFrame, counts: Counts, rounds: int = ROUNDS) -> Model:
 
         schema = "tokens bigint, model binary, squares binary"
         mine = learn.where(F.pmod(F.xxhash64("doc_id", "classes"), F.lit(rounds)) == k)
-        trained = mine.mapInArrow(run, schema)
+        trained = mine.mapInArrow(task(run), schema)
         # means of means: what reaches the driver grows with the square root of the corpus
         groups = max(1, int((counts.tokens / TASK_TOKENS) ** 0.5))
-        rows = (trained.repartition(groups).mapInArrow(mean, schema)
+        rows = (trained.repartition(groups).mapInArrow(task(mean), schema)
                 .sort("tokens", "model").collect())
         if rows:
             total = sum(r.tokens for r in rows)
@@ -426,7 +426,7 @@ def with_scores(texts: DataFrame, model: Model, counts: Counts) -> DataFrame:
                                                 "base_score")), pa.array(score)],
                     ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
-    return texts.mapInArrow(run, "doc_id bigint, held_out boolean, n_tokens bigint, "
+    return texts.mapInArrow(task(run), "doc_id bigint, held_out boolean, n_tokens bigint, "
                                  "n_known bigint, base_score double, score double").select(
         "doc_id", "held_out", "n_tokens", "n_known",
         F.lit(counts.tokens).cast("bigint").alias("train_tokens"), "base_score", "score")

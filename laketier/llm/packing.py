@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from laketier.llm.common import crc32, ship_package, staged
+from laketier.llm.common import crc32, ship_package, staged, task
 from laketier.llm.token_files import with_end
 from laketier.llm.tokens import Encoder, slices, vocabulary_path
 
@@ -166,9 +166,10 @@ def pack_documents(docs: DataFrame, vocabulary: str | None = None, window: int =
                     yield close()
         if held:
             yield close()
+        encoder.forget()
 
     pieces = staged(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
-                    .mapInArrow(run, PIECES), "pieces")
+                    .mapInArrow(task(run), PIECES), "pieces")
     used = pieces.groupBy("shard").agg(F.max("local_sequence").alias("n")).orderBy("shard").collect()
     starts = accumulate((r.n + 1 for r in used), initial=0)
     offsets = spark.createDataFrame([(r.shard, s) for r, s in zip(used, starts)],

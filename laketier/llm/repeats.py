@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from laketier.llm.common import ship_package, staged
+from laketier.llm.common import ship_package, staged, task
 from laketier.llm.tokens import slices
 
 MIN_BYTES = 400
@@ -201,7 +201,7 @@ def document_runs(docs: DataFrame, min_bytes: int) -> DataFrame:
                     [pa.array(size, pa.int64()), pa.array(sha)] + lists,
                     ["id", "h", "doc_id", "n_bytes", "sha", "s", "e", "p", "k", "r"])
 
-    return docs.mapInArrow(run, f"id bigint, h bigint, doc_id bigint, n_bytes bigint, sha string, {RUNS}")
+    return docs.mapInArrow(task(run), f"id bigint, h bigint, doc_id bigint, n_bytes bigint, sha string, {RUNS}")
 
 
 def run_texts(texts: DataFrame, min_bytes: int) -> DataFrame:
@@ -220,7 +220,7 @@ def run_texts(texts: DataFrame, min_bytes: int) -> DataFrame:
                       "p": w["p"], "crowded": w["crowded"], "data": data[w["s"]:w["e"] + min_bytes]}
                      for w in row["wanted"]], schema)
 
-    return texts.mapInArrow(run, "k bigint, id bigint, h bigint, s bigint, e bigint, "
+    return texts.mapInArrow(task(run), "k bigint, id bigint, h bigint, s bigint, e bigint, "
                                  "p bigint, crowded boolean, data binary")
 
 
@@ -257,7 +257,7 @@ def compared(contexts: DataFrame, min_bytes: int, keep_first: bool) -> DataFrame
 
     return (contexts.select("k", "id", "h", "s", "e", "data")
             .repartition("k").sortWithinPartitions("k")
-            .mapInArrow(run, "id bigint, h bigint, start bigint, stop bigint"))
+            .mapInArrow(task(run), "id bigint, h bigint, start bigint, stop bigint"))
 
 
 def cut_finer(contexts: DataFrame, min_bytes: int, width: int) -> DataFrame:
@@ -281,7 +281,7 @@ def cut_finer(contexts: DataFrame, min_bytes: int, width: int) -> DataFrame:
                                              ["id", "h", "s", "e", "p", "k", "r"])
 
     return contexts.select("k", *KEY, "s", "e", "p", "data").mapInArrow(
-        run, "id bigint, h bigint, s bigint, e bigint, p bigint, k bigint, r bigint")
+        task(run), "id bigint, h bigint, s bigint, e bigint, p bigint, k bigint, r bigint")
 
 
 def repeated_spans(docs: DataFrame, runs_: DataFrame, min_bytes: int, keep_first: bool,
@@ -360,7 +360,7 @@ def remove_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES, keep: str = "non
                         ("n_spans", pa.int64()), ("kept_sha256", pa.string()),
                         ("spans", pa.list_(pa.list_(pa.int64())))])
     changed = with_texts(docs, listed).select("doc_id", "text", "spans").mapInArrow(
-        cut, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, "
+        task(cut), "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, "
              "spans array<array<bigint>>")
     same = known.join(listed.select(*KEY), KEY, "left_anti").select(
         "doc_id", "n_bytes", F.lit(0).cast("bigint").alias("n_removed"),

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from laketier.llm.common import ascii_words, ship_package, staged
+from laketier.llm.common import ascii_words, ship_package, staged, task
 from laketier.llm.components import connected_components
 from laketier.llm.tokens import slices
 
@@ -163,7 +163,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                     ["doc_id", "print"])
 
     return (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
-            .mapInArrow(run, "doc_id bigint, print bigint"))
+            .mapInArrow(task(run), "doc_id bigint, print bigint"))
 
 
 def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
@@ -200,9 +200,9 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         if held.size:
             yield found(np.ascontiguousarray(held))
 
-    return (prints.mapInArrow(spread, "point bigint, print bigint")
+    return (prints.mapInArrow(task(spread), "point bigint, print bigint")
             .repartition("point").sortWithinPartitions("point", "print")
-            .mapInArrow(meet, "u bigint, v bigint"))
+            .mapInArrow(task(meet), "u bigint, v bigint"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:

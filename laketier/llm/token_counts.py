@@ -4,7 +4,7 @@ A word of the vocabulary's pattern starts as single symbols in a linked list; a
 heap holds the adjacent pairs by merge rank. The lowest-ranked pair (the leftmost
 of equals) is merged again and again, and the count is the number of symbols less
 the number of merges: no ids are looked up or emitted. Counts of distinct pieces
-are kept per worker (bounded), a text's count is their sum.
+are kept per task (bounded), a text's count is their sum.
 
 Defined cases: NULL and empty texts have 0 tokens and 0 bytes; a special token's
 string inside a text is one token, as the library has it; rows are counted one by
@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from laketier.llm.common import ship_package
+from laketier.llm.common import ship_package, task
 from laketier.llm.tokens import Pieces, parts_of, slices, split_pieces, vocabulary_path
 
 LIMIT = 2048
@@ -122,6 +122,7 @@ def token_counts(docs: DataFrame, vocabulary: str | None = None, limit: int = LI
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), size, pa.array(n, pa.int64()), pa.array(n > limit)],
                     ["doc_id", "n_bytes", "n_tokens", "over_limit"])
+        counter.forget()
 
     return (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
-            .mapInArrow(count, "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean"))
+            .mapInArrow(task(count), "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean"))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from laketier.llm import dac
-from laketier.llm.common import crc32, scratch_path, ship_package
+from laketier.llm.common import crc32, scratch_path, ship_package, task
 from laketier.llm.tokens import END_ID, Encoder, slices, vocabulary_path
 
 SEGMENT_TOKENS = 1 << 20
@@ -80,11 +80,12 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None,
                     held.append(ids[bounds[first]:])
         if held:
             yield close()
+        encoder.forget()
 
     (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
      .repartitionByRange("doc_id", F.xxhash64("text"))
      .sortWithinPartitions("doc_id", F.xxhash64("text"))
-     .mapInArrow(encode, SEGMENTS).write.parquet(path))
+     .mapInArrow(task(encode), SEGMENTS).write.parquet(path))
 
 
 SCHEMA = pa.schema([("shard", pa.int32()), ("segment", pa.int32()), ("shard_start", pa.int64()),
@@ -126,7 +127,7 @@ def read_documents(spark, path: str) -> DataFrame:
                                            for a, n in zip(at, sizes)], pa.int64())})
 
     return (read_segments(spark, path).select("start", "doc_ids", "sizes", "image")
-            .mapInArrow(decode, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"))
+            .mapInArrow(task(decode), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"))
 
 
 def token_documents(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:

@@ -2,8 +2,8 @@
 
 The vocabulary drops white space and never merges across it, so a text's ids
 are the concatenation of the ids of its pieces between ASCII white space. Each
-worker keeps the ids of the pieces it has met (a bounded cache), which makes the
-tokenizers library encode every distinct piece about once per worker.
+task keeps the ids of the pieces it has met (a bounded cache), which makes the
+tokenizers library encode every distinct piece about once per task.
 """
 
 from __future__ import annotations
@@ -16,8 +16,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 END_ID = 1
-# Pieces a worker remembers: about 60 MB, whatever the size of the corpus.
-CACHE_PIECES = 1_500_000
+# Pieces a task remembers: about 40 MB, whatever the size of the corpus.
+CACHE_PIECES = 1_000_000
 # The vocabulary's split pattern over the letters that the short way takes:
 # lower-case a-z and the lower-case letters of Latin-1.
 _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
@@ -53,7 +53,8 @@ def parts_of(piece: str) -> list[str] | None:
 
 
 class Pieces:
-    """Bounded memory of the distinct pieces a worker has met, one per file.
+    """Bounded memory of the distinct pieces a task has met, one per file. The worker
+    keeps the tokenizer for later tasks; the pieces go with the task (``forget``).
 
     Held as Arrow and numpy columns (some 40 bytes a piece), so that the lookups
     of a whole slice of texts are one vectorised call.
@@ -183,7 +184,7 @@ def split_blanks(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return words, codes, bounds
 
 
-def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 16 << 20):
+def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 8 << 20):
     """Cut a record batch into runs of rows with at most ``max_bytes`` of text each
     (one row at least), so a worker holds that plus the longest text at once."""
     size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)

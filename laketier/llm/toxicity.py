@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from laketier.llm.common import remainder, ship_package
+from laketier.llm.common import remainder, ship_package, task
 from laketier.llm.tokens import slices, split_blanks
 
 SAMPLE = 8000
@@ -243,13 +243,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Grammar:
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 4 << 20):
+            for part in slices(batch, "text", 2 << 20):
                 x = held.value.features(part.column("text"))
                 yield pa.RecordBatch.from_arrays(
                     [*(pa.array(x[:, i].copy()) for i in range(x.shape[1])), part.column("toxic")],
                     [*FEATURES, "toxic"])
 
-    data = rows.mapInArrow(emit, ", ".join(f"{f} double" for f in FEATURES) + ", toxic int").toArrow()
+    data = rows.mapInArrow(task(emit), ", ".join(f"{f} double" for f in FEATURES) + ", toxic int").toArrow()
     if data.num_rows:
         x = np.stack([data[f].to_numpy() for f in FEATURES], 1)
         y = data["toxic"].to_numpy()
@@ -267,7 +267,7 @@ def score_texts(docs: DataFrame, grammar: Grammar) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 4 << 20):
+            for part in slices(batch, "text", 2 << 20):
                 x = held.value.features(part.column("text"))
                 score = held.value.score(x)
                 yield pa.RecordBatch.from_arrays(
@@ -277,7 +277,7 @@ def score_texts(docs: DataFrame, grammar: Grammar) -> DataFrame:
                     ["doc_id", "score", "predicted", *FEATURES])
 
     return (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text")).mapInArrow(
-        run, "doc_id bigint, score double, predicted int, "
+        task(run), "doc_id bigint, score double, predicted int, "
              + ", ".join(f"{f} double" for f in FEATURES)))
 
 
