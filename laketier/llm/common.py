@@ -20,6 +20,9 @@ from laketier.session import checkpoint_dir, ensure_checkpoint_dir
 # The white space of every contract: blank and \t \n \v \f \r, as a Java pattern.
 BLANKS = r"[\x20\x09-\x0D]+"
 
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+DEFAULT_BATCH_ROWS, BATCH_ROWS = "10000", "2000"
+
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder named in ``spark.checkpoint.dir``.
@@ -35,7 +38,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def ship_package(spark: SparkSession) -> None:
     """Give this package to the Python workers, once per application (Spark's own
-    ``addPyFile``), so that operators run whether or not it is installed there."""
+    ``addPyFile``), so that operators run whether or not it is installed there. Whole
+    texts also need smaller Arrow batches than Spark's default of 10,000 rows; a
+    session's own choice of that setting is left alone."""
+    if spark.conf.get(BATCH_SETTING) == DEFAULT_BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
     context = spark.sparkContext
     if getattr(context, "_laketier_shipped", False):
         return

@@ -184,7 +184,7 @@ def split_blanks(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return words, codes, bounds
 
 
-def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 8 << 20):
+def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 6 << 20):
     """Cut a record batch into runs of rows with at most ``max_bytes`` of text each
     (one row at least), so a worker holds that plus the longest text at once."""
     size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
