@@ -1,9 +1,9 @@
 """Operator 2: toxicity by a weighted finite-state pattern grammar.
 
 Small transducers read a clause word by word, each keeping a state of its own:
-insults and threats emit their weight, a target nearby strengthens a match, a
-negation before it or a verb of reported speech in front of it marks it as such.
-Their composition is one transition table (``compose``); a clause is scored as a
+insults and threats emit their weight, a target nearby strengthens a match (before
+it, or after it: a second machine reads the clause from its end), a negation before it or a verb of reported speech in front of it marks it as such.
+The composition of each direction is one transition table (``compose``); a clause is scored as a
 whole by what its matches emit, never a word by itself: matches land in separate
 sums by their marks, and a logistic model over a document's sums gives the score.
 
@@ -82,6 +82,8 @@ def after(symbol: int) -> Transducer:
 
 
 MODIFIERS = (near(TARGET, 4), near(NEGATION, 3), after(REPORT))
+#: Read from the clause's end, so they mark matches by what follows; bits as above.
+FOLLOWERS = (near(TARGET, 4),)
 
 
 def compose(parts: tuple[Transducer, ...]) -> tuple[np.ndarray, np.ndarray]:
@@ -107,6 +109,7 @@ class Grammar:
 
     def __post_init__(self):
         self.machine = compose(MODIFIERS)
+        self.backward = compose(FOLLOWERS)
         self.closed = {w: c for c in (THREAT, TARGET, NEGATION, REPORT) for w in OWN[c]}
 
     def read(self, word: str) -> tuple[int, float]:
@@ -137,14 +140,20 @@ class Grammar:
         matched = np.unique(clause[(kinds == INSULT) | (kinds == THREAT)])
         begin = np.append(np.flatnonzero(first), len(codes))
         move, marks = self.machine
+        back_move, back_marks = self.backward
         for c in matched.tolist():
-            state, a, b = 0, begin[c], begin[c + 1]
+            a, b = begin[c], begin[c + 1]
             row = out[text[a]]
-            # a target after a match strengthens it too: the clause is read to its end
-            found = []
-            for k, w in zip(kinds[a:b].tolist(), weight[codes[a:b]].tolist()):
+            clause_kinds = kinds[a:b].tolist()
+            state, follows = 0, []
+            for k in reversed(clause_kinds):
                 if k == INSULT or k == THREAT:
-                    found.append((k, w, int(marks[state, k])))
+                    follows.append(int(back_marks[state, k]))
+                state = back_move[state, k]
+            state, found = 0, []
+            for k, w in zip(clause_kinds, weight[codes[a:b]].tolist()):
+                if k == INSULT or k == THREAT:
+                    found.append((k, w, int(marks[state, k]) | follows.pop()))
                 state = move[state, k]
             for k, w, mark in found:
                 if mark & 4:
