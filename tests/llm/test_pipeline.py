@@ -64,3 +64,37 @@ def test_stages_on_an_empty_table(spark, folder):
     docs = pipeline.table(spark, path, "documents").where("doc_id < 0")
     for _, stage in pipeline.STAGES:
         assert stage(spark, docs, path).collect() == []
+
+
+def _kept(spark, stage, rows, folder):
+    path = tempfile.mkdtemp(prefix="laketier-rows-")
+    spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows],
+                          "doc_id bigint, text string, lang string, source string, n_chars bigint"
+                          ).repartition(3).write.parquet(f"{path}/documents.parquet")
+    out = dict(pipeline.STAGES)[stage](spark, pipeline.table(spark, path, "documents"), folder[0])
+    return sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+
+
+def test_one_rejected_row_takes_no_other_row_of_its_id(spark, folder):
+    texts = [t for _, t, lang in folder[1][:20] if lang == "en"]
+    a, b, c, d = texts[:4]
+    # a NULL-id copy of a numbered row, and unique NULL-id rows
+    assert _kept(spark, "exact_dedup", [(1, a), (None, a), (None, b), (None, c), (None, c)], folder
+                 ) == sorted([(1, a), (None, b), (None, c)], key=str)
+    # 5 holds two texts: one is a copy of 2, the other is what 7 copies
+    rows = [(5, a), (5, b), (2, b), (7, a), (3, c), (3, c)]
+    assert _kept(spark, "exact_dedup", rows, folder) == sorted([(5, a), (2, b), (3, c)], key=str)
+    near = [(5, a), (5, b), (2, b.upper()), (7, a.upper()), (None, c), (None, d), (8, d.upper())]
+    assert _kept(spark, "simhash_near_dedup", near, folder) == sorted(
+        [(5, a), (2, b.upper()), (None, c), (8, d.upper())], key=str)
+    leak = folder[1][-1][1]
+    assert _kept(spark, "decontamination", [(None, a), (None, leak), (4, leak), (4, b)], folder
+                 ) == sorted([(None, a), (4, b)], key=str)
+    many = [(i, t) for i, t, lang in folder[1][:80] if lang == "en"]
+    assert (None, a) in _kept(spark, "language_id", [*many, (None, a), (None, "1 2")], folder)
+
+
+def test_rows_not_read_from_files_are_stored_first(spark, folder):
+    docs = spark.createDataFrame([(1, "a b"), (None, "a b"), (None, "c d")], "doc_id bigint, text string")
+    out = pipeline.drop_exact_copies(spark, docs, folder[0]).collect()
+    assert sorted(((r.doc_id, r.text) for r in out), key=str) == sorted([(1, "a b"), (None, "c d")], key=str)
