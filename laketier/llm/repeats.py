@@ -1,4 +1,4 @@
-"""Operator 6: repeated byte strings by longest-previous-factor arrays.
+"""Operator 6: repeated byte strings by minimizer runs and counted hashes.
 
 Every byte covered by a string of ``min_bytes`` that also starts elsewhere is found,
 over all documents, without ever sorting all suffixes in one place:
@@ -8,12 +8,12 @@ over all documents, without ever sorting all suffixes in one place:
    minimizer at the same offset. Neighbouring windows share theirs, so a document is
    a list of runs of windows (about one per 185 bytes): seed hash, hash of the run's
    whole text, first and last window.
-2. Runs are counted by (seed, text): a run whose whole text occurs again is repeated
-   in full. A seed with several texts needs a closer look, at one example of each.
+2. Runs are counted by (seed, text), both as 64-bit hashes: a run whose text's hash
+   occurs again is repeated in full, and its bytes are not compared. A seed with several texts needs a closer look, at one example of each.
 3. The texts of those runs are brought together by seed. There the windows are put in
-   suffix order (prefix doubling); windows equal in ``min_bytes`` bytes have, as
-   previous or next smaller position in that order, an earlier copy: the longest
-   previous factor, cut at ``min_bytes``.
+   order of their ``min_bytes`` bytes (prefix doubling) and looked up by equality with
+   their neighbour. No longest-previous-factor array is made: whether that factor
+   reaches ``min_bytes`` is all that is asked.
 4. A seed with more than ``CROWD`` texts is not brought together. Its runs are cut by
    the windows' offset from the minimizer into narrower runs (``WIDTHS``), whose seed is
    the text common to all windows of such a cut; equal windows share it. These are
