@@ -105,7 +105,7 @@ def test_clauses_not_words_are_scored():
     x = grammar.features(pa.array(texts, pa.string()))
     column = {f: i for i, f in enumerate(toxicity.FEATURES)}
     assert [toxicity.FEATURES[row[:5].argmax()] if row.any() else None for row in x] == [
-        "targeted", "plain", "negated", "reported", None, "threat", None, "plain", None, None,
+        "targeted", "plain", "negated", "reported", "threat", "threat", None, "plain", None, None,
         "plain", None]
     score = grammar.score(x)
     assert score[0] > score[1] > score[2] > score[11] and score[0] > score[3] > score[11]
