@@ -667,14 +667,16 @@ def _land_two_batches(spark, sf_dir) -> str:
     return base
 
 
-# The version of a record, in the record itself: later ingests are higher, line numbers
-# tell the versions of one instant apart.
-VERSION_RANK = "fixture.timestamp"
+# The version of a record, in the record itself: later ingests are higher; line, part
+# and supplier tell the versions of one instant apart.
+VERSION_RANK = ["fixture.timestamp", "fixture.periods.first", "fixture.periods.second"]
 
 
 def _ranked(rec: DataFrame) -> DataFrame:
     rank = F.unix_timestamp(F.col("_ingest_timestamp").cast("timestamp")) * 10 + F.col("_t1")
-    return rec.withColumn("fixture", F.col("fixture").withField("timestamp", rank))
+    ties = F.struct(F.col("_t2").alias("first"), F.col("_t3").alias("second"))
+    return rec.withColumn("fixture", F.col("fixture").withField("timestamp", rank)
+                          .withField("periods", ties))
 
 
 _BATCHES = [O.BRONZE_V,
@@ -706,7 +708,7 @@ def q_run_log_append(spark, sf_dir):
     landing_base, lake_base = _land_two_batches(spark, sf_dir), scratch(spark, "lake")
     for date in BATCH_DATES:
         jobs.run_daily(spark, landing_base, lake_base, date, shape=RECORDS_SHAPE,
-                       tie_breakers=[VERSION_RANK])
+                       tie_breakers=VERSION_RANK)
     return (spark.read.parquet(jobs.Lake(lake_base).run_log)
             .select("pipeline_name", "execution_date", "status", "stage", "rows"))
 
@@ -726,7 +728,7 @@ def q_stream_upsert(spark, sf_dir):
         _land_batch(spark, sf_dir, base, i)
         start_silver_stream(spark, f"{base}/football/raw", path, name="silver_" + path[-12:],
                             quarantine_path=scratch(spark, "quarantine"),
-                            tie_breakers=[VERSION_RANK]).awaitTermination()
+                            tie_breakers=VERSION_RANK).awaitTermination()
     return ntz(tables.read_table(spark, path).select(*STREAM_OUT), "match_datetime")
 
 
