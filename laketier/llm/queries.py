@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from laketier.llm.alignment import align_documents
 from laketier.llm.common import table
 from laketier.llm.decontamination import contaminated
 from laketier.llm.exact_dedup import exact_duplicates
 from laketier.llm.language import language_id
 from laketier.llm.log_bilinear import language_model_scores
 from laketier.llm.packing import pack_documents
+from laketier.llm.pieces import encode_documents
 from laketier.llm.repeats import remove_repeats
 from laketier.llm.simhash import near_duplicates
 from laketier.llm.token_counts import token_counts
@@ -57,9 +60,22 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = encode_documents(table(spark, sf_dir, "documents"), decoded=True)
+    return found.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_documents(table(spark, sf_dir, "documents"))[0]
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate, op2_toxicity, op3_log_bilinear, op4_token_files, op5_pack,
-    op6_repeated_strings, op7_exact_dedup, op8_language_id, op9_token_counts, op10_simhash)}
+    op6_repeated_strings, op7_exact_dedup, op8_language_id, op9_token_counts, op10_simhash, op11_pieces,
+    op13_alignment)}
 
 ORACLE_SQL = {
     "op7_exact_dedup": r"""
