@@ -396,7 +396,7 @@ def q_src_table_scan(spark, sf_dir):
     from laketier.schemas import FACT_PARTITIONS
     from laketier.sinks import tables
     path = scratch(spark, "fact")
-    tables.write_version(fact_rows(spark, sf_dir), path, FACT_PARTITIONS)
+    tables.write_table(fact_rows(spark, sf_dir), path, FACT_PARTITIONS)
     return ntz(tables.read_table(spark, path), "match_datetime")
 
 
@@ -405,7 +405,7 @@ def q_snk_overwrite_partitioned(spark, sf_dir):
     from laketier.schemas import SILVER_PARTITIONS
     from laketier.sinks import tables
     path = scratch(spark, "silver")
-    tables.write_version(_silver_full(spark, sf_dir), path, SILVER_PARTITIONS)
+    tables.write_table(_silver_full(spark, sf_dir), path, SILVER_PARTITIONS)
     return ntz(tables.read_table(spark, path).select(*SILVER_OUT), "match_datetime")
 
 
@@ -418,7 +418,7 @@ def q_src_scan_with_predicate(spark, sf_dir):
     from laketier.schemas import SILVER_PARTITIONS
     from laketier.sinks import tables
     path = scratch(spark, "silver")
-    tables.write_version(_silver_full(spark, sf_dir), path, SILVER_PARTITIONS)
+    tables.write_table(_silver_full(spark, sf_dir), path, SILVER_PARTITIONS)
     return ntz(tables.read_table(spark, path, where=SCAN_PREDICATE).select(*SILVER_OUT),
                "match_datetime")
 
@@ -483,20 +483,20 @@ def q_merge_upsert_table(spark, sf_dir):
 @register("layout_rewrite", O.with_views(f"SELECT {O.SILVER_OUT} FROM silver_v"))
 def q_layout_rewrite(spark, sf_dir):
     from laketier.schemas import SILVER_PARTITIONS
-    from laketier.sinks import tables
+    from laketier.sinks import layout, tables
     path = scratch(spark, "silver")
-    tables.write_version(_silver_full(spark, sf_dir), path, SILVER_PARTITIONS)
-    tables.rewrite_layout(spark, path, ["match_id"], target_file_bytes=1 << 20)
+    tables.write_table(_silver_full(spark, sf_dir), path, SILVER_PARTITIONS)
+    layout.rewrite_layout(spark, path, ["match_date", "home_team_id"], target_file_bytes=1 << 20)
     return ntz(tables.read_table(spark, path).select(*SILVER_OUT), "match_datetime")
 
 
 @register("snk_register_table", O.with_views(f"SELECT {O.SILVER_OUT} FROM silver_v"))
 def q_snk_register_table(spark, sf_dir):
     from laketier.schemas import SILVER_PARTITIONS
-    from laketier.sinks import tables
+    from laketier.sinks import layout, tables
     path = scratch(spark, "silver")
-    tables.write_version(_silver_full(spark, sf_dir), path, SILVER_PARTITIONS)
-    name = tables.register_table(spark, "laketier_check", "matches_" + path[-12:], path)
+    tables.write_table(_silver_full(spark, sf_dir), path, SILVER_PARTITIONS)
+    name = layout.register_table(spark, "laketier_check", "matches_" + path[-12:], path)
     return ntz(spark.table(name).select(*SILVER_OUT), "match_datetime")
 
 
@@ -758,7 +758,7 @@ _REFRESH = [*_BATCHES, _MOVED_V, _MERGED_V]
 
 
 def _gold_after_two_runs(spark, sf_dir, refresh, name):
-    """Silver merged and gold refreshed twice; silver's older versions expire between."""
+    """Silver merged and gold refreshed twice."""
     from laketier.plans import jobs
     from laketier.schemas import SILVER_KEYS, SILVER_PARTITIONS
     from laketier.sinks import tables
@@ -774,7 +774,6 @@ def _gold_after_two_runs(spark, sf_dir, refresh, name):
                 "season": F.when(F.col("match_id") % 50 != 0, F.col("season")),
                 "home_team_name": F.upper("home_team_name")})
         tables.upsert_table(batch, lake.silver, SILVER_KEYS, SILVER_PARTITIONS)
-        tables.expire_versions(spark, lake.silver, keep=1)
         refresh(spark, lake)
     return tables.read_table(spark, lake.gold(name)).drop("_gold_processed_at")
 
@@ -852,7 +851,6 @@ def _land_envelopes(spark, sf_dir) -> str:
     """API documents as multi-line JSON files, one page a file, below
     ``<base>/football/raw/<date>/league_<id>/``; a truncated document and an error
     document lie among them."""
-    from laketier.sinks import tables
     base = scratch(spark, "landing")
     rec = bronze_records(spark, sf_dir)
     pages = rec.groupBy(
@@ -867,14 +865,10 @@ def _land_envelopes(spark, sf_dir) -> str:
         [(0, '{"get": "fixtures",\n "response": [{"fixture": {"id": 1, "da'),
          (1, '{"get": "fixtures",\n "results": 0}')], "league_no bigint, value string")
     folder = f"{base}/football/raw/{ENVELOPE_DATE}"
-    (docs.unionByName(bad).write.option("maxRecordsPerFile", 1).partitionBy("league_no")
-     .text(folder))
-    fs, p = tables._fs(spark, folder)
-    for st in fs.listStatus(p):  # one folder per league
-        name = st.getPath().getName()
-        if name.startswith("league_no="):
-            fs.rename(st.getPath(), tables._fs(
-                spark, f"{folder}/league_{name.split('=')[1]}")[1])
+    docs = staged(docs.unionByName(bad), "envelopes")
+    for (league,) in docs.select("league_no").distinct().collect():  # a folder for each league
+        (docs.where(F.col("league_no") == league).select("value").write
+         .option("maxRecordsPerFile", 1).text(f"{folder}/league_{league}"))
     return base
 
 

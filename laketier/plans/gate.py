@@ -1,11 +1,9 @@
 """The quality gate in proportion to what a run changed.
 
-Counts of the value rules add up over partitions, so they are kept per silver
-partition, by the id of its content, in a small table (one row per partition); a run
-counts the partitions it has not seen, and sums. The uniqueness rule looks for the
-keys of those partitions in the whole table: a key without a row in a changed
-partition is as unique as it was. That holds while the last evaluation found no
-copies; after one that did, and after a change of the rules, all is evaluated anew.
+Counts of the value rules add up over partitions, so they are kept for each silver
+partition in a small table (one row a partition); a run counts the partitions written
+since, and sums. The uniqueness rule asks the table's key index (``sinks/key_index.py``),
+which reads those partitions alone. Other rules start a table of their own.
 """
 
 from __future__ import annotations
@@ -13,63 +11,43 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from laketier.operators import quality as Q
-from laketier.sinks import tables
+from laketier.sinks import key_index, tables
 
 
 def evaluate_changed(spark: SparkSession, table: str, state: str,
                      rules: Sequence[Q.Rule] = Q.SILVER_SUITE) -> list[dict]:
-    """Result rows of ``rules`` on the table at ``table``, by rule id; equal to
+    """Result rows of ``rules`` on the partitioned table at ``table``, by rule id; equal to
     ``quality.evaluate`` on all of it. ``state`` is the folder of the kept counts."""
-    meta = tables.table_meta(spark, table)
-    parts = meta["partition_columns"]
-    now = {k: f"{c} {k}" for k, c in tables.contents(spark, table).items()}
-    rules_id = hashlib.sha256(repr(list(rules)).encode()).hexdigest()
-    known: dict[str, dict] = {}
-    unique_before = False
-    if tables.table_exists(spark, state):
-        props = tables.table_meta(spark, state)["props"]
-        if props.get("rules") == rules_id:
-            unique_before = props["unique"]
-            known = {r["content"]: r.asDict() for r in tables.read_table(spark, state).collect()}
-    unseen = {k for k, c in now.items() if c not in known}
+    kept = f"{state.rstrip('/')}/{hashlib.sha256(repr(list(rules)).encode()).hexdigest()[:16]}"
+    parts = tables.table_schema(spark, table)[1]
+    changed, version = tables.changes(spark, table, tables.seen(spark, kept))
     whole = tables.read_table(spark, table)
-    counted = Q.counts_by(tables.read_partitions(spark, table, unseen), rules,
-                          [F.col(c).cast("string").alias(f"__{i}") for i, c in enumerate(parts)])
-    fields = [c for c in counted.columns if not c.startswith("__")]
-    for r in counted.collect() if unseen else []:  # one row per partition
-        key = tables.partition_key(r[f"__{i}"] for i in range(len(parts)))
-        known[now[key]] = {"content": now[key], **{f: r[f] for f in fields}}
-    live = [known[c] for c in set(now.values()) if c in known]
-    total = {f: sum(row[f] for row in live) for f in fields}
-
-    out, unique = [], True
+    counted = Q.counts_by(tables.read_partitions(spark, table, changed), rules,
+                          [tables.partition_key(parts).alias("partition")])
+    fields = [c for c in counted.columns if c != "partition"]
+    if changed:
+        all_changed = spark.createDataFrame([(k,) for k in sorted(changed)], "partition string")
+        rows = all_changed.join(counted, "partition", "left").fillna(0)  # emptied: no rows
+        tables.upsert_table(rows, kept, ["partition"])
+        tables.note_seen(spark, kept, version)
+    total = {}
+    if tables.table_exists(spark, kept) and fields:
+        total = tables.read_table(spark, kept).agg(
+            *[F.coalesce(F.sum(f), F.lit(0)).alias(f) for f in fields]).first().asDict()
+    out = []
     for r in sorted(rules, key=lambda r: r.rule_id):
         ev = un = None
         if r.expectation_type == Q.UNIQUE and r.column in whole.columns:
-            some = tables.read_partitions(spark, table, unseen) if unique_before else whole
-            ev = whole.select(F.count(r.column)).first()[0]  # of one column, map-side
-            un = _copies(whole, some, r.column)
-            unique = unique and un == 0
-        elif f"e{r.rule_id}" in total:
-            ev, un = total[f"e{r.rule_id}"], total[f"u{r.rule_id}"]
+            if key_index.indexable(whole.schema, parts, [r.column]):
+                ev, un = key_index.copies(spark, table, r.column)
+            else:
+                row = Q.evaluate(whole, [r]).first()
+                ev, un = row["evaluated"], row["unexpected"]
+        elif r.expectation_type in Q.ADDITIVE and (not r.column or r.column in whole.columns):
+            ev, un = total.get(f"e{r.rule_id}", 0), total.get(f"u{r.rule_id}", 0)
         out.append(Q.result(r, whole.columns, ev, un))
-    if unseen or len(known) != len(live):
-        schema = "content string, " + ", ".join(f"{f} bigint" for f in fields)
-        rows = [[row["content"], *(row[f] for f in fields)] for row in live]
-        tables.write_version(spark.createDataFrame(rows, schema).coalesce(1), state,
-                             props={"rules": rules_id, "unique": unique})
     return out
-
-
-def _copies(whole: DataFrame, some: DataFrame, column: str) -> int:
-    """Rows of ``whole`` whose value of ``column`` occurs in ``some`` and more than once
-    in ``whole``."""
-    keys = some.where(F.col(column).isNotNull()).groupBy(column).agg(F.lit(1).alias("_"))
-    n = F.col("n")
-    found = (whole.select(column).join(keys.select(column), column, "left_semi")
-             .groupBy(column).agg(F.count("*").alias("n")).agg(F.sum(F.when(n > 1, n))).first()[0])
-    return int(found or 0)

@@ -7,6 +7,7 @@ the writes (``observe``) instead of separate ``count()`` jobs.
 
 from __future__ import annotations
 
+import json
 import logging
 import uuid
 from collections.abc import Sequence
@@ -20,7 +21,7 @@ from laketier import schemas as S
 from laketier.operators import gold, quality, silver
 from laketier.plans.gate import evaluate_changed
 from laketier.plans.metrics import observe_rows, observed_rows
-from laketier.sinks import tables
+from laketier.sinks import layout, tables
 from laketier.sources import landing
 
 log = logging.getLogger(__name__)
@@ -104,14 +105,14 @@ def build_silver(spark: SparkSession, lake: Lake, ingest_date: str,
 def check_silver(spark: SparkSession, lake: Lake,
                  rules: Sequence[quality.Rule] = quality.SILVER_SUITE) -> list[dict]:
     """Quality gate on the merged silver table; raises on a failed CRITICAL rule. Only
-    the partitions changed since the last gate are evaluated."""
+    the partitions written since the last gate are evaluated."""
     results = evaluate_changed(spark, lake.silver, lake.gate, rules)
     return quality.gate([Row(**r) for r in results])
 
 
 def build_gold(spark: SparkSession, lake: Lake) -> dict:
     """Silver -> dim_team, dim_date (upserted), fact_match_stats (refreshed),
-    each from the silver partitions changed since it was last built.
+    each from the silver partitions written since it was last built.
 
     The fact is a row-wise projection of silver partitioned the same way, and
     silver never loses a match, so rebuilding exactly the fact partitions
@@ -121,58 +122,46 @@ def build_gold(spark: SparkSession, lake: Lake) -> dict:
     partitions cover, NULL being a season like others. Neither dimension ever
     drops a key, so upserting the recomputed keys equals recomputing from all of
     silver. Each day's gold work is proportional to what that day touched.
-
-    What a table was built from is kept in its own manifest, as the content id of
-    each silver partition: silver's old versions may expire at any time.
     """
     return {**refresh_dim_date(spark, lake), **refresh_dim_team(spark, lake),
             **refresh_fact(spark, lake)}
 
 
-def _silver_changes(spark: SparkSession, lake: Lake, built_path: str) -> tuple[set, set, dict]:
-    """Silver partitions changed and removed since ``built_path`` was built, and the
-    properties to keep with its next version."""
-    now, seen = tables.contents(spark, lake.silver), None
-    if tables.table_exists(spark, built_path):
-        seen = tables.table_meta(spark, built_path)["props"].get("silver_contents")
-    return *tables.changes(now, seen), {"silver_contents": now}
-
-
 def refresh_dim_date(spark: SparkSession, lake: Lake) -> dict:
     path = lake.gold("dim_date")
-    changed, _removed, props = _silver_changes(spark, lake, path)
+    changed, last = tables.changes(spark, lake.silver, tables.seen(spark, path))
     if not changed:
         return {}
     rows = gold.dim_date(tables.read_partitions(spark, lake.silver, changed))
-    return {"dim_date_version": tables.upsert_table(
-        _stamp(rows, "gold"), path, S.DIM_DATE_KEYS, props=props, null_safe=True)}
+    version = tables.upsert_table(_stamp(rows, "gold"), path, S.DIM_DATE_KEYS, null_safe=True)
+    tables.note_seen(spark, path, last)
+    return {"dim_date_version": version}
 
 
 def refresh_dim_team(spark: SparkSession, lake: Lake) -> dict:
     path = lake.gold("dim_team")
-    changed, removed, props = _silver_changes(spark, lake, path)
-    at = S.SILVER_PARTITIONS.index("season")
-    seasons = {tables.partition_values(k)[at] for k in changed | removed}
-    if not seasons:
+    changed, last = tables.changes(spark, lake.silver, tables.seen(spark, path))
+    if not changed:
         return {}
-    covered = {k for k in props["silver_contents"] if tables.partition_values(k)[at] in seasons}
-    rows = gold.dim_team(tables.read_partitions(spark, lake.silver, covered))
-    return {"dim_team_version": tables.upsert_table(
-        _stamp(rows, "gold"), path, S.DIM_TEAM_KEYS, props=props, null_safe=True)}
+    seasons = {json.dumps({k: v for k, v in json.loads(key).items() if k == "season"},
+                          separators=(",", ":")) for key in changed}
+    rows = gold.dim_team(tables.read_partitions(spark, lake.silver, seasons, by=["season"]))
+    version = tables.upsert_table(_stamp(rows, "gold"), path, S.DIM_TEAM_KEYS, null_safe=True)
+    tables.note_seen(spark, path, last)
+    return {"dim_team_version": version}
 
 
 def refresh_fact(spark: SparkSession, lake: Lake) -> dict:
     path = lake.gold("fact_match_stats")
-    changed, removed, props = _silver_changes(spark, lake, path)
-    if not changed and not removed:
-        return {"fact_version": tables.current_version(spark, path), "fact_partitions_rebuilt": 0}
+    changed, last = tables.changes(spark, lake.silver, tables.seen(spark, path))
+    if not changed:
+        return {"fact_partitions_rebuilt": 0}
     rows = _stamp(gold.fact_match_stats(tables.read_partitions(spark, lake.silver, changed)),
                   "gold")
-    order = [S.SILVER_PARTITIONS.index(c) for c in S.FACT_PARTITIONS]
-    replaced = {tables.partition_key(tables.partition_values(k)[i] for i in order)
-                for k in changed | removed}
-    version = tables.replace_partitions(rows, path, S.FACT_PARTITIONS, replaced, props=props)
-    return {"fact_version": version, "fact_partitions_rebuilt": len(replaced)}
+    # both are partitioned by the same columns, so a partition has the same key in both
+    version = tables.replace_partitions(rows, path, S.FACT_PARTITIONS, changed)
+    tables.note_seen(spark, path, last)
+    return {"fact_version": version, "fact_partitions_rebuilt": len(changed)}
 
 
 def league_summary(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -181,33 +170,25 @@ def league_summary(spark: SparkSession, lake: Lake) -> DataFrame:
 
 def register_all(spark: SparkSession, lake: Lake, prefix: str = "analytics") -> list[str]:
     """Catalog entries ``<prefix>_<layer>.<table>`` for bronze, silver and gold."""
-    names = [tables.register_appended(spark, f"{prefix}_bronze", f"{lake.sport}_raw",
-                                      lake.bronze, S.BRONZE_PARTITIONS),
-             tables.register_table(spark, f"{prefix}_silver", f"{lake.sport}_matches",
+    names = [layout.register_table(spark, f"{prefix}_bronze", f"{lake.sport}_raw",
+                                   lake.bronze, S.BRONZE_PARTITIONS),
+             layout.register_table(spark, f"{prefix}_silver", f"{lake.sport}_matches",
                                    lake.silver)]
     for t in ("dim_team", "dim_date", "fact_match_stats"):
-        names.append(tables.register_table(spark, f"{prefix}_gold", t, lake.gold(t)))
+        names.append(layout.register_table(spark, f"{prefix}_gold", t, lake.gold(t)))
     return names
 
 
 def maintain_layout(spark: SparkSession, lake: Lake) -> dict:
     """Periodic compaction + clustering (not part of every run)."""
     return {
-        "silver_version": tables.rewrite_layout(spark, lake.silver, ["match_id"]),
-        "fact_version": tables.rewrite_layout(spark, lake.gold("fact_match_stats"),
-                                              ["match_date"]),
+        "silver_partitions_laid_out": layout.rewrite_layout(
+            spark, lake.silver, ["match_date", "home_team_id"]),
+        "fact_partitions_laid_out": layout.rewrite_layout(
+            spark, lake.gold("fact_match_stats"), ["match_date", "home_team_id"]),
     }
 
 
-def expire_old_versions(spark: SparkSession, lake: Lake, keep: int = 7) -> dict:
-    """Delete folders no longer listed by the newest ``keep`` versions of the
-    silver and gold tables (older versions stop being readable)."""
-    paths = {"silver": lake.silver, **{t: lake.gold(t) for t in
-                                        ("dim_team", "dim_date", "fact_match_stats")}}
-    return {name: len(tables.expire_versions(spark, p, keep)) for name, p in paths.items()
-            if tables.table_exists(spark, p)}
-
-
 RUN_LOG_SCHEMA = ("pipeline_name STRING, run_id STRING, execution_date STRING, status STRING, "
                   "stage STRING, rows BIGINT, logged_at TIMESTAMP")
 

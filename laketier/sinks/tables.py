@@ -1,39 +1,30 @@
-"""Parquet tables with atomic commits, partition-scoped upserts and rewrites.
-
-Without a table format, a table that is read and rewritten in one job must
-never be overwritten in place (a static overwrite deletes the files it is
-reading; a dynamic partition overwrite leaves stale rows behind when a key
-moves partition). Here every write goes to a folder of its own, named by a
-random token, and a manifest commits it:
-
-    <path>/w=5f0c.../league_id=1/season=1995/part-*.parquet
-    <path>/w=91ab.../league_id=1/season=1995/part-*.parquet   <- rewritten later
-    <path>/_manifests/m00000002.json   {partition values -> token it is read from}
-
-No two writes ever share a folder, so what a failed write or the loser of two
-writers leaves behind is in no manifest and is never read; a second writer
-fails at the manifest, which is created once. A reader takes the newest
-manifest and reads exactly the folders it lists: an upsert rewrites only the
-partitions that hold a source row or a matched key, and carries every other
-one forward by reference. Partitions are known by their values, never by a
-parsed path, so values that a file system escapes, and NULL, are like others
-(an empty string is NULL, as Spark writes it).
-
-Each partition also carries a content id that a layout rewrite keeps: what was
-derived from a table can tell which partitions have changed since.
+"""Parquet tables kept by Spark's own means: partitioned folders, dynamic partition
+overwrite, and a log of the partitions that each write touched.
+
+    <path>/league_id=1/season=1995/part-*.parquet
+    <path>/_schema/    column order and types (no rows)
+    <path>/_changes/   a row for each write and partition it touched, appended
+
+A write replaces whole partitions. Spark writes their new rows aside and moves them in
+place when the job commits (``partitionOverwriteMode=dynamic``), so a write that fails
+leaves the table as it was, and one that read the table it writes is safe. A partition
+that lost all its rows gets a file without rows. A table without partition columns is
+one partition (``_all=0``).
+
+The touched partitions are logged before they are written: whoever derives something
+from a table (a fact, the gate's counts, the key index) notes the last write it has seen
+(``seen``) and rebuilds what later writes touched, once too often after a failed write,
+never too seldom. A table has one writer at a time (the daily run).
 
 Append-only tables (bronze, run log) are plain partitioned Parquet folders.
 """
 
 from __future__ import annotations
 
-import json
-import math
-import re
-import uuid
 from collections.abc import Iterable, Sequence
 from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,379 +32,206 @@ from pyspark.sql import types as T
 from laketier.operators.upsert import check_columns, source_keys, upsert
 from laketier.session import staged
 
-MANIFESTS = "_manifests"
-_MANIFEST = re.compile(r"^m(\d{8})\.json$")
-TOKEN = "w"
-NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
-DEFAULT_FILE_BYTES = 256 * 1024 * 1024
-
-
-class CommitConflict(RuntimeError):
-    """Another writer committed the version this write was based on."""
+ALL, ALL_KEY = "_all", '{"_all":"0"}'
+EVERY = "*"  # in the log: all partitions
+VERSION = "_version"
+PARTITION = "partition:"  # marks a partition column in the noted schema
 
 
-# --- file-system access (Hadoop FS API: HDFS, object stores, local) ----------
+def partition_key(cols: Sequence[str]) -> Column:
+    """A partition's values as JSON, by column name; NULL is left out. Of partition
+    columns alone, so a filter on it prunes folders."""
+    return F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in sorted(cols)]))
 
-def _fs(spark: SparkSession, path: str):
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
 
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return fs.exists(p)
-
-
-def _create_text(spark: SparkSession, path: str, text: str) -> None:
-    """Create ``path`` with ``text``; fails if it exists (one commit per version)."""
-    fs, p = _fs(spark, path)
-    if fs.exists(p):
-        raise CommitConflict(path)
-    out = fs.create(p, False)
+def _found(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
-def _read_text(spark: SparkSession, path: str) -> str:
-    fs, p = _fs(spark, path)
-    stream = fs.open(p)
-    reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream))
-    try:
-        lines = []
-        while (line := reader.readLine()) is not None:
-            lines.append(line)
-        return "\n".join(lines)
-    finally:
-        reader.close()
-
+# --- read ------------------------------------------------------------------------
 
-# --- manifests -----------------------------------------------------------------
-
-def _manifest_path(path: str, version: int) -> str:
-    return f"{path.rstrip('/')}/{MANIFESTS}/m{version:08d}.json"
-
-
-def versions(spark: SparkSession, path: str) -> list[int]:
-    """Committed versions, oldest first."""
-    folder = f"{path.rstrip('/')}/{MANIFESTS}"
-    if not _exists(spark, folder):
-        return []
-    fs, p = _fs(spark, folder)
-    out = [int(m.group(1)) for st in fs.listStatus(p)
-           if (m := _MANIFEST.match(st.getPath().getName()))]
-    return sorted(out)
-
-
-def current_version(spark: SparkSession, path: str) -> int | None:
-    vs = versions(spark, path)
-    return vs[-1] if vs else None
+def table_schema(spark: SparkSession, path: str) -> tuple[T.StructType, list[str]]:
+    """Columns in order, and which of them partition the table."""
+    noted = spark.read.parquet(f"{path.rstrip('/')}/_schema").schema
+    parts = [f.name for f in noted if f.name.startswith(PARTITION)]
+    return (T.StructType([f for f in noted if f.name not in parts]),
+            [p.removeprefix(PARTITION) for p in parts])
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    return current_version(spark, path) is not None
-
-
-def table_meta(spark: SparkSession, path: str, version: int | None = None) -> dict:
-    """Manifest: ``schema``, ``partition_columns``, ``props`` and ``partitions``
-    (``partition_key`` of the values -> ``at``, the token of the folder it is read
-    from, ``content``, the id of its rows, ``bytes``)."""
-    v = version if version is not None else current_version(spark, path)
-    if v is None:
-        raise FileNotFoundError(f"no committed version under {path}")
-    return json.loads(_read_text(spark, _manifest_path(path, v)))
-
-
-def partition_key(values: Iterable) -> str:
-    """Key of a partition: its values as text in column order (None for NULL)."""
-    return json.dumps([None if v is None or v == "" else str(v) for v in values])
+    return _found(spark, f"{path.rstrip('/')}/_schema") is not None
 
 
-def partition_values(key: str) -> list[str | None]:
-    return json.loads(key)
+def _stored(spark: SparkSession, path: str) -> tuple[DataFrame, list[str], list[str]]:
+    """Rows with all stored columns, the table's own columns, and those of its folders."""
+    schema, parts = table_schema(spark, path)
+    full = T.StructType([*schema.fields, *([] if parts else [T.StructField(ALL, T.IntegerType())])])
+    return spark.read.schema(full).parquet(path), schema.names, parts or [ALL]
 
 
-def distinct_partitions(df: DataFrame, partition_cols: Sequence[str]) -> set[str]:
-    """Keys of the partitions that ``df`` has rows in (metadata: one per partition)."""
-    rows = df.select(*[F.col(c).cast("string") for c in partition_cols]).distinct().collect()
-    return {partition_key(r) for r in rows}
-
-
-def _written(spark: SparkSession, folder: str, partition_cols: Sequence[str]) -> dict[str, int]:
-    """Partitions below one write's own folder, with their bytes: one recursive
-    listing, of what was written and nothing else."""
-    fs, p = _fs(spark, folder)
-    root = fs.makeQualified(p).toString().rstrip("/")
-    out: dict[str, int] = {} if partition_cols else {partition_key([]): 0}
-    files = fs.listFiles(p, True)
-    while files.hasNext():
-        st = files.next()
-        parts = st.getPath().toString()[len(root):].strip("/").split("/")
-        if not parts[-1].startswith("part-") or len(parts) != len(partition_cols) + 1:
-            continue
-        values = [unquote(x.split("=", 1)[1]) for x in parts[:-1]]
-        key = partition_key(None if v == NULL_FOLDER else v for v in values)
-        out[key] = out.get(key, 0) + int(st.getLen())
-    return out
+def read_table(spark: SparkSession, path: str, where: str | Column | None = None) -> DataFrame:
+    """The table, with the schema it was written with; a filter on partition columns
+    prunes folders, others reach the Parquet reader."""
+    df, names, _ = _stored(spark, path)
+    df = df.select(*names)
+    return df.filter(where) if where is not None else df
 
 
-# --- read ----------------------------------------------------------------------
+def read_partitions(spark: SparkSession, path: str, keys: Iterable[str],
+                    by: Sequence[str] | None = None) -> DataFrame:
+    """Rows of the partitions with the given keys, of all partition columns or of those in
+    ``by``; other folders are not read."""
+    df, names, parts = _stored(spark, path)
+    return df.where(partition_key(by or parts).isin(sorted(keys))).select(*names)
 
-_UNSAFE = re.compile(r"[\x01-\x1f\x7f\"#%'*/:=?\\{\[\]^]")
 
+# --- what writes touched -----------------------------------------------------------
 
-def _folder(path: str, key: str, token: str, partition_cols: Sequence[str]) -> str:
-    """Folder of a partition, its values escaped the way Spark names folders."""
-    def name(v):
-        return NULL_FOLDER if v is None else _UNSAFE.sub(lambda m: f"%{ord(m.group()):02X}", v)
-    return "/".join([path.rstrip("/"), f"{TOKEN}={token}",
-                     *(f"{c}={name(v)}" for c, v in zip(partition_cols, partition_values(key)))])
+def changes(spark: SparkSession, path: str, since: int = 0) -> tuple[set[str], int]:
+    """Keys of the partitions that writes after ``since`` touched, and the last write."""
+    log = _found(spark, f"{path.rstrip('/')}/_changes")
+    if log is None:
+        return set(), since
+    rows = (log.where(F.col(VERSION) > since).groupBy("partition")
+            .agg(F.max(VERSION).alias("last")).collect())
+    keys = {r["partition"] for r in rows}
+    if EVERY in keys:
+        stored, _, parts = _stored(spark, path)
+        keys = keys - {EVERY} | partitions_of(stored, parts)
+    return keys, max([since, *(r["last"] for r in rows)])
 
 
-def _read_folders(spark: SparkSession, path: str, meta: dict) -> DataFrame:
-    schema = T.StructType.fromJson(meta["schema"])
-    cols = [f.name for f in schema.fields]
-    parts = meta["partition_columns"]
-    folders = [_glob_safe(_folder(path, k, p["at"], parts))
-               for k, p in sorted(meta["partitions"].items())]
-    if not folders:
-        return spark.createDataFrame([], schema)
-    read_schema = T.StructType(schema.fields + [T.StructField(TOKEN, T.StringType())])
-    return (spark.read.schema(read_schema).option("basePath", path.rstrip("/"))
-            .parquet(*folders).select(*cols))
+def last_write(spark: SparkSession, path: str) -> int:
+    log = _found(spark, f"{path.rstrip('/')}/_changes")
+    return log.agg(F.max(VERSION)).first()[0] or 0 if log is not None else 0
 
 
-def _glob_safe(folder: str) -> str:
-    return re.sub(r"([{}\[\]*?\\,])", r"\\\1", folder)
+def seen(spark: SparkSession, path: str) -> int:
+    """The last write of its source that what lies at ``path`` was built from."""
+    noted = _found(spark, f"{path.rstrip('/')}/_seen")
+    return noted.agg(F.max(VERSION)).first()[0] or 0 if noted is not None else 0
 
 
-def read_table(spark: SparkSession, path: str, where: str | Column | None = None,
-               version: int | None = None) -> DataFrame:
-    """Current (or given) version of a table, optionally filtered.
+def note_seen(spark: SparkSession, path: str, version: int) -> None:
+    (spark.range(1).select(F.lit(version).cast("bigint").alias(VERSION)).coalesce(1)
+     .write.mode("append").parquet(f"{path.rstrip('/')}/_seen"))
 
-    Exactly the folders of that version are read, with the schema from the
-    manifest (no inference, stable partition types); a ``where`` on partition
-    columns prunes folders (``PartitionFilters``), others reach the Parquet
-    reader as ``PushedFilters``.
-    """
-    df = _read_folders(spark, path, table_meta(spark, path, version))
-    return df.filter(where) if where is not None else df
 
+# --- write -------------------------------------------------------------------------
 
-def read_partitions(spark: SparkSession, path: str, keys: Iterable[str]) -> DataFrame:
-    """Only the given partitions of the current version."""
-    meta, keys = table_meta(spark, path), set(keys)
-    return _read_folders(spark, path, dict(meta, partitions={
-        k: v for k, v in meta["partitions"].items() if k in keys}))
+def partitions_of(df: DataFrame, parts: Sequence[str]) -> set[str]:
+    """Keys of the partitions that ``df`` has rows in (one row for each)."""
+    if ALL in parts:
+        return set() if df.isEmpty() else {ALL_KEY}
+    return {r[0] for r in df.select(*parts).distinct().select(partition_key(parts)).collect()}
 
 
-# --- write ---------------------------------------------------------------------
+def _balanced(df: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """AQE splits a hot partition over several writer tasks and packs small ones."""
+    return df.hint("rebalance", *parts) if parts else df
 
-def _balanced(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
-    """Rebalance rows by the table partition before writing: AQE splits a
-    hot partition over several writer tasks and packs small ones together,
-    so files come out near the advisory size instead of one per task and
-    partition."""
-    return df.hint("rebalance", *partition_cols) if partition_cols else df
 
-
-def _commit(df: DataFrame, path: str, partition_cols: Sequence[str], base: dict | None,
-            replaced: set[str], props: dict | None = None, balance: bool = True,
-            contents: dict[str, str] | None = None) -> int:
-    """Write ``df`` to a folder of its own and commit the next version: the
-    partitions of ``base`` (a manifest, or None) less ``replaced``, and those
-    written. ``contents`` gives content ids that outlive the rewrite."""
-    spark = df.sparkSession
-    if base is None and table_exists(spark, path):
-        base = dict(table_meta(spark, path), partitions={})
-    token = uuid.uuid4().hex
-    folder = f"{path.rstrip('/')}/{TOKEN}={token}"
-    if balance:
-        df = _balanced(df, partition_cols)
-    df.write.partitionBy(*partition_cols).parquet(folder)
-    partitions = {k: v for k, v in (base["partitions"] if base else {}).items()
-                  if k not in replaced}
-    for key, size in _written(spark, folder, partition_cols).items():
-        partitions[key] = {"at": token, "content": (contents or {}).get(key, token),
-                           "bytes": size}
-    version = (base["version"] if base else 0) + 1
-    meta = {"version": version, "schema": json.loads(df.schema.json()),
-            "partition_columns": list(partition_cols), "partitions": partitions,
-            "props": props or {}}
-    _create_text(spark, _manifest_path(path, version), json.dumps(meta))
+def replace_partitions(df: DataFrame, path: str, partition_cols: Sequence[str],
+                       touched: Iterable[str], log: bool = True, balance: bool = True) -> int:
+    """The partitions ``touched`` (keys) hold exactly the rows of ``df``, which has none
+    for others; the rest stays as it is. Returns the write's number."""
+    spark, path, touched = df.sparkSession, path.rstrip("/"), set(touched)
+    _note_schema(df, path, partition_cols)
+    version = _log(spark, path, touched) if log else last_write(spark, path)
+    emptied = touched - partitions_of(df, list(partition_cols) or [ALL])
+    _put(_balanced(df, partition_cols) if balance else df, path, partition_cols)
+    if emptied:
+        _without_rows(spark, path, emptied)
     return version
 
 
-def write_version(df: DataFrame, path: str, partition_cols: Sequence[str] = (),
-                  props: dict | None = None) -> int:
-    """Replace the table's content with ``df`` (a new version); return it."""
-    return _commit(df, path, partition_cols, None, set(), props)
-
-
-def replace_partitions(df: DataFrame, path: str, partition_cols: Sequence[str],
-                       replaced: set[str], props: dict | None = None) -> int:
-    """New version in which the partitions ``replaced`` (keys) hold exactly the
-    rows of ``df`` for them (none: the partition leaves); every other partition
-    is carried forward by reference."""
+def _note_schema(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
     spark = df.sparkSession
-    base = table_meta(spark, path) if table_exists(spark, path) else None
-    return _commit(df, path, partition_cols, base, set(replaced), props)
-
-
-def contents(spark: SparkSession, path: str) -> dict[str, str]:
-    """Partition key -> content id of the current version."""
-    return {k: p["content"] for k, p in table_meta(spark, path)["partitions"].items()}
-
+    if table_exists(spark, path) and table_schema(spark, path) == (
+            _nullable(df.schema), list(partition_cols)):
+        return
+    noted = spark.createDataFrame([], T.StructType([*df.schema.fields, *(
+        T.StructField(f"{PARTITION}{c}", T.BooleanType()) for c in partition_cols)]))
+    noted.coalesce(1).write.mode("overwrite").parquet(f"{path}/_schema")
 
-def changes(now: dict[str, str], seen: dict[str, str] | None) -> tuple[set[str], set[str]]:
-    """``(changed or new, removed)`` partition keys between two ``contents``."""
-    seen = seen or {}
-    return {k for k, c in now.items() if seen.get(k) != c}, set(seen) - set(now)
 
+def _nullable(schema: T.StructType) -> T.StructType:
+    """As Parquet gives a schema back."""
+    return T.StructType([T.StructField(f.name, f.dataType) for f in schema])
 
-def expire_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
-    """Delete the manifests before the newest ``keep``, and the partition folders
-    that only they list. Returns the deleted folders."""
-    vs = versions(spark, path)
-    old, kept = vs[:-keep], vs[-keep:]
-    parts = table_meta(spark, path)["partition_columns"] if vs else []
 
-    def listed(some):
-        return {_folder(path, k, p["at"], parts) for v in some
-                for k, p in table_meta(spark, path, v)["partitions"].items()}
-    gone = sorted(listed(old) - listed(kept))
-    for folder in [*gone, *(_manifest_path(path, v) for v in old)]:
-        fs, p = _fs(spark, folder)
-        fs.delete(p, True)
-    return gone
+def _log(spark: SparkSession, path: str, touched: set[str]) -> int:
+    version = last_write(spark, path) + 1
+    rows = [(key, version) for key in sorted(touched)] or [(None, version)]
+    (spark.createDataFrame(rows, f"partition string, {VERSION} bigint").coalesce(1)
+     .write.mode("append").parquet(f"{path}/_changes"))
+    return version
 
 
-def _key_range(src: DataFrame, keys: Sequence[str]) -> Column:
-    """``min <= key <= max`` per key column over the (materialised) source."""
-    bounds = src.agg(*[F.min(k).alias(f"lo{i}") for i, k in enumerate(keys)],
-                     *[F.max(k).alias(f"hi{i}") for i, k in enumerate(keys)]).first()
-    cond = F.lit(True)
-    for i, k in enumerate(keys):
-        lo, hi = bounds[f"lo{i}"], bounds[f"hi{i}"]
-        if lo is None:  # no non-NULL key in the source: nothing can match
-            return F.lit(False)
-        cond = cond & F.col(k).between(F.lit(lo), F.lit(hi))
-    return cond
+def _put(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
+    if not partition_cols:
+        df = df.withColumn(ALL, F.lit(0))
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*(partition_cols or [ALL])).parquet(path))
+
+
+def _without_rows(spark: SparkSession, path: str, keys: set[str]) -> None:
+    """Overwrite the folders of these partitions with a file that has no rows."""
+    df, names, parts = _stored(spark, path)
+    folder = F.regexp_extract("_metadata.file_path", r"^(.*)/[^/]+$", 1)
+    nothing = spark.createDataFrame([], T.StructType([f for f in df.schema if f.name not in parts]))
+    found = df.where(partition_key(parts).isin(sorted(keys))).select(folder).distinct()
+    for (at,) in found.collect():  # one row for each emptied partition
+        nothing.coalesce(1).write.mode("overwrite").parquet(unquote(at))
+
+
+def write_table(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> int:
+    """Replace the table's content with ``df``; return the write's number."""
+    spark, path = df.sparkSession, path.rstrip("/")
+    if table_exists(spark, path):
+        stored, _, parts = _stored(spark, path)
+        df, before = staged(df, "table"), partitions_of(stored, parts)
+        return replace_partitions(df, path, partition_cols, before | partitions_of(
+            df, list(partition_cols) or [ALL]))
+    _note_schema(df, path, partition_cols)
+    version = _log(spark, path, {EVERY})
+    _put(_balanced(df, partition_cols), path, partition_cols)
+    return version
 
 
 def upsert_table(source: DataFrame, path: str, keys: Sequence[str],
-                 partition_cols: Sequence[str] = (), *, props: dict | None = None,
-                 null_safe: bool = False) -> int:
-    """Create the table from ``source`` on the first run, else merge the
-    source into it by ``keys`` (update whole row / insert); return the new
-    version. A duplicated non-NULL source key fails the run either way.
-
-    The source is computed once, into the shared folder. On a partitioned table
-    only the affected partitions are rewritten: those of the source rows and
-    those holding a matched key (so a key that moves partition leaves its old
-    one). Finding the latter reads only the key and partition columns of the
-    target, semi-joined with the source's keys (whose range is pushed into the
-    scan); Spark broadcasts the keys if their measured size allows.
+                 partition_cols: Sequence[str] = (), *, null_safe: bool = False) -> int:
+    """Create the table from ``source`` on the first run, else merge the source into it
+    by ``keys`` (update whole row / insert); return the write's number. A duplicated
+    non-NULL source key fails the run either way.
+
+    The source is computed once, into the shared folder. Only the partitions of its rows
+    and those holding a matched key are read and rewritten (so a key that moves leaves
+    its old partition). The latter come from the table's key index, if it has one
+    (``key_index.py``), else from a scan of its key and partition columns.
     """
+    from laketier.sinks import key_index
+
     spark = source.sparkSession
     src = staged(source, "merge-source")
     if not table_exists(spark, path):
         source_keys(src, keys, null_safe).count()  # raises on a duplicated key
-        return write_version(src, path, partition_cols, props)
-    meta = table_meta(spark, path)
-    parts = meta["partition_columns"]
-    target = _read_folders(spark, path, meta)
-    check_columns(target.columns, src)
-    if not parts:
-        return _commit(upsert(target, src, keys, null_safe), path, parts, meta,
-                       set(meta["partitions"]), props)
+        return write_table(src, path, partition_cols)
+    stored, names, parts = _stored(spark, path)
+    check_columns(names, src)
+    if not partition_cols:
+        merged = upsert(stored.select(*names), src, keys, null_safe)
+        return replace_partitions(merged, path, (), {ALL_KEY})
     if null_safe:
         raise ValueError("NULL keys match on unpartitioned tables only")
-    holding = (target.select(*keys, *[c for c in parts if c not in keys])
-               .where(_key_range(src, keys))
-               .join(source_keys(src, keys), list(keys), "left_semi"))
-    touched = distinct_partitions(src.select(*parts).unionByName(holding.select(*parts)), parts)
-    affected = _read_folders(spark, path, dict(meta, partitions={
-        k: v for k, v in meta["partitions"].items() if k in touched}))
-    return _commit(upsert(affected, src, keys), path, parts, meta, touched, props)
-
-
-def rewrite_layout(spark: SparkSession, path: str, sort_cols: Sequence[str],
-                   target_file_bytes: int = DEFAULT_FILE_BYTES,
-                   only: Iterable[str] | None = None) -> int:
-    """Compact and cluster: rows range-partitioned and sorted on
-    ``partition columns + sort_cols`` into files of about
-    ``target_file_bytes``, so Parquet min/max statistics skip row groups on
-    the sort columns. Only the partitions written since their last rewrite are
-    touched (or those in ``only``); rows and content ids are unchanged. Returns
-    the version, the current one if nothing was to do."""
-    meta = table_meta(spark, path)
-    parts = meta["partition_columns"]
-    laid_out = {k: v["at"] for k, v in meta["partitions"].items() if v["at"] != v["content"]}
-    todo = set(only) if only is not None else set(meta["partitions"]) - set(laid_out)
-    if not todo:
-        return meta["version"]
-    order = [*parts, *[c for c in sort_cols if c not in parts]]
-    size = sum(p["bytes"] for k, p in meta["partitions"].items() if k in todo)
-    rows = (read_partitions(spark, path, todo)
-            .repartitionByRange(max(1, math.ceil(size / target_file_bytes)), *order)
-            .sortWithinPartitions(*order))
-    return _commit(rows, path, parts, meta, todo, meta.get("props"), balance=False,
-                   contents={k: p["content"] for k, p in meta["partitions"].items()})
-
-
-def register_table(spark: SparkSession, database: str, name: str, path: str) -> str:
-    """Expose the current version as ``database.name`` (external Parquet table
-    listing exactly the current folders). Re-run after each new version: the new
-    entry is built aside and takes the name's place, the files are untouched."""
-    meta = table_meta(spark, path)
-    schema = T.StructType.fromJson(meta["schema"])
-    parts = meta["partition_columns"]
-    full, aside = f"`{database}`.`{name}`", f"`{database}`.`{name}_{uuid.uuid4().hex[:8]}`"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-    fields = [*(f for f in schema.fields if f.name not in parts), *(schema[p] for p in parts)]
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    if not parts:
-        (key, p), = meta["partitions"].items()
-        spark.sql(f"CREATE TABLE {aside} ({cols}) USING parquet "
-                  f"LOCATION '{_quoted(_folder(path, key, p['at'], parts))}'")
-    else:
-        pcols = ", ".join(f"`{p}`" for p in parts)
-        spark.sql(f"CREATE TABLE {aside} ({cols}) USING parquet PARTITIONED BY ({pcols}) "
-                  f"LOCATION '{_quoted(path.rstrip('/'))}'")
-        specs = []
-        for key, p in meta["partitions"].items():
-            spec = ", ".join(f"`{c}` = " + ("NULL" if v is None else f"'{_quoted(v)}'")
-                             for c, v in zip(parts, partition_values(key)))
-            specs.append(f"PARTITION ({spec}) "
-                         f"LOCATION '{_quoted(_folder(path, key, p['at'], parts))}'")
-        for i in range(0, len(specs), 500):
-            spark.sql(f"ALTER TABLE {aside} ADD IF NOT EXISTS " + " ".join(specs[i:i + 500]))
-    spark.sql(f"DROP TABLE IF EXISTS {full}")
-    spark.sql(f"ALTER TABLE {aside} RENAME TO {full}")
-    return f"{database}.{name}"
-
-
-def register_appended(spark: SparkSession, database: str, name: str, path: str,
-                      partition_cols: Sequence[str]) -> str:
-    """Expose an append-only table as ``database.name``; its partitions are found
-    by the catalog (re-run to add new ones)."""
-    full = f"`{database}`.`{name}`"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-    if not spark.catalog.tableExists(f"{database}.{name}"):
-        schema = read_appended(spark, path, partition_cols).schema
-        fields = [*(f for f in schema.fields if f.name not in partition_cols),
-                  *(schema[p] for p in partition_cols)]
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-        spark.sql(f"CREATE TABLE {full} ({cols}) USING parquet PARTITIONED BY "
-                  f"({', '.join(partition_cols)}) LOCATION '{_quoted(path.rstrip('/'))}'")
-    spark.sql(f"MSCK REPAIR TABLE {full}")
-    return f"{database}.{name}"
-
-
-def _quoted(s: str) -> str:
-    return s.replace("\\", "\\\\").replace("'", "\\'")
+    touched = partitions_of(src, parts) | key_index.holding(spark, path, src, keys)
+    merged = upsert(read_partitions(spark, path, touched), src, keys)
+    return replace_partitions(merged, path, parts, touched)
 
 
 # --- append-only tables ----------------------------------------------------------
@@ -436,7 +254,7 @@ def read_appended(spark: SparkSession, path: str, string_partitions: Sequence[st
     reader = spark.read.option("mergeSchema", True)
     if partition:
         folder = "/".join([path.rstrip("/"), *(f"{k}={v}" for k, v in partition.items())])
-        if _exists(spark, folder):
+        if _found(spark, folder) is not None:
             df = reader.option("basePath", path.rstrip("/")).parquet(folder)
         else:
             df = spark.read.parquet(path).where(F.lit(False))

@@ -47,11 +47,9 @@ def test_daily_run_sample(spark, workdir):
     jobs.maintain_layout(spark, lake)
     assert jobs.refresh_fact(spark, lake)["fact_partitions_rebuilt"] == 0
     assert tables.read_table(spark, lake.silver).count() == 2
-    assert jobs.expire_old_versions(spark, lake, keep=1)["silver"] > 0
-    assert tables.read_table(spark, lake.silver).count() == 2
 
 
-def test_gold_with_no_season_and_expired_versions(spark, workdir):
+def test_gold_with_no_season(spark, workdir):
     landing, lake_base = f"{workdir}/landing", f"{workdir}/lake"
     lake = jobs.Lake(lake_base)
     for day, goals in (("2024-11-01", (1, 0)), ("2024-11-02", (2, 2)), ("2024-11-03", (0, 3))):
@@ -60,7 +58,6 @@ def test_gold_with_no_season_and_expired_versions(spark, workdir):
                            season=None)]
         fx.land(landing, "football", day, 39, fx.envelope(recs, date=day))
         jobs.run_daily(spark, landing, lake_base, day)
-        tables.expire_versions(spark, lake.silver, keep=1)
     teams = tables.read_table(spark, lake.gold("dim_team")).collect()
     assert sorted((r.team_id, r.season or 0) for r in teams) == [(1, 2024), (2, 2024), (3, 0), (4, 0)]
     fact = tables.read_table(spark, lake.gold("fact_match_stats")).collect()
