@@ -732,6 +732,42 @@ def q_stream_upsert(spark, sf_dir):
     return ntz(tables.read_table(spark, path).select(*STREAM_OUT), "match_datetime")
 
 
+# Landings of the stateful stream: by ingest time, but each version up to 60 days late, and
+# a tenth of them again with the next landing.
+STREAM_ENDS = ("1995-01-01", "1997-01-01")
+LATE_DAYS = 60
+
+
+def _land_out_of_order(spark, sf_dir, base: str, i: int) -> None:
+    rec = _ranked(bronze_records(spark, sf_dir))
+    some = F.xxhash64("_t2", "_t3", "_t1", "fixture.id")
+    arrival = F.col("_ingest_timestamp").cast("timestamp") + F.make_dt_interval(
+        F.pmod(some, F.lit(LATE_DAYS)).cast("int"))
+    landing = F.lit(0)
+    for end in STREAM_ENDS:
+        landing = landing + (arrival >= F.lit(end).cast("timestamp")).cast("int")
+    again = (landing == i - 1) & (F.pmod(some, F.lit(10)) == 0)
+    (rec.where((landing == i) | again).select("fixture", "league", "teams", "goals", "score")
+     .write.json(f"{base}/football/raw/landing_{i}"))
+
+
+@register("stream_latest_versions", O.with_views(
+    f"SELECT {', '.join(STREAM_OUT)} FROM latest_v",
+    chain=[O.BRONZE_V, O.CLEAN_V, O.CLEAN_RESULT_V, O.LATEST_V]))
+def q_stream_latest_versions(spark, sf_dir):
+    """Versions that land late, twice and out of order; Spark's state keeps the newest."""
+    from laketier.sinks import tables
+    from laketier.streaming.silver_stream import start_latest_stream
+    base, path = scratch(spark, "landing"), scratch(spark, "versions")
+    instant = F.timestamp_seconds(F.floor(F.col("fixture.timestamp") / 10))
+    for i in range(len(STREAM_ENDS) + 1):
+        _land_out_of_order(spark, sf_dir, base, i)
+        start_latest_stream(spark, f"{base}/football/raw", path, "latest_" + path[-12:],
+                            scratch(spark, "quarantine"), instant, VERSION_RANK,
+                            f"{LATE_DAYS + 30} days").awaitTermination()
+    return ntz(tables.read_table(spark, path).select(*STREAM_OUT), "match_datetime")
+
+
 # --- gold tables refreshed from what changed in silver -------------------------------
 
 # The second run corrects matches and moves some: to another league, or to no season.

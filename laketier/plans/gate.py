@@ -1,8 +1,8 @@
 """The quality gate in proportion to what a run changed.
 
 Counts of the value rules add up over partitions, so they are kept for each silver
-partition in a small table (one row a partition); a run counts the partitions written
-since, and sums. The uniqueness rule asks the table's key index (``sinks/key_index.py``),
+partition in a small append-only table (one row for each partition and evaluation that
+found it written since); a run counts those partitions, and sums the latest counts. The uniqueness rule asks the table's key index (``sinks/key_index.py``),
 which reads those partitions alone. Other rules start a table of their own.
 """
 
@@ -24,20 +24,21 @@ def evaluate_changed(spark: SparkSession, table: str, state: str,
     ``quality.evaluate`` on all of it. ``state`` is the folder of the kept counts."""
     kept = f"{state.rstrip('/')}/{hashlib.sha256(repr(list(rules)).encode()).hexdigest()[:16]}"
     parts = tables.table_schema(spark, table)[1]
-    changed, version = tables.changes(spark, table, tables.seen(spark, kept))
+    known = spark.read.parquet(kept) if tables.exists(spark, kept) else None
+    since = known.agg(F.max("version")).first()[0] if known is not None else 0
+    changed, version = tables.changes(spark, table, since)
     whole = tables.read_table(spark, table)
     counted = Q.counts_by(tables.read_partitions(spark, table, changed), rules,
                           [tables.partition_key(parts).alias("partition")])
     fields = [c for c in counted.columns if c != "partition"]
-    if changed:
-        all_changed = spark.createDataFrame([(k,) for k in sorted(changed)], "partition string")
-        rows = all_changed.join(counted, "partition", "left").fillna(0)  # emptied: no rows
-        tables.upsert_table(rows, kept, ["partition"])
-        tables.note_seen(spark, kept, version)
-    total = {}
-    if tables.table_exists(spark, kept) and fields:
-        total = tables.read_table(spark, kept).agg(
-            *[F.coalesce(F.sum(f), F.lit(0)).alias(f) for f in fields]).first().asDict()
+    if changed or known is None:
+        (tables.partition_rows(spark, changed).join(counted, "partition", "left")
+         .fillna(0, fields).withColumn("version", F.lit(version).cast("bigint"))  # emptied: 0
+         .write.mode("append").parquet(kept))
+    latest = spark.read.parquet(kept).groupBy("partition").agg(
+        *[F.max_by(f, "version").alias(f) for f in fields])
+    total = latest.agg(*[F.coalesce(F.sum(f), F.lit(0)).alias(f) for f in fields]
+                       ).first().asDict() if fields else {}
     out = []
     for r in sorted(rules, key=lambda r: r.rule_id):
         ev = un = None

@@ -21,10 +21,10 @@ Append-only tables (bronze, run log) are plain partitioned Parquet folders.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Sequence
 from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +35,7 @@ from laketier.session import staged
 ALL, ALL_KEY = "_all", '{"_all":"0"}'
 EVERY = "*"  # in the log: all partitions
 VERSION = "_version"
+LOG = f"partition string, {VERSION} bigint"
 PARTITION = "partition:"  # marks a partition column in the noted schema
 
 
@@ -44,13 +45,13 @@ def partition_key(cols: Sequence[str]) -> Column:
     return F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in sorted(cols)]))
 
 
-def _found(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def _found(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else None
 
 
 # --- read ------------------------------------------------------------------------
@@ -64,7 +65,7 @@ def table_schema(spark: SparkSession, path: str) -> tuple[T.StructType, list[str
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    return _found(spark, f"{path.rstrip('/')}/_schema") is not None
+    return exists(spark, f"{path.rstrip('/')}/_schema")
 
 
 def _stored(spark: SparkSession, path: str) -> tuple[DataFrame, list[str], list[str]]:
@@ -94,12 +95,12 @@ def read_partitions(spark: SparkSession, path: str, keys: Iterable[str],
 
 def changes(spark: SparkSession, path: str, since: int = 0) -> tuple[set[str], int]:
     """Keys of the partitions that writes after ``since`` touched, and the last write."""
-    log = _found(spark, f"{path.rstrip('/')}/_changes")
+    log = _found(spark, f"{path.rstrip('/')}/_changes", LOG)
     if log is None:
         return set(), since
     rows = (log.where(F.col(VERSION) > since).groupBy("partition")
             .agg(F.max(VERSION).alias("last")).collect())
-    keys = {r["partition"] for r in rows}
+    keys = {r["partition"] for r in rows} - {None}
     if EVERY in keys:
         stored, _, parts = _stored(spark, path)
         keys = keys - {EVERY} | partitions_of(stored, parts)
@@ -107,18 +108,18 @@ def changes(spark: SparkSession, path: str, since: int = 0) -> tuple[set[str], i
 
 
 def last_write(spark: SparkSession, path: str) -> int:
-    log = _found(spark, f"{path.rstrip('/')}/_changes")
+    log = _found(spark, f"{path.rstrip('/')}/_changes", LOG)
     return log.agg(F.max(VERSION)).first()[0] or 0 if log is not None else 0
 
 
 def seen(spark: SparkSession, path: str) -> int:
     """The last write of its source that what lies at ``path`` was built from."""
-    noted = _found(spark, f"{path.rstrip('/')}/_seen")
+    noted = _found(spark, f"{path.rstrip('/')}/_seen", f"{VERSION} bigint")
     return noted.agg(F.max(VERSION)).first()[0] or 0 if noted is not None else 0
 
 
 def note_seen(spark: SparkSession, path: str, version: int) -> None:
-    (spark.range(1).select(F.lit(version).cast("bigint").alias(VERSION)).coalesce(1)
+    (spark.range(1, numPartitions=1).select(F.lit(version).cast("bigint").alias(VERSION))
      .write.mode("append").parquet(f"{path.rstrip('/')}/_seen"))
 
 
@@ -160,6 +161,12 @@ def _note_schema(df: DataFrame, path: str, partition_cols: Sequence[str]) -> Non
     noted.coalesce(1).write.mode("overwrite").parquet(f"{path}/_schema")
 
 
+def partition_rows(spark: SparkSession, keys: Iterable[str]) -> DataFrame:
+    """Keys of partitions as rows of a column ``partition`` (a NULL row for none)."""
+    listed = F.from_json(F.lit(json.dumps(sorted(keys))), "array<string>")
+    return spark.range(1, numPartitions=1).select(F.explode_outer(listed).alias("partition"))
+
+
 def _nullable(schema: T.StructType) -> T.StructType:
     """As Parquet gives a schema back."""
     return T.StructType([T.StructField(f.name, f.dataType) for f in schema])
@@ -167,8 +174,7 @@ def _nullable(schema: T.StructType) -> T.StructType:
 
 def _log(spark: SparkSession, path: str, touched: set[str]) -> int:
     version = last_write(spark, path) + 1
-    rows = [(key, version) for key in sorted(touched)] or [(None, version)]
-    (spark.createDataFrame(rows, f"partition string, {VERSION} bigint").coalesce(1)
+    (partition_rows(spark, touched).withColumn(VERSION, F.lit(version).cast("bigint"))
      .write.mode("append").parquet(f"{path}/_changes"))
     return version
 
@@ -254,7 +260,7 @@ def read_appended(spark: SparkSession, path: str, string_partitions: Sequence[st
     reader = spark.read.option("mergeSchema", True)
     if partition:
         folder = "/".join([path.rstrip("/"), *(f"{k}={v}" for k, v in partition.items())])
-        if _found(spark, folder) is not None:
+        if exists(spark, folder):
             df = reader.option("basePath", path.rstrip("/")).parquet(folder)
         else:
             df = spark.read.parquet(path).where(F.lit(False))

@@ -7,7 +7,7 @@ import fixtures as fx
 from laketier.operators import quality as Q
 from laketier.plans import jobs
 from laketier.sinks import tables
-from laketier.streaming.silver_stream import start_silver_stream
+from laketier.streaming.silver_stream import start_latest_stream, start_silver_stream
 
 
 def test_daily_run_sample(spark, workdir):
@@ -100,6 +100,55 @@ def test_stream_merges_each_batch(spark, workdir):
     assert len(bad) == 1 and "league_40" in bad[0]["_source_file"]
 
 
+def test_a_replayed_batch_leaves_the_same_quarantine(spark, workdir, monkeypatch):
+    root, bad, silver_path = f"{workdir}/landing/football/raw", f"{workdir}/bad", f"{workdir}/silver"
+    good = fx.fixture(1, "2024-11-01T20:00:00+00:00", "FT", (1, "A"), (2, "B"), (1, 0))
+    fx.land_records(f"{workdir}/landing", "football", "2024-11-01", 39, [good])
+    fx.land(f"{workdir}/landing", "football", "2024-11-01", 40, text='{"fixture": {"id": 7, "da\n')
+
+    def run():
+        start_silver_stream(spark, root, silver_path, name="t_stream_replay",
+                            quarantine_path=bad).awaitTermination()
+
+    def lost(*args, **kwargs):
+        raise OSError("lost after the quarantine was written")
+    with monkeypatch.context() as m:
+        m.setattr(tables, "upsert_table", lost)
+        with pytest.raises(Exception):
+            run()
+    first = spark.read.parquet(bad).drop("_ingest_timestamp").collect()
+    run()  # the same epoch again
+    assert len(first) == 1 and first[0]["epoch"] == 0 and first[0]["stream"] == "t_stream_replay"
+    assert spark.read.parquet(bad).drop("_ingest_timestamp").collect() == first
+    assert tables.read_table(spark, silver_path).count() == 1
+
+
+def test_stream_keeps_the_newest_version_of_late_and_repeated_ones(spark, workdir):
+    root, path = f"{workdir}/landing/football/raw", f"{workdir}/versions"
+
+    def version(match, at, goals, tie=0):
+        rec = fx.fixture(match, "2024-11-01T20:00:00+00:00", "FT", (1, "A"), (2, "B"), (goals, 0))
+        rec["fixture"]["timestamp"] = at
+        rec["fixture"]["periods"] = {"first": tie, "second": None}
+        return rec
+
+    def landed(day, *recs):
+        fx.land_records(f"{workdir}/landing", "football", day, 39, list(recs))
+        start_latest_stream(spark, root, path, "t_latest", f"{workdir}/bad",
+                            F.timestamp_seconds("fixture.timestamp"),
+                            ["fixture.timestamp", "fixture.periods.first"], "1 hour").awaitTermination()
+        return {r.match_id: r.home_goals for r in tables.read_table(spark, path).collect()}
+    assert landed("2024-11-01", version(1, 50_000, 1), version(1, 50_100, 2), version(2, 50_000, 1)
+                  ) == {1: 2, 2: 1}
+    # out of order, twice, a tie told by its second rank; match 3 is new though older
+    assert landed("2024-11-02", version(1, 50_050, 8), version(1, 50_100, 2), version(2, 50_000, 5, 1),
+                  version(3, 49_000, 3)) == {1: 2, 2: 5, 3: 3}
+    # the watermark moves far ahead; what is older than it is dropped from then on
+    assert landed("2024-11-03", version(4, 900_000, 4)) == {1: 2, 2: 5, 3: 3, 4: 4}
+    assert landed("2024-11-04", version(1, 60_000, 9), version(2, 899_000, 6)) == {
+        1: 2, 2: 6, 3: 3, 4: 4}
+
+
 def test_fact_refresh_rebuilds_only_changed_partitions(spark, workdir):
     landing, lake_base = f"{workdir}/landing", f"{workdir}/lake"
     day1 = [fx.fixture(i, "2024-11-01T20:00:00+00:00", "FT", (1, "A"), (2, "B"), (1, 0),
