@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,3 +69,18 @@ def league_season_summary(fact: DataFrame) -> DataFrame:
                  F.sum("total_goals").alias("total_goals"),
                  F.avg("total_goals").alias("avg_goals_per_match"))
             .orderBy("league_id", "season"))
+
+
+def summary_parts(fact: DataFrame) -> DataFrame:
+    """Matches and goals per (league, season): parts that add up, to be kept and merged."""
+    return fact.groupBy("league_id", "season").agg(
+        F.count("match_id").alias("matches"), F.count("total_goals").alias("scored"),
+        F.sum("total_goals").alias("goals"))
+
+
+def merged_summary(parts: DataFrame, by: Sequence[str] = ("league_id", "season")) -> DataFrame:
+    """Kept parts as a summary at the grain ``by`` (the league-season summary, or coarser)."""
+    return parts.groupBy(*by).agg(
+        F.sum("matches").alias("total_matches"), F.sum("goals").alias("total_goals"),
+        (F.sum("goals") / F.nullif(F.sum("scored"), F.lit(0))).alias("avg_goals_per_match")
+    ).orderBy(*by)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from laketier.operators import gold, silver
@@ -930,3 +930,101 @@ def q_src_envelope_quarantine(spark, sf_dir):
     folder = F.regexp_extract(landing.SOURCE_FILE, r"/(league_\d+)/", 1)
     return (landing.corrupt_rows(raw).groupBy(folder.alias("folder"))
             .agg(F.count("*").alias("documents")))
+
+
+# --- reconciled envelopes ------------------------------------------------------------
+
+PAGE_MATCHES = 1000
+# What goes wrong on the way: records cut from pages, pages that never land, errors.
+CUT, LOST, FAILED = "match_id % 97 = 0", "block % 11 = 3", "block % 13 = 5"
+
+
+@register("src_envelope_reconcile", O.with_views(f"""
+    SELECT CAST(league_id AS VARCHAR) AS league, CAST(count(*) AS HUGEINT)::BIGINT AS documents,
+     pages AS pages_expected, count(*) AS pages_seen, CAST(sum(results) AS BIGINT) AS results,
+     CAST(sum(arrived) AS BIGINT) AS rows, count(*) FILTER (results <> arrived) AS short_documents,
+     count(*) FILTER ({FAILED}) AS error_documents,
+     count(*) >= pages AND count(*) FILTER (results <> arrived) = 0
+      AND count(*) FILTER ({FAILED}) = 0 AS complete
+    FROM (SELECT *, count(*) OVER (PARTITION BY league_id) AS pages FROM (
+     SELECT league_id, match_id // {PAGE_MATCHES} AS block, count(*) AS results,
+      count(*) FILTER (NOT ({CUT})) AS arrived FROM bronze_v GROUP BY 1, 2))
+    WHERE NOT ({LOST}) GROUP BY league_id, pages""", chain=[O.BRONZE_V]))
+def q_src_envelope_reconcile(spark, sf_dir):
+    """Paged API documents, some cut short, lost or with errors, reconciled by league."""
+    from laketier.operators.reconcile import request_report
+    from laketier.sources import landing
+    base = scratch(spark, "landing")
+    records = bronze_records(spark, sf_dir).select(
+        F.struct("fixture", "league", "teams", "goals", "score").alias("r"),
+        F.col("fixture.id").alias("match_id"), F.col("league.id").alias("league_id"))
+    # a page holds a fixed range of matches, so it does not grow with the data
+    pages = staged(records.groupBy("league_id", F.floor(F.col("match_id") / PAGE_MATCHES).alias("block"))
+                   .agg(F.count("*").alias("results"),
+                        F.collect_list(F.when(~F.expr(CUT), F.col("r"))).alias("response")), "pages")
+    order = Window.partitionBy("league_id").orderBy("block")
+    numbered = (pages.withColumn("current", F.row_number().over(order))
+                .join(pages.groupBy("league_id").agg(F.count("*").alias("total")), "league_id"))
+    documents = numbered.where(f"NOT ({LOST})").select(F.to_json(F.struct(
+        F.lit("fixtures").alias("get"),
+        F.struct(F.col("league_id").cast("string").alias("league")).alias("parameters"),
+        F.when(F.expr(FAILED), F.array(F.lit("rate limit"))).otherwise(F.array()).alias("errors"),
+        "results", F.struct("current", "total").alias("paging"), "response")).alias("value"))
+    documents.write.option("maxRecordsPerFile", 1).text(f"{base}/football/raw/{ENVELOPE_DATE}")
+    raw = landing.read_landed(spark, landing.landing_path(base, "football", ENVELOPE_DATE))
+    return request_report(raw, by=["league"])
+
+
+# --- schemas of two runs ---------------------------------------------------------------
+
+def _drift_sql() -> str:
+    changes = [("referee", "added", None, "string"), ("venue_city", "removed", "string", None),
+               ("home_goals", "retyped", "int", "bigint"), ("match_id", "moved", "int", "int"),
+               ("match_datetime", "moved", "timestamp", "timestamp")]
+
+    def text(v):
+        return "CAST(NULL AS VARCHAR)" if v is None else f"'{v}'"
+    filled = {"referee": f"count(*) FILTER (_ingest_timestamp >= TIMESTAMP '{SPLIT_AT}')",
+              "venue_city": "0 * count(*)"}
+    return " UNION ALL ".join(
+        f"SELECT 'bronze' AS stage, '{c}' AS column, '{change}' AS change, {text(a)} AS type_before, "
+        f"{text(b)} AS type_after, CAST({filled.get(c, f'count({c})')} AS BIGINT) AS filled FROM bronze_v"
+        for c, change, a, b in changes)
+
+
+@register("obs_schema_drift", O.with_views(_drift_sql(), chain=[O.BRONZE_V]))
+def q_obs_schema_drift(spark, sf_dir):
+    """A stage written by two runs: what became of its columns, and how many rows of the
+    later run have a value there."""
+    from laketier.plans.metrics import schema_drift, schema_rows
+    flat = silver.flatten(bronze_records(spark, sf_dir)).drop("_source_file")
+    before = staged(flat, "run-1")
+    split = F.lit(SPLIT_AT).cast("timestamp_ntz")
+    cols = ["match_datetime", "match_id", *[c for c in before.columns if c not in (
+        "match_datetime", "match_id", "venue_city")]]
+    after = staged(before.select(*cols).withColumns({
+        "home_goals": F.col("home_goals").cast("bigint"),
+        "referee": F.when(F.col("_ingest_timestamp") >= split, F.lit("R. Eferee"))}), "run-2")
+    drift = schema_drift(schema_rows(spark, {"bronze": before}), schema_rows(spark, {"bronze": after}))
+    counts = after.agg(*[F.count(c).alias(c) for c in after.columns])
+    filled = counts.select(F.explode(F.create_map(*[x for c in after.columns
+                                                    for x in (F.lit(c), F.col(c))])).alias("column", "filled"))
+    return drift.join(filled, "column", "left").select(
+        "stage", "column", "change", "type_before", "type_after",
+        F.coalesce("filled", F.lit(0)).cast("bigint").alias("filled"))
+
+
+# --- a summary kept in parts --------------------------------------------------------------
+
+@register("gold_refresh_summary", O.with_views(
+    "SELECT season, count(match_id) AS total_matches, CAST(sum(total_goals) AS BIGINT) AS total_goals, "
+    "avg(total_goals) AS avg_goals_per_match FROM fact_v GROUP BY season", O.FACT_V, chain=_REFRESH))
+def q_gold_refresh_summary(spark, sf_dir):
+    """Parts kept per league and season over two runs, added up by season."""
+    from laketier.plans import jobs
+
+    def refresh(spark, lake):
+        jobs.refresh_fact(spark, lake)
+        jobs.refresh_summary(spark, lake)
+    parts = _gold_after_two_runs(spark, sf_dir, refresh, "summary_parts")
+    return gold.merged_summary(parts, ["season"])

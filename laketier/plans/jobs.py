@@ -19,12 +19,14 @@ from pyspark.sql import functions as F
 
 from laketier import schemas as S
 from laketier.operators import gold, quality, silver
+from laketier.operators.reconcile import request_report
 from laketier.plans.gate import evaluate_changed
-from laketier.plans.metrics import observe_rows, observed_rows
+from laketier.plans.metrics import SCHEMA_ROWS, observe_rows, observed_rows, schema_drift, schema_rows
 from laketier.sinks import layout, tables
 from laketier.sources import landing
 
 log = logging.getLogger(__name__)
+LOGGED = 100  # incomplete requests that are logged one by one
 
 
 @dataclass(frozen=True)
@@ -51,6 +53,10 @@ class Lake:
     def gold(self, table: str) -> str:
         return self._p("gold", table)
 
+    @property
+    def schemas(self) -> str:
+        return self._p("_schemas", self.sport)
+
     @property
     def gate(self) -> str:
         return self._p("_gate", self.sport)
@@ -81,7 +87,18 @@ def ingest_bronze(spark: SparkSession, landing_base: str, lake: Lake, ingest_dat
         {"_ingest_date": F.lit(ingest_date), "_ingest_timestamp": F.current_timestamp()})
     bad, bad_obs = observe_rows(bad, "quarantine")
     tables.append(bad, lake.quarantine, ["_ingest_date"])
-    return {"bronze": observed_rows(obs), "quarantined": observed_rows(bad_obs)}
+    out = {"bronze": observed_rows(obs), "quarantined": observed_rows(bad_obs)}
+    if shape == landing.ENVELOPE_SHAPE:
+        out["incomplete_requests"] = incomplete_requests(raw)
+    return out
+
+
+def incomplete_requests(raw: DataFrame) -> int:
+    """How many API requests did not arrive whole; each is logged."""
+    found = request_report(raw).where("NOT complete").limit(LOGGED + 1).collect()
+    for r in found[:LOGGED]:
+        log.warning("incomplete request %s", r.asDict())
+    return len(found) if len(found) <= LOGGED else request_report(raw).where("NOT complete").count()
 
 
 def read_bronze(spark: SparkSession, lake: Lake, ingest_date: str | None = None) -> DataFrame:
@@ -124,7 +141,7 @@ def build_gold(spark: SparkSession, lake: Lake) -> dict:
     silver. Each day's gold work is proportional to what that day touched.
     """
     return {**refresh_dim_date(spark, lake), **refresh_dim_team(spark, lake),
-            **refresh_fact(spark, lake)}
+            **refresh_fact(spark, lake), **refresh_summary(spark, lake)}
 
 
 def refresh_dim_date(spark: SparkSession, lake: Lake) -> dict:
@@ -164,8 +181,40 @@ def refresh_fact(spark: SparkSession, lake: Lake) -> dict:
     return {"fact_version": version, "fact_partitions_rebuilt": len(changed)}
 
 
-def league_summary(spark: SparkSession, lake: Lake) -> DataFrame:
-    return gold.league_season_summary(tables.read_table(spark, lake.gold("fact_match_stats")))
+def refresh_summary(spark: SparkSession, lake: Lake) -> dict:
+    """Kept parts of the league-season summary, counted anew for the fact partitions
+    written since; the summary's grain is the fact's partitioning."""
+    fact, path = lake.gold("fact_match_stats"), lake.gold("summary_parts")
+    changed, last = tables.changes(spark, fact, tables.seen(spark, path))
+    if not changed:
+        return {}
+    parts = gold.summary_parts(tables.read_partitions(spark, fact, changed))
+    version = tables.replace_partitions(parts, path, S.FACT_PARTITIONS, changed)
+    tables.note_seen(spark, path, last)
+    return {"summary_version": version}
+
+
+def league_summary(spark: SparkSession, lake: Lake,
+                   by: Sequence[str] = ("league_id", "season")) -> DataFrame:
+    """The summary from its kept parts, without a look at the fact."""
+    return gold.merged_summary(tables.read_table(spark, lake.gold("summary_parts")), by)
+
+
+def note_schemas(spark: SparkSession, lake: Lake, run_id: str) -> list[dict]:
+    """Keep the schemas of this run's tables; return and log what changed since the run
+    before (one row a column)."""
+    stages = {"bronze": read_bronze(spark, lake), "silver": tables.read_table(spark, lake.silver),
+              "fact_match_stats": tables.read_table(spark, lake.gold("fact_match_stats"))}
+    now, drift = schema_rows(spark, stages), []
+    if tables.exists(spark, lake.schemas):
+        kept = spark.read.schema(f"{SCHEMA_ROWS}, run_id string, noted_at timestamp").parquet(lake.schemas)
+        last = kept.groupBy().agg(F.max_by("run_id", "noted_at").alias("run_id"))
+        drift = [r.asDict() for r in schema_drift(kept.join(last, "run_id"), now).collect()]
+    for row in drift:
+        log.warning("schema drift %s", row)
+    (now.withColumns({"run_id": F.lit(run_id), "noted_at": F.current_timestamp()}).coalesce(1)
+     .write.mode("append").parquet(lake.schemas))
+    return drift
 
 
 def register_all(spark: SparkSession, lake: Lake, prefix: str = "analytics") -> list[str]:
@@ -218,8 +267,9 @@ def run_daily(spark: SparkSession, landing_base: str, lake_base: str, execution_
         stages.update(build_silver(spark, lake, execution_date, tie_breakers))
         stages["rules_checked"] = len(check_silver(spark, lake, rules))
         stages.update(build_gold(spark, lake))
+        drift = note_schemas(spark, lake, run_id)
     except Exception:
         log_run(spark, lake, pipeline_name, run_id, execution_date, "FAILED", stages)
         raise
     log_run(spark, lake, pipeline_name, run_id, execution_date, "SUCCESS", stages)
-    return {"run_id": run_id, **stages}
+    return {"run_id": run_id, "schema_drift": drift, **stages}

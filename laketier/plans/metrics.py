@@ -1,4 +1,4 @@
-"""Stage metrics: row counts per pipeline stage.
+"""Stage metrics: row counts and schemas per pipeline stage.
 
 ``observe`` attaches a count to a DataFrame that is computed by the action
 that writes it, so a run learns its stage sizes without extra jobs.
@@ -7,7 +7,7 @@ that writes it, so a run learns its stage sizes without extra jobs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -39,6 +39,33 @@ def stage_report(spark: SparkSession, stages: list[tuple[str, Observation, DataF
                                  "stage string, rows bigint, columns int")
 
 
-def schema_of(df: DataFrame) -> list[tuple[str, str]]:
-    """Columns of a stage with their types, as reported in the log."""
-    return df.dtypes
+SCHEMA_ROWS = "stage string, position int, column string, type string"
+
+
+def schema_rows(spark: SparkSession, stages: dict[str, DataFrame]) -> DataFrame:
+    """One row per column of every stage."""
+    return spark.createDataFrame(
+        [(stage, i, name, kind) for stage, df in stages.items()
+         for i, (name, kind) in enumerate(df.dtypes)], SCHEMA_ROWS)
+
+
+def schema_drift(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Columns that are not as they were: (stage, column, change, type_before, type_after),
+    ``change`` being added, removed, retyped or moved (its place among the columns that
+    both have). A stage that only one side knows has no drift."""
+    both = before.select("stage").distinct().join(after.select("stage").distinct(), "stage")
+    key = ["stage", "column"]
+
+    def side(rows, name, other):
+        order = Window.partitionBy("stage").orderBy("position")
+        shared = rows.join(other.select(*key), key, "left_semi").select(
+            *key, F.row_number().over(order).alias(f"place_{name}"))
+        return (rows.join(both, "stage", "left_semi").select(*key, F.col("type").alias(f"type_{name}"))
+                .join(shared, key, "left"))
+    joined = side(before, "before", after).join(side(after, "after", before), key, "full_outer")
+    change = (F.when(F.col("type_before").isNull(), "added")
+              .when(F.col("type_after").isNull(), "removed")
+              .when(F.col("type_before") != F.col("type_after"), "retyped")
+              .when(F.col("place_before") != F.col("place_after"), "moved"))
+    return (joined.withColumn("change", change).where("change IS NOT NULL")
+            .select(*key, "change", "type_before", "type_after"))

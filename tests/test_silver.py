@@ -115,3 +115,20 @@ def test_dedup_plan_limits_before_shuffle(spark):
     assert "WindowGroupLimit" in plan
     # partial limit sits below the exchange on match_id
     assert plan.count("WindowGroupLimit") >= 2
+
+
+def test_versions_of_one_instant_and_line_are_told_apart(spark):
+    """Two versions with equal time and line: the higher part, then supplier, wins."""
+    from laketier.plans.catalog import VERSION_RANK, _ranked
+    recs = [fx.fixture(1, "2024-11-01T20:00:00+00:00", s, (1, "A"), (2, "B"), (g, 0))
+            for s, g in (("FT", 1), ("FT", 2), ("NS", 3), ("FT", 4))]
+    ties = [(851, 9), (1225, 3), (1224, 9), (1225, 2)]
+    rows = spark.createDataFrame([(json.dumps(r), *t) for r, t in zip(recs, ties)],
+                                 "j string, _t2 bigint, _t3 bigint")
+    from laketier.schemas import FIXTURE_RECORD
+    df = rows.select(F.from_json("j", FIXTURE_RECORD).alias("r"), "_t2", "_t3").select(
+        "r.*", "_t2", "_t3").withColumns({
+            "_ingest_timestamp": F.lit("2024-11-02 06:00:00").cast("timestamp"), "_t1": F.lit(3),
+            "_source_file": F.lit("f")})
+    got = silver.silver_matches(_ranked(df), tie_breakers=VERSION_RANK).collect()
+    assert [(r.match_id, r.home_goals) for r in got] == [(1, 2)]
