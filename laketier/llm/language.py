@@ -171,7 +171,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, buckets: int = BUCKETS) -> Model:
     grams, scripts = value[:, :buckets] + 0.5, value[:, buckets:]
     return Model(languages, max(range(len(sizes)), key=lambda i: sizes[i].n),
                  np.log(grams / grams.sum(1, keepdims=True)).T.copy(),
-                 scripts > 0.005 * np.maximum(1, scripts.sum(1, keepdims=True)))
+                 scripts > 0)  # the n-grams' smoothed counts tell how likely
 
 
 def viterbi(scores: np.ndarray, bounds: np.ndarray, penalty: float = SWITCH, block: int = BLOCK

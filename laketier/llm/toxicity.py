@@ -41,13 +41,13 @@ PATTERNS = 4000
 STEMS = (4, 5, 6, 7)  # lengths of learned word beginnings
 LEAST_TEXTS, LEAST_Z, LEAST_ODDS = 4, 6.0, 1.5
 THRESHOLD = 0.7
+STOPS = '.!?;:"»“”…'  # end a clause
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
 OWN_WEIGHT = 4.0
 # The grammar's own words: English, and the closed classes of the other languages.
 OWN = {
-    INSULT: "idiot idiots stupid moron morons scum trash loser losers clown pathetic worthless "
-            "disgusting dumb imbecile filthy vermin cretin bastard jerk".split(),
+    INSULT: "dumb imbecile filthy vermin cretin bastard jerk".split(),
     THREAT: "kill hurt destroy burn shoot stab strangle beat smash crush punish".split(),
     TARGET: "you your yours u they them their he she him her people du dich dir dein ihr euch sie "
             "tu toi ton ta vous votre ils elles tú te usted ustedes ellos".split(),
@@ -114,6 +114,9 @@ class Grammar:
 
     def read(self, word: str) -> tuple[int, float]:
         """Class and weight of a word; the strongest pattern that it fits counts."""
+        word = word.strip("'")
+        if "'" in word and word not in self.closed:
+            word = word[:word.index("'")]
         best = self.words.get(word, 0.0)
         for n in STEMS:
             if n > len(word):
@@ -124,14 +127,14 @@ class Grammar:
     def features(self, texts: pa.Array) -> np.ndarray:
         """One row of ``FEATURES`` per text: what the matches of its clauses emit."""
         out = np.zeros((len(texts), len(FEATURES)))
-        words, codes, bounds = split_blanks(pc.utf8_lower(pc.fill_null(texts, "")))
+        words, codes, bounds = split_blanks(cut(pc.utf8_lower(pc.fill_null(texts, ""))))
         if not len(codes):
             return out
         plain = words.to_pylist()
-        read = [self.read(strip(w)) for w in plain]
+        read = [self.read(w.rstrip(STOPS)) for w in plain]
         kind = np.fromiter((c for c, _ in read), np.int64, len(read))
         weight = np.fromiter((w for _, w in read), float, len(read))
-        ends = np.fromiter((w != "" and w[-1] in ".!?;:\"»“”…" for w in plain), bool, len(plain))
+        ends = np.fromiter((w[-1:] in STOPS and w != "" for w in plain), bool, len(plain))
         text = np.repeat(np.arange(len(texts)), np.diff(bounds))
         kinds = kind[codes]
         stop = ends[codes]
@@ -173,14 +176,11 @@ class Grammar:
         return 1 / (1 + np.exp(-(features @ self.coefficients + self.constant)))
 
 
-def strip(word: str) -> str:
-    """The word without signs at its ends."""
-    a, b = 0, len(word)
-    while a < b and not word[a].isalpha():
-        a += 1
-    while b > a and not word[b - 1].isalpha():
-        b -= 1
-    return word[a:b]
+def cut(texts: pa.Array) -> pa.Array:
+    """Texts as learning reads them: runs of letters (and apostrophes between them) apart,
+    and the signs that end a clause after the word before them."""
+    texts = pc.replace_substring_regex(texts, rf"[^\p{{L}}'{STOPS}]+", " ")
+    return pc.replace_substring_regex(texts, rf" ?([{STOPS}])[{STOPS} ]*", r"\1 ")
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0,

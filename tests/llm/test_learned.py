@@ -98,7 +98,7 @@ def test_composition_runs_all_transducers_at_once():
 
 def test_clauses_not_words_are_scored():
     import pyarrow as pa
-    grammar = toxicity.Grammar({w: 4.0 for w in toxicity.OWN[toxicity.INSULT]}, {"blarg": 5.0})
+    grammar = toxicity.Grammar({"idiot": 4.0}, {"blarg": 5.0})
     texts = ["You are an idiot.", "An idiot passed by.", "You are not an idiot.",
              "The paper said he was an idiot.", "I will kill you, they said", "You will kill time.",
              "We beat eggs.", "Not today. Idiot!", None, "", "blargifications", "a good day"]
