@@ -8,7 +8,8 @@ its 64-bit fingerprint *and* its text, which verifies that a fingerprint identif
 one chunk. A document is then only its recipe, the ordered list of chunk
 identifiers; equal recipes are equal texts. Where two chunks share a fingerprint,
 recipes that use it carry those chunks' texts as well, which keeps the comparison
-exact (chance makes some 10^-7 such fingerprints in 10^6 chunks).
+exact (chance makes some 10^-7 such fingerprints in 10^6 chunks). Recipes alone form the
+groups; the hash of the whole text is only reported.
 
 Whole texts move once, in pieces and after a partial deduplication in each task; a
 group with a third of all rows is reduced in the tasks that read it, and is joined
@@ -64,7 +65,7 @@ def exact_duplicates(docs: DataFrame, fingerprint=F.xxhash64) -> DataFrame:
         "doc_id", F.sha2("norm", 256).alias("text_sha256"),
         F.transform("chunks", lambda c: fingerprint(c)).alias("recipe"),
         told.alias("told")), "recipes")
-    key = ["text_sha256", "recipe", "told"]
+    key = ["recipe", "told"]
     groups = staged(recipes.groupBy(*key).agg(F.min("doc_id").alias("keep_id"),
                                               F.count("*").alias("group_size")), "groups")
     return (recipes.join(groups, key)
