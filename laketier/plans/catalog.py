@@ -480,6 +480,28 @@ def q_merge_upsert_table(spark, sf_dir):
     return ntz(tables.read_table(spark, path).select(*SILVER_OUT), "match_datetime")
 
 
+@register("merge_bucketed_table", O.with_views(
+    _merge_sql("t_silver_v", "s_silver_v", ["match_id"], O.SILVER_OUT),
+    chain=[O.BRONZE_V,
+           *O.silver_ctes("t_", f"_ingest_timestamp < TIMESTAMP '{SPLIT_AT}'"),
+           *O.silver_ctes("s_", f"_ingest_timestamp >= TIMESTAMP '{SPLIT_AT}'")]))
+def q_merge_bucketed_table(spark, sf_dir):
+    """The same two runs into a table bucketed by match: the target is not shuffled."""
+    from laketier.schemas import SILVER_PARTITIONS
+    from laketier.sinks import bucketed
+    b = bronze_records(spark, sf_dir)
+    ts, split = F.col("_ingest_timestamp"), F.lit(SPLIT_AT).cast("timestamp_ntz")
+
+    def batch(cond):
+        return silver.silver_matches(b.where(cond), tie_breakers=dt.TIE_BREAKERS)
+    path = scratch(spark, "bucketed")
+    name = f"laketier_check.bucketed_{path[-12:]}"
+    spark.sql("CREATE DATABASE IF NOT EXISTS laketier_check")
+    bucketed.create(batch(ts < split), name, path, "match_id", SILVER_PARTITIONS)
+    bucketed.merge(batch(ts >= split), name)
+    return ntz(spark.table(name).select(*SILVER_OUT), "match_datetime")
+
+
 @register("layout_rewrite", O.with_views(f"SELECT {O.SILVER_OUT} FROM silver_v"))
 def q_layout_rewrite(spark, sf_dir):
     from laketier.schemas import SILVER_PARTITIONS
