@@ -1,4 +1,4 @@
-"""Operator 6: repeated byte strings by minimizer runs and counted hashes.
+"""Operator 6: repeated byte strings by longest-previous-factor arrays.
 
 Every byte covered by a string of ``min_bytes`` that also starts elsewhere is found,
 over all documents, without ever sorting all suffixes in one place:
@@ -8,12 +8,14 @@ over all documents, without ever sorting all suffixes in one place:
    minimizer at the same offset. Neighbouring windows share theirs, so a document is
    a list of runs of windows (about one per 185 bytes): seed hash, hash of the run's
    whole text, first and last window.
-2. Runs are counted by (seed, text), both as 64-bit hashes: a run whose text's hash
-   occurs again is repeated in full, and its bytes are not compared. A seed with several texts needs a closer look, at one example of each.
-3. The texts of those runs are brought together by seed. There the windows are put in
-   order of their ``min_bytes`` bytes (prefix doubling) and looked up by equality with
-   their neighbour. No longest-previous-factor array is made: whether that factor
-   reaches ``min_bytes`` is all that is asked.
+2. Runs are counted by (seed, text), two independent 64-bit hashes: a run that occurs
+   again is repeated in full (its bytes are not compared; among 10^12 runs, 600 TB, two
+   that differ agree in both with a chance of 10^-15). A seed with several texts needs a
+   closer look, at one example of each.
+3. The texts of those runs are brought together by seed. Their windows are put in suffix
+   order (prefix doubling); the previous and next smaller positions in that order give
+   each window's longest previous factor and where it starts. Windows whose factor is a
+   whole window are later copies, and their sources are earlier ones.
 4. A seed with more than ``CROWD`` texts is not brought together. Its runs are cut by
    the windows' offset from the minimizer into narrower runs (``WIDTHS``), whose seed is
    the text common to all windows of such a cut; equal windows share it. These are
@@ -107,46 +109,95 @@ def _hash64(data) -> int:
     return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
 
 
-def window_ranks(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
-    """Rank in suffix order of the ``length`` bytes from each start on, by prefix
-    doubling: equal ranks are equal strings. Needs ``length`` bytes from each start."""
-    n = len(data)
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    key = np.zeros(n, np.uint64)
-    for i in range(8):
-        key = key << np.uint64(8) | padded[i:i + n]
-
-    def ranked(values: np.ndarray) -> np.ndarray:
-        order = np.argsort(values)
-        new = np.concatenate([[False], values[order[1:]] != values[order[:-1]]])
-        out = np.empty(len(values), np.uint64)
-        out[order] = np.cumsum(new).astype(np.uint64)
-        return out
-
-    rank, width = ranked(key), 8
-    while width < length:
-        step = min(width, length - width)
-        if width + step == length:  # last round: the windows alone
-            return ranked(rank[starts] << np.uint64(32) | rank[starts + step])
-        right = np.concatenate([rank[step:], np.zeros(step, np.uint64)])
-        rank, width = ranked(rank << np.uint64(32) | right), width + step
-    return rank[starts]
-
-
-def previous_copies(ranks: np.ndarray, position: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Whether each window has an equal one anywhere, and whether an earlier one.
-
-    In suffix order with equal strings by position, the previous smaller position of
-    a window within reach of a full-length common prefix is its predecessor, if that
-    is equal; the next smaller position never is. So the longest previous factor, cut
-    at the window's length, is full exactly where the predecessor is equal.
+def _ranked(values: np.ndarray) -> np.ndarray:
+    order = np.argsort(values)
+    new = np.concatenate([[False], values[order[1:]] != values[order[:-1]]])
+    out = np.empty(len(values), np.uint32)
+    out[order] = np.cumsum(new).astype(np.uint32)
+    return out
+
+
+class SuffixOrder:
+    """Suffix order of the ``length`` (8 at least) bytes from each start on, by doubling. The
+    ranks of every width passed on the way stay, for lengths of common prefixes."""
+
+    def __init__(self, data: np.ndarray, starts: np.ndarray, length: int):
+        n = len(data)
+        padded = np.concatenate([data, np.zeros(8, np.uint8)])
+        self.head = np.zeros(n, np.uint64)  # the next eight bytes
+        for i in range(8):
+            self.head = self.head << np.uint64(8) | padded[i:i + n]
+        self.starts, self.length = starts, length
+        self.widths = [(8, _ranked(self.head))]
+        while True:
+            width, rank = self.widths[-1]
+            if 2 * width >= length:  # last round: the windows alone
+                step = max(0, length - width)
+                self.ranks = _ranked(rank[starts].astype(np.uint64) << np.uint64(32)
+                                     | rank[starts + step])
+                return
+            right = np.concatenate([rank[width:], np.zeros(min(width, n), np.uint32)])[:n]
+            self.widths.append((2 * width, _ranked(rank.astype(np.uint64) << np.uint64(32) | right)))
+
+    def common_prefix(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Common bytes of the windows numbered ``a`` and ``b``, up to ``length``."""
+        a, b, last = self.starts[a], self.starts[b], len(self.head) - 1
+        found = np.zeros(len(a), np.int64)
+        for width, rank in reversed(self.widths):
+            same = rank[np.minimum(a + found, last)] == rank[np.minimum(b + found, last)]
+            found += width * same
+        differ = (self.head[np.minimum(a + found, last)]
+                  ^ self.head[np.minimum(b + found, last)])
+        for bits in range(8, 64, 8):  # bytes that agree before the first that does not
+            found += differ < np.uint64(1 << (64 - bits))
+        return np.minimum(found, self.length)
+
+
+def previous_smaller(values: np.ndarray) -> np.ndarray:
+    """For each place the nearest one before it with a smaller value, or -1."""
+    near = np.arange(len(values)) - 1
+    open_ = np.arange(len(values))
+    for _ in range(40):  # what lies between a place and its candidate is never smaller
+        open_ = open_[near[open_] >= 0]
+        open_ = open_[values[near[open_]] > values[open_]]
+        near[open_] = near[near[open_]]
+    for i in open_.tolist():  # the few behind long rising stretches, one after the other
+        at = near[i]
+        while at >= 0 and values[at] > values[i]:
+            at = near[at]
+        near[i] = at
+    return near
+
+
+def longest_previous_factors(suffixes: SuffixOrder) -> tuple[np.ndarray, np.ndarray]:
+    """The longest previous factor of each window (the most bytes, up to the window's
+    length, that it has in common with an earlier one), and the number of the earlier one
+    (-1: none). Windows are numbered by position.
+
+    The earlier windows with most in common are, in suffix order (equal strings by
+    position), the nearest of smaller position before and behind.
     """
-    order = np.lexsort((position, ranks))
-    same = ranks[order[1:]] == ranks[order[:-1]]
-    earlier, later = np.zeros(len(ranks), bool), np.zeros(len(ranks), bool)
-    earlier[order[1:]] = same
-    later[order[:-1]] = same
-    return earlier | later, earlier
+    n = len(suffixes.ranks)
+    order = np.lexsort((np.arange(n), suffixes.ranks))
+    behind = n - 1 - previous_smaller(order[::-1])[::-1]  # n: none
+    factor, source = np.zeros(n, np.int64), np.full(n, -1)
+    for near in (previous_smaller(order), behind):
+        at = np.flatnonzero((near >= 0) & (near < n))
+        here, there = order[at], order[near[at]]
+        common = suffixes.common_prefix(here, there)
+        more = common > factor[here]
+        factor[here[more]], source[here[more]] = common[more], there[more]
+    return factor, source
+
+
+def copies(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each window has an equal one anywhere, and whether an earlier one: those
+    whose longest previous factor is the whole window, and the sources of such ones."""
+    factor, source = longest_previous_factors(SuffixOrder(data, starts, length))
+    later = factor == length
+    either = later.copy()
+    either[source[later]] = True
+    return either, later
 
 
 def spans_of(flags: np.ndarray, min_bytes: int) -> list[tuple[int, int]]:
@@ -235,7 +286,7 @@ def compared(contexts: DataFrame, min_bytes: int, keep_first: bool) -> DataFrame
         begin = np.cumsum([0, *(len(r[5]) for r in rows[:-1])])
         before = np.cumsum(count) - count
         starts = np.repeat(begin - before, count) + np.arange(count.sum())
-        found = previous_copies(window_ranks(data, starts, min_bytes), starts)[int(keep_first)]
+        found = copies(data, starts, min_bytes)[int(keep_first)]
         out = []
         for i in np.flatnonzero(np.add.reduceat(found, before)).tolist():
             _, doc, h, s, _, _ = rows[i]

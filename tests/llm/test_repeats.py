@@ -77,9 +77,42 @@ def test_pieces_of_a_long_text_cover_every_window(words, monkeypatch):
         assert ((place <= first + 60 - 32) & (place >= last)).all()
 
 
-def test_window_ranks_are_suffix_order(words):
+def suffixes_of(data, length):
+    return repeats.SuffixOrder(np.frombuffer(data, np.uint8), np.arange(len(data) - length + 1), length)
+
+
+@pytest.mark.parametrize("length", [8, 9, 16, 50, 100])
+def test_window_ranks_are_suffix_order(words, length):
     data = (words(40) * 2).encode()
-    starts = np.arange(len(data) - 99)
-    ranks = repeats.window_ranks(np.frombuffer(data, np.uint8), starts, 100)
-    want = {w: i for i, w in enumerate(sorted({data[a:a + 100] for a in starts.tolist()}))}
-    assert ranks.tolist() == [want[data[a:a + 100]] for a in starts.tolist()]
+    order = suffixes_of(data, length)
+    windows = [data[a:a + length] for a in range(len(data) - length + 1)]
+    want = {w: i for i, w in enumerate(sorted(set(windows)))}
+    assert order.ranks.tolist() == [want[w] for w in windows]
+
+
+@pytest.mark.parametrize("length", [8, 9, 50, 100])
+def test_longest_previous_factors_equal_brute_force(words, length):
+    def common(a, b):
+        return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), length)
+
+    for data in (words(30).encode() * 2 + words(10).encode(), b"a" * 150, b"ab" * 70 + b"ba" * 40,
+                 bytes([0] * 120 + [1] + [0] * 120), random.Random(1).randbytes(120) * 2):
+        windows = [data[a:a + length] for a in range(len(data) - length + 1)]
+        factor, source = repeats.longest_previous_factors(suffixes_of(data, length))
+        assert factor.tolist() == [max((common(w, e) for e in windows[:i]), default=0)
+                                   for i, w in enumerate(windows)]
+        for i, (f, s) in enumerate(zip(factor.tolist(), source.tolist())):
+            assert (f == 0) == (s < 0) and (s < 0 or s < i and common(windows[i], windows[s]) == f)
+        either, later = repeats.copies(np.frombuffer(data, np.uint8), np.arange(len(windows)), length)
+        assert later.tolist() == [w in windows[:i] for i, w in enumerate(windows)]
+        assert either.tolist() == [windows.count(w) > 1 for w in windows]
+
+
+def test_previous_smaller_equals_brute_force():
+    r = np.random.default_rng(1)
+    for values in (r.permutation(500), np.arange(300), np.arange(300)[::-1], np.zeros(0, int),
+                   np.concatenate([np.arange(1, 400), [0], np.arange(400, 500)]),
+                   np.concatenate([np.arange(100, 300), np.arange(50), np.arange(50, 100)[::-1]])):
+        want = [next((j for j in range(i - 1, -1, -1) if values[j] < v), -1)
+                for i, v in enumerate(values)]
+        assert repeats.previous_smaller(values).tolist() == want
