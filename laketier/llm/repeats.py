@@ -111,14 +111,23 @@ def _hash64(data) -> int:
 
 def _ranked(values: np.ndarray) -> np.ndarray:
     order = np.argsort(values)
-    new = np.concatenate([[False], values[order[1:]] != values[order[:-1]]])
+    sorted_ = values[order]
     out = np.empty(len(values), np.uint32)
-    out[order] = np.cumsum(new).astype(np.uint32)
+    out[order] = np.concatenate([[0], np.cumsum(sorted_[1:] != sorted_[:-1])])[:len(values)]
+    return out
+
+
+def _joined(parts: list[np.ndarray], bits: int) -> np.ndarray:
+    """Ranks of ``bits`` bits side by side."""
+    out = parts[0].astype(np.uint64)
+    for part in parts[1:]:
+        out = out << np.uint64(bits) | part
     return out
 
 
 class SuffixOrder:
-    """Suffix order of the ``length`` (8 at least) bytes from each start on, by doubling. The
+    """Suffix order of the ``length`` (8 at least) bytes from each start on: by prefix
+    doubling, or three or four times the width where so many ranks fit in 64 bits. The
     ranks of every width passed on the way stay, for lengths of common prefixes."""
 
     def __init__(self, data: np.ndarray, starts: np.ndarray, length: int):
@@ -131,21 +140,25 @@ class SuffixOrder:
         self.widths = [(8, _ranked(self.head))]
         while True:
             width, rank = self.widths[-1]
-            if 2 * width >= length:  # last round: the windows alone
-                step = max(0, length - width)
-                self.ranks = _ranked(rank[starts].astype(np.uint64) << np.uint64(32)
-                                     | rank[starts + step])
+            bits = max(1, int(rank.max()).bit_length())
+            times = min(4, 64 // bits)
+            if times * width >= length:  # last round: the windows alone
+                places = sorted({min(i * width, length - width) for i in range(times)})
+                self.ranks = _ranked(_joined([rank[starts + p] for p in places], bits))
                 return
-            right = np.concatenate([rank[width:], np.zeros(min(width, n), np.uint32)])[:n]
-            self.widths.append((2 * width, _ranked(rank.astype(np.uint64) << np.uint64(32) | right)))
+            further = np.concatenate([rank, np.zeros(times * width, np.uint32)])
+            self.widths.append((times * width, _ranked(_joined(
+                [further[i * width:i * width + n] for i in range(times)], bits))))
 
     def common_prefix(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Common bytes of the windows numbered ``a`` and ``b``, up to ``length``."""
         a, b, last = self.starts[a], self.starts[b], len(self.head) - 1
-        found = np.zeros(len(a), np.int64)
+        found, left = np.zeros(len(a), np.int64), self.length  # bytes that may still agree
         for width, rank in reversed(self.widths):
-            same = rank[np.minimum(a + found, last)] == rank[np.minimum(b + found, last)]
-            found += width * same
+            for _ in range(left // width):
+                same = rank[np.minimum(a + found, last)] == rank[np.minimum(b + found, last)]
+                found += width * same
+            left = width - 1
         differ = (self.head[np.minimum(a + found, last)]
                   ^ self.head[np.minimum(b + found, last)])
         for bits in range(8, 64, 8):  # bytes that agree before the first that does not
