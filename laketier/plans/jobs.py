@@ -22,6 +22,7 @@ from laketier.operators import gold, quality, silver
 from laketier.operators.reconcile import request_report
 from laketier.plans.gate import evaluate_changed
 from laketier.plans.metrics import SCHEMA_ROWS, observe_rows, observed_rows, schema_drift, schema_rows
+from laketier.session import together
 from laketier.sinks import layout, tables
 from laketier.sources import landing
 
@@ -82,15 +83,16 @@ def ingest_bronze(spark: SparkSession, landing_base: str, lake: Lake, ingest_dat
     found = landing.fixture_rows(raw, shape)
     rows = landing.with_bronze_audit(found.where(landing.identified()), ingest_date, lake.sport)
     rows, obs = observe_rows(rows, "bronze")
-    tables.append(rows, lake.bronze, S.BRONZE_PARTITIONS)
     bad = landing.corrupt_rows(raw, shape).unionByName(landing.unidentified_rows(found)).withColumns(
         {"_ingest_date": F.lit(ingest_date), "_ingest_timestamp": F.current_timestamp()})
     bad, bad_obs = observe_rows(bad, "quarantine")
-    tables.append(bad, lake.quarantine, ["_ingest_date"])
-    out = {"bronze": observed_rows(obs), "quarantined": observed_rows(bad_obs)}
+    steps = [lambda: tables.append(rows, lake.bronze, S.BRONZE_PARTITIONS),
+             lambda: tables.append(bad, lake.quarantine, ["_ingest_date"])]
     if shape == landing.ENVELOPE_SHAPE:
-        out["incomplete_requests"] = incomplete_requests(raw)
-    return out
+        steps.append(lambda: incomplete_requests(raw))
+    incomplete = together(spark, *steps)[2:]
+    return {"bronze": observed_rows(obs), "quarantined": observed_rows(bad_obs),
+            **({"incomplete_requests": incomplete[0]} if incomplete else {})}
 
 
 def incomplete_requests(raw: DataFrame) -> int:
@@ -140,8 +142,10 @@ def build_gold(spark: SparkSession, lake: Lake) -> dict:
     drops a key, so upserting the recomputed keys equals recomputing from all of
     silver. Each day's gold work is proportional to what that day touched.
     """
-    return {**refresh_dim_date(spark, lake), **refresh_dim_team(spark, lake),
-            **refresh_fact(spark, lake), **refresh_summary(spark, lake)}
+    made = together(spark, lambda: refresh_dim_date(spark, lake),
+                    lambda: refresh_dim_team(spark, lake),
+                    lambda: {**refresh_fact(spark, lake), **refresh_summary(spark, lake)})
+    return {name: value for part in made for name, value in part.items()}
 
 
 def refresh_dim_date(spark: SparkSession, lake: Lake) -> dict:
@@ -200,10 +204,12 @@ def league_summary(spark: SparkSession, lake: Lake,
     return gold.merged_summary(tables.read_table(spark, lake.gold("summary_parts")), by)
 
 
-def note_schemas(spark: SparkSession, lake: Lake, run_id: str) -> list[dict]:
+def note_schemas(spark: SparkSession, lake: Lake, run_id: str,
+                 ingest_date: str | None = None) -> list[dict]:
     """Keep the schemas of this run's tables; return and log what changed since the run
-    before (one row a column)."""
-    stages = {"bronze": read_bronze(spark, lake), "silver": tables.read_table(spark, lake.silver),
+    before (one row a column). With a date, bronze is that date's rows, so that columns
+    that no longer arrive are seen too, and the history's footers are not read."""
+    stages = {"bronze": read_bronze(spark, lake, ingest_date), "silver": tables.read_table(spark, lake.silver),
               "fact_match_stats": tables.read_table(spark, lake.gold("fact_match_stats"))}
     now, drift = schema_rows(spark, stages), []
     if tables.exists(spark, lake.schemas):
@@ -267,7 +273,7 @@ def run_daily(spark: SparkSession, landing_base: str, lake_base: str, execution_
         stages.update(build_silver(spark, lake, execution_date, tie_breakers))
         stages["rules_checked"] = len(check_silver(spark, lake, rules))
         stages.update(build_gold(spark, lake))
-        drift = note_schemas(spark, lake, run_id)
+        drift = note_schemas(spark, lake, run_id, execution_date)
     except Exception:
         log_run(spark, lake, pipeline_name, run_id, execution_date, "FAILED", stages)
         raise

@@ -3,10 +3,12 @@
 import json
 
 import fixtures as fx
+import pytest
 from laketier.operators import gold
 from laketier.operators.reconcile import request_report
 from laketier.plans import jobs
 from laketier.plans.metrics import schema_drift, schema_rows
+from laketier.session import together
 from laketier.sinks import tables
 from laketier.sources import landing
 
@@ -94,3 +96,35 @@ def test_summary_parts_add_up(spark, workdir):
     assert gold.merged_summary(kept).collect() == whole.collect()
     by_season = {r["season"]: tuple(r)[1:] for r in gold.merged_summary(kept, ["season"]).collect()}
     assert by_season == {2024: (2, 3, 3.0), 2025: (2, 3, 1.5), None: (1, 4, 4.0)}
+
+
+def test_together_ends_all_steps_and_keeps_their_order(spark):
+    ended = []
+
+    def step(n, fails=False):
+        def run():
+            rows = spark.range(n * 1000).selectExpr("sum(id) AS s").first()[0]
+            ended.append(n)
+            if fails:
+                raise ValueError(f"step {n}")
+            return rows
+        return run
+    assert together(spark, step(3), step(1), step(2)) == [4498500, 499500, 1999000]
+    ended.clear()
+    with pytest.raises(ValueError, match="step 2"):
+        together(spark, step(1), step(2, True), step(3, True), step(4))
+    assert sorted(ended) == [1, 2, 3, 4]
+
+
+def test_columns_that_no_longer_arrive_are_drift(spark, workdir):
+    base, lake = f"{workdir}/landing", jobs.Lake(f"{workdir}/lake")
+    for day in ("2024-11-01", "2024-11-02"):
+        fx.land(base, "football", day, 39, fx.envelope(fx.SAMPLE, date=day))
+    jobs.run_daily(spark, base, lake.base, "2024-11-01")
+    # the day before had a column more
+    older = jobs.read_bronze(spark, lake).drop("_ingest_date", "_sport_type")
+    older.selectExpr("*", "'x' AS feed").write.parquet(
+        f"{lake.bronze}/_ingest_date=2024-10-31/_sport_type=football")
+    jobs.note_schemas(spark, lake, "before", "2024-10-31")
+    drift = jobs.run_daily(spark, base, lake.base, "2024-11-02")["schema_drift"]
+    assert [(d["stage"], d["column"]) for d in drift if d["change"] == "removed"] == [("bronze", "feed")]
