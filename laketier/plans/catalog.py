@@ -910,23 +910,23 @@ def _land_envelopes(spark, sf_dir) -> str:
     ``<base>/football/raw/<date>/league_<id>/``; a truncated document and an error
     document lie among them."""
     base = scratch(spark, "landing")
-    rec = bronze_records(spark, sf_dir)
-    pages = rec.groupBy(
+    # small rows are staged, not documents: Spark reads Parquet by thousands of rows at once
+    records = staged(bronze_records(spark, sf_dir).select(
         F.col("league.id").alias("league_no"),
         F.floor(F.monotonically_increasing_id() / PAGE_IDS).alias("page"),
-    ).agg(F.collect_list(F.struct("fixture", "league", "teams", "goals", "score"))
-          .alias("response"))
-    docs = pages.select("league_no", F.to_json(
-        F.struct(F.lit("fixtures").alias("get"), F.size("response").alias("results"), "response"),
-        {"pretty": "true"}).alias("value"))
-    bad = spark.createDataFrame(
-        [(0, '{"get": "fixtures",\n "response": [{"fixture": {"id": 1, "da'),
-         (1, '{"get": "fixtures",\n "results": 0}')], "league_no bigint, value string")
+        F.struct("fixture", "league", "teams", "goals", "score").alias("r")), "envelopes")
     folder = f"{base}/football/raw/{ENVELOPE_DATE}"
-    docs = staged(docs.unionByName(bad), "envelopes")
-    for (league,) in docs.select("league_no").distinct().collect():  # a folder for each league
-        (docs.where(F.col("league_no") == league).select("value").write
-         .option("maxRecordsPerFile", 1).text(f"{folder}/league_{league}"))
+    bad = {0: '{"get": "fixtures",\n "response": [{"fixture": {"id": 1, "da',
+           1: '{"get": "fixtures",\n "results": 0}'}
+    leagues = {r[0] for r in records.select("league_no").distinct().collect()}
+    for league in leagues | set(bad):  # a folder for each league
+        docs = (records.where(F.col("league_no").eqNullSafe(F.lit(league))).groupBy("page")
+                .agg(F.collect_list("r").alias("response"))
+                .select(F.to_json(F.struct(F.lit("fixtures").alias("get"), F.size("response").alias("results"),
+                                           "response"), {"pretty": "true"}).alias("value")))
+        if league in bad:
+            docs = docs.unionByName(spark.createDataFrame([(bad[league],)], "value string"))
+        docs.write.option("maxRecordsPerFile", 1).text(f"{folder}/league_{league}")
     return base
 
 
