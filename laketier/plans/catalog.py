@@ -958,6 +958,7 @@ def q_src_envelope_quarantine(spark, sf_dir):
 # --- reconciled envelopes ------------------------------------------------------------
 
 PAGE_MATCHES = 1000
+STRETCH = 1000  # blocks
 # What goes wrong on the way: records cut from pages, pages that never land, errors.
 CUT, LOST, FAILED = "match_id % 97 = 0", "block % 11 = 3", "block % 13 = 5"
 
@@ -978,17 +979,28 @@ def q_src_envelope_reconcile(spark, sf_dir):
     from laketier.operators.reconcile import request_report
     from laketier.sources import landing
     base = scratch(spark, "landing")
-    records = bronze_records(spark, sf_dir).select(
-        F.struct("fixture", "league", "teams", "goals", "score").alias("r"),
-        F.col("fixture.id").alias("match_id"), F.col("league.id").alias("league_id"))
     # a page holds a fixed range of matches, so it does not grow with the data
-    pages = staged(records.groupBy("league_id", F.floor(F.col("match_id") / PAGE_MATCHES).alias("block"))
-                   .agg(F.count("*").alias("results"),
-                        F.collect_list(F.when(~F.expr(CUT), F.col("r"))).alias("response")), "pages")
-    order = Window.partitionBy("league_id").orderBy("block")
-    numbered = (pages.withColumn("current", F.row_number().over(order))
-                .join(pages.groupBy("league_id").agg(F.count("*").alias("total")), "league_id"))
-    documents = numbered.where(f"NOT ({LOST})").select(F.to_json(F.struct(
+    records = staged(bronze_records(spark, sf_dir).select(
+        F.struct("fixture", "league", "teams", "goals", "score").alias("r"),
+        F.col("fixture.id").alias("match_id"), F.col("league.id").alias("league_id"),
+        F.floor(F.col("fixture.id") / PAGE_MATCHES).alias("block")), "records")
+    # pages are numbered by their keys alone: by stretches of blocks, then inside each
+    blocks = records.groupBy("league_id", "block").agg(F.count("*").alias("results")).withColumn(
+        "stretch", F.floor(F.col("block") / STRETCH))
+    before = Window.partitionBy("league_id").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    stretches = blocks.groupBy("league_id", "stretch").agg(F.count("*").alias("n")).select(
+        "league_id", "stretch", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"),
+        F.sum("n").over(Window.partitionBy("league_id")).alias("total"))
+    order = Window.partitionBy("league_id", "stretch").orderBy("block")
+    numbered = staged(blocks.withColumn("place", F.row_number().over(order))
+                      .join(stretches, ["league_id", "stretch"]).where(f"NOT ({LOST})")
+                      .select("league_id", "block", "results", "total",
+                              (F.col("earlier") + F.col("place")).alias("current")), "pages")
+    # the numbers go to the records, which are small and many, not to whole pages
+    page = ["league_id", "block", "results", "total", "current"]
+    pages = records.join(numbered, ["league_id", "block"]).groupBy(*page).agg(
+        F.collect_list(F.when(~F.expr(CUT), F.col("r"))).alias("response"))
+    documents = pages.select(F.to_json(F.struct(
         F.lit("fixtures").alias("get"),
         F.struct(F.col("league_id").cast("string").alias("league")).alias("parameters"),
         F.when(F.expr(FAILED), F.array(F.lit("rate limit"))).otherwise(F.array()).alias("errors"),
