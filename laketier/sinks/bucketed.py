@@ -5,9 +5,9 @@ A table of the catalog, partitioned by columns, bucketed and sorted by its key
 deals only its source, into as many parts as there are buckets, and joins each with the
 bucket it belongs to where that is read. For targets whose touched partitions are large
 next to the day's rows: a plain table (``tables.py``) shuffles them where the source's
-keys are too many to be broadcast. A partition has a file a bucket, so the number of
-buckets follows the largest partition; many small partitions are better off in a plain
-table.
+keys are too many to be broadcast. A task deals, joins and sorts one bucket of all touched
+partitions, so the number of buckets follows the whole table. A partition has a file a
+bucket: many small partitions are better off in a plain table.
 
 The table carries the option ``partitionOverwriteMode=dynamic``, so each merge replaces
 just the partitions it touched when its job commits, and one that fails before leaves the
@@ -33,7 +33,8 @@ from laketier.session import staged
 from laketier.sinks.tables import partition_key, partitions_of
 
 DYNAMIC = ("partitionOverwriteMode", "dynamic")
-BUCKET_BYTES = 128 * 1024 * 1024
+BUCKET_BYTES = 32 * 1024 * 1024
+BUCKET_ROWS = 250_000
 
 
 def key_and_buckets(spark: SparkSession, table: str) -> tuple[str, int]:
@@ -56,12 +57,13 @@ def _dealt(rows: DataFrame, key: str, buckets: int) -> DataFrame:
 
 def buckets_for(rows: DataFrame, partition_cols: Sequence[str],
                 bucket_bytes: int = BUCKET_BYTES) -> int:
-    """Buckets of about ``bucket_bytes`` in the largest partition of the staged ``rows``."""
+    """Buckets of about ``bucket_bytes`` and ``BUCKET_ROWS`` at most over all partitions of
+    the staged ``rows``, and no more than rows: a task of a merge sorts a whole bucket, and
+    how many rows a byte holds depends on how they compress."""
     size = (rows.select("_metadata.file_path", "_metadata.file_size").distinct()
             .agg(F.sum("file_size")).first()[0] or 0)
-    most, total = (rows.groupBy(*partition_cols).count()
-                   .agg(F.max("count"), F.sum("count")).first())
-    return max(1, math.ceil(size * (most or 0) / (total or 1) / bucket_bytes))
+    n = rows.count()
+    return max(1, min(n, max(math.ceil(size / bucket_bytes), math.ceil(n / BUCKET_ROWS))))
 
 
 def create(df: DataFrame, table: str, path: str, key: str, partition_cols: Sequence[str],
