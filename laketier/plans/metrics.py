@@ -7,14 +7,17 @@ that writes it, so a run learns its stage sizes without extra jobs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def observe_rows(df: DataFrame, stage: str) -> tuple[DataFrame, Observation]:
-    """Count rows of ``df`` as a side effect of the next action on it."""
+def observe_rows(df: DataFrame, stage: str, where: Column | None = None
+                 ) -> tuple[DataFrame, Observation]:
+    """Count rows of ``df``, all or those ``where`` holds, as a side effect of the next
+    action on it."""
     obs = Observation(stage)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+    counted = F.count(F.lit(1)) if where is None else F.count_if(where)
+    return df.observe(obs, counted.alias("rows")), obs
 
 
 def observed_rows(obs: Observation) -> int:
