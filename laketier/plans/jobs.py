@@ -83,10 +83,12 @@ def ingest_bronze(spark: SparkSession, landing_base: str, lake: Lake, ingest_dat
     found = landing.fixture_rows(raw, shape)
     rows = landing.with_bronze_audit(found.where(landing.identified()), ingest_date, lake.sport)
     rows, obs = observe_rows(rows, "bronze")
-    bad = landing.corrupt_rows(raw, shape).unionByName(landing.unidentified_rows(found)).withColumns(
-        {"_ingest_date": F.lit(ingest_date), "_ingest_timestamp": F.current_timestamp()})
+    bad = (landing.unusable_records(raw) if shape == landing.RECORDS_SHAPE else
+           landing.corrupt_rows(raw, shape).unionByName(landing.unidentified_rows(found)))
+    bad = bad.withColumns({"_ingest_date": F.lit(ingest_date), "_ingest_timestamp": F.current_timestamp()})
     bad, bad_obs = observe_rows(bad, "quarantine")
-    steps = [lambda: tables.append(rows, lake.bronze, S.BRONZE_PARTITIONS),
+    # a run's rows are of one partition, and the scan packs small files: no shuffle
+    steps = [lambda: tables.append(rows, lake.bronze, S.BRONZE_PARTITIONS, balance=False),
              lambda: tables.append(bad, lake.quarantine, ["_ingest_date"])]
     if shape == landing.ENVELOPE_SHAPE:
         steps.append(lambda: incomplete_requests(raw))
