@@ -1,13 +1,15 @@
 """Operator 11: ids of a merge-type piece vocabulary and the texts they stand for.
 
 A text, its blanks written as U+2581 and one put before it, is a row of symbols, at
-first its characters. An agenda (a heap) holds the adjacent pairs whose joined symbol
-is a piece, the highest score first and the leftmost among equals; a popped pair that
-is still there is joined, and its new neighbours go on the agenda. Symbols that are no
-piece become their UTF-8 bytes' pieces (or the unknown id, where a vocabulary has no
-bytes). No piece of the vocabulary reaches over the beginning of a word, so the agenda
-runs on the distinct units of a task's texts (``units.py``) and a text's ids are put
-together by array lookups; a vocabulary with such pieces is given whole texts.
+first its characters. An agenda holds the adjacent pairs whose joined symbol is a piece,
+the highest score first and the leftmost among equals; the first pair is joined, and its
+new neighbours go on the agenda. Rows of few symbols are taken thousands at a time, the
+agenda of each a row of an array (``joined_rows``); longer ones have a heap, and a popped
+pair that is no longer there is passed over (``merged``). Symbols that are no piece
+become their UTF-8 bytes' pieces (or the unknown id, where a vocabulary has no bytes).
+No piece of the vocabulary reaches over the beginning of a word, so the agendas run on
+the distinct units of a task's texts (``units.py``) and a text's ids are put together by
+array lookups; a vocabulary with such pieces is given whole texts.
 
 Every unit new to a task is checked, ids and text, against the sentencepiece library
 in one call for each Arrow batch; a difference (such as a vocabulary that rewrites
@@ -21,7 +23,10 @@ no rows; other columns are ignored.
 from __future__ import annotations
 
 import heapq
+from array import array
 from collections.abc import Iterator
+from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +39,10 @@ from laketier.llm.tokens import Pieces, slices, vocabulary_path
 from laketier.llm.units import BLANK_PIECE, gathered, spaced_units
 
 VOCABULARY = "piece_bpe_32k.model"
+#: Symbols up to which a row's agenda is a row of an array, and rows taken at a time.
+ROW_SYMBOLS, ROWS = 32, 8192
+CODE_POINTS = 0x110000
+NO_PIECE = np.int32(2**31 - 1)  # ranks after any piece's
 
 
 class PieceMismatch(ValueError):
@@ -127,16 +136,122 @@ class PieceEncoder(Pieces):
                 out.append(self.unknown)
         return out
 
+    @cached_property
+    def symbol_of(self) -> np.ndarray:
+        """Symbol of each character, a blank's that of U+2581: the id of its piece, or its
+        code point after all ids."""
+        out = np.arange(CODE_POINTS, dtype=np.int32) + len(self.bytes_of)
+        for piece, i in self.id_of.items():
+            if len(piece) == 1:
+                out[ord(piece)] = i
+        out[ord(" ")] = out[ord(BLANK_PIECE)]
+        return out
+
+    @cached_property
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pairs of symbols that join to a piece, as numbers in order; rank and id of that
+        piece. After the last comes one that no pair has."""
+        symbol = {p: i for p, i in self.id_of.items() if len(p) > 1}
+        for p in set(chain.from_iterable(self.id_of)):
+            symbol[p] = int(self.symbol_of[ord(p)])
+        found = sorted((symbol[p[:i]] << 32 | symbol[p[i:]], rank, self.id_of[p])
+                       for p, rank in self.rank.items() if rank is not None
+                       for i in range(1, len(p)) if p[:i] in symbol and p[i:] in symbol)
+        keys, ranks, ids = zip(*found, (1 << 62, NO_PIECE, 0))
+        return np.array(keys, np.int64), np.array(ranks, np.int32), np.array(ids, np.int32)
+
+    def joined(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and id of the piece that each pair of symbols joins to."""
+        keys, ranks, ids = self.pairs
+        key = left.astype(np.int64) << 32 | right
+        at = np.searchsorted(keys, key)
+        return np.where(keys[at] == key, ranks[at], NO_PIECE), ids[at]
+
+    def joined_rows(self, symbols: np.ndarray) -> np.ndarray:
+        """What is left of rows of symbols (in the first column and behind a row's end -1)
+        when no adjacent pair is a piece; -1 in the places of those joined to another."""
+        width = symbols.shape[1]
+        flat = symbols.ravel()
+        before, after = np.arange(-1, flat.size - 1), np.arange(1, flat.size + 1)
+        ranks, ids = self.joined(flat, np.append(flat[1:], -1))
+        agenda = ranks.reshape(-1, width)
+        live = np.arange(len(symbols))
+        while True:
+            left = live * width + agenda[live].argmin(axis=1)  # the leftmost of the best
+            some = ranks[left] != NO_PIECE
+            live, left = live[some], left[some]
+            if not len(live):
+                return flat.reshape(-1, width)
+            right, previous = after[left], before[left]
+            beyond = after[right]
+            flat[left], flat[right], ranks[right] = ids[left], -1, NO_PIECE
+            after[left], before[beyond] = beyond, left
+            ranks[left], ids[left] = self.joined(flat[left], flat[beyond])
+            ranks[previous], ids[previous] = self.joined(flat[previous], flat[left])
+
+    def encoded_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the units, one after the other, and how many each has."""
+        lengths = np.fromiter(map(len, units), np.int64, len(units))
+        order = np.argsort(lengths, kind="stable")
+        plain = self.byte_id is not None and not self.unused
+        few = int(np.searchsorted(lengths[order], ROW_SYMBOLS, "right")) if plain else 0
+        symbols = self.symbol_of[np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)]
+        starts = np.cumsum(lengths) - lengths
+        sizes = np.zeros(len(units), np.int64)
+        out = []
+        for at in range(0, few, ROWS):
+            rows = order[at:min(at + ROWS, few)]
+            width = int(lengths[rows[-1]])
+            place = np.arange(width)
+            table = np.full((len(rows), width + 2), -1, np.int32)
+            inside = place < lengths[rows, None]
+            table[:, 1:-1][inside] = symbols[(starts[rows, None] + place)[inside]]
+            table = self.joined_rows(table)
+            ids, sizes[rows] = self._as_ids(table)
+            out.append(ids)
+        rest = array("i")
+        for i in order[few:].tolist():
+            ids = self.encoded(units[i])
+            sizes[i] = len(ids)
+            rest.extend(ids)
+        flat = np.concatenate([*out, np.frombuffer(rest, np.int32)])
+        begin = np.empty(len(units), np.int64)
+        begin[order] = np.cumsum(sizes[order]) - sizes[order]
+        return flat[gathered(begin, sizes)], sizes
+
+    def _as_ids(self, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the symbols of all rows, those without a piece as bytes, and how many
+        each row has."""
+        there = table >= 0
+        symbols = table[there]
+        if symbols.max(initial=0) < len(self.bytes_of):
+            return symbols, there.sum(axis=1)
+        bare = np.flatnonzero(symbols >= len(self.bytes_of))
+        points, which = np.unique(symbols[bare] - len(self.bytes_of), return_inverse=True)
+        spelt = [[self.byte_id[b] for b in chr(c).encode("utf-8", "replace")] for c in points.tolist()]
+        length = np.array([len(x) for x in spelt])
+        each = np.ones(len(symbols), np.int64)
+        each[bare] = length[which]
+        ends = np.cumsum(each)
+        out = np.repeat(symbols, each)
+        out[gathered((ends - each)[bare], each[bare])] = np.array(
+            list(chain.from_iterable(spelt)), np.int32)[gathered((np.cumsum(length) - length)[which], each[bare])]
+        return out, np.diff(np.concatenate([[0], ends])[np.cumsum([0, *there.sum(axis=1)])])
+
     def learn(self, words: list[str]):
-        ids = [self.encoded(w) for w in words]
-        # the library puts the blank before a text itself, but before an empty one
-        told = [(w[1:], x) for w, x in zip(words, ids) if w != " "]
-        texts, own = [t for t, _ in told], [x for _, x in told]
-        if own != self.library.encode(texts, num_threads=1) or \
-                self.decode(pa.array(own, pa.list_(pa.int32()))).to_pylist() != self.library.decode(own):
+        ids, sizes = self.encoded_units(words)
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+        given = self.library.encode([w[1:] for w in words], num_threads=1)
+        if " " in words:  # the library puts no blank before an empty text
+            at = words.index(" ")
+            given[at] = ids[bounds[at]:bounds[at + 1]].tolist()
+        lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids))
+        if not np.array_equal(sizes, np.fromiter(map(len, given), np.int64)) or \
+                not np.array_equal(ids, np.fromiter(chain.from_iterable(given), np.int32)) or \
+                self.decode(lists).to_pylist() != self.library.decode(given):
             raise PieceMismatch("the library gives other ids or another text")
-        self.sizes = np.concatenate([self.sizes, np.array([len(i) for i in ids], np.int64)])
-        self.ids = np.concatenate([self.ids, np.array([i for x in ids for i in x], np.int32)])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.ids = np.concatenate([self.ids, ids])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in order, the end id after each, and the bounds."""

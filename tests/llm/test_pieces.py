@@ -58,6 +58,29 @@ def test_unused_pieces_are_taken_apart():
     assert "".join(encoder.merged("▁the")) == "▁the" and len(encoder.merged("▁the")) > 1
 
 
+def test_words_are_joined_many_at_a_time_as_one_by_one(texts, monkeypatch):
+    encoder = pieces.PieceEncoder(vocabulary_path(pieces.VOCABULARY))
+    units = [" " + x for x in texts if x] + [" " + "a" * n for n in range(45)] + [" 日\U0010ffffa", "  "]
+    want = [encoder.encoded(u) for u in units]
+    monkeypatch.setattr(pieces, "ROWS", 100)
+    ids, sizes = encoder.encoded_units(units)
+    assert ids.tolist() == [i for x in want for i in x] and sizes.tolist() == list(map(len, want))
+    encoder.unused = {"▁the"}  # such vocabularies have their units one by one
+    ids, sizes = encoder.encoded_units([" the", " a"])
+    assert sizes.tolist() == [len(encoder.encoded(" the")), 1]
+    encoder.unused = set()
+    monkeypatch.setattr(pieces, "heapq", None)
+    encoder.encode(pa.array(["no heap for words, nor for é日😀.\n"]))
+
+
+def test_equal_scores_are_joined_leftmost_first():
+    encoder = pieces.PieceEncoder(vocabulary_path(pieces.VOCABULARY))
+    encoder.rank = {p: 1 for p in encoder.rank}
+    units = [" there", " aaaaa", " restlessness", " onononon"]
+    ids, _ = encoder.encoded_units(units)
+    assert ids.tolist() == [i for u in units for i in encoder.encoded(u)]
+
+
 def test_query_rows(spark, documents, library, texts, monkeypatch):
     rows = [(i % 2900, t) for i, t in enumerate(texts)] + [(None, "no id"), (4, None), (5, "twice"),
                                                            (5, "twice")]
