@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from laketier.llm import repeats
+from laketier.llm.queries import QUERIES
 from laketier.llm.repeats import remove_repeats
 
 
@@ -116,3 +117,31 @@ def test_previous_smaller_equals_brute_force():
         want = [next((j for j in range(i - 1, -1, -1) if values[j] < v), -1)
                 for i, v in enumerate(values)]
         assert repeats.previous_smaller(values).tolist() == want
+
+
+def test_planted_passages_of_over_50_words(spark, documents, workdir):
+    """The contract's 400 bytes decide, not the words: passages of 51 words and more are
+    removed from 400 bytes on and stay below; documents without any stay whole."""
+    r = random.Random(11)
+
+    def word(n):
+        return "".join(r.choice("abcdefghijklmnopqrstuvwxyzé") for _ in range(n))
+
+    def passage(n_bytes):
+        text = " ".join(word(r.randint(4, 6)) for _ in range(51))
+        return text + " " + "x" * (n_bytes - len(text.encode()) - 1)
+
+    rows, sizes = [], (350, 399, 400, 401, 700)
+    for k, size in enumerate(sizes):
+        planted = passage(size)
+        assert len(planted.encode()) == size and len(planted.split()) > 50
+        for i in range(3):  # other bytes on either side, so that no copy reaches further
+            around = " ".join(word(5) for _ in range(80))
+            rows.append((10 * k + i, f"{around}{'ABC'[i]}{planted}{'XYZ'[i]}{around[::-1]}"))
+    rows += [(100 + i, " ".join(word(5) for _ in range(150))) for i in range(5)]
+    documents(rows).write.parquet(f"{workdir}/documents.parquet")
+    got = sorted(map(tuple, QUERIES["op6_repeated_strings"](spark, workdir).collect()))
+    assert got == sorted(brute(rows, 400, "none"))
+    assert {g[0]: g[2] for g in got} == {
+        **{10 * k + i: size if size >= 400 else 0 for k, size in enumerate(sizes) for i in range(3)},
+        **{100 + i: 0 for i in range(5)}}
