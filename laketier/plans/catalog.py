@@ -906,28 +906,47 @@ def q_star_rows_teams(spark, sf_dir):
 ENVELOPE_DATE = "2024-11-01"
 
 
+def _documents(lines: DataFrame) -> DataFrame:
+    """API documents (value) of up to PAGE_IDS of the records (line, as JSON) of one task,
+    which are not shuffled, a record a line."""
+    page = PAGE_IDS
+
+    def document(records):
+        return ('{"get": "fixtures",\n "results": %d,\n "response": [\n%s]}' % (
+            len(records), ",\n".join(records)))
+
+    def pages(batches):
+        import pyarrow as pa
+        held = []
+        for batch in batches:
+            held += batch.column(0).to_pylist()
+            while len(held) >= page:
+                yield pa.RecordBatch.from_pydict({"value": [document(held[:page])]})
+                held = held[page:]
+        if held:
+            yield pa.RecordBatch.from_pydict({"value": [document(held)]})
+    return lines.mapInArrow(pages, "value string")
+
+
 def _land_envelopes(spark, sf_dir) -> str:
-    """API documents as multi-line JSON files, one page a file, below
+    """API documents as gzipped multi-line JSON files, one page a file, below
     ``<base>/football/raw/<date>/league_<id>/``; a truncated document and an error
     document lie among them."""
     base = scratch(spark, "landing")
     # small rows are staged, not documents: Spark reads Parquet by thousands of rows at once
     records = staged(bronze_records(spark, sf_dir).select(
         F.col("league.id").alias("league_no"),
-        F.floor(F.monotonically_increasing_id() / PAGE_IDS).alias("page"),
         F.struct("fixture", "league", "teams", "goals", "score").alias("r")), "envelopes")
     folder = f"{base}/football/raw/{ENVELOPE_DATE}"
     bad = {0: '{"get": "fixtures",\n "response": [{"fixture": {"id": 1, "da',
            1: '{"get": "fixtures",\n "results": 0}'}
     leagues = {r[0] for r in records.select("league_no").distinct().collect()}
     for league in leagues | set(bad):  # a folder for each league
-        docs = (records.where(F.col("league_no").eqNullSafe(F.lit(league))).groupBy("page")
-                .agg(F.collect_list("r").alias("response"))
-                .select(F.to_json(F.struct(F.lit("fixtures").alias("get"), F.size("response").alias("results"),
-                                           "response"), {"pretty": "true"}).alias("value")))
+        docs = _documents(records.where(F.col("league_no").eqNullSafe(F.lit(league)))
+                          .select(F.to_json("r").alias("line")))
         if league in bad:
             docs = docs.unionByName(spark.createDataFrame([(bad[league],)], "value string"))
-        docs.write.option("maxRecordsPerFile", 1).text(f"{folder}/league_{league}")
+        docs.write.option("maxRecordsPerFile", 1).text(f"{folder}/league_{league}", compression="gzip")
     return base
 
 
