@@ -1024,7 +1024,7 @@ def q_src_envelope_reconcile(spark, sf_dir):
         F.struct(F.col("league_id").cast("string").alias("league")).alias("parameters"),
         F.when(F.expr(FAILED), F.array(F.lit("rate limit"))).otherwise(F.array()).alias("errors"),
         "results", F.struct("current", "total").alias("paging"), "response")).alias("value"))
-    documents.write.option("maxRecordsPerFile", 1).text(f"{base}/football/raw/{ENVELOPE_DATE}")
+    documents.write.option("maxRecordsPerFile", 1).text(f"{base}/football/raw/{ENVELOPE_DATE}", compression="gzip")
     raw = landing.read_landed(spark, landing.landing_path(base, "football", ENVELOPE_DATE))
     return request_report(raw, by=["league"])
 
